@@ -54,16 +54,24 @@ def path(j, p: str) -> Column:
     return F.get_json_object(_c(j), p if p.startswith("$") else "$." + p)
 
 
+def let(value: Column, body) -> Column:
+    """Bind ``value`` once and evaluate ``body(bound)``: keeps an expression
+    that is used several times from being copied (and re-evaluated) in the
+    expression tree."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def unwrap_single_key(j, max_depth: int = 4) -> Column:
     """Descend while the JSON object has exactly one key (a wrapper element).
 
-    Arrays stop the descent (``json_object_keys`` is NULL for them). The depth
-    is bounded; what is still a single-key object after ``max_depth`` levels
-    is returned as is and can be flagged by the caller."""
+    Arrays and scalars stop the descent (they do not parse as a map). The
+    depth is bounded; what is still a single-key object after ``max_depth``
+    levels is returned as is and can be flagged by the caller. Each level
+    parses its text once."""
     c = _c(j)
     for _ in range(max_depth):
-        c = F.when(F.size(F.json_object_keys(c)) == 1,
-                   F.map_values(json_map(c)).getItem(0)).otherwise(c)
+        c = let(c, lambda x: let(json_map(x), lambda m: F.when(
+            F.size(m) == 1, F.map_values(m).getItem(0)).otherwise(x)))
     return c
 
 

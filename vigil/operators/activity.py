@@ -15,9 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.functions.jsonx import (first_existing, json_array, json_map, missing_keys, path,
-                                   unwrap_single_key)
-from vigil.functions.text import dequote, first_token, format_id
+from vigil.functions.jsonx import json_array, json_map, unwrap_single_key
+from vigil.functions.text import dequote, first_token
 
 # Source key -> activity code for the renamed types.
 TYPE_CODES = {"actP": "par", "audicoes": "adt", "audiencias": "adc",
@@ -58,14 +57,13 @@ FIELD_MAP = {
                 date=("first_token", "reqDt"), desc="reqAs"),
 }
 
-# Member field paths.
-MEMBER_PATHS = {
-    "mp_id": "$.deputado.depId",
-    "mp_name": "$.deputado.depNomeParlamentar",
-    "mp_party": "$.deputado.depGP.pt_ar_wsgode_objectos_DadosSituacaoGP.gpSigla",
-}
-STATUS_PATH = "$.deputado.depSituacao.pt_ar_wsgode_objectos_DadosSituacaoDeputado"
-ACTIVITY_MAP_PATH = "$.AtividadeDeputadoList.pt_gov_ar_wsar_objectos_ActividadeOut"
+# Member record layout (only the fields read). The status
+# element is object-or-array, so it is kept as raw text.
+MEMBER_SCHEMA = (
+    "struct<deputado: struct<depId: string, depNomeParlamentar: string, depCPDes: string, "
+    "depGP: struct<pt_ar_wsgode_objectos_DadosSituacaoGP: struct<gpSigla: string>>, "
+    "depSituacao: struct<pt_ar_wsgode_objectos_DadosSituacaoDeputado: string>>, "
+    "AtividadeDeputadoList: struct<pt_gov_ar_wsar_objectos_ActividadeOut: map<string, string>>>")
 ACTIVITY_ROOT = "ArrayOfAtividadeDeputado.AtividadeDeputado"
 
 DATE_FORMATS = ["yyyy-MM-dd", "dd/MM/yyyy HH:mm:ss", "dd/MM/yyyy", "yyyy-MM-dd HH:mm:ss"]
@@ -92,45 +90,74 @@ def _required(spec: dict) -> list[str]:
     return req
 
 
-def _by_code(code: Column, build) -> Column:
-    expr = None
-    for k, spec in FIELD_MAP.items():
-        v = build(spec)
-        expr = F.when(code == k, v) if expr is None else expr.when(code == k, v)
-    return expr
+FIRST_OF_CODES = [k for k, v in FIELD_MAP.items() if isinstance(v["desc"], tuple)]
+TOKEN_DATE_CODES = [k for k, v in FIELD_MAP.items() if isinstance(v["date"], tuple)]
+
+
+def _lit_map(d: dict) -> Column:
+    kv = []
+    for k, v in d.items():
+        kv += [F.lit(k), F.array(*[F.lit(x) for x in v]) if isinstance(v, list) else F.lit(v)]
+    return F.create_map(*kv)
 
 
-def _field(m: Column, name: str) -> Column:
-    return F.element_at(m, F.lit(name))
+def _spec_maps() -> dict[str, Column]:
+    """FIELD_MAP as literal maps keyed by code, so every output field is one
+    lookup expression instead of a CASE over all codes."""
+    fm = FIELD_MAP
+    return {
+        "id": _lit_map({k: v["id"] for k, v in fm.items()}),
+        "subtype": _lit_map({k: v["subtype"] for k, v in fm.items() if isinstance(v["subtype"], str)}),
+        "subtype_const": _lit_map({k: v["subtype"][1] for k, v in fm.items()
+                                   if isinstance(v["subtype"], tuple)}),
+        "dar": _lit_map({k: list(v["dar"]) for k, v in fm.items()}),
+        "date": _lit_map({k: (v["date"][1] if isinstance(v["date"], tuple) else v["date"])
+                          for k, v in fm.items() if v["date"] is not None}),
+        "desc": _lit_map({k: (list(v["desc"][1]) if isinstance(v["desc"], tuple) else [v["desc"]])
+                          for k, v in fm.items()}),
+        "required": _lit_map({k: _required(v) for k, v in fm.items()}),
+    }
 
 
-def member_fields(record: str = "record") -> list[Column]:
-    st = json_array(path(record, STATUS_PATH))
-    return [path(record, p).alias(k) for k, p in MEMBER_PATHS.items()] + [
-        F.get_json_object(F.try_element_at(st, F.lit(-1)), "$.sioDes").alias("mp_status")]
+def member_fields(parsed: str = "_r") -> list[Column]:
+    d = F.col(parsed)["deputado"]
+    st = json_array(d["depSituacao"]["pt_ar_wsgode_objectos_DadosSituacaoDeputado"])
+    return [d["depId"].alias("mp_id"), d["depNomeParlamentar"].alias("mp_name"),
+            d["depGP"]["pt_ar_wsgode_objectos_DadosSituacaoGP"]["gpSigla"].alias("mp_party"),
+            F.get_json_object(F.try_element_at(st, F.lit(-1)), "$.sioDes").alias("mp_status")]
 
 
 def explode_activity_groups(members: DataFrame, record: str = "record",
                             keep: tuple[str, ...] = ()) -> DataFrame:
     """(member fields, act_type, payload) per non-empty, non-skipped type;
     the reporter container is split into its four codes (unknown sub-keys get
-    ``act_type`` NULL and ``src_key`` for the quarantine)."""
-    m = members.select(*keep, *member_fields(record),
-                       F.explode(json_map(path(record, ACTIVITY_MAP_PATH))).alias("src_key", "payload"))
+    ``act_type`` NULL and ``src_key`` for the quarantine). Each member record
+    is parsed once."""
+    parsed = members.select(*keep, F.from_json(record, MEMBER_SCHEMA).alias("_r"))
+    m = parsed.select(*keep, *member_fields("_r"),
+                      F.explode(F.col("_r")["AtividadeDeputadoList"]["pt_gov_ar_wsar_objectos_ActividadeOut"])
+                      .alias("src_key", "payload"))
     m = m.where(F.col("payload").isNotNull() & ~F.col("src_key").isin(SKIP_KEYS))
-    plain = (m.where(F.col("src_key") != REL_KEY)
-              .withColumn("act_type", F.coalesce(
-                  F.try_element_at(F.create_map(*sum(([F.lit(k), F.lit(v)] for k, v in TYPE_CODES.items()), [])),
-                                   F.col("src_key")),
-                  F.when(F.col("src_key").isin(KEPT_CODES), F.col("src_key")))))
-    rel = (m.where(F.col("src_key") == REL_KEY)
-             .select(*[c for c in m.columns if c not in ("src_key", "payload")],
-                     F.explode(json_map("payload")).alias("src_key", "payload"))
-             .where(F.col("payload").isNotNull())
-             .withColumn("act_type", F.try_element_at(
-                 F.create_map(*sum(([F.lit(k), F.lit(v)] for k, v in REL_CODES.items()), [])),
-                 F.col("src_key"))))
-    return plain.unionByName(rel)
+    # The reporter container holds up to four typed sub-containers: its
+    # entries are spread into (sub key, payload) pairs in the same explode
+    # that carries every other type through unchanged, so the upstream is
+    # read once (no union of two branches).
+    is_rel = F.col("src_key") == REL_KEY
+    pairs = F.when(is_rel, F.transform(F.map_entries(json_map("payload")),
+                                       lambda e: F.struct(e["key"].alias("k"), e["value"].alias("v"),
+                                                          F.lit(True).alias("rel"))))\
+             .otherwise(F.array(F.struct(F.col("src_key").alias("k"), F.col("payload").alias("v"),
+                                         F.lit(False).alias("rel"))))
+    keep_cols = [c for c in m.columns if c not in ("src_key", "payload")]
+    x = m.select(*keep_cols, F.explode(pairs).alias("_p"))
+    type_map = F.create_map(*sum(([F.lit(k), F.lit(v)] for k, v in TYPE_CODES.items()), []))
+    rel_map = F.create_map(*sum(([F.lit(k), F.lit(v)] for k, v in REL_CODES.items()), []))
+    k = F.col("_p")["k"]
+    code = F.when(F.col("_p")["rel"], F.try_element_at(rel_map, k)) \
+            .otherwise(F.coalesce(F.try_element_at(type_map, k), F.when(k.isin(KEPT_CODES), k)))
+    return (x.select(*keep_cols, k.alias("src_key"), F.col("_p")["v"].alias("payload"),
+                     code.alias("act_type"))
+             .where(F.col("payload").isNotNull()))
 
 
 def flatten_activity(members: DataFrame, record: str = "record", keep: tuple[str, ...] = (),
@@ -142,45 +169,43 @@ def flatten_activity(members: DataFrame, record: str = "record", keep: tuple[str
     groups = explode_activity_groups(members, record, keep)
     acts = (groups.withColumn("payload", unwrap_single_key("payload"))
                   .select(*[c for c in groups.columns if c != "payload"],
-                          F.posexplode_outer(json_array("payload")).alias("act_pos", "act")))
-    m = json_map("act")
+                          F.posexplode_outer(json_array("payload")).alias("act_pos", "act"))
+                  .withColumn("_m", json_map("act")))
+    m = F.col("_m")
     code = F.col("act_type")
-
-    def subtype(spec):
-        s = spec["subtype"]
-        return F.lit(s[1]) if isinstance(s, tuple) else _field(m, s)
-
-    def dar(spec):
-        if not spec["dar"]:
-            return F.lit("")
-        return format_id(*[_field(m, f) for f in spec["dar"]], null_text=null_text)
-
-    def date(spec):
-        d = spec["date"]
-        if d is None:
-            return F.lit("")
-        if isinstance(d, tuple):
-            return first_token(_field(m, d[1]))
-        return _field(m, d)
-
-    def desc(spec):
-        d = spec["desc"]
-        v = first_existing(m, d[1]) if isinstance(d, tuple) else _field(m, d)
-        return dequote(v)
-
-    def missing(spec):
-        return missing_keys(m, _required(spec))
-
-    base = [c for c in acts.columns if c not in ("act", "act_pos", "src_key")]
+    spec = _spec_maps()
+
+    def field_of(table: Column) -> Column:
+        # value of the field this code reads; NULL when the code has none
+        return F.try_element_at(m, F.try_element_at(table, code))
+
+    def values(table: Column) -> Column:
+        return F.transform(F.coalesce(F.try_element_at(table, code), F.array().cast("array<string>")),
+                           lambda f: F.try_element_at(m, f))
+
+    dar_vals = values(spec["dar"])
+    if null_text is None:
+        dar = F.when(F.exists(dar_vals, lambda v: v.isNull()), F.lit(None).cast("string")) \
+               .otherwise(F.array_join(dar_vals, "/"))
+    else:
+        dar = F.array_join(F.transform(dar_vals, lambda v: F.coalesce(v, F.lit(null_text))), "/")
+    first_desc = F.try_element_at(F.filter(values(spec["desc"]), lambda v: v.isNotNull()), F.lit(1))
+    desc = F.when(code.isin(FIRST_OF_CODES), F.coalesce(first_desc, F.lit(""))).otherwise(first_desc)
+    date = (F.when(code.isin(TOKEN_DATE_CODES), first_token(field_of(spec["date"])))
+             .when(F.try_element_at(spec["date"], code).isNotNull(), field_of(spec["date"]))
+             .otherwise(F.lit("")))
+    required = F.coalesce(F.try_element_at(spec["required"], code), F.array().cast("array<string>"))
+    base = [c for c in acts.columns if c not in ("act", "act_pos", "src_key", "_m")]
     typed = acts.select(
         *base, "src_key", "act", "act_pos",
-        _by_code(code, lambda s: _field(m, s["id"])).alias("act_id"),
-        _by_code(code, subtype).alias("act_subtype"),
-        _by_code(code, dar).alias("act_dar"),
-        _by_code(code, date).alias("act_date"),
-        _by_code(code, desc).alias("act_desc"),
+        field_of(spec["id"]).alias("act_id"),
+        F.coalesce(field_of(spec["subtype"]), F.try_element_at(spec["subtype_const"], code))
+         .alias("act_subtype"),
+        dar.alias("act_dar"),
+        date.alias("act_date"),
+        dequote(desc).alias("act_desc"),
         F.when(m.isNull(), F.array(F.lit("<not an object>")))
-         .otherwise(_by_code(code, missing)).alias("_missing"))
+         .otherwise(F.filter(required, lambda k: ~F.map_contains_key(m, k))).alias("_missing"))
     reason = (F.when(code.isNull(), F.concat(F.lit("unknown activity type: "), F.col("src_key")))
                .when(F.col("act").isNull(), F.lit("empty activity payload"))
                .when(F.size("_missing") > 0,
