@@ -132,14 +132,14 @@ def strip_html(col) -> Column:
     c = F.regexp_replace(_c(col), r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->", " ")
     c = F.regexp_replace(c, r"<[^>]*>", " ")
     c = F.regexp_replace(c, r"[ \t\n\r\f]+", " ")
-    return F.regexp_replace(c, r"^ | $", "")
+    return F.regexp_replace(c, r"^ | \z", "")
 
 
 # Named character references replaced by decode_entities.
 # '&amp;' is applied last so that '&amp;lt;' decodes to '&lt;' only.
 HTML_ENTITIES = [
     ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-    ("&nbsp;", " "), ("&copy;", "©"), ("&reg;", "®"), ("&middot;", "·"),
+    ("&nbsp;", "\u00a0"), ("&copy;", "©"), ("&reg;", "®"), ("&middot;", "·"),
     ("&ndash;", "–"), ("&mdash;", "—"), ("&hellip;", "…"), ("&euro;", "€"),
     ("&laquo;", "«"), ("&raquo;", "»"), ("&amp;", "&"),
 ]
