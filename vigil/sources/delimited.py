@@ -2,7 +2,7 @@
 
 Options give pandas-like quoting: quote char ``"``, doubled-quote escaping,
 fields with the separator, quotes or newlines quoted; empty strings written
-as empty. Parquet is the primary sink; CSV is for interchange.
+as empty; leading/trailing blanks kept (Spark trims them on write by default). Parquet is the primary sink; CSV is for interchange.
 """
 
 from __future__ import annotations
@@ -15,12 +15,14 @@ def read_pipe_csv(spark: SparkSession, path: str, schema: StructType | str,
                   sep: str = "|") -> DataFrame:
     return (spark.read.schema(schema).option("header", True).option("sep", sep)
             .option("quote", '"').option("escape", '"').option("multiLine", True)
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
             .csv(path))
 
 
 def write_pipe_csv(df: DataFrame, path: str, sep: str = "|", mode: str = "overwrite") -> None:
     (df.write.mode(mode).option("header", True).option("sep", sep)
      .option("quote", '"').option("escape", '"').option("emptyValue", "")
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .csv(path))
 
 
