@@ -26,28 +26,31 @@ never counted as co-authors.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _SEP = "\n"  # never appears inside a to_json token (it is escaped there)
 
 
-def key_token(*cols: str) -> Column:
-    """Null-safe, injective string token of the key columns."""
-    return F.to_json(F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(cols)]))
+def member_act_groups(df: DataFrame, member: str = "mp_name", act_id: str = "act_id",
+                      key_cols: tuple[str, ...] = ("act_type", "act_subtype"),
+                      carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per (member, act_id) with the distinct (carry + key) combinations
+    it holds (``_combos``). The partial collect_set runs map-side, so a hot
+    (member, act_id) ships only its distinct combinations across the shuffle;
+    the set is bounded by the distinct type/subtype (and carried) values of one
+    member's activity id."""
+    m, a = F.col(member), F.col(act_id)
+    return (df.where(m.isNotNull() & a.isNotNull())
+              .groupBy(member, act_id)
+              .agg(F.collect_set(F.struct(*carry, *key_cols)).alias("_combos")))
 
 
-def coauthor_counts(df: DataFrame, member: str = "mp_name", act_id: str = "act_id",
-                    key_cols: tuple[str, ...] = ("act_type", "act_subtype"),
-                    out: str = "n_coauthors") -> DataFrame:
-    """Distinct co-authors (member included) per (member, act_id)."""
-    m, a = F.col(member), F.col(act_id)
-    base = df.where(m.isNotNull() & a.isNotNull())
-    # K(m, a): partial collect_set runs map-side, so a hot (m, a) only ships
-    # its distinct keys across the shuffle.
-    sig = (base.groupBy(member, act_id)
-           .agg(F.array_sort(F.collect_set(key_token(*key_cols))).alias("_keys")))
-    subsets = (sig
+def _counts_from_groups(groups: DataFrame, member: str, act_id: str,
+                        key_cols: tuple[str, ...], out: str) -> DataFrame:
+    token = lambda c: F.to_json(F.struct(*[c[k].alias(f"k{i}") for i, k in enumerate(key_cols)]))
+    keys = F.array_sort(F.array_distinct(F.transform("_combos", token)))
+    subsets = (groups.select(member, act_id, keys.alias("_keys"))
                .withColumn("_mask", F.explode(F.expr("sequence(1, shiftleft(1, size(_keys)) - 1)")))
                .select(member, act_id,
                        F.array_join(F.expr("filter(_keys, (x, i) -> shiftright(_mask, i) & 1 = 1)"),
@@ -60,18 +63,29 @@ def coauthor_counts(df: DataFrame, member: str = "mp_name", act_id: str = "act_i
             .agg(F.sum(F.col("_sign") * F.col("_cover")).cast("long").alias(out)))
 
 
+def coauthor_counts(df: DataFrame, member: str = "mp_name", act_id: str = "act_id",
+                    key_cols: tuple[str, ...] = ("act_type", "act_subtype"),
+                    out: str = "n_coauthors") -> DataFrame:
+    """Distinct co-authors (member included) per (member, act_id)."""
+    groups = member_act_groups(df, member, act_id, key_cols)
+    return _counts_from_groups(groups, member, act_id, key_cols, out)
+
+
 def coauthor_weights(df: DataFrame, decimals: int = 6) -> DataFrame:
     """Sum of 1/co-authors per (party, member), ascending.
 
     Equivalent to: self-merge on (type, subtype, id); distinct co-authors per
     (member, id); weight = 1/n; distinct 7-column rows; sum per (party, member).
+    The input is read once: one aggregate per (member, id) carries both the
+    key set for the co-author count and the distinct rows to be weighted.
     """
-    n = coauthor_counts(df)
-    rows = (df.where(F.col("mp_name").isNotNull() & F.col("act_id").isNotNull())
-              .select("mp_id", "mp_name", "mp_party", "act_id", "act_type", "act_subtype")
-              .distinct())
-    w = (rows.join(n, ["mp_name", "act_id"])
-             .withColumn("act_weight", F.lit(1.0) / F.col("n_coauthors")))
+    keys = ("act_type", "act_subtype")
+    groups = member_act_groups(df, "mp_name", "act_id", keys, carry=("mp_id", "mp_party"))
+    n = _counts_from_groups(groups, "mp_name", "act_id", keys, "n_coauthors")
+    w = (groups.join(n, ["mp_name", "act_id"])
+               .select("mp_name", "n_coauthors", F.explode("_combos").alias("_c"))
+               .select(F.col("_c")["mp_party"].alias("mp_party"), "mp_name",
+                       (F.lit(1.0) / F.col("n_coauthors")).alias("act_weight")))
     return (w.where(F.col("mp_party").isNotNull())
              .groupBy("mp_party", "mp_name")
              .agg(F.round(F.sum("act_weight"), decimals).alias("act_weight"))
