@@ -35,6 +35,15 @@ def json_array(j) -> Column:
              .when(is_array(j), F.from_json(j, "array<string>")))
 
 
+def json_records(j) -> Column:
+    """Object-or-array JSON text -> ``array<map<string,string>>`` in one parse
+    (a bare object becomes a one-element array; nested values keep their raw
+    JSON text)."""
+    j = _c(j)
+    return (F.when(is_object(j), F.array(json_map(j)))
+             .when(is_array(j), F.from_json(j, "array<map<string,string>>")))
+
+
 def record_array(j, element: StructType | str) -> Column:
     """Object-or-array JSON text -> typed ``array<struct>``. At the root of
     the parsed text ``from_json`` wraps a bare object itself."""

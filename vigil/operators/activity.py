@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.functions.jsonx import json_array, json_map, unwrap_single_key
+from vigil.functions.jsonx import json_array, json_map, json_records, unwrap_single_key
 from vigil.functions.text import dequote, first_token
 
 # Source key -> activity code for the renamed types.
@@ -169,8 +169,7 @@ def flatten_activity(members: DataFrame, record: str = "record", keep: tuple[str
     groups = explode_activity_groups(members, record, keep)
     acts = (groups.withColumn("payload", unwrap_single_key("payload"))
                   .select(*[c for c in groups.columns if c != "payload"],
-                          F.posexplode_outer(json_array("payload")).alias("act_pos", "act"))
-                  .withColumn("_m", json_map("act")))
+                          F.posexplode_outer(json_records("payload")).alias("act_pos", "_m")))
     m = F.col("_m")
     code = F.col("act_type")
     spec = _spec_maps()
@@ -195,19 +194,18 @@ def flatten_activity(members: DataFrame, record: str = "record", keep: tuple[str
              .when(F.try_element_at(spec["date"], code).isNotNull(), field_of(spec["date"]))
              .otherwise(F.lit("")))
     required = F.coalesce(F.try_element_at(spec["required"], code), F.array().cast("array<string>"))
-    base = [c for c in acts.columns if c not in ("act", "act_pos", "src_key", "_m")]
+    base = [c for c in acts.columns if c not in ("act_pos", "src_key", "_m")]
     typed = acts.select(
-        *base, "src_key", "act", "act_pos",
+        *base, "src_key", "_m", "act_pos",
         field_of(spec["id"]).alias("act_id"),
         F.coalesce(field_of(spec["subtype"]), F.try_element_at(spec["subtype_const"], code))
          .alias("act_subtype"),
         dar.alias("act_dar"),
         date.alias("act_date"),
         dequote(desc).alias("act_desc"),
-        F.when(m.isNull(), F.array(F.lit("<not an object>")))
-         .otherwise(F.filter(required, lambda k: ~F.map_contains_key(m, k))).alias("_missing"))
+        F.filter(required, lambda k: ~F.map_contains_key(m, k)).alias("_missing"))
     reason = (F.when(code.isNull(), F.concat(F.lit("unknown activity type: "), F.col("src_key")))
-               .when(F.col("act").isNull(), F.lit("empty activity payload"))
+               .when(m.isNull(), F.lit("empty or malformed activity payload"))
                .when(F.size("_missing") > 0,
                      F.concat(F.lit("missing keys: "), F.array_join("_missing", ","))))
     typed = typed.withColumn("error_reason", reason)
@@ -219,5 +217,6 @@ def flatten_activity(members: DataFrame, record: str = "record", keep: tuple[str
                                        F.coalesce(F.col("act_subtype"), F.lit("")),
                                        F.coalesce(F.col("act_dar"), F.lit(""))), 256).alias("act_key")))
     bad = (typed.where(F.col("error_reason").isNotNull())
-           .select(*keep, "mp_id", "mp_name", "src_key", "act_type", "act", "error_reason"))
+           .select(*keep, "mp_id", "mp_name", "src_key", "act_type", F.to_json("_m").alias("act"),
+                   "error_reason"))
     return good, bad

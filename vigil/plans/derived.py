@@ -73,19 +73,26 @@ def member_activity_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                              F.concat(F.lit("'"), F.col("p_name"), F.lit("'")).alias("iniTi")))
     rf = F.col("l_returnflag")
     rec = F.when(rf == "A", par).when(rf == "N", req).otherwise(rin)
-    per_type = (j.groupBy("l_orderkey", "l_returnflag")
-                 .agg(F.collect_list(rec).alias("recs")))
-    payload = obj_or_array(F.col("recs"))
-    entry = (F.when(rf == "A", F.concat(F.lit('"actP":'), _obj(("pt_gov_ar_wsar_objectos_ActividadesOut", payload))))
-              .when(rf == "N", F.concat(F.lit('"req":'), _obj(("pt_gov_ar_wsar_objectos_RequerimentosOut", payload))))
-              .otherwise(F.concat(F.lit('"rel":'), _obj(("relatoresIniciativas", _obj(
-                  ("pt_gov_ar_wsar_objectos_RelatoresIniciativasOut", payload)))))))
-    acts = (per_type.groupBy("l_orderkey")
-            .agg(F.array_sort(F.collect_list(entry)).alias("entries"))
-            .select("l_orderkey", F.concat(F.lit("{"), F.array_join("entries", ","),
-                                           F.lit(',"cms":{"pt_gov_ar_wsar_objectos_CmsOut":{"x":"1"}},"eventos":null}'))
-                    .alias("amap")))
     o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
+    # one grouping per order (the join output is already clustered by order key)
+    per_order = (j.join(o, j.l_orderkey == o.o_orderkey)
+                  .groupBy("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
+                  .agg(F.collect_list(F.struct(rf.alias("rf"), rec.alias("rec"))).alias("recs")))
+
+    def typed(flag: str) -> Column:
+        return F.transform(F.filter("recs", lambda x: x["rf"] == flag), lambda x: x["rec"])
+
+    def entry(flag: str, key: str, wrap) -> Column:
+        items = typed(flag)
+        return F.when(F.size(items) > 0, F.concat(F.lit(f'"{key}":'), wrap(obj_or_array(items))))
+
+    entries = F.array_compact(F.array(
+        entry("A", "actP", lambda p: _obj(("pt_gov_ar_wsar_objectos_ActividadesOut", p))),
+        entry("N", "req", lambda p: _obj(("pt_gov_ar_wsar_objectos_RequerimentosOut", p))),
+        entry("R", "rel", lambda p: _obj(("relatoresIniciativas", _obj(
+            ("pt_gov_ar_wsar_objectos_RelatoresIniciativasOut", p)))))))
+    fixed = F.array(F.lit('"cms":{"pt_gov_ar_wsar_objectos_CmsOut":{"x":"1"}}'), F.lit('"eventos":null'))
+    amap = F.concat(F.lit("{"), F.array_join(F.concat(entries, fixed), ","), F.lit("}"))
     status = F.when(F.col("o_orderstatus") == "F",
                     F.concat(F.lit('[{"sioDes":"Suplente"},{"sioDes":'), jstr(F.col("o_orderstatus")), F.lit("}]"))) \
               .otherwise(_obj(("sioDes", jstr(F.col("o_orderstatus")))))
@@ -96,7 +103,7 @@ def member_activity_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                ("depSituacao", _obj(("pt_ar_wsgode_objectos_DadosSituacaoDeputado", status))))
     rec_json = _obj(("deputado", dep),
                     ("AtividadeDeputadoList", _obj(("pt_gov_ar_wsar_objectos_ActividadeOut", F.col("amap")))))
-    return o.join(acts, o.o_orderkey == acts.l_orderkey).select(rec_json.alias("record"))
+    return per_order.select(amap.alias("amap"), *per_order.columns).select(rec_json.alias("record"))
 
 
 def wrapped_part_records(spark: SparkSession, sf_dir: str) -> DataFrame:
