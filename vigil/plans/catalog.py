@@ -19,6 +19,7 @@ from vigil.functions import jsonx as J
 from vigil.functions import text as T
 from vigil.operators import coauthor, frontier, histogram, layout, manifest, quality
 from vigil.operators.activity import flatten_activity
+from vigil.operators.initiative import flatten_initiatives
 from vigil.operators.lookup import map_with_default
 from vigil.operators.sequence import runs
 from vigil.plans import derived
@@ -49,6 +50,13 @@ def _ini_sql(body: str) -> str:
     return f"WITH ini AS {INI_SQL}\n{body}"
 
 
+_WS_TRIM = "regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+
+
+def _trim_sql(x: str) -> str:
+    return _WS_TRIM.format(x=x)
+
+
 # --------------------------------------------------------------- co-authors
 _COAUTHOR_N_SQL = """
 m AS (SELECT a.mp_name, a.act_id, b.mp_name AS mp_name_co FROM act a JOIN act b
@@ -289,6 +297,39 @@ def q_json_map_flatten(spark, sf):
                        "act_subtype", "act_dar", "act_date", "act_desc")
 
 
+_INI_ORDER = "l_linenumber DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_shipdate DESC"
+
+
+@query("initiative_flatten", f"""
+WITH li AS (SELECT l.*, o.o_orderstatus, o.o_orderpriority, CAST(CAST(l.l_shipdate AS DATE) AS VARCHAR) AS day
+            FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+base AS (SELECT l_orderkey, o_orderstatus, o_orderpriority,
+                string_agg(DISTINCT l_returnflag, ' ' ORDER BY l_returnflag) AS party,
+                string_agg('S' || CAST(l_suppkey AS VARCHAR), ', '
+                           ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate) AS authors,
+                CAST(count(*) AS INTEGER) AS number_authors
+         FROM li GROUP BY l_orderkey, o_orderstatus, o_orderpriority),
+entry AS (SELECT l_orderkey, day AS entry_date FROM (
+            SELECT l_orderkey, day, row_number() OVER (PARTITION BY l_orderkey ORDER BY {_INI_ORDER}) AS rn
+            FROM li WHERE l_linestatus = 'O') WHERE rn = 1),
+pub AS (SELECT l_orderkey,
+               CASE WHEN l_quantity > 25 THEN day || ' ' || day ELSE day END AS publication_date,
+               CASE WHEN l_quantity > 10 THEN CAST(l_partkey AS VARCHAR) || '/' ELSE '' END
+                 || CAST(l_linenumber AS VARCHAR) || '/II-' || l_returnflag || '/XV/1'
+                 || CASE WHEN l_quantity > 25 THEN ' ' || CAST(l_partkey AS VARCHAR) || '/I série/XV/2' ELSE '' END
+                 AS dar_ref
+        FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {_INI_ORDER}) AS rn
+              FROM li WHERE l_linestatus = 'F' AND l_returnflag <> 'N') WHERE rn = 1)
+SELECT CAST(b.l_orderkey AS VARCHAR) || '/' || b.o_orderstatus || '/XV/1' AS id, b.party,
+       replace(replace({_trim_sql("'  ' || b.o_orderpriority || '\\nOrder' || chr(10) || 'text  '")}, '\\n', ' '),
+               chr(10), ' ') AS title,
+       'https://files.example.org/ini/' || CAST(b.l_orderkey AS VARCHAR) AS text_url,
+       e.entry_date, p.publication_date, p.dar_ref, b.authors, b.number_authors
+FROM base b LEFT JOIN entry e ON b.l_orderkey = e.l_orderkey LEFT JOIN pub p ON b.l_orderkey = p.l_orderkey""")
+def q_initiative_flatten(spark, sf):
+    return flatten_initiatives(derived.initiative_records(spark, sf))
+
+
 @query("latest_status", """
 SELECT conv_id, role AS last_role FROM (
   SELECT conv_id, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS rn
@@ -344,13 +385,6 @@ def q_last_matching_event(spark, sf):
 
 
 # ------------------------------------------------------------------- text
-_WS_TRIM = "regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
-
-
-def _trim_sql(x: str) -> str:
-    return _WS_TRIM.format(x=x)
-
-
 @query("slugify", f"""
 SELECT doc_id, lower(replace(replace(replace({_trim_sql("strip_accents(replace(text, 'ß', 'ss'))")},
        '/', ''), '  ', '_'), ' ', '_')) AS slug FROM documents""")

@@ -125,3 +125,61 @@ def optional_key_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(size < 20, F.col("p_name")).alias("actAs"),
         F.when((size >= 10) & (size < 40), F.col("p_brand")).alias("nomeEntidadeExterna")))
     return p.select("p_partkey", rec.alias("record"))
+
+
+def initiative_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(record) per order, shaped like an initiative record.
+
+    Order fields give id parts and a title with padding, a literal backslash-n
+    and a newline; its lineitems (in line order) give the authors, the
+    parties (distinct return flags) and one event each: status O -> entry
+    event; status F -> publication event ('Votação Deliberação' for flag A),
+    with publication data unless the flag is N; one publication (with pages
+    when quantity > 10) or two when quantity > 25.
+    """
+    li = load(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+        "l_returnflag", "l_linestatus", "l_shipdate")
+    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    day = jstr(F.to_date("l_shipdate").cast("string"))
+    s = lambda c: jstr(F.col(c).cast("string"))
+    pub1 = F.concat(
+        F.lit('{"pubdt":'), day, F.lit(',"pubNr":'), s("l_linenumber"),
+        F.lit(',"pubTipo":'), jstr(F.concat(F.lit("DAR II série "), F.col("l_returnflag"))),
+        F.lit(',"pubLeg":"XV","pubSL":"1"'),
+        F.when(F.col("l_quantity") > 10, F.concat(F.lit(',"pag":{"string":'), s("l_partkey"), F.lit("}")))
+         .otherwise(F.lit("")), F.lit("}"))
+    pub2 = F.concat(F.lit('{"pubdt":'), day, F.lit(',"pubNr":'), s("l_partkey"),
+                    F.lit(',"pubTipo":"DAR I série","pubLeg":"XV","pubSL":"2"}'))
+    pubs = F.when(F.col("l_quantity") > 25, F.concat(F.lit("["), pub1, F.lit(","), pub2, F.lit("]"))) \
+            .otherwise(pub1)
+    phase = F.when(F.col("l_linestatus") == "O", F.lit("Entrada")) \
+             .when(F.col("l_returnflag") == "A", F.lit("Votação Deliberação")).otherwise(F.lit("Publicação"))
+    event = F.concat(F.lit('{"fase":'), jstr(phase), F.lit(',"dataFase":'), day,
+                     F.when((F.col("l_linestatus") == "F") & (F.col("l_returnflag") != "N"),
+                            F.concat(F.lit(',"publicacaoFase":{"pt_gov_ar_objectos_PublicacoesOut":'),
+                                     pubs, F.lit("}"))).otherwise(F.lit("")),
+                     F.lit("}"))
+    author = F.concat(F.lit('{"nome":'), jstr(F.concat(F.lit("S"), F.col("l_suppkey").cast("string"))),
+                      F.lit("}"))
+    per_order = (li.join(o, li.l_orderkey == o.o_orderkey)
+                 .groupBy("o_orderkey", "o_orderstatus", "o_orderpriority")
+                 .agg(F.array_sort(F.collect_list(F.struct(
+                          "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate",
+                          "l_returnflag", "l_linestatus", author.alias("author"), event.alias("event"))))
+                      .alias("items"),
+                      F.array_sort(F.collect_set("l_returnflag")).alias("flags")))
+    gp = F.transform("flags", lambda f: F.concat(F.lit('{"GP":'), jstr(f), F.lit("}")))
+    title = F.concat(F.lit("  "), F.col("o_orderpriority"), F.lit("\\nOrder"), F.lit("\n"),
+                     F.lit("text  "))
+    rec = _obj(("iniNr", jstr(F.col("o_orderkey"))), ("iniTipo", jstr(F.col("o_orderstatus"))),
+               ("iniLeg", F.lit('"XV"')), ("iniSel", F.lit('"1"')), ("iniTitulo", jstr(title)),
+               ("iniLinkTexto", jstr(F.concat(F.lit("https://files.example.org/ini/"),
+                                              F.col("o_orderkey").cast("string")))),
+               ("iniAutorGruposParlamentares", _obj(("pt_gov_ar_objectos_AutoresGruposParlamentaresOut",
+                                                     obj_or_array(gp)))),
+               ("iniAutorDeputados", _obj(("pt_gov_ar_objectos_iniciativas_AutoresDeputadosOut",
+                                           obj_or_array(F.transform("items", lambda x: x["author"]))))),
+               ("iniEventos", _obj(("pt_gov_ar_objectos_iniciativas_EventosOut",
+                                    obj_or_array(F.transform("items", lambda x: x["event"]))))))
+    return per_order.select(rec.alias("record"))
