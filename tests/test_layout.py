@@ -45,3 +45,10 @@ def test_party_counts_colors_and_runs(spark):
 def test_unknown_party_gets_null_color(spark):
     df = spark.createDataFrame([("XX",), ("PS",)], "party string")
     assert {r.party: r.color for r in color_seats(df).collect()} == {"XX": None, "PS": "#F74B71"}
+
+
+def test_seat_map_joins_coordinates_by_number(spark):
+    from vigil.operators.layout import seat_map
+    m = {r.seat_nmr: r for r in seat_map(_seats(spark), rings_frame(spark)).collect()}
+    assert len(m) == 230 and m[1].party == "CH" and m[1].color == "#202056"
+    assert m[1].seat_x == 3.674170788271024 and m[230].party == "PS"

@@ -67,3 +67,14 @@ def test_indexed_csv_drops_index(spark, tmp_path):
     p.write_text(",seat_nmr,party\n0,1,CH\n1,2,IL\n")
     df = read_indexed_csv(spark, str(p))
     assert df.columns == ["seat_nmr", "party"] and df.count() == 2
+
+
+def test_latest_run_keeps_or_skips_empty_newest(spark, tmp_path):
+    from vigil.sources.manifest import latest_run_rows
+    runs = tmp_path / "runs2"
+    runs.mkdir()
+    (runs / "2023_11_27_17_04_10.csv").write_text(HEAD7 + "2023-11-27 17:04:23,data/x.json,p,u,,0,\n")
+    (runs / "2023_11_27_17_04_55.csv").write_text(HEAD4)          # newest run, no rows
+    assert latest_run_rows(spark, str(runs)).count() == 0
+    kept = latest_run_rows(spark, str(runs), skip_empty=True).collect()
+    assert len(kept) == 1 and kept[0].file_path == "data/x.json" and kept[0].download_status == 0

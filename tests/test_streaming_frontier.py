@@ -47,3 +47,12 @@ def test_frontier_rounds(spark):
                        "http://s.example.org/d": 2, "http://s.example.org/e": 3}
     f = {r.url for r in frontier(pages, pages.select("url")).collect()}
     assert f == {"http://s.example.org/c", "http://o.example.net/x"}
+
+
+def test_block_links_selects_inside_class(spark):
+    from vigil.sources.pages import block_links
+    html = ('<div class="nav"><a href="/skip">x</a></div>'
+            '<div class="archive-item big"><a title="t" href="/a.aspx">a</a><a href="/f_json.txt">f</a></div>'
+            '<div class="archive-item"><a href="/b.aspx">b</a></div>')
+    df = spark.createDataFrame([(html,)], "html string")
+    assert df.select(block_links("html", "archive-item")).first()[0] == ["/a.aspx", "/f_json.txt", "/b.aspx"]

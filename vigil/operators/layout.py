@@ -75,6 +75,15 @@ def color_seats(seats: DataFrame, party_col: str = "party", colors=PARTY_COLORS,
     return seats.withColumn("color", map_with_default(party_col, colors, default))
 
 
+def seat_map(seats: DataFrame, rings: DataFrame, party_col: str = "party", colors=PARTY_COLORS,
+             default=None) -> DataFrame:
+    """Seat table with colour and coordinates: seats are matched to the ring
+    layout by seat number (an explicit key instead of list position). The
+    layout has a fixed number of seats, so it is broadcast."""
+    tpl = F.broadcast(ring_seats(rings).select("seat_nmr", "seat_x", "seat_y"))
+    return color_seats(seats, party_col, colors, default).join(tpl, "seat_nmr", "left")
+
+
 def assign_seats(members: DataFrame, template: DataFrame, group: list[str],
                  order: list[str]) -> DataFrame:
     """Give each member of a group the next seat of the template, in order.

@@ -26,7 +26,7 @@ from vigil.plans import derived
 from vigil.plans.tables import ACT_SQL, INI_SQL, activity_rows, initiative_rows, load
 from vigil.session import scratch_path
 from vigil.sources import delimited
-from vigil.sources.pages import page_links
+from vigil.sources.pages import page_links, page_title
 
 Q = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Q] = {}
@@ -98,6 +98,30 @@ def q_coauthor_pairs(spark, sf):
     return coauthor.coauthor_pair_counts(activity_rows(spark, sf))
 
 
+_EVENTS_ACT_SQL = """(SELECT user_id AS mp_id, 'U' || CAST(user_id AS VARCHAR) AS mp_name, event_type AS mp_party,
+        CAST(json_extract_string(props, '$.k') AS BIGINT) AS act_id, event_type AS act_type,
+        CASE WHEN value > 25 THEN 'high' ELSE 'low' END AS act_subtype FROM events)"""
+
+
+@query("coauthor_weight_events", f"""WITH act AS {_EVENTS_ACT_SQL}, {_COAUTHOR_N_SQL},
+d AS (SELECT DISTINCT a.mp_id, a.mp_name, a.mp_party, a.act_id, a.act_type, a.act_subtype,
+             1.0::DOUBLE / na.n_coauthors AS act_weight
+      FROM act a JOIN na ON a.mp_name = na.mp_name AND a.act_id = na.act_id)
+SELECT mp_party, mp_name, round(sum(act_weight), 6) AS act_weight
+FROM d WHERE mp_party IS NOT NULL GROUP BY mp_party, mp_name""")
+def q_coauthor_weight_events(spark, sf):
+    """Co-author weights on events: every (type, k) key is shared by many
+    users, the dense-key case where a pairwise self-join grows quadratically."""
+    ev = load(spark, sf, "events")
+    act = ev.select(F.col("user_id").alias("mp_id"),
+                    F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("mp_name"),
+                    F.col("event_type").alias("mp_party"),
+                    J.path("props", "$.k").cast("long").alias("act_id"),
+                    F.col("event_type").alias("act_type"),
+                    F.when(F.col("value") > 25, F.lit("high")).otherwise(F.lit("low")).alias("act_subtype"))
+    return coauthor.coauthor_weights(act)
+
+
 # ------------------------------------------------------------- data quality
 @query("subtype_distinct", _act_sql("""
 SELECT act_type, act_subtype, CAST(count(DISTINCT act_id) AS BIGINT) AS n_act_id FROM act
@@ -542,9 +566,11 @@ def q_file_name_extract(spark, sf):
 def _crumbs_spark():
     host = F.regexp_extract("url", r"^https?://([^/?#]+)", 1)
     lang = F.regexp_extract("url", r"^https?://[^/]+/([a-z]{2})/", 1)
-    return F.array(F.lit(" Início "), F.lit(">"), F.regexp_replace(host, r"\.", " "), F.lit(" > "),
-                   F.concat(F.lit("XV  Legislatura "), F.upper(lang)), F.lit(" > "),
-                   F.concat(F.lit("Número "), F.col("page_id").cast("string")))
+    title = F.array(page_title("html"))
+    crumbs = F.array(F.lit(" Início "), F.lit(">"), F.regexp_replace(host, r"\.", " "), F.lit(" > "),
+                     F.concat(F.lit("XV  Legislatura "), F.upper(lang)), F.lit(" > "),
+                     F.concat(F.lit("Número "), F.col("page_id").cast("string")))
+    return F.concat(title, crumbs)
 
 
 _CLEAN_SQL = ("lower(replace(replace(replace(" + _trim_sql("strip_accents(replace({x}, 'ß', 'ss'))")
@@ -552,9 +578,10 @@ _CLEAN_SQL = ("lower(replace(replace(replace(" + _trim_sql("strip_accents(replac
 
 
 @query("breadcrumb_path", f"""
-WITH a AS (SELECT page_id, [' Início ', '>', regexp_replace(regexp_extract(url, '^https?://([^/?#]+)', 1), '\\.', ' ', 'g'),
+WITH a AS (SELECT page_id, list_concat([regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)],
+                  [' Início ', '>', regexp_replace(regexp_extract(url, '^https?://([^/?#]+)', 1), '\\.', ' ', 'g'),
                   ' > ', 'XV  Legislatura ' || upper(regexp_extract(url, '^https?://[^/]+/([a-z]{{2}})/', 1)),
-                  ' > ', 'Número ' || CAST(page_id AS VARCHAR)] AS arr FROM pages),
+                  ' > ', 'Número ' || CAST(page_id AS VARCHAR)]) AS arr FROM pages),
 c AS (SELECT page_id, list_transform(list_filter(arr, lambda x: {_trim_sql("replace(x, '>', '')")} <> ''),
                                      lambda x: {_CLEAN_SQL.format(x="x")}) AS c FROM a),
 r AS (SELECT page_id, CASE WHEN list_position(c, 'inicio') IS NULL THEN c
@@ -563,7 +590,7 @@ r AS (SELECT page_id, CASE WHEN list_position(c, 'inicio') IS NULL THEN c
 d AS (SELECT page_id, CASE WHEN starts_with(r[-1], 'numero') THEN r[1:len(r) - 1] ELSE r END AS d FROM r)
 SELECT page_id, array_to_string(d, '/') AS dir_path FROM d""")
 def q_breadcrumb_path(spark, sf):
-    p = load(spark, sf, "pages").select("page_id", _crumbs_spark().alias("crumbs"))
+    p = load(spark, sf, "pages").select("page_id", _crumbs_spark().alias("crumbs"))  # title + trail
     return p.select("page_id", A.path_join(A.breadcrumb_dirs("crumbs")).alias("dir_path"))
 
 

@@ -53,3 +53,23 @@ def write_manifest(df: DataFrame, path: str, run: str, mode: str = "append") ->
     a run never overwrites the partition it was read from."""
     (widen(df).withColumn("run_id", F.lit(run))
      .write.mode(mode).partitionBy("run_id").option("header", True).csv(path))
+
+
+def list_runs(spark: SparkSession, path: str) -> DataFrame:
+    """(run_file, length) of every run file, header-only runs included; only
+    file metadata is read (the content column is never selected)."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)
+            .select(F.regexp_extract("path", r"([^/]+)$", 1).alias("run_file"), "length"))
+
+
+def latest_run_rows(spark: SparkSession, path: str, skip_empty: bool = False) -> DataFrame:
+    """Rows of the newest run (greatest file name). By default the newest run
+    is taken even when it holds no rows (then nothing is returned); with
+    ``skip_empty`` the newest run that has rows is used."""
+    rows = read_manifests(spark, path)
+    if skip_empty:
+        top = rows.agg(F.max("run_file").alias("_top"))
+    else:
+        top = list_runs(spark, path).agg(F.max("run_file").alias("_top"))
+    # ``top`` is a one-row aggregate, so the broadcast is bounded by construction
+    return rows.join(F.broadcast(top), rows["run_file"] == F.col("_top")).drop("_top")

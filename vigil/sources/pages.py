@@ -22,6 +22,18 @@ def page_links(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("p
                         .alias("link_pos", "href"))
 
 
+def block_links(html: str | Column, css_class: str, tag: str = "div") -> Column:
+    """hrefs of the anchors inside ``<tag class="... css_class ...">`` blocks
+    (the ``tag.class a::attr(href)`` selection), in document order. Blocks are
+    matched up to their first closing tag, so a block must not nest another
+    block of the same tag before its links."""
+    import re
+    c = F.col(html) if isinstance(html, str) else html
+    block = (rf'(?is)<{tag}\b[^>]*class="[^"]*\b{re.escape(css_class)}\b[^"]*"[^>]*>(.*?)</{tag}>')
+    inner = F.array_join(F.regexp_extract_all(c, F.lit(block), 1), "\n")
+    return F.regexp_extract_all(inner, F.lit(HREF_RE), 1)
+
+
 def page_title(html: str | Column = "html") -> Column:
     c = F.col(html) if isinstance(html, str) else html
     return F.regexp_extract(c, TITLE_RE, 1)
