@@ -12,64 +12,76 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.arrays import last_matching
-from vigil.functions.jsonx import is_array, is_object, json_array, path
+from vigil.functions.jsonx import is_array, json_records
 from vigil.functions.text import dar_category, format_id, strip, title_clean
 
 INITIATIVE_ROOT = ("ArrayOfPt_gov_ar_objectos_iniciativas_DetalhePesquisaIniciativasOut"
                    ".pt_gov_ar_objectos_iniciativas_DetalhePesquisaIniciativasOut")
-# Wrapper paths and phase names.
-PARTIES_PATH = "$.iniAutorGruposParlamentares.pt_gov_ar_objectos_AutoresGruposParlamentaresOut"
-AUTHORS_PATH = "$.iniAutorDeputados.pt_gov_ar_objectos_iniciativas_AutoresDeputadosOut"
-EVENTS_PATH = "$.iniEventos.pt_gov_ar_objectos_iniciativas_EventosOut"
-PUBLICATION_PATH = "$.publicacaoFase.pt_gov_ar_objectos_PublicacoesOut"
+# Phase names.
 ENTRY_PHASE = "Entrada"
 PUBLICATION_PHASES = ["Publicação", "Votação Deliberação"]
 
 
-def _g(x: Column, key: str) -> Column:
-    return F.get_json_object(x, "$." + key)
-
-
 def _fmt(x: Column, null_text: str = "None") -> Column:
     return F.coalesce(x, F.lit(null_text))
 
 
-def party_text(record: str = "record") -> Column:
-    """Parties: several joined by a space; a single one as is; NULL if absent."""
-    raw = path(record, PARTIES_PATH)
-    arr = json_array(raw)
-    return (F.when(is_array(raw), strip(F.array_join(F.transform(arr, lambda x: _fmt(_g(x, "GP"))), " ")))
-             .when(is_object(raw), _g(raw, "GP")))
+# The initiative fields read (polymorphic parts kept as text).
+INITIATIVE_SCHEMA = (
+    "struct<iniNr: string, iniTipo: string, iniLeg: string, iniSel: string, iniTitulo: string, "
+    "iniLinkTexto: string, "
+    "iniAutorGruposParlamentares: struct<pt_gov_ar_objectos_AutoresGruposParlamentaresOut: string>, "
+    "iniAutorDeputados: struct<pt_gov_ar_objectos_iniciativas_AutoresDeputadosOut: string>, "
+    "iniEventos: struct<pt_gov_ar_objectos_iniciativas_EventosOut: string>>")
+
+
+def _k(m: Column, key: str) -> Column:
+    return F.element_at(m, F.lit(key))
 
 
 def _pub_ref(p: Column) -> Column:
-    pages = F.when(F.get_json_object(p, "$.pag").isNotNull(),
-                   F.concat(_fmt(_g(p, "pag.string")), F.lit("/"))).otherwise(F.lit(""))
-    return F.concat(pages, _fmt(_g(p, "pubNr")), F.lit("/"), _fmt(dar_category(_g(p, "pubTipo"))),
-                    F.lit("/"), _fmt(_g(p, "pubLeg")), F.lit("/"), _fmt(_g(p, "pubSL")))
+    pag = _k(p, "pag")
+    pages = F.when(pag.isNotNull(), F.concat(_fmt(F.get_json_object(pag, "$.string")), F.lit("/"))) \
+             .otherwise(F.lit(""))
+    return F.concat(pages, _fmt(_k(p, "pubNr")), F.lit("/"), _fmt(dar_category(_k(p, "pubTipo"))),
+                    F.lit("/"), _fmt(_k(p, "pubLeg")), F.lit("/"), _fmt(_k(p, "pubSL")))
 
 
 def flatten_initiatives(records: DataFrame, record: str = "record",
                         keep: tuple[str, ...] = ()) -> DataFrame:
-    r = F.col(record)
-    events = json_array(path(record, EVENTS_PATH))
-    entry = last_matching(events, lambda e: _g(e, "fase") == ENTRY_PHASE)
-    pub_event = last_matching(events, lambda e: _g(e, "fase").isin(PUBLICATION_PHASES)
-                              & F.get_json_object(e, "$.publicacaoFase").isNotNull())
-    pubs = json_array(F.get_json_object(pub_event, PUBLICATION_PATH))
-    authors = F.coalesce(json_array(path(record, AUTHORS_PATH)), F.array().cast("array<string>"))
-    names = F.transform(authors, lambda a: _g(a, "nome"))
-    return records.select(
+    """Initiative records -> one row each. The record is parsed once into a
+    struct; the object-or-array parts (parties, authors, events, publications)
+    are parsed once each into ``array<map<string,string>>``; each stage is
+    its own projection so no parse is repeated."""
+    r = records.select(*keep, F.from_json(record, INITIATIVE_SCHEMA).alias("_r"))
+    parties_raw = F.col("_r")["iniAutorGruposParlamentares"]["pt_gov_ar_objectos_AutoresGruposParlamentaresOut"]
+    r = r.select(*keep, "_r",
+                 json_records(F.col("_r")["iniEventos"]["pt_gov_ar_objectos_iniciativas_EventosOut"]).alias("_ev"),
+                 json_records(parties_raw).alias("_gp"), is_array(parties_raw).alias("_gp_list"),
+                 json_records(F.col("_r")["iniAutorDeputados"]["pt_gov_ar_objectos_iniciativas_AutoresDeputadosOut"])
+                 .alias("_au"))
+    entry = last_matching("_ev", lambda e: _k(e, "fase") == ENTRY_PHASE)
+    pub_event = last_matching("_ev", lambda e: _k(e, "fase").isin(PUBLICATION_PHASES)
+                              & _k(e, "publicacaoFase").isNotNull())
+    r = r.select(*keep, "_r", "_gp", "_gp_list", "_au", _k(entry, "dataFase").alias("entry_date"),
+                 pub_event.isNotNull().alias("_has_pub"),
+                 json_records(F.get_json_object(_k(pub_event, "publicacaoFase"),
+                                                "$.pt_gov_ar_objectos_PublicacoesOut")).alias("_pubs"))
+    x = F.col("_r")
+    authors = F.coalesce(F.col("_au"), F.array().cast("array<map<string,string>>"))
+    party = (F.when(F.col("_gp_list"),
+                    strip(F.array_join(F.transform("_gp", lambda g: _fmt(_k(g, "GP"))), " ")))
+              .otherwise(_k(F.try_element_at("_gp", F.lit(1)), "GP")))
+    return r.select(
         *keep,
-        format_id(_g(r, "iniNr"), _g(r, "iniTipo"), _g(r, "iniLeg"), _g(r, "iniSel")).alias("id"),
-        party_text(record).alias("party"),
-        title_clean(_g(r, "iniTitulo")).alias("title"),
-        _g(r, "iniLinkTexto").alias("text_url"),
-        _g(entry, "dataFase").alias("entry_date"),
-        F.when(pub_event.isNotNull(),
-               strip(F.array_join(F.transform(pubs, lambda p: _fmt(_g(p, "pubdt"))), " ")))
+        format_id(x["iniNr"], x["iniTipo"], x["iniLeg"], x["iniSel"]).alias("id"),
+        party.alias("party"),
+        title_clean(x["iniTitulo"]).alias("title"),
+        x["iniLinkTexto"].alias("text_url"),
+        "entry_date",
+        F.when(F.col("_has_pub"),
+               strip(F.array_join(F.transform("_pubs", lambda p: _fmt(_k(p, "pubdt"))), " ")))
          .alias("publication_date"),
-        F.when(pub_event.isNotNull(),
-               strip(F.array_join(F.transform(pubs, _pub_ref), " "))).alias("dar_ref"),
-        F.array_join(names, ", ").alias("authors"),
+        F.when(F.col("_has_pub"), strip(F.array_join(F.transform("_pubs", _pub_ref), " "))).alias("dar_ref"),
+        F.array_join(F.transform(authors, lambda a: _k(a, "nome")), ", ").alias("authors"),
         F.size(authors).cast("int").alias("number_authors"))

@@ -21,6 +21,11 @@ def jstr(c: Column) -> Column:
                       F.lit("null"))
 
 
+def qstr(c: Column) -> Column:
+    """JSON string of a value that needs no escaping (digits, dates, flags)."""
+    return F.concat(F.lit('"'), c.cast("string"), F.lit('"'))
+
+
 def obj_or_array(items: Column) -> Column:
     """Array of JSON texts -> bare object when it has one element, else array."""
     return F.when(F.size(items) == 1, items.getItem(0)) \
@@ -141,11 +146,11 @@ def initiative_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_returnflag", "l_linestatus", "l_shipdate")
     o = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
-    day = jstr(F.to_date("l_shipdate").cast("string"))
-    s = lambda c: jstr(F.col(c).cast("string"))
+    day = qstr(F.to_date("l_shipdate"))
+    s = lambda c: qstr(F.col(c))
     pub1 = F.concat(
         F.lit('{"pubdt":'), day, F.lit(',"pubNr":'), s("l_linenumber"),
-        F.lit(',"pubTipo":'), jstr(F.concat(F.lit("DAR II série "), F.col("l_returnflag"))),
+        F.lit(',"pubTipo":'), qstr(F.concat(F.lit("DAR II série "), F.col("l_returnflag"))),
         F.lit(',"pubLeg":"XV","pubSL":"1"'),
         F.when(F.col("l_quantity") > 10, F.concat(F.lit(',"pag":{"string":'), s("l_partkey"), F.lit("}")))
          .otherwise(F.lit("")), F.lit("}"))
@@ -155,12 +160,12 @@ def initiative_records(spark: SparkSession, sf_dir: str) -> DataFrame:
             .otherwise(pub1)
     phase = F.when(F.col("l_linestatus") == "O", F.lit("Entrada")) \
              .when(F.col("l_returnflag") == "A", F.lit("Votação Deliberação")).otherwise(F.lit("Publicação"))
-    event = F.concat(F.lit('{"fase":'), jstr(phase), F.lit(',"dataFase":'), day,
+    event = F.concat(F.lit('{"fase":'), qstr(phase), F.lit(',"dataFase":'), day,
                      F.when((F.col("l_linestatus") == "F") & (F.col("l_returnflag") != "N"),
                             F.concat(F.lit(',"publicacaoFase":{"pt_gov_ar_objectos_PublicacoesOut":'),
                                      pubs, F.lit("}"))).otherwise(F.lit("")),
                      F.lit("}"))
-    author = F.concat(F.lit('{"nome":'), jstr(F.concat(F.lit("S"), F.col("l_suppkey").cast("string"))),
+    author = F.concat(F.lit('{"nome":'), qstr(F.concat(F.lit("S"), F.col("l_suppkey").cast("string"))),
                       F.lit("}"))
     per_order = (li.join(o, li.l_orderkey == o.o_orderkey)
                  .groupBy("o_orderkey", "o_orderstatus", "o_orderpriority")
@@ -169,12 +174,12 @@ def initiative_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                           "l_returnflag", "l_linestatus", author.alias("author"), event.alias("event"))))
                       .alias("items"),
                       F.array_sort(F.collect_set("l_returnflag")).alias("flags")))
-    gp = F.transform("flags", lambda f: F.concat(F.lit('{"GP":'), jstr(f), F.lit("}")))
+    gp = F.transform("flags", lambda f: F.concat(F.lit('{"GP":'), qstr(f), F.lit("}")))
     title = F.concat(F.lit("  "), F.col("o_orderpriority"), F.lit("\\nOrder"), F.lit("\n"),
                      F.lit("text  "))
-    rec = _obj(("iniNr", jstr(F.col("o_orderkey"))), ("iniTipo", jstr(F.col("o_orderstatus"))),
+    rec = _obj(("iniNr", qstr(F.col("o_orderkey"))), ("iniTipo", qstr(F.col("o_orderstatus"))),
                ("iniLeg", F.lit('"XV"')), ("iniSel", F.lit('"1"')), ("iniTitulo", jstr(title)),
-               ("iniLinkTexto", jstr(F.concat(F.lit("https://files.example.org/ini/"),
+               ("iniLinkTexto", qstr(F.concat(F.lit("https://files.example.org/ini/"),
                                               F.col("o_orderkey").cast("string")))),
                ("iniAutorGruposParlamentares", _obj(("pt_gov_ar_objectos_AutoresGruposParlamentaresOut",
                                                      obj_or_array(gp)))),
