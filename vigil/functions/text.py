@@ -7,10 +7,11 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Python's str.strip() whitespace: Unicode White_Space plus the separators
-# U+001C..U+001F. Java's (?U)\s covers the former.
-_WS = r"[\s\x{1c}-\x{1f}]"
-_STRIP_RE = rf"(?U)^{_WS}+|{_WS}+\z"
+import re as _re
+
+# The characters Python's str.strip()/split() treat as whitespace, by rule.
+WHITESPACE = "".join(ch for ch in map(chr, range(0x110000)) if ch.isspace())
+_WS_CLASS = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE) + "]"
 
 
 def _c(col) -> Column:
@@ -19,8 +20,8 @@ def _c(col) -> Column:
 
 def strip(col) -> Column:
     """Remove leading/trailing whitespace the way Python's ``strip()`` does
-    (``trim`` only removes spaces)."""
-    return F.regexp_replace(_c(col), _STRIP_RE, "")
+    (``trim`` only removes spaces); ``btrim`` only looks at the two ends."""
+    return F.btrim(_c(col), F.lit(WHITESPACE))
 
 
 # Transliterations that Unicode decomposition does not give.
@@ -97,7 +98,7 @@ def dar_category(col) -> Column:
 def first_token(col) -> Column:
     """First whitespace-separated token (``s.split()[0]``); NULL when blank."""
     s = strip(col)
-    return F.when(F.length(s) > 0, F.split(s, r"(?U)\s+").getItem(0))
+    return F.when(F.length(s) > 0, F.split(s, _WS_CLASS + "+").getItem(0))
 
 
 def format_id(*cols, sep: str = "/", null_text: str | None = "None") -> Column:
