@@ -52,3 +52,13 @@ def test_seat_map_joins_coordinates_by_number(spark):
     m = {r.seat_nmr: r for r in seat_map(_seats(spark), rings_frame(spark)).collect()}
     assert len(m) == 230 and m[1].party == "CH" and m[1].color == "#202056"
     assert m[1].seat_x == 3.674170788271024 and m[230].party == "PS"
+
+
+def test_lookup_join_with_checked_broadcast(spark):
+    from vigil.operators.lookup import checked_broadcast, lookup_join
+    df = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
+    table = spark.createDataFrame([("a", "A")], "k string, v string")
+    got = {r.k: r.out for r in lookup_join(df, table, "k", "v", "out", default="?").collect()}
+    assert got == {"a": "A", "b": "?", None: "?"}
+    big = spark.range(50)
+    assert "Broadcast" not in checked_broadcast(big, max_rows=10)._jdf.queryExecution().logical().toString()

@@ -29,7 +29,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_SEP = "\n"  # never appears inside a to_json token (it is escaped there)
+_SEP = "|"  # tokens are length-prefixed, so joining them stays unambiguous
+
+
+def key_token(*cols) -> "F.Column":
+    """Injective, null-safe string token of key values: each part is written
+    as ``<length>:<text>`` and NULL as ``~``, so no two key tuples collide."""
+    parts = []
+    for c in cols:
+        t = c.cast("string")
+        parts.append(F.when(t.isNull(), F.lit("~"))
+                     .otherwise(F.concat(F.length(t).cast("string"), F.lit(":"), t)))
+    return F.concat(*parts)
 
 
 def member_act_groups(df: DataFrame, member: str = "mp_name", act_id: str = "act_id",
@@ -48,7 +59,7 @@ def member_act_groups(df: DataFrame, member: str = "mp_name", act_id: str = "act
 
 def _counts_from_groups(groups: DataFrame, member: str, act_id: str,
                         key_cols: tuple[str, ...], out: str) -> DataFrame:
-    token = lambda c: F.to_json(F.struct(*[c[k].alias(f"k{i}") for i, k in enumerate(key_cols)]))
+    token = lambda c: key_token(*[c[k] for k in key_cols])
     keys = F.array_sort(F.array_distinct(F.transform("_combos", token)))
     subsets = (groups.select(member, act_id, keys.alias("_keys"))
                .withColumn("_mask", F.explode(F.expr("sequence(1, shiftleft(1, size(_keys)) - 1)")))

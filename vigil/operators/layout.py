@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, StructField,
                                StructType)
@@ -45,17 +45,24 @@ RING_SCHEMA = StructType([
     StructField("distance", DoubleType(), False),
     StructField("corridors", ArrayType(IntegerType()), False),
     StructField("angle_offset", DoubleType(), False),
+    StructField("seat_offset", IntegerType(), False),
 ])
 
 
 def rings_frame(spark: SparkSession, rings=RINGS, angle_offset: float = ANGLE_OFFSET) -> DataFrame:
-    return spark.createDataFrame([(r, n, d, c, angle_offset) for r, n, d, c in rings], RING_SCHEMA)
+    """Ring configuration with ``seat_offset`` = seats in the rings before it
+    (the configuration is a handful of rows, so offsets are computed here
+    rather than by a window over the whole table)."""
+    rows, before = [], 0
+    for r, n, d, c in sorted(rings):
+        rows.append((r, n, d, list(c), angle_offset, before))
+        before += n
+    return spark.createDataFrame(rows, RING_SCHEMA)
 
 
 def ring_seats(rings: DataFrame) -> DataFrame:
     """(ring, position, seat_nmr, seat_x, seat_y) for every seat of every ring."""
-    w = Window.orderBy("ring").rowsBetween(Window.unboundedPreceding, -1)
-    r = rings.withColumn("_before", F.coalesce(F.sum("n_seats").over(w), F.lit(0)))
+    r = rings.withColumn("_before", F.col("seat_offset"))
     slots = F.col("n_seats") + F.size("corridors")
     pos = (r.withColumn("position", F.explode(F.sequence(F.lit(1), slots)))
              .where(~F.array_contains("corridors", F.col("position"))))
