@@ -84,6 +84,17 @@ def unwrap_single_key(j, max_depth: int = 4) -> Column:
     return c
 
 
+def unwrap_columns(df, col: str, max_depth: int = 4):
+    """DataFrame form of ``unwrap_single_key``: one projection per level, so
+    each level's parse is evaluated once in generated code (no lambdas)."""
+    for i in range(max_depth):
+        m = f"_unwrap{i}"
+        df = df.withColumn(m, json_map(col))
+        df = df.withColumn(col, F.when(F.size(m) == 1, F.map_values(m).getItem(0))
+                           .otherwise(F.col(col))).drop(m)
+    return df
+
+
 def first_existing(m, keys: list[str], default: str = "") -> Column:
     """First present, non-null key of a ``map<string,string>`` record, else
     ``default``."""

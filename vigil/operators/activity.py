@@ -90,6 +90,8 @@ def _required(spec: dict) -> list[str]:
     return req
 
 
+MAX_DAR_FIELDS = max(len(v["dar"]) for v in FIELD_MAP.values())
+MAX_DESC_FIELDS = max(len(v["desc"][1]) if isinstance(v["desc"], tuple) else 1 for v in FIELD_MAP.values())
 FIRST_OF_CODES = [k for k, v in FIELD_MAP.items() if isinstance(v["desc"], tuple)]
 TOKEN_DATE_CODES = [k for k, v in FIELD_MAP.items() if isinstance(v["date"], tuple)]
 
@@ -167,9 +169,9 @@ def flatten_activity(members: DataFrame, record: str = "record", keep: tuple[str
     ``null_text`` is what a NULL part of ``act_dar`` is written as ('None',
     as string formatting produced; None gives NULL ids instead)."""
     groups = explode_activity_groups(members, record, keep)
-    acts = (groups.withColumn("payload", unwrap_single_key("payload"))
-                  .select(*[c for c in groups.columns if c != "payload"],
-                          F.posexplode_outer(json_records("payload")).alias("act_pos", "_m")))
+    groups = groups.withColumn("payload", unwrap_single_key("payload"))
+    acts = groups.select(*[c for c in groups.columns if c != "payload"],
+                         F.posexplode_outer(json_records("payload")).alias("act_pos", "_m"))
     m = F.col("_m")
     code = F.col("act_type")
     spec = _spec_maps()
@@ -178,17 +180,23 @@ def flatten_activity(members: DataFrame, record: str = "record", keep: tuple[str
         # value of the field this code reads; NULL when the code has none
         return F.try_element_at(m, F.try_element_at(table, code))
 
-    def values(table: Column) -> Column:
-        return F.transform(F.coalesce(F.try_element_at(table, code), F.array().cast("array<string>")),
-                           lambda f: F.try_element_at(m, f))
+    def nth_value(table: Column, i: int) -> tuple[Column, Column]:
+        # (this code has an i-th field, value of that field); fixed positions
+        # keep the expressions in generated code (no lambda evaluation)
+        fields = F.try_element_at(table, code)
+        return (F.coalesce(F.size(fields), F.lit(0)) >= i,
+                F.try_element_at(m, F.try_element_at(fields, F.lit(i))))
 
-    dar_vals = values(spec["dar"])
+    dar_parts = [nth_value(spec["dar"], i) for i in range(1, MAX_DAR_FIELDS + 1)]
     if null_text is None:
-        dar = F.when(F.exists(dar_vals, lambda v: v.isNull()), F.lit(None).cast("string")) \
-               .otherwise(F.array_join(dar_vals, "/"))
+        any_null = F.lit(False)
+        for has, v in dar_parts:
+            any_null = any_null | (has & v.isNull())
+        dar = F.when(any_null, F.lit(None).cast("string")).otherwise(
+            F.concat_ws("/", *[F.when(has, v) for has, v in dar_parts]))
     else:
-        dar = F.array_join(F.transform(dar_vals, lambda v: F.coalesce(v, F.lit(null_text))), "/")
-    first_desc = F.try_element_at(F.filter(values(spec["desc"]), lambda v: v.isNotNull()), F.lit(1))
+        dar = F.concat_ws("/", *[F.when(has, F.coalesce(v, F.lit(null_text))) for has, v in dar_parts])
+    first_desc = F.coalesce(*[nth_value(spec["desc"], i)[1] for i in range(1, MAX_DESC_FIELDS + 1)])
     desc = F.when(code.isin(FIRST_OF_CODES), F.coalesce(first_desc, F.lit(""))).otherwise(first_desc)
     date = (F.when(code.isin(TOKEN_DATE_CODES), first_token(field_of(spec["date"])))
              .when(F.try_element_at(spec["date"], code).isNotNull(), field_of(spec["date"]))
@@ -203,7 +211,8 @@ def flatten_activity(members: DataFrame, record: str = "record", keep: tuple[str
         dar.alias("act_dar"),
         date.alias("act_date"),
         dequote(desc).alias("act_desc"),
-        F.filter(required, lambda k: ~F.map_contains_key(m, k)).alias("_missing"))
+        F.array_except(required, F.coalesce(F.map_keys(m), F.array().cast("array<string>")))
+         .alias("_missing"))
     reason = (F.when(code.isNull(), F.concat(F.lit("unknown activity type: "), F.col("src_key")))
                .when(m.isNull(), F.lit("empty or malformed activity payload"))
                .when(F.size("_missing") > 0,
