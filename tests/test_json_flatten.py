@@ -176,3 +176,37 @@ def test_initiative_flatten(spark, tmp_path):
     assert r2.publication_date is None and r2.dar_ref is None
     assert r3.party is None and r3.authors == "" and r3.number_authors == 0
     assert r3.entry_date is None and r3.dar_ref == "3/10/II-A/XV/1"
+
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+_TYPES = {"actP": ("par", {"actId": "1", "actTpdesc": "s", "actNr": "1", "actSelLg": "L",
+                           "actDtent": "2023-01-01", "actAs": "d"}),
+          "req": ("req", {"reqId": "2", "reqPerTp": "s", "reqNr": "1", "reqLg": "L", "reqSl": "1",
+                          "reqDt": "2023-01-01 00:00:00", "reqAs": "d"}),
+          "eventos": ("eve", {"actId": "3", "tevTp": "s", "cmsAb": "c", "actLg": "L",
+                              "actDtent": "2023-01-01", "actAs": "d"})}
+
+
+@settings(max_examples=3, deadline=None)
+@given(st.lists(st.dictionaries(st.sampled_from(sorted(_TYPES) + ["cms"]),
+                                st.tuples(st.integers(0, 4), st.booleans()), max_size=4),
+                min_size=1, max_size=6))
+def test_flattened_rows_equal_sum_of_sizes(spark, members):
+    """Property: rows out = Σ over non-skipped, non-empty types of the number
+    of records, a bare object counting as one (0 records = JSON null)."""
+    docs, expected = [], 0
+    for i, types in enumerate(members):
+        acts = {}
+        for key, (n, wrap2) in types.items():
+            rec = _TYPES.get(key, ("x", {"a": "1", "b": "2"}))[1]
+            payload = None if n == 0 else (rec if n == 1 else [rec] * n)
+            w = _w(payload)
+            acts[key] = (None if payload is None else (_w(w, "outer") if wrap2 else w))
+            if key != "cms":
+                expected += n
+        docs.append(_member(str(i), f"M{i}", "P", {"sioDes": "x"}, acts))
+    df = spark.createDataFrame([(json.dumps(d),) for d in docs], "record string")
+    good, bad = flatten_activity(df)
+    assert good.count() == expected and bad.count() == 0

@@ -93,3 +93,9 @@ def test_md5_matches_hashlib(spark):
     import hashlib
     vals = ["", "abc", "Início ß"]
     assert _run(spark, T.md5_hex, vals) == [hashlib.md5(v.encode()).hexdigest() for v in vals]
+
+
+def test_full_unicode_fold_udf(spark):
+    vals = ["Início ß", "Ελλάδα x", "ﬁne", None]
+    got = _run(spark, T.fold_to_ascii_any, vals)
+    assert got == ["Inicio ss", " x", "fine", None]

@@ -157,3 +157,34 @@ def decode_entities(col) -> Column:
 def md5_hex(col) -> Column:
     """MD5 hex digest of the UTF-8 bytes (or of a binary column)."""
     return F.md5(_c(col).cast("binary"))
+
+
+def _fold_series(s):
+    """Per-value helper of the vectorised fold: decomposition-based ASCII
+    folding for every script (characters without an ASCII base are dropped,
+    the fixed multi-letter values above are expanded)."""
+    import pandas as pd
+
+    def one(v):
+        if v is None:
+            return None
+        out = []
+        for ch in v:
+            if ch in MULTI_CHAR_ASCII:
+                out.append(MULTI_CHAR_ASCII[ch])
+            elif ord(ch) < 128:
+                out.append(ch)
+            else:
+                base = "".join(c for c in unicodedata.normalize("NFKD", ch)
+                               if not unicodedata.combining(c) and ord(c) < 128)
+                out.append(base)
+        return "".join(out)
+    return pd.Series([one(v) for v in s], dtype=object)
+
+
+def fold_to_ascii_any(col) -> Column:
+    """Full-Unicode variant of ``fold_to_ascii`` as an Arrow-batched pandas
+    UDF (the slow path; the native ``fold_to_ascii`` covers Latin letters)."""
+    from pyspark.sql.functions import pandas_udf
+    udf = pandas_udf(_fold_series, "string")
+    return udf(_c(col))
