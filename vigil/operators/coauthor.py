@@ -29,6 +29,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vigil.session import ensure_checkpoint_dir
+
 _SEP = "|"  # tokens are length-prefixed, so joining them stays unambiguous
 
 
@@ -57,32 +59,81 @@ def member_act_groups(df: DataFrame, member: str = "mp_name", act_id: str = "act
               .agg(F.collect_set(F.struct(*carry, *key_cols)).alias("_combos")))
 
 
+MAX_SUBSET_KEYS = 10
+
+
+def _materialize(df: DataFrame) -> DataFrame:
+    """Checkpoint to the shared checkpoint folder: the per-(member, id)
+    aggregate is read several times (width check, subsets, weights) and its
+    lineage is cut there."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def _subsets(narrow: DataFrame, member: str, act_id: str) -> DataFrame:
+    return (narrow
+            .withColumn("_mask", F.explode(F.expr("sequence(1, shiftleft(1, size(_keys)) - 1)")))
+            .select(member, act_id,
+                    F.expr("filter(_keys, (x, i) -> shiftright(_mask, i) & 1 = 1)").alias("_subarr"),
+                    F.when(F.bit_count("_mask") % 2 == 1, F.lit(1)).otherwise(F.lit(-1)).alias("_sign"))
+            .withColumn("_sub", F.array_join("_subarr", _SEP)))
+
+
 def _counts_from_groups(groups: DataFrame, member: str, act_id: str,
-                        key_cols: tuple[str, ...], out: str) -> DataFrame:
+                        key_cols: tuple[str, ...], out: str,
+                        max_subset_keys: int = MAX_SUBSET_KEYS) -> DataFrame:
+    """Co-author counts from per-(member, id) key sets.
+
+    Narrow members (at most ``max_subset_keys`` keys) use inclusion–exclusion
+    over the subsets of their key set. Wide members, whose subset count would
+    explode, are handled exactly by two joins on the activity id: they add
+    their count to every subset a narrow member enumerates that their key set
+    contains, and their own count is the number of members whose key set
+    overlaps theirs, taken from the distinct key sets of the id (one row per
+    distinct set, not per member). A one-row aggregate finds the widest key
+    set first, so these joins are only planned when a wide member exists.
+    """
     token = lambda c: key_token(*[c[k] for k in key_cols])
     keys = F.array_sort(F.array_distinct(F.transform("_combos", token)))
-    subsets = (groups.select(member, act_id, keys.alias("_keys"))
-               .withColumn("_mask", F.explode(F.expr("sequence(1, shiftleft(1, size(_keys)) - 1)")))
-               .select(member, act_id,
-                       F.array_join(F.expr("filter(_keys, (x, i) -> shiftright(_mask, i) & 1 = 1)"),
-                                    _SEP).alias("_sub"),
-                       F.when(F.bit_count("_mask") % 2 == 1, F.lit(1)).otherwise(F.lit(-1))
-                        .alias("_sign")))
-    cover = subsets.groupBy(act_id, "_sub").agg(F.count(F.lit(1)).alias("_cover"))
-    return (subsets.join(cover, [act_id, "_sub"])
-            .groupBy(member, act_id)
-            .agg(F.sum(F.col("_sign") * F.col("_cover")).cast("long").alias(out)))
+    g = groups.select(member, act_id, keys.alias("_keys"))
+    widest = g.agg(F.max(F.size("_keys"))).first()[0] or 0
+    if widest <= max_subset_keys:
+        subsets = _subsets(g, member, act_id)
+        cover = subsets.groupBy(act_id, "_sub").agg(F.count(F.lit(1)).alias("_cover"))
+        return (subsets.join(cover, [act_id, "_sub"])
+                .groupBy(member, act_id)
+                .agg(F.sum(F.col("_sign") * F.col("_cover")).cast("long").alias(out)))
+    narrow = g.where(F.size("_keys") <= max_subset_keys)
+    wide = g.where(F.size("_keys") > max_subset_keys)
+    subsets = _subsets(narrow, member, act_id)
+    cover_narrow = subsets.groupBy(act_id, "_sub").agg(F.count(F.lit(1)).alias("_cover"))
+    needed = subsets.select(act_id, "_sub", "_subarr").dropDuplicates([act_id, "_sub"])
+    cover_wide = (needed.join(wide.select(act_id, F.col("_keys").alias("_wkeys")), act_id)
+                  .where(F.size(F.array_except("_subarr", "_wkeys")) == 0)
+                  .groupBy(act_id, "_sub").agg(F.count(F.lit(1)).alias("_cover")))
+    cover = (cover_narrow.unionByName(cover_wide)
+             .groupBy(act_id, "_sub").agg(F.sum("_cover").alias("_cover")))
+    n_narrow = (subsets.join(cover, [act_id, "_sub"])
+                .groupBy(member, act_id)
+                .agg(F.sum(F.col("_sign") * F.col("_cover")).cast("long").alias(out)))
+    key_sets = (g.groupBy(act_id, F.array_join("_keys", _SEP).alias("_set"))
+                 .agg(F.first("_keys").alias("_skeys"), F.count(F.lit(1)).alias("_n")))
+    n_wide = (wide.join(key_sets, act_id)
+              .where(F.arrays_overlap("_keys", "_skeys"))
+              .groupBy(member, act_id).agg(F.sum("_n").cast("long").alias(out)))
+    return n_narrow.unionByName(n_wide)
 
 
 def coauthor_counts(df: DataFrame, member: str = "mp_name", act_id: str = "act_id",
                     key_cols: tuple[str, ...] = ("act_type", "act_subtype"),
-                    out: str = "n_coauthors") -> DataFrame:
+                    out: str = "n_coauthors", max_subset_keys: int = MAX_SUBSET_KEYS) -> DataFrame:
     """Distinct co-authors (member included) per (member, act_id)."""
-    groups = member_act_groups(df, member, act_id, key_cols)
-    return _counts_from_groups(groups, member, act_id, key_cols, out)
+    groups = _materialize(member_act_groups(df, member, act_id, key_cols))
+    return _counts_from_groups(groups, member, act_id, key_cols, out, max_subset_keys)
 
 
-def coauthor_weights(df: DataFrame, decimals: int = 6) -> DataFrame:
+def coauthor_weights(df: DataFrame, decimals: int = 6,
+                     max_subset_keys: int = MAX_SUBSET_KEYS) -> DataFrame:
     """Sum of 1/co-authors per (party, member), ascending.
 
     Equivalent to: self-merge on (type, subtype, id); distinct co-authors per
@@ -91,8 +142,8 @@ def coauthor_weights(df: DataFrame, decimals: int = 6) -> DataFrame:
     key set for the co-author count and the distinct rows to be weighted.
     """
     keys = ("act_type", "act_subtype")
-    groups = member_act_groups(df, "mp_name", "act_id", keys, carry=("mp_id", "mp_party"))
-    n = _counts_from_groups(groups, "mp_name", "act_id", keys, "n_coauthors")
+    groups = _materialize(member_act_groups(df, "mp_name", "act_id", keys, carry=("mp_id", "mp_party")))
+    n = _counts_from_groups(groups, "mp_name", "act_id", keys, "n_coauthors", max_subset_keys)
     w = (groups.join(n, ["mp_name", "act_id"])
                .select("mp_name", "n_coauthors", F.explode("_combos").alias("_c"))
                .select(F.col("_c")["mp_party"].alias("mp_party"), "mp_name",
