@@ -78,3 +78,12 @@ def test_latest_run_keeps_or_skips_empty_newest(spark, tmp_path):
     assert latest_run_rows(spark, str(runs)).count() == 0
     kept = latest_run_rows(spark, str(runs), skip_empty=True).collect()
     assert len(kept) == 1 and kept[0].file_path == "data/x.json" and kept[0].download_status == 0
+
+
+def test_pandas_na_tokens(spark, tmp_path):
+    p = tmp_path / "t.csv"
+    p.write_text("id|a|b\n1|NA|x\n2|None|\n3|ok|null\n")
+    df = read_pipe_csv(spark, str(p), "id int, a string, b string", na_tokens=True).orderBy("id")
+    assert [tuple(r) for r in df.collect()] == [(1, None, "x"), (2, None, None), (3, "ok", None)]
+    raw = read_pipe_csv(spark, str(p), "id int, a string, b string").orderBy("id")
+    assert raw.first().a == "NA"

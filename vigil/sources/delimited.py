@@ -8,15 +8,33 @@ as empty; leading/trailing blanks kept (Spark trims them on write by default). P
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
+
+# The tokens pandas' CSV reader turns into missing values by
+# default (empty fields are already NULL in Spark).
+PANDAS_NA_TOKENS = ["#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
+                    "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
+
+
+def na_tokens_to_null(df: DataFrame, cols=None, tokens=PANDAS_NA_TOKENS) -> DataFrame:
+    """Read-side NULL rule of the flat-table consumers: string fields whose
+    whole value is one of ``tokens`` become NULL (numeric columns are typed
+    by the schema and already NULL on a failed parse)."""
+    cols = cols or [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    return df.select(*[F.when(F.col(c).isin(tokens), F.lit(None).cast("string")).otherwise(F.col(c)).alias(c)
+                       if c in cols else F.col(c) for c in df.columns])
 
 
 def read_pipe_csv(spark: SparkSession, path: str, schema: StructType | str,
-                  sep: str = "|") -> DataFrame:
-    return (spark.read.schema(schema).option("header", True).option("sep", sep)
-            .option("quote", '"').option("escape", '"').option("multiLine", True)
-            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-            .csv(path))
+                  sep: str = "|", na_tokens: bool = False) -> DataFrame:
+    """Pipe CSV with a declared schema; ``na_tokens`` applies the pandas
+    missing-value tokens to string columns."""
+    df = (spark.read.schema(schema).option("header", True).option("sep", sep)
+          .option("quote", '"').option("escape", '"').option("multiLine", True)
+          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+          .csv(path))
+    return na_tokens_to_null(df) if na_tokens else df
 
 
 def write_pipe_csv(df: DataFrame, path: str, sep: str = "|", mode: str = "overwrite") -> None:
