@@ -21,6 +21,9 @@ _CLUSTER_CONF = {
     # partition count only needs to be an upper bound.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    # checkpoints (numbering, co-author aggregate, frontier rounds) are
+    # removed from shared storage once their DataFrames are unreachable
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # dedup state of the incremental ingestion grows with distinct digests
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
