@@ -39,7 +39,7 @@ def test_runs_latest_pending_merge(spark, tmp_path):
     results = spark.createDataFrame(
         [("data/b.json", "2023-02-02 00:00:00", 200, "m_b"), ("data/c.json", "2023-02-02 00:00:00", 404, None)],
         "file_path string, download_time string, download_status int, download_md5 string") \
-        .withColumn("download_time", F.to_timestamp("download_time"))
+        .withColumn("download_time", F.to_timestamp_ntz("download_time"))
     merged = {r.file_path: r for r in M.merge_results(latest, results).collect()}
     assert merged["data/b.json"].download_status == 200 and merged["data/b.json"].download_md5 == "m_b"
     assert merged["data/c.json"].download_status is None       # failed download recorded nowhere

@@ -606,12 +606,12 @@ def _manifest_spark(spark, sf):
     done = F.col("_lid").isNotNull()
     return m.select(
         "doc_id", "text", "lang",
-        F.to_timestamp(F.lit(_CRAWL_TS)).alias("crawl_time"),
+        F.to_timestamp_ntz(F.lit(_CRAWL_TS)).alias("crawl_time"),
         F.concat(F.lit("data/"), F.col("doc_id").cast("string"), F.lit(".json")).alias("file_path"),
         F.concat(F.lit("https://files.example.org/"), F.col("source")).alias("parent_url"),
         F.concat(F.lit("https://files.example.org/doc.txt?fich="), F.col("doc_id").cast("string"),
                  F.lit("_json.txt&Inline=true")).alias("file_url"),
-        F.when(done, F.to_timestamp(F.lit(_CRAWL_TS))).alias("download_time"),
+        F.when(done, F.to_timestamp_ntz(F.lit(_CRAWL_TS))).alias("download_time"),
         F.when(done, F.lit(200)).cast("int").alias("download_status"),
         F.when(done, T.md5_hex("text")).alias("download_md5"))
 
@@ -653,7 +653,7 @@ FROM m LEFT JOIN r ON m.file_path = r.file_path""")
 def q_manifest_merge(spark, sf):
     m = _manifest_spark(spark, sf)
     p = manifest.pending(m, _landed(spark, sf))
-    results = p.select("file_path", F.to_timestamp(F.lit(_DOWNLOAD_TS)).alias("download_time"),
+    results = p.select("file_path", F.to_timestamp_ntz(F.lit(_DOWNLOAD_TS)).alias("download_time"),
                        F.when(F.col("lang") != "de", F.lit(200)).otherwise(F.lit(503))
                         .cast("int").alias("download_status"),
                        T.md5_hex("text").alias("download_md5"))

@@ -48,7 +48,7 @@ def update_manifest(spark: SparkSession, runs_dir: str, landed_dir: str, out_dir
     files = read_landed(spark, landed_dir).select(
         F.regexp_replace("path", "(" + scheme + ")?" + root + "/", "").alias("file_path"),
         F.lit(200).alias("download_status"), "download_md5",
-        F.to_timestamp(F.lit(run), "yyyy_MM_dd_HH_mm_ss").alias("download_time"))
+        F.to_timestamp_ntz(F.lit(run), F.lit("yyyy_MM_dd_HH_mm_ss")).alias("download_time"))
     write_manifest(manifest.merge_results(latest, files), out_dir, run)
     return manifest.pending(latest, files.select("file_path"))
 

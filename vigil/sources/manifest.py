@@ -1,6 +1,7 @@
 """Crawl manifests: fixed 7-column schema, run selection, run-partitioned sink.
 
-A manifest run is a CSV file named by its run timestamp. Older runs have only
+A manifest run is a CSV file named by its run timestamp. Times are local
+wall-clock times without a zone (TIMESTAMP_NTZ). Older runs have only
 the first four columns; reading every run with the full schema (missing
 trailing fields become NULL) replaces the per-file widening step.
 """
@@ -10,14 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (IntegerType, StringType, StructField, StructType,
-                               TimestampType)
+                               TimestampNTZType)
 
 MANIFEST_SCHEMA = StructType([
-    StructField("crawl_time", TimestampType()),
+    StructField("crawl_time", TimestampNTZType()),
     StructField("file_path", StringType()),
     StructField("parent_url", StringType()),
     StructField("file_url", StringType()),
-    StructField("download_time", TimestampType()),
+    StructField("download_time", TimestampNTZType()),
     StructField("download_status", IntegerType()),
     StructField("download_md5", StringType()),
 ])
