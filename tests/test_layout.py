@@ -62,3 +62,13 @@ def test_lookup_join_with_checked_broadcast(spark):
     assert got == {"a": "A", "b": "?", None: "?"}
     big = spark.range(50)
     assert "Broadcast" not in checked_broadcast(big, max_rows=10)._jdf.queryExecution().logical().toString()
+
+
+def test_single_ring_coordinates(spark):
+    import math as m
+    from vigil.operators.layout import ring_coordinates
+    rows = ring_coordinates(spark, 24, 3.8, [6, 14, 22], angle_offset=m.pi / 20).orderBy("position").collect()
+    assert len(rows) == 24 and 6 not in [r.position for r in rows]
+    assert rows[0].seat_x == 3.674170788271024
+    plain = ring_coordinates(spark, 2, 1.0, []).orderBy("position").collect()
+    assert [round(r.seat_x, 12) for r in plain] == [0.5, -0.5]

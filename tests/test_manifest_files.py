@@ -87,3 +87,13 @@ def test_pandas_na_tokens(spark, tmp_path):
     assert [tuple(r) for r in df.collect()] == [(1, None, "x"), (2, None, None), (3, "ok", None)]
     raw = read_pipe_csv(spark, str(p), "id int, a string, b string").orderBy("id")
     assert raw.first().a == "NA"
+
+
+def test_latest_run_name(spark, tmp_path):
+    from vigil.sources.manifest import latest_run_name
+    runs = tmp_path / "runs3"
+    runs.mkdir()
+    (runs / "2023_01_01_00_00_00.csv").write_text(HEAD4)
+    (runs / "2023_03_01_00_00_00.csv").write_text(HEAD4)
+    (runs / "zzz.txt").write_text("x")
+    assert latest_run_name(spark, str(runs)) == "2023_03_01_00_00_00.csv"

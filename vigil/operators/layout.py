@@ -76,6 +76,13 @@ def ring_seats(rings: DataFrame) -> DataFrame:
         (F.col("distance") * F.sin(angle)).alias("seat_y"))
 
 
+def ring_coordinates(spark: SparkSession, n_seats: int, distance: float, corridors: list[int],
+                     angle_offset: float = 0.0) -> DataFrame:
+    """(position, seat_x, seat_y) of one ring, seats in position order."""
+    one = rings_frame(spark, [(1, n_seats, float(distance), list(corridors))], angle_offset)
+    return ring_seats(one).select("position", "seat_x", "seat_y")
+
+
 def color_seats(seats: DataFrame, party_col: str = "party", colors=PARTY_COLORS,
                 default=None) -> DataFrame:
     """Colour per party; unknown parties get ``default`` (NULL by default)."""

@@ -63,6 +63,12 @@ def list_runs(spark: SparkSession, path: str) -> DataFrame:
             .select(F.regexp_extract("path", r"([^/]+)$", 1).alias("run_file"), "length"))
 
 
+def latest_run_name(spark: SparkSession, path: str) -> str | None:
+    """Name of the newest run file (greatest name), or None when there is none;
+    a one-row aggregate over the file listing."""
+    return list_runs(spark, path).agg(F.max("run_file")).first()[0]
+
+
 def latest_run_rows(spark: SparkSession, path: str, skip_empty: bool = False) -> DataFrame:
     """Rows of the newest run (greatest file name). By default the newest run
     is taken even when it holds no rows (then nothing is returned); with
