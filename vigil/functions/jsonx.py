@@ -84,15 +84,26 @@ def unwrap_single_key(j, max_depth: int = 4) -> Column:
     return c
 
 
-def unwrap_columns(df, col: str, max_depth: int = 4):
-    """DataFrame form of ``unwrap_single_key``: one projection per level, so
-    each level's parse is evaluated once in generated code (no lambdas)."""
-    for i in range(max_depth):
-        m = f"_unwrap{i}"
-        df = df.withColumn(m, json_map(col))
-        df = df.withColumn(col, F.when(F.size(m) == 1, F.map_values(m).getItem(0))
-                           .otherwise(F.col(col))).drop(m)
-    return df
+def unwrap_records(df, col: str, out: str, max_depth: int = 4):
+    """DataFrame form of single-key unwrapping followed by ``json_records``.
+
+    Each level parses the text only while the previous level unwrapped, and
+    the map parsed at the level where the descent stops is reused as the
+    record itself, so a bare object is parsed once and an array twice (one
+    failed map parse at its first character, then the array parse). Every
+    step is its own projection, so no parse is duplicated in the plan."""
+    go, m = "_uw_go", "_uw_m"
+    df = df.withColumn(go, F.lit(True)).withColumn(m, F.lit(None).cast("map<string,string>"))
+    for _ in range(max_depth):
+        df = df.withColumn(m, F.when(F.col(go), json_map(col)).otherwise(F.col(m)))
+        single = F.coalesce(F.size(m) == 1, F.lit(False))
+        df = (df.withColumn(col, F.when(F.col(go) & single, F.map_values(m).getItem(0))
+                            .otherwise(F.col(col)))
+                .withColumn(go, F.col(go) & single))
+    recs = (F.when(~F.col(go) & F.col(m).isNotNull(), F.array(F.col(m)))
+             .when(is_array(col), F.from_json(col, "array<map<string,string>>"))
+             .when(is_object(col), F.array(json_map(col))))
+    return df.withColumn(out, recs).drop(go, m)
 
 
 def first_existing(m, keys: list[str], default: str = "") -> Column:

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.functions.jsonx import json_array, json_map, json_records, unwrap_single_key
+from vigil.functions.jsonx import json_array, json_map, unwrap_records
 from vigil.functions.text import dequote, first_token
 
 # Source key -> activity code for the renamed types.
@@ -168,10 +168,9 @@ def flatten_activity(members: DataFrame, record: str = "record", keep: tuple[str
 
     ``null_text`` is what a NULL part of ``act_dar`` is written as ('None',
     as string formatting produced; None gives NULL ids instead)."""
-    groups = explode_activity_groups(members, record, keep)
-    groups = groups.withColumn("payload", unwrap_single_key("payload"))
-    acts = groups.select(*[c for c in groups.columns if c != "payload"],
-                         F.posexplode_outer(json_records("payload")).alias("act_pos", "_m"))
+    groups = unwrap_records(explode_activity_groups(members, record, keep), "payload", "_recs")
+    acts = groups.select(*[c for c in groups.columns if c not in ("payload", "_recs")],
+                         F.posexplode_outer("_recs").alias("act_pos", "_m"))
     m = F.col("_m")
     code = F.col("act_type")
     spec = _spec_maps()
