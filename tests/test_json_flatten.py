@@ -52,8 +52,9 @@ def test_unwrap_levels(spark):
 
 
 def _member(dep_id, name, party, status, acts):
+    gp = party if isinstance(party, list) else {"gpSigla": party}
     return {"deputado": {"depId": dep_id, "depNomeParlamentar": name, "depCPDes": "Distrito",
-                         "depGP": {"pt_ar_wsgode_objectos_DadosSituacaoGP": {"gpSigla": party}},
+                         "depGP": {"pt_ar_wsgode_objectos_DadosSituacaoGP": gp},
                          "depSituacao": {"pt_ar_wsgode_objectos_DadosSituacaoDeputado": status}},
             "AtividadeDeputadoList": {"pt_gov_ar_wsar_objectos_ActividadeOut": acts}}
 
@@ -87,7 +88,7 @@ def activity_doc():
                      "pubSl": "1", "pubDtreu": "2023-04-05"}),
         "novidade": _w({"a": "1", "b": "2"}),
     })
-    m2 = _member("11", "Bruno Beta", "P2", {"sioDes": "Efetivo"}, {
+    m2 = _member("11", "Bruno Beta", [{"gpSigla": "P0"}, {"gpSigla": "P2"}], {"sioDes": "Efetivo"}, {
         "audiencias": _w({"actId": "20", "actTpdesc": "Audiência", "actNr": "1", "actLg": "XV",
                           "accDtaud": "2023-05-06"}),
         "eventos": _w({"actId": "21", "tevTp": "Evento", "cmsAb": "C1", "actLg": "XV",
@@ -119,6 +120,7 @@ def test_member_activity_flatten(spark, tmp_path):
     assert rows[("rpe", "7")].act_subtype == "relatores peticoes"
     assert rows[("int", "9")].act_desc == "" and rows[("int", "9")].act_dar == "DAR/3/XV/1"
     assert rows[("adc", "20")].mp_status == "Efetivo"
+    assert rows[("adc", "20")].mp_party == "P2"         # party given as a list: last entry
     assert str(rows[("req", "5")].act_date_parsed) == "2023-03-04"
     reasons = sorted(r.error_reason for r in bad.collect())
     assert any(x.startswith("unknown activity type: novidade") for x in reasons)

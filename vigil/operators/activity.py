@@ -57,11 +57,11 @@ FIELD_MAP = {
                 date=("first_token", "reqDt"), desc="reqAs"),
 }
 
-# Member record layout (only the fields read). The status
-# element is object-or-array, so it is kept as raw text.
+# Member record layout (only the fields read). The party and
+# status elements may be object or array, so they are kept as raw text.
 MEMBER_SCHEMA = (
     "struct<deputado: struct<depId: string, depNomeParlamentar: string, depCPDes: string, "
-    "depGP: struct<pt_ar_wsgode_objectos_DadosSituacaoGP: struct<gpSigla: string>>, "
+    "depGP: struct<pt_ar_wsgode_objectos_DadosSituacaoGP: string>, "
     "depSituacao: struct<pt_ar_wsgode_objectos_DadosSituacaoDeputado: string>>, "
     "AtividadeDeputadoList: struct<pt_gov_ar_wsar_objectos_ActividadeOut: map<string, string>>>")
 ACTIVITY_ROOT = "ArrayOfAtividadeDeputado.AtividadeDeputado"
@@ -125,7 +125,8 @@ def member_fields(parsed: str = "_r") -> list[Column]:
     d = F.col(parsed)["deputado"]
     st = json_array(d["depSituacao"]["pt_ar_wsgode_objectos_DadosSituacaoDeputado"])
     return [d["depId"].alias("mp_id"), d["depNomeParlamentar"].alias("mp_name"),
-            d["depGP"]["pt_ar_wsgode_objectos_DadosSituacaoGP"]["gpSigla"].alias("mp_party"),
+            F.get_json_object(F.try_element_at(json_array(d["depGP"]["pt_ar_wsgode_objectos_DadosSituacaoGP"]),
+                                               F.lit(-1)), "$.gpSigla").alias("mp_party"),
             F.get_json_object(F.try_element_at(st, F.lit(-1)), "$.sioDes").alias("mp_status")]
 
 
