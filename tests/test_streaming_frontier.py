@@ -56,3 +56,19 @@ def test_block_links_selects_inside_class(spark):
             '<div class="archive-item"><a href="/b.aspx">b</a></div>')
     df = spark.createDataFrame([(html,)], "html string")
     assert df.select(block_links("html", "archive-item")).first()[0] == ["/a.aspx", "/f_json.txt", "/b.aspx"]
+
+
+def test_nesting_aware_block_selection(spark):
+    from vigil.sources.html_select import select_in_blocks, select_values
+    html = ('<div class="ConteudoTexto"><div class="inner"><a title="Recursos" href="/r1.aspx">x</a></div>'
+            '<a title="Outro" href="/o.aspx">y</a><a title="Recursos" href="/r2.aspx">z</a></div>'
+            '<a title="Recursos" href="/outside.aspx">w</a>'
+            '<div class="details_page_title"><span>Agenda</span> <b>Parlamentar</b></div>'
+            '<div class="breadcrumb-container"><a>Início</a> &gt; <a>XV Legislatura</a></div>')
+    assert select_values(html, "div", "ConteudoTexto", "href", {"title": "Recursos"}) == ["/r1.aspx", "/r2.aspx"]
+    assert select_values(html, "div", "details_page_title", "text") == ["Agenda", " ", "Parlamentar"]
+    assert select_values(html, "div", "breadcrumb-container", "text") == ["Início", " > ", "XV Legislatura"]
+    df = spark.createDataFrame([(1, html), (2, None)], "page_id long, html string")
+    got = [(r.page_id, r.pos, r.value) for r in
+           select_in_blocks(df, "div", "ConteudoTexto", "href", {"title": "Recursos"}).collect()]
+    assert sorted(got) == [(1, 0, "/r1.aspx"), (1, 1, "/r2.aspx")]

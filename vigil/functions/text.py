@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 
 from pyspark.sql import Column
@@ -188,3 +189,12 @@ def fold_to_ascii_any(col) -> Column:
     from pyspark.sql.functions import pandas_udf
     udf = pandas_udf(_fold_series, "string")
     return udf(_c(col))
+
+
+# the pandas UDF helper runs in Python workers: ship this module's code by value
+def _ship():
+    from vigil.session import ship_by_value
+    ship_by_value(sys.modules[__name__])
+
+
+_ship()

@@ -26,6 +26,7 @@ from vigil.plans import derived
 from vigil.plans.tables import ACT_SQL, INI_SQL, activity_rows, initiative_rows, load
 from vigil.session import scratch_path
 from vigil.sources import delimited
+from vigil.sources.html_select import select_in_blocks
 from vigil.sources.pages import page_links, page_title
 
 Q = Callable[[SparkSession, str], DataFrame]
@@ -527,6 +528,24 @@ def q_page_link_classify(spark, sf):
     return frontier.classify_links(links, follow=".", download=",")
 
 
+@query("page_block_links", """
+SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, hs[i] AS value FROM (
+  SELECT page_id, hs, generate_subscripts(hs, 1) AS i FROM (
+    SELECT page_id, regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1),
+                                       '<a [^>]*href="([^"]*)"', 1) AS hs FROM pages))""")
+def q_page_block_links(spark, sf):
+    return select_in_blocks(load(spark, sf, "pages"), "nav", want="href")
+
+
+@query("page_block_text", """
+SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, ts[i] AS value FROM (
+  SELECT page_id, ts, generate_subscripts(ts, 1) AS i FROM (
+    SELECT page_id, list_filter(regexp_extract_all(html, '(?s)<div class="ad">(.*?)</div>', 1),
+                                lambda x: x <> '') AS ts FROM pages))""")
+def q_page_block_text(spark, sf):
+    return select_in_blocks(load(spark, sf, "pages"), "div", "ad", want="text")
+
+
 _RESOLVE_SQL = """CASE WHEN regexp_matches(h, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN regexp_replace(h, '#.*$', '')
      WHEN starts_with(h, '/') THEN regexp_extract(url, '^(https?://[^/?#]+)', 1) || regexp_replace(h, '#.*$', '')
      ELSE regexp_replace(regexp_replace(regexp_replace(url, '\\?.*$', ''), '#.*$', ''), '[^/]*$', '')

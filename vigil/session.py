@@ -75,5 +75,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/vigil-{name}-{uuid.uuid4().hex}"
 
 
+def ship_by_value(module) -> None:
+    """Pickle ``module``'s functions by value when they are sent to Python
+    workers, so executors need not have the package installed (a cluster
+    would otherwise need it shipped with ``--py-files``)."""
+    try:
+        from pyspark import cloudpickle
+        cloudpickle.register_pickle_by_value(module)
+    except (ImportError, AttributeError, ValueError):
+        pass
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
