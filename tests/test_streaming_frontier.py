@@ -72,3 +72,19 @@ def test_nesting_aware_block_selection(spark):
     got = [(r.page_id, r.pos, r.value) for r in
            select_in_blocks(df, "div", "ConteudoTexto", "href", {"title": "Recursos"}).collect()]
     assert sorted(got) == [(1, 0, "/r1.aspx"), (1, 1, "/r2.aspx")]
+
+
+def test_landed_file_stream_skips_seen_bytes(spark, tmp_path):
+    from vigil.streaming.incremental import landed_file_stream
+    land, sink, ckpt = tmp_path / "land", str(tmp_path / "files"), str(tmp_path / "ck")
+    (land / "a").mkdir(parents=True)
+    (land / "a" / "x.json").write_text('{"v": 1}')
+    (land / "a" / "y.json").write_text('{"v": 2}')
+    ingest_available(landed_file_stream(spark, str(land), "*.json"), sink, ckpt)
+    assert spark.read.parquet(sink).count() == 2
+    (land / "b").mkdir()
+    (land / "b" / "x_copy.json").write_text('{"v": 1}')        # same bytes, new path
+    (land / "b" / "z.json").write_text('{"v": 3}')
+    ingest_available(landed_file_stream(spark, str(land), "*.json"), sink, ckpt)
+    got = spark.read.parquet(sink)
+    assert got.count() == 3 and got.where("path like '%x_copy.json'").count() == 0

@@ -39,6 +39,20 @@ def content_stream(spark: SparkSession, src_dir: str, schema: StructType | str,
     return s.dropDuplicates(["content_md5"])
 
 
+def landed_file_stream(spark: SparkSession, landing_dir: str, glob: str | None = None) -> DataFrame:
+    """Streaming (path, length, modificationTime, download_md5) of raw files as
+    they land, one row per distinct content: a file whose bytes were seen in
+    any earlier run is skipped. The file source's checkpoint remembers which
+    paths were processed, so each run only reads the new files."""
+    r = (spark.readStream.format("binaryFile").option("recursiveFileLookup", True)
+         .schema("path string, modificationTime timestamp, length bigint, content binary"))
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    s = r.load(landing_dir).select("path", "length", "modificationTime",
+                                   F.md5("content").alias("download_md5"))
+    return s.dropDuplicates(["download_md5"])
+
+
 def ingest_available(stream: DataFrame, sink_dir: str, checkpoint_dir: str,
                      fmt: str = "parquet") -> StreamingQuery:
     """Process everything that has landed, append to ``sink_dir``, stop."""
