@@ -48,3 +48,14 @@ def test_update_manifest(spark, tmp_path):
     from vigil.sources.manifest import read_manifests
     m = {r.file_path: r for r in read_manifests(spark, str(tmp_path / "out" / "run_id=2023_02_02_00_00_00")).collect()}
     assert m["data/a.json"].download_status == 200 and m["data/b.json"].download_status is None
+
+
+def test_initiative_report(spark):
+    from vigil.plans.jobs import initiative_report
+    df = spark.createDataFrame([("1", "A", 1), ("2", "A", 3), ("3", "B", 2), ("4", None, 1)],
+                               "id string, party string, number_authors int")
+    rep = initiative_report(df)
+    assert {(r.party, r.number_authors): r["count"] for r in rep["authors_per_party"].collect()} == {
+        ("A", 1): 1, ("A", 3): 1, ("B", 2): 1}
+    h = {(r.party, r.bin): r["count"] for r in rep["author_histogram"].collect()}
+    assert h[("A", 1)] == 1 and h[("A", 10)] == 1 and h[("B", 6)] == 1 and sum(h.values()) == 3

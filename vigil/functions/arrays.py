@@ -55,7 +55,3 @@ def last_matching(arr, pred: Callable[[Column], Column]) -> Column:
 def join_field(arr, field: str, sep: str) -> Column:
     """Ordered concat of one field of an array of records."""
     return F.array_join(F.transform(_c(arr), lambda x: x[field]), sep)
-
-
-def last_element(arr) -> Column:
-    return F.try_element_at(_c(arr), F.lit(-1))

@@ -111,10 +111,3 @@ def first_existing(m, keys: list[str], default: str = "") -> Column:
     ``default``."""
     m = _c(m)
     return F.coalesce(*[F.element_at(m, F.lit(k)) for k in keys], F.lit(default))
-
-
-def missing_keys(m, keys: list[str]) -> Column:
-    """Array of the required ``keys`` absent from the map record."""
-    m = _c(m)
-    return F.filter(F.array(*[F.lit(k) for k in keys]),
-                    lambda k: ~F.map_contains_key(m, k))
