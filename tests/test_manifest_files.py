@@ -1,7 +1,6 @@
 """Manifests, landed files, pending/merge, latest run, pipe CSV round trip."""
 
 import hashlib
-import os
 
 from pyspark.sql import functions as F
 

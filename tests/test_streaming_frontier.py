@@ -2,8 +2,6 @@
 
 import os
 
-from pyspark.sql import functions as F
-
 from vigil.operators.frontier import expand_frontier, frontier
 from vigil.streaming.incremental import content_stream, first_by_content, ingest_available
 

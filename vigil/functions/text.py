@@ -8,8 +8,6 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-import re as _re
-
 # The characters Python's str.strip()/split() treat as whitespace, by rule.
 WHITESPACE = "".join(ch for ch in map(chr, range(0x110000)) if ch.isspace())
 _WS_CLASS = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE) + "]"
