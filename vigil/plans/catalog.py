@@ -528,6 +528,16 @@ def q_page_link_classify(spark, sf):
     return frontier.classify_links(links, follow=".", download=",")
 
 
+@query("filter_eq_nonascii", """
+SELECT page_id, url, CAST(i - 1 AS INTEGER) AS link_pos, hs[i] AS href FROM (
+  SELECT page_id, url, hs, generate_subscripts(hs, 1) AS i FROM (
+    SELECT page_id, url, regexp_extract_all(html, '<a [^>]*href="([^"]*)"', 1) AS hs FROM pages))
+WHERE hs[i] = '/èê'""")
+def q_filter_eq_nonascii(spark, sf):
+    """String equality with a non-ASCII literal (the accented-subtype filter)."""
+    return page_links(load(spark, sf, "pages")).where(F.col("href") == "/èê")
+
+
 @query("page_block_links", """
 SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, hs[i] AS value FROM (
   SELECT page_id, hs, generate_subscripts(hs, 1) AS i FROM (
