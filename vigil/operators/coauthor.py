@@ -133,18 +133,30 @@ def coauthor_counts(df: DataFrame, member: str = "mp_name", act_id: str = "act_i
 
 
 def coauthor_weights(df: DataFrame, decimals: int = 6,
-                     max_subset_keys: int = MAX_SUBSET_KEYS) -> DataFrame:
+                     max_subset_keys: int = MAX_SUBSET_KEYS,
+                     id_cols: tuple[str, ...] = ("act_id",)) -> DataFrame:
     """Sum of 1/co-authors per (party, member), ascending.
 
     Equivalent to: self-merge on (type, subtype, id); distinct co-authors per
     (member, id); weight = 1/n; distinct 7-column rows; sum per (party, member).
     The input is read once: one aggregate per (member, id) carries both the
     key set for the co-author count and the distinct rows to be weighted.
+
+    ``id_cols`` is what co-authors are counted per. The default pools ids that
+    collide across activity types, as the source analysis does;
+    ``("act_type", "act_id")`` counts them per type instead.
     """
     keys = ("act_type", "act_subtype")
-    groups = _materialize(member_act_groups(df, "mp_name", "act_id", keys, carry=("mp_id", "mp_party")))
-    n = _counts_from_groups(groups, "mp_name", "act_id", keys, "n_coauthors", max_subset_keys)
-    w = (groups.join(n, ["mp_name", "act_id"])
+    id_col = "act_id"
+    if tuple(id_cols) != ("act_id",):
+        present = None
+        for c in id_cols:
+            present = F.col(c).isNotNull() if present is None else present & F.col(c).isNotNull()
+        df = df.withColumn("_aid", F.when(present, key_token(*[F.col(c) for c in id_cols])))
+        id_col = "_aid"
+    groups = _materialize(member_act_groups(df, "mp_name", id_col, keys, carry=("mp_id", "mp_party")))
+    n = _counts_from_groups(groups, "mp_name", id_col, keys, "n_coauthors", max_subset_keys)
+    w = (groups.join(n, ["mp_name", id_col])
                .select("mp_name", "n_coauthors", F.explode("_combos").alias("_c"))
                .select(F.col("_c")["mp_party"].alias("mp_party"), "mp_name",
                        (F.lit(1.0) / F.col("n_coauthors")).alias("act_weight")))
