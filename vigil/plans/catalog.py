@@ -571,6 +571,25 @@ def q_frontier_expand(spark, sf):
     return frontier.frontier(pages, pages.select("url"))
 
 
+@query("frontier_rounds", f"""
+WITH pg AS (SELECT regexp_replace(url, '#.*$', '') AS url, html FROM pages),
+r0 AS (SELECT DISTINCT url FROM pg),
+l0 AS (SELECT pg.url, unnest(regexp_extract_all(pg.html, '<a [^>]*href="([^"]*)"', 1)) AS h
+       FROM pg WHERE pg.url IN (SELECT url FROM r0)),
+r1 AS (SELECT DISTINCT {_RESOLVE_SQL} AS url FROM l0
+       EXCEPT SELECT url FROM r0),
+l1 AS (SELECT pg.url, unnest(regexp_extract_all(pg.html, '<a [^>]*href="([^"]*)"', 1)) AS h
+       FROM pg WHERE pg.url IN (SELECT url FROM r1)),
+r2 AS (SELECT DISTINCT {_RESOLVE_SQL} AS url FROM l1
+       EXCEPT SELECT url FROM r0 EXCEPT SELECT url FROM r1)
+SELECT url, 0 AS round FROM r0 UNION ALL SELECT url, 1 FROM r1 UNION ALL SELECT url, 2 FROM r2""")
+def q_frontier_rounds(spark, sf):
+    """Breadth-first crawl over the landed pages, starting from all of them:
+    every reached url with the round it was first reached in."""
+    pages = load(spark, sf, "pages")
+    return frontier.expand_frontier(pages, pages.select("url"), max_rounds=5)
+
+
 _FICH_SPARK = lambda: F.concat(
     F.lit("https://files.example.org/webutils/docs/doc.txt?path=p"), F.col("page_id").cast("string"),
     F.lit("&fich="), F.regexp_replace(F.regexp_extract("url", r"^https?://([^/?#]+)", 1), r"\.", "_"),
