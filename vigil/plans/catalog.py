@@ -772,6 +772,21 @@ def q_run_islands(spark, sf):
                 extra_aggs=[F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts")])
 
 
+@query("seat_party_runs", """
+WITH s AS (SELECT c_nationkey, c_mktsegment,
+                  row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS g,
+                  row_number() OVER (PARTITION BY c_nationkey, c_mktsegment ORDER BY c_custkey) AS v
+           FROM customer)
+SELECT c_nationkey, c_mktsegment, min(g) AS start_seq, max(g) AS end_seq, CAST(count(*) AS BIGINT) AS n_rows
+FROM s GROUP BY c_nationkey, c_mktsegment, g - v""")
+def q_seat_party_runs(spark, sf):
+    """Seats in customer-key order per nation, 'party' = market segment:
+    consecutive same-party seats as runs (the last seat is its own run when
+    the party changes there)."""
+    cust = load(spark, sf, "customer").select("c_nationkey", "c_custkey", "c_mktsegment")
+    return layout.party_runs(cust, ["c_nationkey"], ["c_custkey"], "c_mktsegment")
+
+
 # ------------------------------------------------------------------ sinks
 @query("csv_pipe_roundtrip", "SELECT * FROM part")
 def q_csv_pipe_roundtrip(spark, sf):
