@@ -212,3 +212,18 @@ def test_flattened_rows_equal_sum_of_sizes(spark, members):
     df = spark.createDataFrame([(json.dumps(d),) for d in docs], "record string")
     good, bad = flatten_activity(df)
     assert good.count() == expected and bad.count() == 0
+
+
+def test_initiative_quarantine(spark):
+    from vigil.operators.initiative import split_initiatives
+    ok = _ini("1", events=[{"fase": "Entrada", "dataFase": "2023-01-01"}])
+    no_title = dict(ok)
+    no_title.pop("iniTitulo")
+    no_events = dict(ok)
+    no_events["iniEventos"] = {"other": []}
+    df = spark.createDataFrame([(json.dumps(x),) for x in (ok, no_title, no_events)] + [("[1]",)],
+                               "record string")
+    good, bad = split_initiatives(df)
+    assert [r.id for r in good.collect()] == ["1/P/XV/1"]
+    assert sorted(r.error_reason for r in bad.collect()) == [
+        "missing events list", "missing keys: iniTitulo", "record is not an object"]

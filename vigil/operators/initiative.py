@@ -85,3 +85,25 @@ def flatten_initiatives(records: DataFrame, record: str = "record",
         F.when(F.col("_has_pub"), strip(F.array_join(F.transform("_pubs", _pub_ref), " "))).alias("dar_ref"),
         F.array_join(F.transform(authors, lambda a: _k(a, "nome")), ", ").alias("authors"),
         F.size(authors).cast("int").alias("number_authors"))
+
+
+# Top-level keys every initiative record must carry.
+REQUIRED_KEYS = ["iniNr", "iniTipo", "iniLeg", "iniSel", "iniTitulo", "iniEventos"]
+
+
+def split_initiatives(records: DataFrame, record: str = "record",
+                      keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """(initiatives, quarantine): records lacking a mandatory key (id parts,
+    title, events, or the events wrapper) go to the quarantine with a reason
+    instead of failing the run; the rest are flattened."""
+    keys = F.json_object_keys(F.col(record))
+    missing = F.array_except(F.array(*[F.lit(k) for k in REQUIRED_KEYS]),
+                             F.coalesce(keys, F.array().cast("array<string>")))
+    events_raw = F.get_json_object(F.col(record), "$.iniEventos.pt_gov_ar_objectos_iniciativas_EventosOut")
+    reason = (F.when(keys.isNull(), F.lit("record is not an object"))
+               .when(F.size(missing) > 0, F.concat(F.lit("missing keys: "), F.array_join(missing, ",")))
+               .when(events_raw.isNull(), F.lit("missing events list")))
+    tagged = records.withColumn("_reason", reason)
+    good = flatten_initiatives(tagged.where(F.col("_reason").isNull()), record, keep)
+    bad = tagged.where(F.col("_reason").isNotNull()).select(*keep, record, F.col("_reason").alias("error_reason"))
+    return good, bad

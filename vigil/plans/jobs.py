@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vigil.operators import coauthor, histogram, manifest, quality
 from vigil.operators.activity import ACTIVITY_ROOT, flatten_activity
-from vigil.operators.initiative import INITIATIVE_ROOT, flatten_initiatives
+from vigil.operators.initiative import INITIATIVE_ROOT, split_initiatives
 from vigil.sources.files import read_landed
 from vigil.sources.manifest import latest_run_rows, write_manifest
 from vigil.sources.nested_json import read_documents, records
@@ -28,10 +28,15 @@ def land_activity(spark: SparkSession, paths: str | list[str], out: str, quarant
 
 
 def land_initiatives(spark: SparkSession, paths: str | list[str], out: str,
-                     partitions: int | None = None) -> None:
+                     quarantine_out: str | None = None, partitions: int | None = None) -> None:
+    """Initiative JSON exports -> Parquet table (+ quarantine of records that
+    lack mandatory keys, when ``quarantine_out`` is given)."""
     recs = records(read_documents(spark, paths), INITIATIVE_ROOT,
                    repartition=partitions or spark.sparkContext.defaultParallelism)
-    flatten_initiatives(recs, keep=("source_file",)).write.mode("overwrite").parquet(out)
+    good, bad = split_initiatives(recs, keep=("source_file",))
+    good.write.mode("overwrite").parquet(out)
+    if quarantine_out:
+        bad.write.mode("overwrite").parquet(quarantine_out)
 
 
 def update_manifest(spark: SparkSession, runs_dir: str, landed_dir: str, out_dir: str,
