@@ -5,9 +5,10 @@ min..max with ``bins`` bins: edges ``lo + i*(hi-lo)/bins`` (last edge = hi),
 half-open bins except the last, which is closed; a group with lo == hi uses
 the range lo-0.5..hi+0.5, so all its values land in bin bins//2 + 1.
 
-Plan: one partial/final aggregate for min/max per group, a join back on the
-group key, one partial/final count per (group, bin), and a zero-fill join
-against ``sequence(1, bins)`` exploded per group. No per-group jobs.
+Plan: one partial/final aggregate to (group, value, count), then min/max per
+group, binning of the distinct values and a sum per (group, bin), and a
+zero-fill join against ``sequence(1, bins)`` exploded per group — all on the
+small aggregate. No per-group jobs.
 """
 
 from __future__ import annotations
@@ -38,13 +39,18 @@ def bin_index(v: Column, lo: Column, hi: Column, bins: int) -> Column:
 
 def group_histogram(df: DataFrame, group: str, value: str, bins: int = 10,
                     decimals: int = 9) -> DataFrame:
-    """(group, bin, bin_lo, bin_hi, count) with empty bins zero-filled."""
-    base = df.where(F.col(group).isNotNull() & F.col(value).isNotNull())
-    stats = base.groupBy(group).agg(F.min(value).cast("double").alias("_lo"),
-                                    F.max(value).cast("double").alias("_hi"))
-    counts = (base.join(stats, group)
-              .select(group, bin_index(F.col(value), F.col("_lo"), F.col("_hi"), bins).alias("bin"))
-              .groupBy(group, "bin").agg(F.count(F.lit(1)).alias("count")))
+    """(group, bin, bin_lo, bin_hi, count) with empty bins zero-filled.
+
+    The input is read once: it is first reduced to (group, value, count) —
+    a map-side combined aggregate whose size is the number of distinct values
+    per group — and min/max, binning and zero-filling run on that."""
+    vc = (df.where(F.col(group).isNotNull() & F.col(value).isNotNull())
+            .groupBy(group, value).agg(F.count(F.lit(1)).alias("_n")))
+    stats = vc.groupBy(group).agg(F.min(value).cast("double").alias("_lo"),
+                                  F.max(value).cast("double").alias("_hi"))
+    counts = (vc.join(stats, group)
+              .select(group, bin_index(F.col(value), F.col("_lo"), F.col("_hi"), bins).alias("bin"), "_n")
+              .groupBy(group, "bin").agg(F.sum("_n").alias("count")))
     lo2 = F.when(F.col("_lo") == F.col("_hi"), F.col("_lo") - 0.5).otherwise(F.col("_lo"))
     hi2 = F.when(F.col("_lo") == F.col("_hi"), F.col("_hi") + 0.5).otherwise(F.col("_hi"))
     frame = (stats.withColumn("bin", F.explode(F.sequence(F.lit(1), F.lit(bins))))
