@@ -42,9 +42,10 @@ def merge_results(manifest: DataFrame, results: DataFrame, key: str = "file_path
 
 
 def latest_rows(df: DataFrame, run_col: str = "run_file", skip_empty: bool = False) -> DataFrame:
-    """Rows of the greatest run name. With ``skip_empty`` a run without rows
-    can never be chosen (it has no rows to carry its name anyway when read as
-    data; this flag matters for listings that include empty runs)."""
+    """Rows of the greatest run name among the given rows (a run without rows
+    has no row to carry its name, so it is never chosen here; use
+    ``sources.manifest.latest_run_rows`` to keep an empty newest run). With
+    ``skip_empty`` rows without a run name are ignored as well."""
     d = df.where(F.col(run_col).isNotNull()) if skip_empty else df
     top = d.agg(F.max(run_col).alias("_top"))  # exactly one row
     return d.join(F.broadcast(top), d[run_col] == F.col("_top")).drop("_top")
