@@ -7,9 +7,12 @@ skipped. ``trigger(availableNow=True)`` processes what has landed and stops,
 which is how a periodic scheduler runs it. The dedup state holds one entry
 per distinct digest; for large states use the RocksDB state store provider.
 
-Batch twin: the first record (lowest key) per digest, as one partial/final
-aggregate (``min_by``), so a digest shared by very many records is combined
-map-side and never collected into one group.
+The stream keeps the first record of a digest in arrival order (within one
+micro-batch, any one of them).
+
+Batch twin: the lowest key per digest, as one partial/final ``min``
+aggregate, so a digest shared by very many records is combined map-side and
+never collected into one group.
 """
 
 from __future__ import annotations
