@@ -59,3 +59,14 @@ def test_initiative_report(spark):
         ("A", 1): 1, ("A", 3): 1, ("B", 2): 1}
     h = {(r.party, r.bin): r["count"] for r in rep["author_histogram"].collect()}
     assert h[("A", 1)] == 1 and h[("A", 10)] == 1 and h[("B", 6)] == 1 and sum(h.values()) == 3
+
+
+def test_partitioned_activity_table_prunes(spark, tmp_path):
+    src = tmp_path / "a.json"
+    src.write_text(json.dumps(activity_doc(), ensure_ascii=False))
+    out = str(tmp_path / "act_by_type")
+    land_activity(spark, str(src), out, str(tmp_path / "bad2"), partitions=2, partition_by=("act_type",))
+    rin = spark.read.parquet(out).where("act_type = 'rpe'")
+    assert rin.count() == 2
+    plan = rin._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(act_type" in plan and "rpe" in plan

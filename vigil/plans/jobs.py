@@ -16,14 +16,19 @@ from vigil.sources.nested_json import read_documents, records
 
 
 def land_activity(spark: SparkSession, paths: str | list[str], out: str, quarantine_out: str,
-                  partitions: int | None = None) -> None:
+                  partitions: int | None = None, partition_by: tuple[str, ...] = ()) -> None:
     """Member-activity JSON exports -> Parquet table + quarantine table.
     Records are spread over ``partitions`` after the whole-file read, so one
-    large export file does not keep its records in one task."""
+    large export file does not keep its records in one task. With
+    ``partition_by`` (e.g. ``("act_type",)``) the table is written in
+    directories per value, so reads filtered on it prune whole directories."""
     recs = records(read_documents(spark, paths), ACTIVITY_ROOT,
                    repartition=partitions or spark.sparkContext.defaultParallelism)
     good, bad = flatten_activity(recs, keep=("source_file",))
-    good.write.mode("overwrite").parquet(out)
+    w = good.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(out)
     bad.write.mode("overwrite").parquet(quarantine_out)
 
 
