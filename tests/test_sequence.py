@@ -28,3 +28,35 @@ def test_ordered_index_matches_row_number_with_hot_group(spark):
     w = Window.partitionBy("g").orderBy("t", "id")
     starts = df.withColumn("p", F.lag("v").over(w)).where(F.col("p").isNull() | (F.col("p") != F.col("v")))
     assert len(rr) == starts.count()
+
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from([0, 0, 0, 1, 2, None]), st.integers(0, 30), st.sampled_from("xyz")),
+                min_size=1, max_size=300),
+       st.integers(1, 24))
+def test_runs_match_pandas_reference(spark, rows, parts):
+    import pandas as pd
+    data = [(g, t, i, v) for i, (g, t, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "g int, t int, id int, v string")
+    got = sorted((r.g if r.g is not None else -1, r.v, r.start_seq, r.end_seq, r.n_rows)
+                 for r in runs(df, ["g"], ["t", "id"], "v").collect())
+    pdf = pd.DataFrame(data, columns=["g", "t", "id", "v"]).fillna({"g": -1})
+    ref = []
+    for g, part in pdf.sort_values(["t", "id"]).groupby("g"):
+        vals = list(part["v"])
+        start = 0
+        for i in range(1, len(vals) + 1):
+            if i == len(vals) or vals[i] != vals[start]:
+                ref.append((int(g), vals[start], start + 1, i, i - start))
+                start = i
+    assert got == sorted(ref)
+    seq = {r.id: r.seq for r in ordered_index(df, ["g"], ["t", "id"], num_partitions=parts).collect()}
+    ref_seq = {}
+    for _, part in pdf.sort_values(["t", "id"]).groupby("g"):
+        for k, rid in enumerate(part["id"]):
+            ref_seq[int(rid)] = k + 1
+    assert seq == ref_seq
