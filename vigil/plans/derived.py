@@ -174,7 +174,10 @@ def initiative_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                           "l_returnflag", "l_linestatus", author.alias("author"), event.alias("event"))))
                       .alias("items"),
                       F.array_sort(F.collect_set("l_returnflag")).alias("flags")))
-    gp = F.transform("flags", lambda f: F.concat(F.lit('{"GP":'), qstr(f), F.lit("}")))
+    # flags, authors and events need no escaping here; array_join and struct
+    # field extraction keep the packing in generated code (no lambdas)
+    gp = F.split(F.concat(F.lit('{"GP":"'), F.array_join("flags", '"}\u0001{"GP":"'), F.lit('"}')),
+                 "\u0001")
     title = F.concat(F.lit("  "), F.col("o_orderpriority"), F.lit("\\nOrder"), F.lit("\n"),
                      F.lit("text  "))
     rec = _obj(("iniNr", qstr(F.col("o_orderkey"))), ("iniTipo", qstr(F.col("o_orderstatus"))),
@@ -184,7 +187,7 @@ def initiative_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                ("iniAutorGruposParlamentares", _obj(("pt_gov_ar_objectos_AutoresGruposParlamentaresOut",
                                                      obj_or_array(gp)))),
                ("iniAutorDeputados", _obj(("pt_gov_ar_objectos_iniciativas_AutoresDeputadosOut",
-                                           obj_or_array(F.transform("items", lambda x: x["author"]))))),
+                                           obj_or_array(F.col("items")["author"])))),
                ("iniEventos", _obj(("pt_gov_ar_objectos_iniciativas_EventosOut",
-                                    obj_or_array(F.transform("items", lambda x: x["event"]))))))
+                                    obj_or_array(F.col("items")["event"])))))
     return per_order.select(rec.alias("record"))
