@@ -85,7 +85,7 @@ def member_activity_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                   .agg(F.collect_list(F.struct(rf.alias("rf"), rec.alias("rec"))).alias("recs")))
 
     def typed(flag: str) -> Column:
-        return F.transform(F.filter("recs", lambda x: x["rf"] == flag), lambda x: x["rec"])
+        return F.filter("recs", lambda x: x["rf"] == flag)["rec"]
 
     def entry(flag: str, key: str, wrap) -> Column:
         items = typed(flag)
