@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vigil.functions.arrays import breadcrumb_dirs, path_join
+from vigil.functions.text import extract_between, normalize_file_name
 from vigil.session import ensure_checkpoint_dir
 from vigil.sources.pages import page_links, resolve, without_fragment
 
@@ -58,3 +60,19 @@ def expand_frontier(pages: DataFrame, seeds: DataFrame, max_rounds: int = 10) ->
         reached = reached.unionByName(new).checkpoint()
         current = new
     return reached
+
+
+def manifest_rows(pages: DataFrame, crumbs: str, links: str, crawl_time, root: str = "data",
+                  download: str = "json.txt", url: str = "url") -> DataFrame:
+    """Crawl-manifest rows (crawl_time, file_path, parent_url, file_url) for
+    the download links of each page: the page's breadcrumb texts give the
+    directory (slugged, home entry and trailing number removed), each link's
+    ``fich=`` marker gives the file name. ``crawl_time`` is a Column (inject a
+    literal for reproducible runs)."""
+    directory = path_join(breadcrumb_dirs(crumbs))
+    rows = (pages.select(F.col(url).alias("parent_url"), directory.alias("_dir"),
+                         F.explode(F.filter(links, lambda h: h.contains(download))).alias("file_url")))
+    name = normalize_file_name(extract_between("file_url", "fich=", "&Inline=true"))
+    return rows.select(crawl_time.alias("crawl_time"),
+                       F.concat_ws("/", F.lit(root), F.col("_dir"), name).alias("file_path"),
+                       "parent_url", "file_url")

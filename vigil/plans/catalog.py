@@ -30,6 +30,8 @@ from vigil.sources.html_select import select_in_blocks
 from vigil.sources.pages import page_links, page_title
 
 Q = Callable[[SparkSession, str], DataFrame]
+_CRAWL_TS = "2024-01-01 00:00:00"
+_DOWNLOAD_TS = "2024-01-02 00:00:00"
 QUERIES: dict[str, Q] = {}
 ORACLE: dict[str, str] = {}
 
@@ -642,9 +644,32 @@ def q_breadcrumb_path(spark, sf):
     return p.select("page_id", A.path_join(A.breadcrumb_dirs("crumbs")).alias("dir_path"))
 
 
+@query("crawl_manifest", f"""
+WITH a AS (SELECT page_id, url, list_concat([regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)],
+                  [' Início ', '>', regexp_replace(regexp_extract(url, '^https?://([^/?#]+)', 1), '\\.', ' ', 'g'),
+                  ' > ', 'XV  Legislatura ' || upper(regexp_extract(url, '^https?://[^/]+/([a-z]{{2}})/', 1)),
+                  ' > ', 'Número ' || CAST(page_id AS VARCHAR)]) AS arr,
+                  {_FICH_SQL} AS file_url FROM pages),
+c AS (SELECT page_id, url, file_url, list_transform(list_filter(arr, lambda x: {_trim_sql("replace(x, '>', '')")} <> ''),
+                                     lambda x: {_CLEAN_SQL.format(x="x")}) AS c FROM a),
+r AS (SELECT page_id, url, file_url, CASE WHEN list_position(c, 'inicio') IS NULL THEN c
+             ELSE list_concat(c[1:list_position(c, 'inicio') - 1], c[list_position(c, 'inicio') + 1:]) END AS r
+      FROM c),
+d AS (SELECT page_id, url, file_url, CASE WHEN starts_with(r[-1], 'numero') THEN r[1:len(r) - 1] ELSE r END AS d FROM r)
+SELECT TIMESTAMP '{_CRAWL_TS}' AS crawl_time,
+       'data/' || array_to_string(d, '/') || '/' || lower(replace(replace(replace(
+           regexp_extract(file_url, 'fich=(.*?)&Inline=true', 1), '_json.txt', '.json'), '.json.txt', '.json'),
+           '%c3%ba', 'u')) AS file_path,
+       url AS parent_url, file_url
+FROM d""")
+def q_crawl_manifest(spark, sf):
+    """Manifest rows of the crawl: breadcrumb directory + file name per download link."""
+    p = load(spark, sf, "pages").select("url", _crumbs_spark().alias("crumbs"),
+                                        F.array(_FICH_SPARK()).alias("links"))
+    return frontier.manifest_rows(p, "crumbs", "links", F.to_timestamp_ntz(F.lit(_CRAWL_TS)))
+
+
 # --------------------------------------------------------------- manifests
-_CRAWL_TS = "2024-01-01 00:00:00"
-_DOWNLOAD_TS = "2024-01-02 00:00:00"
 
 
 def _manifest_spark(spark, sf):
