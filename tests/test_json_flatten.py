@@ -227,3 +227,15 @@ def test_initiative_quarantine(spark):
     assert [r.id for r in good.collect()] == ["1/P/XV/1"]
     assert sorted(r.error_reason for r in bad.collect()) == [
         "missing events list", "missing keys: iniTitulo", "record is not an object"]
+
+
+def test_empty_list_payload_has_no_rows_and_scalar_is_quarantined(spark):
+    doc = _member("1", "X", "P", {"sioDes": "s"}, {
+        "actP": _w([]),
+        "req": _w("not a record"),
+        "eventos": _w({"actId": "9", "tevTp": "E", "cmsAb": "c", "actLg": "L", "actDtent": "2023-01-01",
+                       "actAs": "d"})})
+    df = spark.createDataFrame([(json.dumps(doc),)], "record string")
+    good, bad = flatten_activity(df)
+    assert [r.act_id for r in good.collect()] == ["9"]
+    assert [(r.src_key, r.error_reason) for r in bad.collect()] == [("req", "empty or malformed activity payload")]

@@ -171,7 +171,10 @@ def flatten_activity(members: DataFrame, record: str = "record", keep: tuple[str
     as string formatting produced; None gives NULL ids instead)."""
     groups = unwrap_records(explode_activity_groups(members, record, keep), "payload", "_recs")
     acts = groups.select(*[c for c in groups.columns if c not in ("payload", "_recs")],
-                         F.posexplode_outer("_recs").alias("act_pos", "_m"))
+                         # an empty list has no activities; a payload that is neither
+                         # object nor list keeps one NULL row for the quarantine
+                         F.posexplode(F.coalesce(F.col("_recs"), F.array(
+                             F.lit(None).cast("map<string,string>")))).alias("act_pos", "_m"))
     m = F.col("_m")
     code = F.col("act_type")
     spec = _spec_maps()
