@@ -23,7 +23,7 @@ def land_activity(spark: SparkSession, paths: str | list[str], out: str, quarant
     ``partition_by`` (e.g. ``("act_type",)``) the table is written in
     directories per value, so reads filtered on it prune whole directories."""
     recs = records(read_documents(spark, paths), ACTIVITY_ROOT,
-                   repartition=partitions or spark.sparkContext.defaultParallelism)
+                   repartition=partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
     good, bad = flatten_activity(recs, keep=("source_file",))
     w = good.write.mode("overwrite")
     if partition_by:
@@ -37,7 +37,7 @@ def land_initiatives(spark: SparkSession, paths: str | list[str], out: str,
     """Initiative JSON exports -> Parquet table (+ quarantine of records that
     lack mandatory keys, when ``quarantine_out`` is given)."""
     recs = records(read_documents(spark, paths), INITIATIVE_ROOT,
-                   repartition=partitions or spark.sparkContext.defaultParallelism)
+                   repartition=partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
     good, bad = split_initiatives(recs, keep=("source_file",))
     good.write.mode("overwrite").parquet(out)
     if quarantine_out:
