@@ -239,3 +239,16 @@ def test_empty_list_payload_has_no_rows_and_scalar_is_quarantined(spark):
     good, bad = flatten_activity(df)
     assert [r.act_id for r in good.collect()] == ["9"]
     assert [(r.src_key, r.error_reason) for r in bad.collect()] == [("req", "empty or malformed activity payload")]
+
+
+def test_member_without_activity_list_is_quarantined(spark):
+    ok = _member("1", "A", "P", {"sioDes": "s"}, {})               # empty list: nothing, no problem
+    broken = _member("2", "B", "P", {"sioDes": "s"}, {})
+    broken.pop("AtividadeDeputadoList")
+    listy = _member("3", "C", "P", {"sioDes": "s"}, {})
+    listy["AtividadeDeputadoList"]["pt_gov_ar_wsar_objectos_ActividadeOut"] = [1, 2]
+    df = spark.createDataFrame([(json.dumps(x),) for x in (ok, broken, listy)], "record string")
+    good, bad = flatten_activity(df)
+    assert good.count() == 0
+    assert sorted((r.mp_id, r.error_reason) for r in bad.collect()) == [
+        ("2", "activity list missing or not an object"), ("3", "activity list missing or not an object")]

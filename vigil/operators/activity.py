@@ -130,6 +130,21 @@ def member_fields(parsed: str = "_r") -> list[Column]:
             F.get_json_object(F.try_element_at(st, F.lit(-1)), "$.sioDes").alias("mp_status")]
 
 
+def _activity_map(parsed: str) -> Column:
+    return F.col(parsed)["AtividadeDeputadoList"]["pt_gov_ar_wsar_objectos_ActividadeOut"]
+
+
+def member_problems(members: DataFrame, record: str = "record", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Members whose activity list is missing or not an object (the source
+    stopped on these); an empty list is not a problem."""
+    parsed = members.select(*keep, F.from_json(record, MEMBER_SCHEMA).alias("_r"))
+    return (parsed.where(_activity_map("_r").isNull())
+            .select(*keep, *member_fields("_r")[:2], F.lit(None).cast("string").alias("src_key"),
+                    F.lit(None).cast("string").alias("act_type"), F.lit(None).cast("string").alias("act"),
+                    F.when(F.col("_r").isNull(), F.lit("member record is not an object"))
+                     .otherwise(F.lit("activity list missing or not an object")).alias("error_reason")))
+
+
 def explode_activity_groups(members: DataFrame, record: str = "record",
                             keep: tuple[str, ...] = ()) -> DataFrame:
     """(member fields, act_type, payload) per non-empty, non-skipped type;
@@ -137,9 +152,7 @@ def explode_activity_groups(members: DataFrame, record: str = "record",
     ``act_type`` NULL and ``src_key`` for the quarantine). Each member record
     is parsed once."""
     parsed = members.select(*keep, F.from_json(record, MEMBER_SCHEMA).alias("_r"))
-    m = parsed.select(*keep, *member_fields("_r"),
-                      F.explode(F.col("_r")["AtividadeDeputadoList"]["pt_gov_ar_wsar_objectos_ActividadeOut"])
-                      .alias("src_key", "payload"))
+    m = parsed.select(*keep, *member_fields("_r"), F.explode(_activity_map("_r")).alias("src_key", "payload"))
     m = m.where(F.col("payload").isNotNull() & ~F.col("src_key").isin(SKIP_KEYS))
     # The reporter container holds up to four typed sub-containers: its
     # entries are spread into (sub key, payload) pairs in the same explode
@@ -230,5 +243,6 @@ def flatten_activity(members: DataFrame, record: str = "record", keep: tuple[str
                                        F.coalesce(F.col("act_dar"), F.lit(""))), 256).alias("act_key")))
     bad = (typed.where(F.col("error_reason").isNotNull())
            .select(*keep, "mp_id", "mp_name", "src_key", "act_type", F.to_json("_m").alias("act"),
-                   "error_reason"))
+                   "error_reason")
+           .unionByName(member_problems(members, record, keep)))
     return good, bad
