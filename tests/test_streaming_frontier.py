@@ -86,3 +86,15 @@ def test_landed_file_stream_skips_seen_bytes(spark, tmp_path):
     ingest_available(landed_file_stream(spark, str(land), "*.json"), sink, ckpt)
     got = spark.read.parquet(sink)
     assert got.count() == 3 and got.where("path like '%x_copy.json'").count() == 0
+
+
+def test_resolve_link_forms(spark):
+    from vigil.sources.pages import resolve
+    rows = [("https://a.example.org/x/y.html?q=1#f", "//cdn.example.net/z#k"),
+            ("https://a.example.org/x/y.html?q=1#f", "/root"),
+            ("https://a.example.org/x/y.html?q=1#f", "rel/p"),
+            ("https://a.example.org/x/y.html?q=1#f", "mailto:someone@example.org")]
+    df = spark.createDataFrame(rows, "url string, href string")
+    assert [r[0] for r in df.select(resolve("href", "url")).collect()] == [
+        "https://cdn.example.net/z", "https://a.example.org/root", "https://a.example.org/x/rel/p",
+        "mailto:someone@example.org"]

@@ -559,6 +559,7 @@ def q_page_block_text(spark, sf):
 
 
 _RESOLVE_SQL = """CASE WHEN regexp_matches(h, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN regexp_replace(h, '#.*$', '')
+     WHEN starts_with(h, '//') THEN regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*:)', 1) || regexp_replace(h, '#.*$', '')
      WHEN starts_with(h, '/') THEN regexp_extract(url, '^(https?://[^/?#]+)', 1) || regexp_replace(h, '#.*$', '')
      ELSE regexp_replace(regexp_replace(regexp_replace(url, '\\?.*$', ''), '#.*$', ''), '[^/]*$', '')
           || regexp_replace(h, '#.*$', '') END"""

@@ -50,11 +50,14 @@ def without_fragment(url: str | Column) -> Column:
 
 
 def resolve(href: str | Column, base_url: str | Column) -> Column:
-    """Absolute URL of a link: absolute hrefs as is, site-relative ('/x')
-    against the page origin, others against the page URL's directory."""
+    """Absolute URL of a link: absolute hrefs as is, protocol-relative
+    ('//host/x') with the page's scheme, site-relative ('/x') against the page
+    origin, others against the page URL's directory."""
     h = F.col(href) if isinstance(href, str) else href
     b = F.col(base_url) if isinstance(base_url, str) else base_url
     base_dir = F.regexp_replace(without_fragment(F.regexp_replace(b, r"\?.*$", "")), r"[^/]*$", "")
     return (F.when(h.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:"), without_fragment(h))
+             .when(h.startswith("//"), F.concat(F.regexp_extract(b, "^([a-zA-Z][a-zA-Z0-9+.-]*:)", 1),
+                                                without_fragment(h)))
              .when(h.startswith("/"), F.concat(origin(b), without_fragment(h)))
              .otherwise(F.concat(base_dir, without_fragment(h))))
