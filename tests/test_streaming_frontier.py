@@ -98,3 +98,10 @@ def test_resolve_link_forms(spark):
     assert [r[0] for r in df.select(resolve("href", "url")).collect()] == [
         "https://cdn.example.net/z", "https://a.example.org/root", "https://a.example.org/x/rel/p",
         "mailto:someone@example.org"]
+
+
+def test_href_regex_tolerates_case_and_spacing(spark):
+    from vigil.sources.pages import page_links
+    html = '<A HREF="/x">x</A><a\n class="k"  href = "/y">y</a><abbr href="/no">z</abbr>'
+    df = spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string")
+    assert [r.href for r in page_links(df).orderBy("link_pos").collect()] == ["/x", "/y"]

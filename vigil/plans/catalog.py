@@ -515,7 +515,7 @@ def q_dedup_by_content(spark, sf):
 @query("page_links", """
 SELECT page_id, url, CAST(i - 1 AS INTEGER) AS link_pos, hs[i] AS href FROM (
   SELECT page_id, url, hs, generate_subscripts(hs, 1) AS i FROM (
-    SELECT page_id, url, regexp_extract_all(html, '<a [^>]*href="([^"]*)"', 1) AS hs FROM pages))""")
+    SELECT page_id, url, regexp_extract_all(html, '(?i)<a\\s[^>]*?href\\s*=\\s*"([^"]*)"', 1) AS hs FROM pages))""")
 def q_page_links(spark, sf):
     return page_links(load(spark, sf, "pages"))
 
@@ -524,7 +524,7 @@ def q_page_links(spark, sf):
 SELECT page_id, CAST(i - 1 AS INTEGER) AS link_pos, hs[i] AS href,
        contains(hs[i], '.') AS to_follow, contains(hs[i], ',') AS to_download FROM (
   SELECT page_id, hs, generate_subscripts(hs, 1) AS i FROM (
-    SELECT page_id, regexp_extract_all(html, '<a [^>]*href="([^"]*)"', 1) AS hs FROM pages))""")
+    SELECT page_id, regexp_extract_all(html, '(?i)<a\\s[^>]*?href\\s*=\\s*"([^"]*)"', 1) AS hs FROM pages))""")
 def q_page_link_classify(spark, sf):
     links = page_links(load(spark, sf, "pages"), keep=("page_id",))
     return frontier.classify_links(links, follow=".", download=",")
@@ -533,7 +533,7 @@ def q_page_link_classify(spark, sf):
 @query("filter_eq_nonascii", """
 SELECT page_id, url, CAST(i - 1 AS INTEGER) AS link_pos, hs[i] AS href FROM (
   SELECT page_id, url, hs, generate_subscripts(hs, 1) AS i FROM (
-    SELECT page_id, url, regexp_extract_all(html, '<a [^>]*href="([^"]*)"', 1) AS hs FROM pages))
+    SELECT page_id, url, regexp_extract_all(html, '(?i)<a\\s[^>]*?href\\s*=\\s*"([^"]*)"', 1) AS hs FROM pages))
 WHERE hs[i] = '/èê'""")
 def q_filter_eq_nonascii(spark, sf):
     """String equality with a non-ASCII literal (the accented-subtype filter)."""
@@ -544,7 +544,7 @@ def q_filter_eq_nonascii(spark, sf):
 SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, hs[i] AS value FROM (
   SELECT page_id, hs, generate_subscripts(hs, 1) AS i FROM (
     SELECT page_id, regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1),
-                                       '<a [^>]*href="([^"]*)"', 1) AS hs FROM pages))""")
+                                       '(?i)<a\\s[^>]*?href\\s*=\\s*"([^"]*)"', 1) AS hs FROM pages))""")
 def q_page_block_links(spark, sf):
     return select_in_blocks(load(spark, sf, "pages"), "nav", want="href")
 
@@ -566,7 +566,7 @@ _RESOLVE_SQL = """CASE WHEN regexp_matches(h, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN
 
 
 @query("frontier_expand", f"""
-WITH l AS (SELECT url, unnest(regexp_extract_all(html, '<a [^>]*href="([^"]*)"', 1)) AS h FROM pages),
+WITH l AS (SELECT url, unnest(regexp_extract_all(html, '(?i)<a\\s[^>]*?href\\s*=\\s*"([^"]*)"', 1)) AS h FROM pages),
 t AS (SELECT DISTINCT {_RESOLVE_SQL} AS url FROM l)
 SELECT url FROM t WHERE url NOT IN (SELECT regexp_replace(url, '#.*$', '') FROM pages)""")
 def q_frontier_expand(spark, sf):
@@ -577,11 +577,11 @@ def q_frontier_expand(spark, sf):
 @query("frontier_rounds", f"""
 WITH pg AS (SELECT regexp_replace(url, '#.*$', '') AS url, html FROM pages),
 r0 AS (SELECT DISTINCT url FROM pg),
-l0 AS (SELECT pg.url, unnest(regexp_extract_all(pg.html, '<a [^>]*href="([^"]*)"', 1)) AS h
+l0 AS (SELECT pg.url, unnest(regexp_extract_all(pg.html, '(?i)<a\\s[^>]*?href\\s*=\\s*"([^"]*)"', 1)) AS h
        FROM pg WHERE pg.url IN (SELECT url FROM r0)),
 r1 AS (SELECT DISTINCT {_RESOLVE_SQL} AS url FROM l0
        EXCEPT SELECT url FROM r0),
-l1 AS (SELECT pg.url, unnest(regexp_extract_all(pg.html, '<a [^>]*href="([^"]*)"', 1)) AS h
+l1 AS (SELECT pg.url, unnest(regexp_extract_all(pg.html, '(?i)<a\\s[^>]*?href\\s*=\\s*"([^"]*)"', 1)) AS h
        FROM pg WHERE pg.url IN (SELECT url FROM r1)),
 r2 AS (SELECT DISTINCT {_RESOLVE_SQL} AS url FROM l1
        EXCEPT SELECT url FROM r0 EXCEPT SELECT url FROM r1)

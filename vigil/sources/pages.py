@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HREF_RE = r'<a [^>]*href="([^"]*)"'
+HREF_RE = r'(?i)<a\s[^>]*?href\s*=\s*"([^"]*)"'
 TITLE_RE = r"(?is)<title[^>]*>(.*?)</title>"
 ORIGIN_RE = r"^(https?://[^/?#]+)"
 
