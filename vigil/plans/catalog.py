@@ -19,7 +19,7 @@ from vigil.functions import jsonx as J
 from vigil.functions import text as T
 from vigil.operators import coauthor, frontier, histogram, layout, manifest, quality
 from vigil.operators.activity import flatten_activity
-from vigil.operators.initiative import flatten_initiatives
+from vigil.operators.initiative import flatten_initiatives, split_initiatives
 from vigil.operators.lookup import map_with_default
 from vigil.operators.sequence import runs
 from vigil.plans import derived
@@ -357,6 +357,15 @@ def q_initiative_flatten(spark, sf):
     return flatten_initiatives(derived.initiative_records(spark, sf))
 
 
+@query("initiative_quarantine", """
+SELECT CAST(o_orderkey AS VARCHAR) AS id, 'missing keys: iniTitulo' AS error_reason FROM orders
+WHERE o_orderstatus = 'P' AND o_orderkey IN (SELECT l_orderkey FROM lineitem)""")
+def q_initiative_quarantine(spark, sf):
+    """Records without a mandatory key go to the quarantine, not the table."""
+    _good, bad = split_initiatives(derived.initiative_records(spark, sf, untitled_status="P"))
+    return bad.select(J.path("record", "$.iniNr").alias("id"), "error_reason")
+
+
 @query("latest_status", """
 SELECT conv_id, role AS last_role FROM (
   SELECT conv_id, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS rn

@@ -132,7 +132,8 @@ def optional_key_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("p_partkey", rec.alias("record"))
 
 
-def initiative_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def initiative_records(spark: SparkSession, sf_dir: str,
+                       untitled_status: str | None = None) -> DataFrame:
     """(record) per order, shaped like an initiative record.
 
     Order fields give id parts and a title with padding, a literal backslash-n
@@ -140,7 +141,9 @@ def initiative_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     parties (distinct return flags) and one event each: status O -> entry
     event; status F -> publication event ('Votação Deliberação' for flag A),
     with publication data unless the flag is N; one publication (with pages
-    when quantity > 10) or two when quantity > 25.
+    when quantity > 10) or two when quantity > 25. Orders whose status equals
+    ``untitled_status`` are packed without a title (a record the parser must
+    quarantine).
     """
     li = load(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
@@ -180,8 +183,13 @@ def initiative_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                  "\u0001")
     title = F.concat(F.lit("  "), F.col("o_orderpriority"), F.lit("\\nOrder"), F.lit("\n"),
                      F.lit("text  "))
+    # the title member is optional: it is emitted right after iniSel's value
+    # (as ',"iniTitulo":...') or left out
+    title_field = F.concat(F.lit(',"iniTitulo":'), jstr(title))
+    if untitled_status is not None:
+        title_field = F.when(F.col("o_orderstatus") == untitled_status, F.lit("")).otherwise(title_field)
     rec = _obj(("iniNr", qstr(F.col("o_orderkey"))), ("iniTipo", qstr(F.col("o_orderstatus"))),
-               ("iniLeg", F.lit('"XV"')), ("iniSel", F.lit('"1"')), ("iniTitulo", jstr(title)),
+               ("iniLeg", F.lit('"XV"')), ("iniSel", F.concat(F.lit('"1"'), title_field)),
                ("iniLinkTexto", qstr(F.concat(F.lit("https://files.example.org/ini/"),
                                               F.col("o_orderkey").cast("string")))),
                ("iniAutorGruposParlamentares", _obj(("pt_gov_ar_objectos_AutoresGruposParlamentaresOut",
