@@ -366,6 +366,16 @@ def q_initiative_quarantine(spark, sf):
     return bad.select(J.path("record", "$.iniNr").alias("id"), "error_reason")
 
 
+@query("activity_quarantine", """
+SELECT CAST(l.l_orderkey AS VARCHAR) AS mp_id, 'actP' AS src_key, 'missing keys: actAs' AS error_reason
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey
+WHERE l.l_returnflag = 'A' AND l.l_linestatus = 'O'""")
+def q_activity_quarantine(spark, sf):
+    """Activities without a mandatory key go to the quarantine, not the table."""
+    _good, bad = flatten_activity(derived.member_activity_records(spark, sf, no_desc_status="O"))
+    return bad.select("mp_id", "src_key", "error_reason")
+
+
 @query("latest_status", """
 SELECT conv_id, role AS last_role FROM (
   SELECT conv_id, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS rn

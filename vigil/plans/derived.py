@@ -49,13 +49,16 @@ def order_item_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                          ("items", _obj(("Item", obj_or_array(F.col("items")))))).alias("doc"))
 
 
-def member_activity_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def member_activity_records(spark: SparkSession, sf_dir: str,
+                            no_desc_status: str | None = None) -> DataFrame:
     """(record) per order, shaped like a member-activity record.
 
     member = order (id, 'Cust#<custkey>', party = priority, status list when
     the order status is F); activities = its lineitems, keyed by return flag:
     A -> 'actP', N -> 'req', R -> reporter container 'rel' /
     'relatoresIniciativas'; plus a skipped 'cms' entry and an empty 'eventos'.
+    'actP' records of lineitems whose status equals ``no_desc_status`` lack
+    their mandatory description key (records the parser must quarantine).
     """
     li = load(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
@@ -67,7 +70,9 @@ def member_activity_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     par = F.to_json(F.struct(s("l_partkey").alias("actId"), F.col("l_linestatus").alias("actTpdesc"),
                              s("l_linenumber").alias("actNr"), s("l_suppkey").alias("actSelLg"),
                              day.alias("actDtent"),
-                             F.concat(F.lit('"'), F.col("p_name"), F.lit('"')).alias("actAs")))
+                             (F.concat(F.lit('"'), F.col("p_name"), F.lit('"')) if no_desc_status is None
+                              else F.when(F.col("l_linestatus") != no_desc_status,
+                                          F.concat(F.lit('"'), F.col("p_name"), F.lit('"')))).alias("actAs")))
     req = F.to_json(F.struct(s("l_partkey").alias("reqId"), F.col("l_linestatus").alias("reqPerTp"),
                              s("l_linenumber").alias("reqNr"), s("l_suppkey").alias("reqLg"),
                              F.col("l_quantity").cast("long").cast("string").alias("reqSl"),
