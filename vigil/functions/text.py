@@ -49,13 +49,19 @@ def _latin_translation() -> tuple[str, str]:
 
 
 _TR_SRC, _TR_DST = _latin_translation()
+# fixed values with a one-character result join the single translate pass;
+# only the longer ones need their own replace pass over the text
+_ONE = {k: v for k, v in MULTI_CHAR_ASCII.items() if len(v) == 1}
+_TR_SRC += "".join(_ONE)
+_TR_DST += "".join(_ONE.values())
+_LONGER = {k: v for k, v in MULTI_CHAR_ASCII.items() if len(v) > 1}
 
 
 def fold_to_ascii(col) -> Column:
     """Transliterate Latin letters to ASCII (accents removed, ligatures
     expanded); other characters pass through unchanged."""
     c = _c(col)
-    for k, v in MULTI_CHAR_ASCII.items():
+    for k, v in _LONGER.items():
         c = F.replace(c, F.lit(k), F.lit(v))
     return F.translate(c, _TR_SRC, _TR_DST)
 
