@@ -99,3 +99,25 @@ def test_full_unicode_fold_udf(spark):
     vals = ["Início ß", "Ελλάδα x", "ﬁne", None]
     got = _run(spark, T.fold_to_ascii_any, vals)
     assert got == ["Inicio ss", " x", "fine", None]
+
+
+def test_numeric_character_references_match_html_unescape(spark):
+    import html
+    vals = ["caf&#233; &#xE9;t&#XE9; &#128512;!", "no refs here", "&#65;&#66;&#x43;", "&amp;#233; stays",
+            "broken &#; and &#x; refs", ""]
+    got = _run(spark, T.decode_entities, vals)
+    assert got[0] == html.unescape(vals[0]) and got[2] == "ABC" and got[1] == vals[1]
+    assert got[3] == "&#233; stays" and got[4] == vals[4] and got[5] == ""
+    assert _run(spark, T.decode_numeric_refs, ["&#1114112; &#55296;"]) == ["� �"]
+
+
+def test_numeric_refs_spark_equals_duckdb_oracle(spark):
+    import duckdb
+    from vigil.plans.catalog import _entities_sql, _numeric_refs_sql
+    vals = ["caf&#233; &#xE9;t &#128512; &amp;#233; &#1114112; x&#65;", "plain", "&lt;&#62;&gt;"]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t(i INTEGER, x VARCHAR)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", list(enumerate(vals)))
+    sql = f"SELECT i, {_entities_sql(_numeric_refs_sql('x'))} FROM t ORDER BY i"
+    ref = [r[1] for r in con.sql(sql).fetchall()]
+    assert _run(spark, T.decode_entities, vals) == ref

@@ -151,9 +151,35 @@ HTML_ENTITIES = [
 ]
 
 
-def decode_entities(col) -> Column:
-    """Replace the named character references above by their characters."""
+NUMERIC_REF = r"&#[0-9]+;|&#[xX][0-9a-fA-F]+;"
+
+
+def decode_numeric_refs(col) -> Column:
+    """Decode numeric character references (``&#233;``, ``&#xE9;``) to their
+    characters: the text is split around the references, each reference's
+    code point is decoded from its UTF-32 bytes, and the pieces are zipped
+    back together — all JVM-side. Code points beyond U+10FFFF or in the
+    surrogate range become U+FFFD."""
     c = _c(col)
+    pieces = F.split(c, NUMERIC_REF, -1)
+    refs = F.regexp_extract_all(c, F.lit(NUMERIC_REF), 0)
+
+    def one(ref):
+        is_hex = F.substring(ref, 3, 1).isin("x", "X")
+        digits = F.regexp_extract(ref, r"&#[xX]?([0-9a-fA-F]+);", 1)
+        cp = F.when(is_hex, F.conv(digits, 16, 10)).otherwise(digits).cast("decimal(38,0)")
+        valid = (cp > 0) & (cp <= 0x10FFFF) & ~cp.between(0xD800, 0xDFFF)
+        ch = F.decode(F.unhex(F.lpad(F.conv(cp.cast("string"), 10, 16), 8, "0")), "UTF-32")
+        return F.when(valid, ch).otherwise(F.lit("\ufffd"))
+
+    body = F.array_join(F.zip_with(F.slice(pieces, 1, F.size(refs)), F.transform(refs, one),
+                                   lambda p, ch: F.concat(p, ch)), "")
+    return F.when(c.contains("&#"), F.concat(body, F.element_at(pieces, -1))).otherwise(c)
+
+
+def decode_entities(col) -> Column:
+    """Decode numeric character references, then the named references above."""
+    c = decode_numeric_refs(col)
     for k, v in HTML_ENTITIES:
         c = F.replace(c, F.lit(k), F.lit(v))
     return c

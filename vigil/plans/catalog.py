@@ -512,7 +512,26 @@ def _entities_sql(x: str) -> str:
     return x
 
 
-@query("decode_entities", f"SELECT page_id, {_entities_sql(_TAGS_SQL)} AS body_text FROM pages")
+def _numeric_refs_sql(x: str) -> str:
+    """Numeric character references decoded in DuckDB SQL (split around the
+    references, code point -> chr, zip back)."""
+    pat = T.NUMERIC_REF
+    cp = ("(CASE WHEN lower(substr(r, 3, 1)) = 'x' "
+          "THEN CAST(('0x' || regexp_extract(r, '&#[xX]([0-9a-fA-F]+);', 1)) AS HUGEINT) "
+          "ELSE CAST(regexp_extract(r, '&#([0-9]+);', 1) AS HUGEINT) END)")
+    ch = (f"(CASE WHEN {cp} > 0 AND {cp} <= 1114111 AND NOT ({cp} BETWEEN 55296 AND 57343) "
+          f"THEN chr(CAST({cp} AS INTEGER)) ELSE chr(65533) END)")
+    return (f"CASE WHEN contains({x}, '&#') THEN "
+            f"array_to_string(list_transform(range(1, len(regexp_extract_all({x}, '{pat}')) + 1), "
+            f"lambda i: string_split_regex({x}, '{pat}')[i] || "
+            f"list_transform([regexp_extract_all({x}, '{pat}')[i]], lambda r: {ch})[1]), '') "
+            f"|| string_split_regex({x}, '{pat}')[-1] ELSE {x} END")
+
+
+@query("decode_entities", f"""
+WITH s AS (SELECT page_id, {_TAGS_SQL} AS x FROM pages),
+n AS (SELECT page_id, {_numeric_refs_sql("x")} AS x FROM s)
+SELECT page_id, {_entities_sql("x")} AS body_text FROM n""")
 def q_decode_entities(spark, sf):
     return load(spark, sf, "pages").select(
         "page_id", T.decode_entities(T.strip_html("html")).alias("body_text"))
