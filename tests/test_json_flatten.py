@@ -252,3 +252,16 @@ def test_member_without_activity_list_is_quarantined(spark):
     assert good.count() == 0
     assert sorted((r.mp_id, r.error_reason) for r in bad.collect()) == [
         ("2", "activity list missing or not an object"), ("3", "activity list missing or not an object")]
+
+
+def test_clean_html_option(spark):
+    doc = _member("1", "X", "P", {"sioDes": "s"}, {
+        "actP": _w({"actId": "1", "actTpdesc": "t", "actNr": "1", "actSelLg": "L", "actDtent": "2023-01-01",
+                    "actAs": '"<p>Voto de pesar &amp; louvor: S&#227;o <b>Tom&eacute</b></p>"'})})
+    df = spark.createDataFrame([(json.dumps(doc),)], "record string")
+    raw = flatten_activity(df)[0].first().act_desc
+    clean = flatten_activity(df, clean_html=True)[0].first().act_desc
+    assert raw.startswith("<p>Voto") and clean == "Voto de pesar & louvor: São Tom&eacute"
+    ini = _ini("1", events=[{"fase": "Entrada", "dataFase": "d"}], title="<i>Projeto</i> &#8211; lei")
+    idf = spark.createDataFrame([(json.dumps(ini),)], "record string")
+    assert flatten_initiatives(idf, clean_html=True).first().title == "Projeto – lei"

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.jsonx import json_array, json_map, unwrap_records
-from vigil.functions.text import dequote, first_token
+from vigil.functions.text import decode_entities, dequote, first_token, strip_html
 
 # Source key -> activity code for the renamed types.
 TYPE_CODES = {"actP": "par", "audicoes": "adt", "audiencias": "adc",
@@ -177,11 +177,14 @@ def explode_activity_groups(members: DataFrame, record: str = "record",
 
 
 def flatten_activity(members: DataFrame, record: str = "record", keep: tuple[str, ...] = (),
-                     null_text: str | None = "None") -> tuple[DataFrame, DataFrame]:
+                     null_text: str | None = "None",
+                     clean_html: bool = False) -> tuple[DataFrame, DataFrame]:
     """Member records -> (activities, quarantine).
 
     ``null_text`` is what a NULL part of ``act_dar`` is written as ('None',
-    as string formatting produced; None gives NULL ids instead)."""
+    as string formatting produced; None gives NULL ids instead). With
+    ``clean_html`` the description loses HTML tags and its character
+    references are decoded."""
     groups = unwrap_records(explode_activity_groups(members, record, keep), "payload", "_recs")
     acts = groups.select(*[c for c in groups.columns if c not in ("payload", "_recs")],
                          # an empty list has no activities; a payload that is neither
@@ -226,7 +229,7 @@ def flatten_activity(members: DataFrame, record: str = "record", keep: tuple[str
          .alias("act_subtype"),
         dar.alias("act_dar"),
         date.alias("act_date"),
-        dequote(desc).alias("act_desc"),
+        (decode_entities(strip_html(dequote(desc))) if clean_html else dequote(desc)).alias("act_desc"),
         F.array_except(required, F.coalesce(F.map_keys(m), F.array().cast("array<string>")))
          .alias("_missing"))
     reason = (F.when(code.isNull(), F.concat(F.lit("unknown activity type: "), F.col("src_key")))

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from vigil.functions.arrays import last_matching
 from vigil.functions.jsonx import is_array, json_records
-from vigil.functions.text import dar_category, format_id, strip, title_clean
+from vigil.functions.text import (dar_category, decode_entities, format_id, strip, strip_html,
+                                  title_clean)
 
 INITIATIVE_ROOT = ("ArrayOfPt_gov_ar_objectos_iniciativas_DetalhePesquisaIniciativasOut"
                    ".pt_gov_ar_objectos_iniciativas_DetalhePesquisaIniciativasOut")
@@ -48,11 +49,12 @@ def _pub_ref(p: Column) -> Column:
 
 
 def flatten_initiatives(records: DataFrame, record: str = "record",
-                        keep: tuple[str, ...] = ()) -> DataFrame:
+                        keep: tuple[str, ...] = (), clean_html: bool = False) -> DataFrame:
     """Initiative records -> one row each. The record is parsed once into a
     struct; the object-or-array parts (parties, authors, events, publications)
     are parsed once each into ``array<map<string,string>>``; each stage is
-    its own projection so no parse is repeated."""
+    its own projection so no parse is repeated. With ``clean_html`` the title
+    loses HTML tags and its character references are decoded."""
     r = records.select(*keep, F.from_json(record, INITIATIVE_SCHEMA).alias("_r"))
     parties_raw = F.col("_r")["iniAutorGruposParlamentares"]["pt_gov_ar_objectos_AutoresGruposParlamentaresOut"]
     r = r.select(*keep, "_r",
@@ -76,7 +78,8 @@ def flatten_initiatives(records: DataFrame, record: str = "record",
         *keep,
         format_id(x["iniNr"], x["iniTipo"], x["iniLeg"], x["iniSel"]).alias("id"),
         party.alias("party"),
-        title_clean(x["iniTitulo"]).alias("title"),
+        (decode_entities(strip_html(title_clean(x["iniTitulo"]))) if clean_html
+         else title_clean(x["iniTitulo"])).alias("title"),
         x["iniLinkTexto"].alias("text_url"),
         "entry_date",
         F.when(F.col("_has_pub"),
