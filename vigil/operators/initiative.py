@@ -94,8 +94,8 @@ def flatten_initiatives(records: DataFrame, record: str = "record",
 REQUIRED_KEYS = ["iniNr", "iniTipo", "iniLeg", "iniSel", "iniTitulo", "iniEventos"]
 
 
-def split_initiatives(records: DataFrame, record: str = "record",
-                      keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+def split_initiatives(records: DataFrame, record: str = "record", keep: tuple[str, ...] = (),
+                      clean_html: bool = False) -> tuple[DataFrame, DataFrame]:
     """(initiatives, quarantine): records lacking a mandatory key (id parts,
     title, events, or the events wrapper) go to the quarantine with a reason
     instead of failing the run; the rest are flattened."""
@@ -107,6 +107,6 @@ def split_initiatives(records: DataFrame, record: str = "record",
                .when(F.size(missing) > 0, F.concat(F.lit("missing keys: "), F.array_join(missing, ",")))
                .when(events_raw.isNull(), F.lit("missing events list")))
     tagged = records.withColumn("_reason", reason)
-    good = flatten_initiatives(tagged.where(F.col("_reason").isNull()), record, keep)
+    good = flatten_initiatives(tagged.where(F.col("_reason").isNull()), record, keep, clean_html)
     bad = tagged.where(F.col("_reason").isNotNull()).select(*keep, record, F.col("_reason").alias("error_reason"))
     return good, bad

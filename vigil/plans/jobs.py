@@ -16,7 +16,8 @@ from vigil.sources.nested_json import read_documents, records
 
 
 def land_activity(spark: SparkSession, paths: str | list[str], out: str, quarantine_out: str,
-                  partitions: int | None = None, partition_by: tuple[str, ...] = ()) -> None:
+                  partitions: int | None = None, partition_by: tuple[str, ...] = (),
+                  clean_html: bool = False) -> None:
     """Member-activity JSON exports -> Parquet table + quarantine table.
     Records are spread over ``partitions`` after the whole-file read, so one
     large export file does not keep its records in one task. With
@@ -24,7 +25,7 @@ def land_activity(spark: SparkSession, paths: str | list[str], out: str, quarant
     directories per value, so reads filtered on it prune whole directories."""
     recs = records(read_documents(spark, paths), ACTIVITY_ROOT,
                    repartition=partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
-    good, bad = flatten_activity(recs, keep=("source_file",))
+    good, bad = flatten_activity(recs, keep=("source_file",), clean_html=clean_html)
     w = good.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -33,12 +34,13 @@ def land_activity(spark: SparkSession, paths: str | list[str], out: str, quarant
 
 
 def land_initiatives(spark: SparkSession, paths: str | list[str], out: str,
-                     quarantine_out: str | None = None, partitions: int | None = None) -> None:
+                     quarantine_out: str | None = None, partitions: int | None = None,
+                     clean_html: bool = False) -> None:
     """Initiative JSON exports -> Parquet table (+ quarantine of records that
     lack mandatory keys, when ``quarantine_out`` is given)."""
     recs = records(read_documents(spark, paths), INITIATIVE_ROOT,
                    repartition=partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
-    good, bad = split_initiatives(recs, keep=("source_file",))
+    good, bad = split_initiatives(recs, keep=("source_file",), clean_html=clean_html)
     good.write.mode("overwrite").parquet(out)
     if quarantine_out:
         bad.write.mode("overwrite").parquet(quarantine_out)
