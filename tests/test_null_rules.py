@@ -41,3 +41,12 @@ def test_profiles_count_nulls(spark):
     miss = quality.missing_profile(df.withColumnRenamed("act_subtype", "act_date"), "act_date",
                                    ["act_type"]).collect()
     assert miss[0].n_mp_name == 2 and miss[0].n_act_id == 3
+
+
+def test_approx_distinct_option_close_to_exact(spark):
+    df = spark.range(0, 20000).select((F.col("id") % 3).cast("string").alias("g"),
+                                      (F.col("id") % 5000).alias("v"))
+    exact = {r.g: r.n_distinct for r in quality.distinct_per_group(df, ["g"], "v").collect()}
+    approx = {r.g: r.n_distinct for r in quality.distinct_per_group(df, ["g"], "v", approx=True).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[k] - exact[k]) <= 0.1 * exact[k] for k in exact)
