@@ -77,12 +77,14 @@ d AS (SELECT DISTINCT a.mp_id, a.mp_name, a.mp_party, a.act_id, a.act_type, a.ac
 SELECT mp_party, mp_name, round(sum(act_weight), 6) AS act_weight
 FROM d WHERE mp_party IS NOT NULL GROUP BY mp_party, mp_name"""))
 def q_coauthor_weight(spark, sf):
+    """Co-author-weighted activity score per (party, member) on ACT, ascending."""
     return coauthor.coauthor_weights(activity_rows(spark, sf))
 
 
 @query("coauthor_count", _act_sql(f""", {_COAUTHOR_N_SQL}
 SELECT mp_name, act_id, n_coauthors FROM na"""))
 def q_coauthor_count(spark, sf):
+    """Distinct co-authors (member included) per (member, activity id) on ACT."""
     return coauthor.coauthor_counts(activity_rows(spark, sf))
 
 
@@ -98,6 +100,7 @@ p AS (SELECT act_type, CAST(count(*) AS BIGINT) AS n_member_pairs FROM
 SELECT r.act_type, r.n_pair_rows, coalesce(p.n_member_pairs, 0) AS n_member_pairs
 FROM r LEFT JOIN p ON r.act_type = p.act_type"""))
 def q_coauthor_pairs(spark, sf):
+    """Size of the activity-key self-join per type (row pairs, member pairs), without building it."""
     return coauthor.coauthor_pair_counts(activity_rows(spark, sf))
 
 
@@ -130,6 +133,7 @@ def q_coauthor_weight_events(spark, sf):
 SELECT act_type, act_subtype, CAST(count(DISTINCT act_id) AS BIGINT) AS n_act_id FROM act
 WHERE act_type IS NOT NULL AND act_subtype IS NOT NULL GROUP BY act_type, act_subtype"""))
 def q_subtype_distinct(spark, sf):
+    """Distinct activity ids per (type, subtype); NULL groups dropped."""
     return quality.distinct_per_group(activity_rows(spark, sf), ["act_type", "act_subtype"],
                                       "act_id", out="n_act_id")
 
@@ -141,6 +145,7 @@ SELECT mp_name, CAST(count(act_id) AS BIGINT) AS n_count,
 FROM act WHERE mp_name IS NOT NULL GROUP BY mp_name
 HAVING count(act_id) - count(DISTINCT act_id) > 0"""))
 def q_dup_by_member(spark, sf):
+    """Members whose activity ids repeat: count, distinct count, difference > 0."""
     return quality.count_vs_distinct(activity_rows(spark, sf), "mp_name", "act_id")
 
 
@@ -149,6 +154,7 @@ SELECT mp_id, mp_name, mp_party, act_id, CAST(count(act_desc) AS BIGINT) AS n_de
 WHERE mp_id IS NOT NULL AND mp_name IS NOT NULL AND mp_party IS NOT NULL AND act_id IS NOT NULL
 GROUP BY mp_id, mp_name, mp_party, act_id HAVING count(act_desc) > 2"""))
 def q_dup_by_entity(spark, sf):
+    """(member, party, id) groups with more than two non-null descriptions."""
     return quality.nonnull_count_over(activity_rows(spark, sf),
                                       ["mp_id", "mp_name", "mp_party", "act_id"], "act_desc", 2,
                                       out="n_desc")
@@ -160,6 +166,7 @@ FROM act WHERE mp_id IS NOT NULL AND mp_name IS NOT NULL AND mp_party IS NOT NUL
   AND act_type IS NOT NULL AND act_id IS NOT NULL
 GROUP BY mp_id, mp_name, mp_party, act_type, act_id HAVING count(act_desc) > 1"""))
 def q_dup_by_entity_type(spark, sf):
+    """(member, party, type, id) groups with more than one non-null description."""
     return quality.nonnull_count_over(activity_rows(spark, sf),
                                       ["mp_id", "mp_name", "mp_party", "act_type", "act_id"],
                                       "act_desc", 1, out="n_desc")
@@ -175,6 +182,7 @@ FROM events WHERE event_type IS NOT NULL AND user_id IS NOT NULL
 GROUP BY event_type, user_id
 HAVING count(DISTINCT CAST(json_extract_string(props, '$.k') AS BIGINT)) < {RARE_THRESHOLD}""")
 def q_rare_subtypes(spark, sf):
+    """(event type, user) groups with fewer than RARE_THRESHOLD distinct props.k values."""
     ev = load(spark, sf, "events").select("event_type", "user_id",
                                           J.path("props", "$.k").cast("long").alias("k"))
     return quality.rare_groups(ev, ["event_type", "user_id"], "k", RARE_THRESHOLD,
@@ -189,6 +197,7 @@ _ACT_COLS = ["mp_id", "mp_name", "mp_party", "act_id", "act_type", "act_subtype"
     f"SELECT '{c}' AS column_name, CAST(count(*) - count({c}) AS BIGINT) AS n_null, "
     f"CAST(count({c}) AS BIGINT) AS n_non_null FROM act" for c in _ACT_COLS)))
 def q_null_profile(spark, sf):
+    """NULL and non-NULL counts of every ACT column, in one pass."""
     return quality.null_profile(activity_rows(spark, sf).select(*_ACT_COLS))
 
 
@@ -201,6 +210,7 @@ _MISSING_OTHERS = [c for c in _ACT_COLS if c not in ("act_type", "act_subtype")]
     + "\nFROM act WHERE act_date IS NULL AND act_type IS NOT NULL AND act_subtype IS NOT NULL"
       "\nGROUP BY act_type, act_subtype"))
 def q_missing_date_profile(spark, sf):
+    """Non-null counts per (type, subtype) over the rows without a date."""
     return quality.missing_profile(activity_rows(spark, sf).select(*_ACT_COLS), "act_date",
                                    ["act_type", "act_subtype"])
 
@@ -210,22 +220,26 @@ _ACT_SELECT = ", ".join(_ACT_COLS)
 
 @query("filter_eq_string", _act_sql(f"\nSELECT {_ACT_SELECT} FROM act WHERE act_desc = 'red widget'"))
 def q_filter_eq_string(spark, sf):
+    """String equality filter on the description."""
     return activity_rows(spark, sf).where(F.col("act_desc") == "red widget")
 
 
 @query("filter_conjunction", _act_sql(
     f"\nSELECT {_ACT_SELECT} FROM act WHERE act_subtype = 'F' AND act_type = 'R'"))
 def q_filter_conjunction(spark, sf):
+    """Conjunction of two equality filters."""
     return activity_rows(spark, sf).where((F.col("act_subtype") == "F") & (F.col("act_type") == "R"))
 
 
 @query("filter_eq_numeric", _act_sql(f"\nSELECT {_ACT_SELECT} FROM act WHERE act_id = 1234"))
 def q_filter_eq_numeric(spark, sf):
+    """Numeric equality filter on the activity id (pushed into the scans)."""
     return activity_rows(spark, sf).where(F.col("act_id") == F.lit(1234).cast("long"))
 
 
 @query("missing_date_rows", _act_sql(f"\nSELECT {_ACT_SELECT} FROM act WHERE act_date IS NULL"))
 def q_missing_date_rows(spark, sf):
+    """Rows whose date is NULL."""
     return activity_rows(spark, sf).where(F.col("act_date").isNull())
 
 
@@ -238,6 +252,7 @@ _STAT_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     f"CAST(max({c}) AS DOUBLE) AS max, round(avg({c}), 6) AS mean, "
     f"round(stddev_samp({c}), 6) AS stddev FROM lineitem" for c in _STAT_COLS))
 def q_basic_stats(spark, sf):
+    """Count, NULLs, min, max, mean, stddev of the numeric lineitem columns."""
     return quality.basic_stats(load(spark, sf, "lineitem"), _STAT_COLS)
 
 
@@ -246,6 +261,7 @@ def q_basic_stats(spark, sf):
 SELECT party, number_authors, CAST(count(id) AS BIGINT) AS count FROM ini
 WHERE party IS NOT NULL AND number_authors IS NOT NULL GROUP BY party, number_authors"""))
 def q_authors_per_party(spark, sf):
+    """Initiatives per (party, number of authors)."""
     ini = initiative_rows(spark, sf)
     return (ini.where(F.col("party").isNotNull() & F.col("number_authors").isNotNull())
             .groupBy("party", "number_authors").agg(F.count("id").alias("count")))
@@ -255,6 +271,7 @@ def q_authors_per_party(spark, sf):
 SELECT number_authors, CAST(count(id) AS BIGINT) AS count FROM ini
 WHERE party = 'BUILDING' AND number_authors IS NOT NULL GROUP BY party, number_authors"""))
 def q_authors_one_party(spark, sf):
+    """Initiatives per number of authors for one party."""
     return q_authors_per_party(spark, sf).where(F.col("party") == "BUILDING") \
         .select("number_authors", "count")
 
@@ -277,6 +294,7 @@ SELECT e.party, e.bin, round(e.e_lo, 9) AS bin_lo, round(e.e_hi, 9) AS bin_hi,
        CAST(c.n AS BIGINT) AS count
 FROM e JOIN c ON e.party = c.party AND e.bin = c.bin"""))
 def q_author_histogram(spark, sf):
+    """10-bin equal-width histogram of authors per party, zero-filled."""
     return histogram.group_histogram(initiative_rows(spark, sf), "party", "number_authors", 10)
 
 
@@ -286,6 +304,7 @@ SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
        CAST(count(*) AS BIGINT) AS n_events, CAST(count(DISTINCT user_id) AS BIGINT) AS n_users
 FROM events GROUP BY 1""")
 def q_json_field(spark, sf):
+    """Events grouped by a JSON path value (props.k)."""
     ev = load(spark, sf, "events")
     return (ev.groupBy(J.path("props", "$.k").cast("long").alias("k"))
             .agg(F.count(F.lit(1)).alias("n_events"), F.countDistinct("user_id").alias("n_users")))
@@ -299,6 +318,7 @@ _ITEM = StructType([StructField("l_linenumber", IntegerType()), StructField("l_p
 @query("json_polymorphic_explode", """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag FROM lineitem""")
 def q_json_polymorphic_explode(spark, sf):
+    """Order documents with object-or-array items, flattened back to lineitems."""
     docs = derived.order_item_documents(spark, sf)
     items = docs.select(J.path("doc", "$.order").cast("long").alias("l_orderkey"),
                         F.explode(J.record_array(J.path("doc", "$.items.Item"), _ITEM)).alias("it"))
@@ -319,6 +339,7 @@ SELECT CAST(o.o_orderkey AS VARCHAR) AS mp_id, 'Cust#' || CAST(o.o_custkey AS VA
        p.p_name AS act_desc
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey""")
 def q_json_map_flatten(spark, sf):
+    """Member-activity records (type map as data, wrappers, reporters) flattened."""
     good, _bad = flatten_activity(derived.member_activity_records(spark, sf))
     return good.select("mp_id", "mp_name", "mp_party", "mp_status", "act_id", "act_type",
                        "act_subtype", "act_dar", "act_date", "act_desc")
@@ -354,6 +375,7 @@ SELECT CAST(b.l_orderkey AS VARCHAR) || '/' || b.o_orderstatus || '/XV/1' AS id,
        e.entry_date, p.publication_date, p.dar_ref, b.authors, b.number_authors
 FROM base b LEFT JOIN entry e ON b.l_orderkey = e.l_orderkey LEFT JOIN pub p ON b.l_orderkey = p.l_orderkey""")
 def q_initiative_flatten(spark, sf):
+    """Initiative records (parties, authors, events, publications) flattened."""
     return flatten_initiatives(derived.initiative_records(spark, sf))
 
 
@@ -381,12 +403,14 @@ SELECT conv_id, role AS last_role FROM (
   SELECT conv_id, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS rn
   FROM conversations) WHERE rn = 1""")
 def q_latest_status(spark, sf):
+    """Last role per conversation (last element by turn)."""
     c = load(spark, sf, "conversations")
     return c.groupBy("conv_id").agg(F.max_by("role", "turn").alias("last_role"))
 
 
 @query("json_unwrap", "SELECT p_partkey, p_name, p_brand FROM part")
 def q_json_unwrap(spark, sf):
+    """Records under one or two single-key wrappers, unwrapped."""
     recs = derived.wrapped_part_records(spark, sf)
     inner = J.unwrap_single_key("record")
     m = J.json_map(inner)
@@ -399,6 +423,7 @@ def q_json_unwrap(spark, sf):
 SELECT p_partkey, CASE WHEN p_size < 20 THEN p_name WHEN p_size < 40 THEN p_brand ELSE '' END AS act_desc
 FROM part""")
 def q_first_existing(spark, sf):
+    """First present key among two optional ones, '' when neither."""
     recs = derived.optional_key_records(spark, sf)
     return recs.select("p_partkey",
                        J.first_existing(J.json_map("record"), ["actAs", "nomeEntidadeExterna"])
@@ -409,6 +434,7 @@ def q_first_existing(spark, sf):
 SELECT conv_id, CAST(count(*) AS INTEGER) AS n_turns, string_agg(role, ', ' ORDER BY turn) AS roles
 FROM conversations GROUP BY conv_id""")
 def q_nested_collect(spark, sf):
+    """Turns per conversation and their roles joined in turn order."""
     c = load(spark, sf, "conversations")
     g = c.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("turns"))
     return g.select("conv_id", F.size("turns").alias("n_turns"),
@@ -424,6 +450,7 @@ p AS (SELECT user_id, ts, value FROM (
 SELECT u.user_id, p.ts AS last_purchase_ts, p.value AS last_purchase_value
 FROM u LEFT JOIN p ON u.user_id = p.user_id""")
 def q_last_matching_event(spark, sf):
+    """Per user, time and value of the last purchase (last match wins)."""
     ev = load(spark, sf, "events")
     ordk = F.when(F.col("event_type") == "purchase", F.struct("ts", "event_id"))
     return ev.groupBy("user_id").agg(F.max_by("ts", ordk).alias("last_purchase_ts"),
@@ -435,6 +462,7 @@ def q_last_matching_event(spark, sf):
 SELECT doc_id, lower(replace(replace(replace({_trim_sql("strip_accents(replace(text, 'ß', 'ss'))")},
        '/', ''), '  ', '_'), ' ', '_')) AS slug FROM documents""")
 def q_slugify(spark, sf):
+    """Directory-name slug of every whole document text."""
     return load(spark, sf, "documents").select("doc_id", T.clean_string("text").alias("slug"))
 
 
@@ -459,6 +487,7 @@ s AS (SELECT p_partkey, raw, {_trim_sql("raw")} AS s FROM r)
 SELECT p_partkey, raw, CASE WHEN length(s) >= 2 AND left(s, 1) = right(s, 1) AND left(s, 1) IN ('''', '"')
        THEN {_trim_sql("substr(s, 2, length(s) - 2)")} ELSE s END AS dequoted FROM s""")
 def q_dequote(spark, sf):
+    """Strip and remove one pair of matching surrounding quotes."""
     p = load(spark, sf, "part").select("p_partkey", _dq_raw_spark().alias("raw"))
     return p.select("p_partkey", "raw", T.dequote("raw").alias("dequoted"))
 
@@ -466,6 +495,7 @@ def q_dequote(spark, sf):
 @query("title_clean", f"""
 SELECT doc_id, replace(replace({_trim_sql("text")}, '\\n', ' '), chr(10), ' ') AS title FROM documents""")
 def q_title_clean(spark, sf):
+    """Strip, then literal backslash-n and newlines to spaces, on whole texts."""
     return load(spark, sf, "documents").select("doc_id", T.title_clean("text").alias("title"))
 
 
@@ -473,6 +503,7 @@ def q_title_clean(spark, sf):
 SELECT o_orderkey, regexp_replace(regexp_replace('DAR ' || o_orderpriority || ' série ' || o_orderstatus,
        'DAR ', '', 'g'), ' série ', '-', 'g') AS dar_cat FROM orders""")
 def q_regex_sub(spark, sf):
+    """Publication series 'DAR II série A' -> 'II-A' by regex substitution."""
     o = load(spark, sf, "orders")
     raw = F.concat(F.lit("DAR "), F.col("o_orderpriority"), F.lit(" série "), F.col("o_orderstatus"))
     return o.select("o_orderkey", T.dar_category(raw).alias("dar_cat"))
@@ -482,6 +513,7 @@ def q_regex_sub(spark, sf):
 SELECT o_orderkey, split_part(trim('  ' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')), ' ', 1) AS req_date
 FROM orders""")
 def q_split_first(spark, sf):
+    """First whitespace-separated token of a padded timestamp text."""
     o = load(spark, sf, "orders")
     raw = F.concat(F.lit("  "), F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
     return o.select("o_orderkey", T.first_token(raw).alias("req_date"))
@@ -491,6 +523,7 @@ def q_split_first(spark, sf):
 SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) || '/' || o_orderstatus || '/' || o_orderpriority || '/'
        || CAST(o_custkey AS VARCHAR) AS id FROM orders""")
 def q_composite_id(spark, sf):
+    """Formatted id from four order fields."""
     o = load(spark, sf, "orders")
     return o.select("o_orderkey", T.format_id("o_orderkey", "o_orderstatus", "o_orderpriority",
                                               "o_custkey").alias("id"))
@@ -503,6 +536,7 @@ _TAGS_SQL = ("regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
 
 @query("strip_html", f"SELECT page_id, {_TAGS_SQL} AS body_text FROM pages")
 def q_strip_html(spark, sf):
+    """Visible text of each page (scripts, styles, comments, tags removed)."""
     return load(spark, sf, "pages").select("page_id", T.strip_html("html").alias("body_text"))
 
 
@@ -533,18 +567,21 @@ WITH s AS (SELECT page_id, {_TAGS_SQL} AS x FROM pages),
 n AS (SELECT page_id, {_numeric_refs_sql("x")} AS x FROM s)
 SELECT page_id, {_entities_sql("x")} AS body_text FROM n""")
 def q_decode_entities(spark, sf):
+    """Visible page text with character references decoded."""
     return load(spark, sf, "pages").select(
         "page_id", T.decode_entities(T.strip_html("html")).alias("body_text"))
 
 
 @query("content_md5", "SELECT doc_id, md5(text) AS content_md5 FROM documents")
 def q_content_md5(spark, sf):
+    """MD5 of every document text."""
     return load(spark, sf, "documents").select("doc_id", T.md5_hex("text").alias("content_md5"))
 
 
 @query("dedup_by_content", """
 SELECT min(doc_id) AS doc_id, md5(text) AS content_md5 FROM documents GROUP BY md5(text)""")
 def q_dedup_by_content(spark, sf):
+    """Lowest document id per distinct content digest."""
     from vigil.streaming.incremental import first_by_content
     return first_by_content(load(spark, sf, "documents"), "doc_id", "text")
 
@@ -555,6 +592,7 @@ SELECT page_id, url, CAST(i - 1 AS INTEGER) AS link_pos, hs[i] AS href FROM (
   SELECT page_id, url, hs, generate_subscripts(hs, 1) AS i FROM (
     SELECT page_id, url, regexp_extract_all(html, '(?i)<a\\s[^>]*?href\\s*=\\s*"([^"]*)"', 1) AS hs FROM pages))""")
 def q_page_links(spark, sf):
+    """Anchor hrefs of every page in document order."""
     return page_links(load(spark, sf, "pages"))
 
 
@@ -564,6 +602,7 @@ SELECT page_id, CAST(i - 1 AS INTEGER) AS link_pos, hs[i] AS href,
   SELECT page_id, hs, generate_subscripts(hs, 1) AS i FROM (
     SELECT page_id, regexp_extract_all(html, '(?i)<a\\s[^>]*?href\\s*=\\s*"([^"]*)"', 1) AS hs FROM pages))""")
 def q_page_link_classify(spark, sf):
+    """Links flagged to follow / to download by substring."""
     links = page_links(load(spark, sf, "pages"), keep=("page_id",))
     return frontier.classify_links(links, follow=".", download=",")
 
@@ -584,6 +623,7 @@ SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, hs[i] AS value FROM (
     SELECT page_id, regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1),
                                        '(?i)<a\\s[^>]*?href\\s*=\\s*"([^"]*)"', 1) AS hs FROM pages))""")
 def q_page_block_links(spark, sf):
+    """Hrefs inside each page's nav block (nesting-aware selector)."""
     return select_in_blocks(load(spark, sf, "pages"), "nav", want="href")
 
 
@@ -593,6 +633,7 @@ SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, ts[i] AS value FROM (
     SELECT page_id, list_filter(regexp_extract_all(html, '(?s)<div class="ad">(.*?)</div>', 1),
                                 lambda x: x <> '') AS ts FROM pages))""")
 def q_page_block_text(spark, sf):
+    """Text nodes inside div.ad blocks (nesting-aware selector)."""
     return select_in_blocks(load(spark, sf, "pages"), "div", "ad", want="text")
 
 
@@ -608,6 +649,7 @@ WITH l AS (SELECT url, unnest(regexp_extract_all(html, '(?i)<a\\s[^>]*?href\\s*=
 t AS (SELECT DISTINCT {_RESOLVE_SQL} AS url FROM l)
 SELECT url FROM t WHERE url NOT IN (SELECT regexp_replace(url, '#.*$', '') FROM pages)""")
 def q_frontier_expand(spark, sf):
+    """Resolved link targets not yet visited (anti-join with the page URLs)."""
     pages = load(spark, sf, "pages")
     return frontier.frontier(pages, pages.select("url"))
 
@@ -647,6 +689,7 @@ _FICH_SQL = """'https://files.example.org/webutils/docs/doc.txt?path=p' || CAST(
 SELECT page_id, lower(replace(replace(replace(regexp_extract({_FICH_SQL}, 'fich=(.*?)&Inline=true', 1),
        '_json.txt', '.json'), '.json.txt', '.json'), '%c3%ba', 'u')) AS file_name FROM pages""")
 def q_file_name_extract(spark, sf):
+    """File name between the fich= and &Inline=true markers, normalised."""
     p = load(spark, sf, "pages").select("page_id", _FICH_SPARK().alias("file_url"))
     return p.select("page_id", T.normalize_file_name(
         T.extract_between("file_url", "fich=", "&Inline=true")).alias("file_name"))
@@ -679,6 +722,7 @@ r AS (SELECT page_id, CASE WHEN list_position(c, 'inicio') IS NULL THEN c
 d AS (SELECT page_id, CASE WHEN starts_with(r[-1], 'numero') THEN r[1:len(r) - 1] ELSE r END AS d FROM r)
 SELECT page_id, array_to_string(d, '/') AS dir_path FROM d""")
 def q_breadcrumb_path(spark, sf):
+    """Directory path from page title + breadcrumb trail."""
     p = load(spark, sf, "pages").select("page_id", _crumbs_spark().alias("crumbs"))  # title + trail
     return p.select("page_id", A.path_join(A.breadcrumb_dirs("crumbs")).alias("dir_path"))
 
@@ -749,6 +793,7 @@ def _landed(spark, sf):
 @query("manifest_pending", f"""WITH {_MANIFEST_SQL}
 SELECT file_path, file_url, download_status FROM p""")
 def q_manifest_pending(spark, sf):
+    """Manifest rows whose file is not landed and not yet downloaded."""
     m = _manifest_spark(spark, sf)
     return manifest.pending(m, _landed(spark, sf)).select("file_path", "file_url", "download_status")
 
@@ -763,6 +808,7 @@ SELECT m.crawl_time, m.file_path, m.parent_url, m.file_url,
        CASE WHEN r.download_status = 200 THEN r.download_md5 ELSE m.download_md5 END AS download_md5
 FROM m LEFT JOIN r ON m.file_path = r.file_path""")
 def q_manifest_merge(spark, sf):
+    """Manifest updated with successful download results only."""
     m = _manifest_spark(spark, sf)
     p = manifest.pending(m, _landed(spark, sf))
     results = p.select("file_path", F.to_timestamp_ntz(F.lit(_DOWNLOAD_TS)).alias("download_time"),
@@ -775,6 +821,7 @@ def q_manifest_merge(spark, sf):
 @query("latest_run", """
 SELECT doc_id, source FROM documents WHERE source = (SELECT max(source) FROM documents)""")
 def q_latest_run(spark, sf):
+    """Rows of the greatest run name."""
     d = load(spark, sf, "documents").select("doc_id", "source")
     return manifest.latest_rows(d, "source")
 
@@ -787,6 +834,7 @@ SEGMENT_COLORS = {"AUTOMOBILE": "#F74B71", "BUILDING": "#F28C26", "FURNITURE": "
 @query("lookup_default", "SELECT c_custkey, c_mktsegment, CASE c_mktsegment " + " ".join(
     f"WHEN '{k}' THEN '{v}'" for k, v in SEGMENT_COLORS.items()) + " END AS color FROM customer")
 def q_lookup_default(spark, sf):
+    """Segment colour from a fixed map; unknown segments get NULL."""
     c = load(spark, sf, "customer").select("c_custkey", "c_mktsegment")
     return c.withColumn("color", map_with_default("c_mktsegment", SEGMENT_COLORS))
 
@@ -815,6 +863,7 @@ SELECT c.c_nationkey, c.c_custkey, CAST((c.rn - 1) // 230 AS BIGINT) AS block, t
        round(tpl.seat_x, 9) AS seat_x, round(tpl.seat_y, 9) AS seat_y
 FROM c JOIN tpl ON tpl.seat_nmr = CAST((c.rn - 1) % 230 + 1 AS INTEGER)""")
 def q_ring_layout(spark, sf):
+    """Customers seated per nation on the 230-seat ring layout."""
     tpl = layout.ring_seats(layout.rings_frame(spark))
     cust = load(spark, sf, "customer").select("c_nationkey", "c_custkey")
     seated = layout.assign_seats(cust, tpl, ["c_nationkey"], ["c_custkey"])
@@ -831,6 +880,7 @@ SELECT user_id, event_type, min(g) AS start_seq, max(g) AS end_seq, CAST(count(*
        min(ts) AS start_ts, max(ts) AS end_ts
 FROM s GROUP BY user_id, event_type, g - v""")
 def q_run_islands(spark, sf):
+    """Runs of consecutive same-type events per user (skew-safe numbering)."""
     ev = load(spark, sf, "events").select("user_id", "event_type", "ts", "event_id")
     return runs(ev, ["user_id"], ["ts", "event_id"], "event_type",
                 extra_aggs=[F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts")])
@@ -854,6 +904,7 @@ def q_seat_party_runs(spark, sf):
 # ------------------------------------------------------------------ sinks
 @query("csv_pipe_roundtrip", "SELECT * FROM part")
 def q_csv_pipe_roundtrip(spark, sf):
+    """Part written as pipe CSV under the checkpoint folder and read back."""
     p = load(spark, sf, "part")
     out = scratch_path(spark, "pipe-csv")
     delimited.write_pipe_csv(p, out)
