@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from vigil.llm import mixing, quality, sharding, url_filter
+from vigil.llm import decontam, mixing, quality, sharding, url_filter
 from vigil.llm.common import table
 
 
+def op1_decontamination(spark, sf_dir):
+    """Occurrences of benchmark windows in all documents."""
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("k")
+
+
 def op5_quality_rules(spark, sf_dir):
     """Rule bitmask ledger over all documents under the current policy."""
     return quality.quality_report(table(spark, sf_dir, "documents"))
@@ -26,7 +31,7 @@ def op9_sharding(spark, sf_dir):
     return sharding.shard_report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_quality_rules, op7_source_mixing, op8_url_filter, op9_sharding)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op5_quality_rules, op7_source_mixing, op8_url_filter, op9_sharding)}
 
-ORACLE = {"op5_quality_rules": quality.QUALITY_SQL, "op7_source_mixing": mixing.MIX_SQL,
+ORACLE = {"op1_decontamination": decontam.DECONTAM_SQL, "op5_quality_rules": quality.QUALITY_SQL, "op7_source_mixing": mixing.MIX_SQL,
           "op8_url_filter": url_filter.URL_SQL}
