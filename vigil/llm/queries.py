@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vigil.llm import decontam, mixing, quality, sharding, url_filter
+from vigil.llm import decontam, mixing, quality, setjoin, sharding, url_filter
 from vigil.llm.common import table
 
 
@@ -31,7 +31,13 @@ def op9_sharding(spark, sf_dir):
     return sharding.shard_report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op5_quality_rules, op7_source_mixing, op8_url_filter, op9_sharding)}
+def op10_jaccard_join(spark, sf_dir):
+    """Components of documents whose shingle sets link at 0.9."""
+    return setjoin.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_decontamination, op5_quality_rules, op7_source_mixing, op8_url_filter, op9_sharding,
+                                    op10_jaccard_join)}
 
 ORACLE = {"op1_decontamination": decontam.DECONTAM_SQL, "op5_quality_rules": quality.QUALITY_SQL, "op7_source_mixing": mixing.MIX_SQL,
-          "op8_url_filter": url_filter.URL_SQL}
+          "op8_url_filter": url_filter.URL_SQL, "op10_jaccard_join": setjoin.JACCARD_SQL}
