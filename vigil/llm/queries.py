@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vigil.llm import decontam, mixing, quality, setjoin, sharding, url_filter
+from vigil.llm import decontam, language, mixing, quality, setjoin, sharding, toxicity, url_filter
 from vigil.llm.common import table
 
 
@@ -11,6 +11,16 @@ def op1_decontamination(spark, sf_dir):
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("k")
 
 
+def op2_language_id(spark, sf_dir):
+    """Predicted language of all documents."""
+    return language.language_report(table(spark, sf_dir, "documents"))
+
+
+def op3_toxicity(spark, sf_dir):
+    """Toxicity score of all documents."""
+    return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_quality_rules(spark, sf_dir):
     """Rule bitmask ledger over all documents under the current policy."""
     return quality.quality_report(table(spark, sf_dir, "documents"))
@@ -36,7 +46,7 @@ def op10_jaccard_join(spark, sf_dir):
     return setjoin.jaccard_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op5_quality_rules, op7_source_mixing, op8_url_filter, op9_sharding,
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_language_id, op3_toxicity, op5_quality_rules, op7_source_mixing, op8_url_filter, op9_sharding,
                                     op10_jaccard_join)}
 
 ORACLE = {"op1_decontamination": decontam.DECONTAM_SQL, "op5_quality_rules": quality.QUALITY_SQL, "op7_source_mixing": mixing.MIX_SQL,
