@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vigil.llm import decontam, language, mixing, quality, setjoin, sharding, toxicity, url_filter
+from vigil.llm import decontam, language, mixing, quality, setjoin, sharding, substrings, toxicity, url_filter
 from vigil.llm.common import table
 
 
@@ -21,6 +21,11 @@ def op3_toxicity(spark, sf_dir):
     return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_substring_dedup(spark, sf_dir):
+    """All documents without passages that an earlier document has."""
+    return substrings.repeats_report(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark, sf_dir):
     """Rule bitmask ledger over all documents under the current policy."""
     return quality.quality_report(table(spark, sf_dir, "documents"))
@@ -46,8 +51,8 @@ def op10_jaccard_join(spark, sf_dir):
     return setjoin.jaccard_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_language_id, op3_toxicity, op5_quality_rules, op7_source_mixing, op8_url_filter, op9_sharding,
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_language_id, op3_toxicity, op4_substring_dedup, op5_quality_rules, op7_source_mixing, op8_url_filter, op9_sharding,
                                     op10_jaccard_join)}
 
-ORACLE = {"op1_decontamination": decontam.DECONTAM_SQL, "op5_quality_rules": quality.QUALITY_SQL, "op7_source_mixing": mixing.MIX_SQL,
+ORACLE = {"op1_decontamination": decontam.DECONTAM_SQL, "op4_substring_dedup": substrings.SUBSTRING_SQL, "op5_quality_rules": quality.QUALITY_SQL, "op7_source_mixing": mixing.MIX_SQL,
           "op8_url_filter": url_filter.URL_SQL, "op10_jaccard_join": setjoin.JACCARD_SQL}
