@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vigil.llm import decontam, language, mixing, quality, setjoin, sharding, substrings, toxicity, url_filter
+from vigil.llm import decontam, html_extract, language, mixing, quality, setjoin, sharding, substrings, toxicity, url_filter
 from vigil.llm.common import table
 
 
@@ -31,6 +31,11 @@ def op5_quality_rules(spark, sf_dir):
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op6_html_extraction(spark, sf_dir):
+    """Main text of all pages."""
+    return html_extract.extraction_report(table(spark, sf_dir, "pages"))
+
+
 def op7_source_mixing(spark, sf_dir):
     """Mix of all documents at 150% of their size, by source targets."""
     return mixing.mix_report(table(spark, sf_dir, "documents"))
@@ -51,7 +56,7 @@ def op10_jaccard_join(spark, sf_dir):
     return setjoin.jaccard_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_language_id, op3_toxicity, op4_substring_dedup, op5_quality_rules, op7_source_mixing, op8_url_filter, op9_sharding,
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_language_id, op3_toxicity, op4_substring_dedup, op5_quality_rules, op6_html_extraction, op7_source_mixing, op8_url_filter, op9_sharding,
                                     op10_jaccard_join)}
 
 ORACLE = {"op1_decontamination": decontam.DECONTAM_SQL, "op4_substring_dedup": substrings.SUBSTRING_SQL, "op5_quality_rules": quality.QUALITY_SQL, "op7_source_mixing": mixing.MIX_SQL,
