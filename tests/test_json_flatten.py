@@ -51,6 +51,45 @@ def test_unwrap_levels(spark):
                                             [{"a": 1}, {"a": 2}], {"a": 1, "b": 2}]
 
 
+def test_unwrap_has_no_depth_limit(spark):
+    deep = {"a": 1, "b": {"c": 2}}
+    for i in range(9):
+        deep = {"w{\\\"%d" % i: deep}
+    df = spark.createDataFrame([(json.dumps(deep),), (json.dumps(deep, indent=2),), (None,), ("",), ("{}",), ('{"x":"y"}',)], "j string")
+    got = [r[0] for r in df.select(J.unwrap_single_key("j")).collect()]
+    assert json.loads(got[0]) == json.loads(got[1]) == {"a": 1, "b": {"c": 2}}
+    assert got[2:] == [None, "", "{}", "y"]
+
+
+def test_no_document_is_lost(spark):
+    from vigil.sources.nested_json import bad_documents
+    docs = spark.createDataFrame([("a", '{"R":{"X":[{"i":1},{"i":2}]}}'), ("b", '{"R":{"X":[{"i":1},'), ("c", '{"Other":{"X":[]}}'),
+                                  ("d", '{"R":{"X":"text"}}'), ("e", '{"R":{"X":[]}}'), ("f", None), ("g", '{"R":{"X":{"i":3}}}')],
+                                 "source_file string, doc string")
+    assert {r["source_file"] for r in records(docs, "R.X").collect()} == {"a", "g"}
+    assert {r["source_file"]: r["error_reason"] for r in bad_documents(docs, "R.X").collect()} == {
+        "b": "not a JSON document", "c": "root missing: R.X", "d": "root holds no records: R.X", "f": "not a JSON document"}
+
+
+def test_reporter_container_that_is_no_object_is_quarantined(spark):
+    m = _member("1", "A", "P", {"sioDes": "x"}, {"rel": "oops", "cms": None})
+    gone = {"deputado": m["deputado"], "AtividadeDeputadoList": {}}
+    df = spark.createDataFrame([(json.dumps(m),), (json.dumps(gone),), ("[1]",)], "record string")
+    good, bad = flatten_activity(df)
+    assert good.count() == 0
+    assert sorted((r["mp_id"] or "", r["error_reason"]) for r in bad.collect()) == [
+        ("", "member record is not an object"), ("1", "activity list missing or not an object"),
+        ("1", "reporter container is not an object")]
+
+
+def test_activity_key_hashes_the_whole_entry(spark):
+    def act(**kw):
+        return {"actId": "1", "actTpdesc": "V", "actNr": "5", "actSelLg": "XV", "actDtent": "2023-01-02", "actAs": "t", **kw}
+    m = _member("1", "A", "P", {"sioDes": "x"}, {"actP": _w([act(), act(actDtent="2023-01-03"), act(actAs="u"), act(actId=None), act()])})
+    good, _ = flatten_activity(spark.createDataFrame([(json.dumps(m),)], "record string"))
+    assert good.count() == 5 and good.select("act_key").distinct().count() == 4
+
+
 def _member(dep_id, name, party, status, acts):
     gp = party if isinstance(party, list) else {"gpSigla": party}
     return {"deputado": {"depId": dep_id, "depNomeParlamentar": name, "depCPDes": "Distrito",

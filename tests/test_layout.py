@@ -7,16 +7,15 @@ from pyspark.sql import functions as F
 from vigil.operators.layout import (PARTY_COLORS, color_seats, party_runs, ring_seats,
                                     rings_frame)
 
-# Party runs of the 230-seat sample chamber, in seat order.
-SEAT_RUNS = [("CH", 3), ("IL", 2), ("PSD", 7), ("PS", 8), ("PCP", 2), ("BE", 2), ("CH", 3),
-             ("IL", 3), ("PSD", 8), ("PAN", 1), ("PS", 8), ("L", 1), ("PCP", 4), ("BE", 2),
-             ("CH", 3), ("IL", 3), ("PSD", 12), ("PS", 17), ("BE", 1), ("CH", 3), ("PSD", 12),
-             ("PS", 23), ("PSD", 17), ("PS", 29), ("PSD", 21), ("PS", 35)]
+# an invented chamber of 230 seats, as a rule: seat -> party
+def _party(seat):
+    if seat == 230:
+        return "PAN"
+    return ["PS", "PSD", "CH"][(seat - 1) // 40 % 3] if seat <= 200 else "IL" if seat % 2 else "L"
 
 
 def _seats(spark):
-    parties = [p for p, n in SEAT_RUNS for _ in range(n)]
-    return spark.createDataFrame([(i + 1, p) for i, p in enumerate(parties)], "seat_nmr int, party string")
+    return spark.createDataFrame([(i, _party(i)) for i in range(1, 231)], "seat_nmr int, party string")
 
 
 def test_ring_geometry(spark):
@@ -34,11 +33,13 @@ def test_ring_geometry(spark):
 def test_party_counts_colors_and_runs(spark):
     seats = color_seats(_seats(spark))
     counts = {r.party: r["count"] for r in seats.groupBy("party").count().collect()}
-    assert counts == {"PS": 120, "PSD": 77, "CH": 12, "IL": 8, "PCP": 6, "BE": 5, "PAN": 1, "L": 1}
-    assert {r.party: r.color for r in seats.select("party", "color").distinct().collect()} == PARTY_COLORS
+    assert counts == {"PS": 80, "PSD": 80, "CH": 40, "IL": 15, "L": 14, "PAN": 1}
+    assert all(r.color == PARTY_COLORS[r.party] for r in seats.select("party", "color").distinct().collect())
     runs = party_runs(seats.withColumn("chamber", F.lit(1)), ["chamber"], ["seat_nmr"]) \
         .orderBy("start_seq").collect()
-    assert [(r.party, r.n_rows) for r in runs] == SEAT_RUNS
+    # five blocks of 40, then single seats
+    assert [(r.party, r.n_rows) for r in runs[:5]] == [("PS", 40), ("PSD", 40), ("CH", 40), ("PS", 40), ("PSD", 40)]
+    assert len(runs) == 35 and {r.n_rows for r in runs[5:]} == {1} and runs[-1].party == "PAN"
     assert runs[-1].end_seq == 230
 
 
@@ -50,8 +51,8 @@ def test_unknown_party_gets_null_color(spark):
 def test_seat_map_joins_coordinates_by_number(spark):
     from vigil.operators.layout import seat_map
     m = {r.seat_nmr: r for r in seat_map(_seats(spark), rings_frame(spark)).collect()}
-    assert len(m) == 230 and m[1].party == "CH" and m[1].color == "#202056"
-    assert m[1].seat_x == 3.674170788271024 and m[230].party == "PS"
+    assert len(m) == 230 and m[1].party == "PS" and m[1].color == PARTY_COLORS["PS"]
+    assert m[1].seat_x == 3.674170788271024 and m[230].party == "PAN"
 
 
 def test_lookup_join_with_checked_broadcast(spark):

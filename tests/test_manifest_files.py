@@ -29,7 +29,7 @@ def test_runs_latest_pending_merge(spark, tmp_path):
     allruns = read_manifests(spark, str(runs))
     latest = M.latest_rows(allruns, "run_file")
     assert latest.count() == 3
-    assert {r.run_file for r in latest.collect()} == {"2023_02_01_00_00_00.csv"}
+    assert {r.run_file for r in latest.collect()} == {"2023_02_01_00_00_00"}
     files = read_landed(spark, str(landed))
     assert files.first().download_md5 == hashlib.md5(b'{"a":1}').hexdigest()
     on_disk = files.select(F.regexp_extract("path", r"(data/.*)$", 1).alias("file_path"))
@@ -66,6 +66,8 @@ def test_indexed_csv_drops_index(spark, tmp_path):
     p.write_text(",seat_nmr,party\n0,1,CH\n1,2,IL\n")
     df = read_indexed_csv(spark, str(p))
     assert df.columns == ["seat_nmr", "party"] and df.count() == 2
+    typed = read_indexed_csv(spark, str(p), "seat_nmr int, party string")
+    assert [tuple(r) for r in typed.orderBy("seat_nmr").collect()] == [(1, "CH"), (2, "IL")]
 
 
 def test_latest_run_keeps_or_skips_empty_newest(spark, tmp_path):
@@ -82,9 +84,9 @@ def test_latest_run_keeps_or_skips_empty_newest(spark, tmp_path):
 def test_pandas_na_tokens(spark, tmp_path):
     p = tmp_path / "t.csv"
     p.write_text("id|a|b\n1|NA|x\n2|None|\n3|ok|null\n")
-    df = read_pipe_csv(spark, str(p), "id int, a string, b string", na_tokens=True).orderBy("id")
+    df = read_pipe_csv(spark, str(p), "id int, a string, b string").orderBy("id")
     assert [tuple(r) for r in df.collect()] == [(1, None, "x"), (2, None, None), (3, "ok", None)]
-    raw = read_pipe_csv(spark, str(p), "id int, a string, b string").orderBy("id")
+    raw = read_pipe_csv(spark, str(p), "id int, a string, b string", na_tokens=False).orderBy("id")
     assert raw.first().a == "NA"
 
 
@@ -95,4 +97,29 @@ def test_latest_run_name(spark, tmp_path):
     (runs / "2023_01_01_00_00_00.csv").write_text(HEAD4)
     (runs / "2023_03_01_00_00_00.csv").write_text(HEAD4)
     (runs / "zzz.txt").write_text("x")
-    assert latest_run_name(spark, str(runs)) == "2023_03_01_00_00_00.csv"
+    assert latest_run_name(spark, str(runs)) == "2023_03_01_00_00_00"
+
+
+def test_own_runs_are_read_back_whole(spark, tmp_path):
+    from vigil.sources.manifest import latest_run_name, latest_run_rows
+    out = str(tmp_path / "runs4")
+    cols = "crawl_time string, file_path string, parent_url string, file_url string"
+    for run, n in (("2023_01_01_00_00_00", 8), ("2023_02_01_00_00_00", 9)):
+        df = spark.createDataFrame([("2023-01-01 00:00:00", f"data/{run}/{i}", "p", "u") for i in range(n)], cols)
+        write_manifest(df.repartition(4), out, run)
+    assert latest_run_name(spark, out) == "2023_02_01_00_00_00"
+    rows = latest_run_rows(spark, out).collect()
+    assert len(rows) == 9 and {r.run_file for r in rows} == {"2023_02_01_00_00_00"}
+
+
+def test_merge_touches_unfinished_rows_only_and_repeats_none(spark):
+    ntz = lambda s: F.to_timestamp_ntz(F.lit(s))
+    m = spark.createDataFrame([("a", 200, "old"), ("b", None, None), ("b", 404, None), ("c", None, None)],
+                              "file_path string, download_status int, download_md5 string")
+    m = m.withColumn("download_time", F.when(F.col("file_path") == "a", ntz("2023-01-01 00:00:00")))
+    r = spark.createDataFrame([("a", 200, "new", "2023-03-01 00:00:00"), ("b", 200, "b1", "2023-03-01 00:00:00"),
+                               ("b", 200, "b2", "2023-03-02 00:00:00"), ("b", 503, None, "2023-03-03 00:00:00"), ("c", 404, "x", "2023-03-01 00:00:00")],
+                              "file_path string, download_status int, download_md5 string, t string") \
+        .withColumn("download_time", F.to_timestamp_ntz("t"))
+    got = [(x.file_path, x.download_status, x.download_md5, str(x.download_time)[:10]) for x in M.merge_results(m, r).collect()]
+    assert sorted(got, key=repr) == sorted([("a", 200, "old", "2023-01-01"), ("b", 200, "b2", "2023-03-02"), ("b", 200, "b2", "2023-03-02"), ("c", None, None, "None")], key=repr)

@@ -47,6 +47,42 @@ def test_frontier_rounds(spark):
     assert f == {"http://s.example.org/c", "http://o.example.net/x"}
 
 
+def test_crawl_runs_to_the_end_and_follows_what_it_should(spark):
+    chain = [_page(f"http://s.example.org/{i}.aspx", [f"/{i + 1}.aspx", "/x_json.txt"]) for i in range(14)]
+    pages = spark.createDataFrame(chain, "url string, html string")
+    seed = spark.createDataFrame([("http://s.example.org/0.aspx",)], "url string")
+    reached = {r.url: r["round"] for r in expand_frontier(pages, seed, follow=".aspx").collect()}
+    assert reached == {f"http://s.example.org/{i}.aspx": i for i in range(15)}
+    some = expand_frontier(pages, seed, follow=".aspx", depth=3).collect()
+    assert sorted(r["round"] for r in some) == [0, 1, 2, 3]
+
+
+def test_links_as_a_browser_reads_them(spark):
+    from vigil.sources.pages import page_links
+    html = ("<a href='/one'>1</a><a data-href=\"/no\" class=x href=\"/two?a=1&amp;b=2\">2</a><!-- <a href=\"/comment\">c</a> -->"
+            "<a title=\"x href='/title'\" href=/three>3</a><A HREF = \" /four \" >4</A><a name=x>no</a><abbr href='/no'>n</abbr><a data-href='/no'>n</a>")
+    got = page_links(spark.createDataFrame([(1, "u", html)], "page_id int, url string, html string")).orderBy("link_pos")
+    assert [r.href for r in got.collect()] == ["/one", "/two?a=1&b=2", "/three", "/four"]
+
+
+def test_block_text_forms(spark):
+    from vigil.sources.pages import block_text
+    html = "<div class='x title'>own <b>B &amp; b</b><i>I</i></div><div class='other'><b>no</b></div><!-- <div class='title'>c</div> -->"
+    df = spark.createDataFrame([(html,)], "html string")
+    assert df.select(block_text("html", "title")).first()[0] == ["own ", "B & b", "I"]
+    assert df.select(block_text("html", "title", descendants_only=True)).first()[0] == ["B & b", "I"]
+
+
+def test_links_without_a_file_name_are_quarantined(spark):
+    from vigil.operators.frontier import manifest_rows, unnamed_links
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([("u", ["Início", "Dir"], ["/a_json.txt?fich=Abc_json.txt&Inline=true", "/b_json.txt"])],
+                               "url string, crumbs array<string>, links array<string>")
+    good = manifest_rows(df, "crumbs", "links", F.lit(None).cast("timestamp_ntz")).collect()
+    assert [r.file_path for r in good] == ["data/dir/abc.json"]
+    assert [(r.file_url, r.error_reason) for r in unnamed_links(df, "links").collect()] == [("/b_json.txt", "no file name marker")]
+
+
 def test_block_links_selects_inside_class(spark):
     from vigil.sources.pages import block_links
     html = ('<div class="nav"><a href="/skip">x</a></div>'

@@ -70,40 +70,29 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def unwrap_single_key(j, max_depth: int = 4) -> Column:
-    """Descend while the JSON object has exactly one key (a wrapper element).
-
-    Arrays and scalars stop the descent (they do not parse as a map). The
-    depth is bounded; what is still a single-key object after ``max_depth``
-    levels is returned as is and can be flagged by the caller. Each level
-    parses its text once."""
-    c = _c(j)
-    for _ in range(max_depth):
-        c = let(c, lambda x: let(json_map(x), lambda m: F.when(
-            F.size(m) == 1, F.map_values(m).getItem(0)).otherwise(x)))
-    return c
-
-
-def unwrap_records(df, col: str, out: str, max_depth: int = 4):
-    """DataFrame form of single-key unwrapping followed by ``json_records``.
-
-    Each level parses the text only while the previous level unwrapped, and
-    the map parsed at the level where the descent stops is reused as the
-    record itself, so a bare object is parsed once and an array twice (one
-    failed map parse at its first character, then the array parse). Every
-    step is its own projection, so no parse is duplicated in the plan."""
-    go, m = "_uw_go", "_uw_m"
-    df = df.withColumn(go, F.lit(True)).withColumn(m, F.lit(None).cast("map<string,string>"))
-    for _ in range(max_depth):
-        df = df.withColumn(m, F.when(F.col(go), json_map(col)).otherwise(F.col(m)))
-        single = F.coalesce(F.size(m) == 1, F.lit(False))
-        df = (df.withColumn(col, F.when(F.col(go) & single, F.map_values(m).getItem(0))
-                            .otherwise(F.col(col)))
-                .withColumn(go, F.col(go) & single))
-    recs = (F.when(~F.col(go) & F.col(m).isNotNull(), F.array(F.col(m)))
-             .when(is_array(col), F.from_json(col, "array<map<string,string>>"))
-             .when(is_object(col), F.array(json_map(col))))
-    return df.withColumn(out, recs).drop(go, m)
+# an object's opening brace with its first key
+_OPENS = r'\s*+\{\s*+"(?:[^"\\]++|\\.)*+"\s*+:'
+
+
+def unwrap_single_key(j) -> Column:
+    """Descend while the JSON object has exactly one key (a wrapper element), as
+    deep as the wrappers go.
+
+    Arrays and scalars stop the descent (they do not parse as a map). A wrapper
+    needs an opening brace and a key at the very start of what it wraps, so the
+    run of those at the text's start says how often to try; every try parses
+    what is left once."""
+    j = _c(j)
+    opens = F.regexp_extract(j, "^(?:" + _OPENS + ")++", 0)
+    tries = F.size(F.regexp_extract_all(opens, F.lit(_OPENS), 0))
+    step = lambda x, _: let(json_map(x), lambda m: F.when(F.size(m) == 1, F.map_values(m).getItem(0)).otherwise(x))
+    return F.aggregate(F.array_repeat(F.lit(0), F.coalesce(tries, F.lit(0))), j, step)
+
+
+def unwrap_records(df, col: str, out: str):
+    """``col`` unwrapped, and ``out`` its records (``json_records``), each in a
+    projection of its own, so that no parse is duplicated in the plan."""
+    return df.withColumn(col, unwrap_single_key(col)).withColumn(out, json_records(col))
 
 
 def first_existing(m, keys: list[str], default: str = "") -> Column:

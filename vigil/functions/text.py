@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import sys
+import html.entities
 import unicodedata
 
 from pyspark.sql import Column
@@ -28,15 +28,18 @@ MULTI_CHAR_ASCII = {
     "ß": "ss", "Æ": "AE", "æ": "ae", "Œ": "OE", "œ": "oe", "Þ": "Th", "þ": "th",
     "Ð": "D", "ð": "d", "Đ": "D", "đ": "d", "Ø": "O", "ø": "o", "Ł": "L", "ł": "l",
     "Ħ": "H", "ħ": "h", "ı": "i", "Ŧ": "T", "ŧ": "t", "Ŋ": "N", "ŋ": "n",
+    "‐": "-", "‑": "-", "‒": "-", "–": "-", "—": "--", "‘": "'", "’": "'", "‚": ",",
+    "“": '"', "”": '"', "„": ",,", "…": "...", "«": "<<", "»": ">>", "\u202f": " ", "\u2009": " ",
 }
 
 
 def _latin_translation() -> tuple[str, str]:
-    """Single-character ASCII folding for U+00C0..U+024F, built by rule:
-    NFKD-decompose and drop combining marks; keep the result if it is one
-    ASCII character."""
+    """Single-character ASCII folding of the Latin blocks (U+00A0..U+024F and
+    U+1E00..U+1EFF), built by rule: NFKD-decompose and drop combining marks;
+    keep the result if it is one ASCII character. Combining marks that stand
+    alone (U+0300..U+036F) map to nothing and come last."""
     src, dst = [], []
-    for cp in range(0xC0, 0x250):
+    for cp in [*range(0xA0, 0x250), *range(0x1E00, 0x1F00)]:
         ch = chr(cp)
         if ch in MULTI_CHAR_ASCII:
             continue
@@ -45,21 +48,20 @@ def _latin_translation() -> tuple[str, str]:
         if len(base) == 1 and ord(base) < 128 and base != ch:
             src.append(ch)
             dst.append(base)
-    return "".join(src), "".join(dst)
+    one = {k: v for k, v in MULTI_CHAR_ASCII.items() if len(v) == 1}
+    return "".join(src) + "".join(one) + "".join(map(chr, range(0x300, 0x370))), "".join(dst) + "".join(one.values())
 
 
+# one translate pass for everything that becomes one character or none; only
+# the longer values need their own replace pass over the text
 _TR_SRC, _TR_DST = _latin_translation()
-# fixed values with a one-character result join the single translate pass;
-# only the longer ones need their own replace pass over the text
-_ONE = {k: v for k, v in MULTI_CHAR_ASCII.items() if len(v) == 1}
-_TR_SRC += "".join(_ONE)
-_TR_DST += "".join(_ONE.values())
 _LONGER = {k: v for k, v in MULTI_CHAR_ASCII.items() if len(v) > 1}
 
 
 def fold_to_ascii(col) -> Column:
-    """Transliterate Latin letters to ASCII (accents removed, ligatures
-    expanded); other characters pass through unchanged."""
+    """Transliterate Latin letters and common punctuation to ASCII (accents and
+    combining marks removed, ligatures expanded); characters of other scripts
+    pass through unchanged."""
     c = _c(col)
     for k, v in _LONGER.items():
         c = F.replace(c, F.lit(k), F.lit(v))
@@ -141,28 +143,21 @@ def strip_html(col) -> Column:
     return F.regexp_replace(c, r"^ | \z", "")
 
 
-# Named character references replaced by decode_entities.
-# '&amp;' is applied last so that '&amp;lt;' decodes to '&lt;' only.
-HTML_ENTITIES = [
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-    ("&nbsp;", "\u00a0"), ("&copy;", "©"), ("&reg;", "®"), ("&middot;", "·"),
-    ("&ndash;", "–"), ("&mdash;", "—"), ("&hellip;", "…"), ("&euro;", "€"),
-    ("&laquo;", "«"), ("&raquo;", "»"), ("&amp;", "&"),
-]
+# the named references of HTML 4 and XML, from the standard library's table
+_NAMED = {**{n: chr(cp) for n, cp in html.entities.name2codepoint.items()}, "apos": "'"}
+CHARACTER_REF = r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);"
 
 
-NUMERIC_REF = r"&#[0-9]+;|&#[xX][0-9a-fA-F]+;"
-
-
-def decode_numeric_refs(col) -> Column:
-    """Decode numeric character references (``&#233;``, ``&#xE9;``) to their
-    characters: the text is split around the references, each reference's
-    code point is decoded from its UTF-32 bytes, and the pieces are zipped
-    back together — all JVM-side. Code points beyond U+10FFFF or in the
-    surrogate range become U+FFFD."""
+def decode_entities(col) -> Column:
+    """Decode named and numeric character references in one pass from left to
+    right, so what a reference decodes to is never decoded again: the text is
+    split around the references, each is decoded by itself, and the pieces are
+    zipped back together, all JVM-side. Unknown names stay as they are; code
+    points beyond U+10FFFF and surrogates become U+FFFD."""
     c = _c(col)
-    pieces = F.split(c, NUMERIC_REF, -1)
-    refs = F.regexp_extract_all(c, F.lit(NUMERIC_REF), 0)
+    pieces = F.split(c, CHARACTER_REF, -1)
+    refs = F.regexp_extract_all(c, F.lit(CHARACTER_REF), 0)
+    named = F.create_map(*[F.lit(x) for kv in _NAMED.items() for x in kv])
 
     def one(ref):
         is_hex = F.substring(ref, 3, 1).isin("x", "X")
@@ -170,61 +165,14 @@ def decode_numeric_refs(col) -> Column:
         cp = F.when(is_hex, F.conv(digits, 16, 10)).otherwise(digits).cast("decimal(38,0)")
         valid = (cp > 0) & (cp <= 0x10FFFF) & ~cp.between(0xD800, 0xDFFF)
         ch = F.decode(F.unhex(F.lpad(F.conv(cp.cast("string"), 10, 16), 8, "0")), "UTF-32")
-        return F.when(valid, ch).otherwise(F.lit("\ufffd"))
+        return F.when(F.substring(ref, 2, 1) != "#", F.coalesce(F.try_element_at(named, F.substring(ref, F.lit(2), F.length(ref) - 2)), ref)) \
+            .when(valid, ch).otherwise(F.lit("\ufffd"))
 
     body = F.array_join(F.zip_with(F.slice(pieces, 1, F.size(refs)), F.transform(refs, one),
                                    lambda p, ch: F.concat(p, ch)), "")
-    return F.when(c.contains("&#"), F.concat(body, F.element_at(pieces, -1))).otherwise(c)
-
-
-def decode_entities(col) -> Column:
-    """Decode numeric character references, then the named references above."""
-    c = decode_numeric_refs(col)
-    for k, v in HTML_ENTITIES:
-        c = F.replace(c, F.lit(k), F.lit(v))
-    return c
+    return F.when(c.contains("&"), F.concat(body, F.element_at(pieces, -1))).otherwise(c)
 
 
 def md5_hex(col) -> Column:
     """MD5 hex digest of the UTF-8 bytes (or of a binary column)."""
     return F.md5(_c(col).cast("binary"))
-
-
-def _fold_series(s):
-    """Per-value helper of the vectorised fold: decomposition-based ASCII
-    folding for every script (characters without an ASCII base are dropped,
-    the fixed multi-letter values above are expanded)."""
-    import pandas as pd
-
-    def one(v):
-        if v is None:
-            return None
-        out = []
-        for ch in v:
-            if ch in MULTI_CHAR_ASCII:
-                out.append(MULTI_CHAR_ASCII[ch])
-            elif ord(ch) < 128:
-                out.append(ch)
-            else:
-                base = "".join(c for c in unicodedata.normalize("NFKD", ch)
-                               if not unicodedata.combining(c) and ord(c) < 128)
-                out.append(base)
-        return "".join(out)
-    return pd.Series([one(v) for v in s], dtype=object)
-
-
-def fold_to_ascii_any(col) -> Column:
-    """Full-Unicode variant of ``fold_to_ascii`` as an Arrow-batched pandas
-    UDF (the slow path; the native ``fold_to_ascii`` covers Latin letters)."""
-    from pyspark.sql.functions import pandas_udf
-    udf = pandas_udf(_fold_series, "string")
-    return udf(_c(col))
-
-
-# the pandas UDF helper runs in Python workers: ship this module's code by value
-def _ship():
-    from vigil.session import ship_by_value
-    ship_by_value(sys.modules[__name__])
-
-
-_ship()

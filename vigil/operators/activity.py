@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.functions.jsonx import json_array, json_map, unwrap_records
+from vigil.functions.jsonx import is_object, json_array, json_map, unwrap_records
 from vigil.functions.text import decode_entities, dequote, first_token, strip_html
 
 # Source key -> activity code for the renamed types.
@@ -134,36 +134,35 @@ def _activity_map(parsed: str) -> Column:
     return F.col(parsed)["AtividadeDeputadoList"]["pt_gov_ar_wsar_objectos_ActividadeOut"]
 
 
-def member_problems(members: DataFrame, record: str = "record", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Members whose activity list is missing or not an object (the source
-    stopped on these); an empty list is not a problem."""
-    parsed = members.select(*keep, F.from_json(record, MEMBER_SCHEMA).alias("_r"))
-    return (parsed.where(_activity_map("_r").isNull())
-            .select(*keep, *member_fields("_r")[:2], F.lit(None).cast("string").alias("src_key"),
-                    F.lit(None).cast("string").alias("act_type"), F.lit(None).cast("string").alias("act"),
-                    F.when(F.col("_r").isNull(), F.lit("member record is not an object"))
-                     .otherwise(F.lit("activity list missing or not an object")).alias("error_reason")))
-
-
 def explode_activity_groups(members: DataFrame, record: str = "record",
                             keep: tuple[str, ...] = ()) -> DataFrame:
-    """(member fields, act_type, payload) per non-empty, non-skipped type;
+    """(member fields, problem, act_type, payload) per non-empty, non-skipped type;
     the reporter container is split into its four codes (unknown sub-keys get
-    ``act_type`` NULL and ``src_key`` for the quarantine). Each member record
-    is parsed once."""
-    parsed = members.select(*keep, F.from_json(record, MEMBER_SCHEMA).alias("_r"))
-    m = parsed.select(*keep, *member_fields("_r"), F.explode(_activity_map("_r")).alias("src_key", "payload"))
-    m = m.where(F.col("payload").isNotNull() & ~F.col("src_key").isin(SKIP_KEYS))
+    ``act_type`` NULL and ``src_key`` for the quarantine). A member whose
+    activity list is missing or not an object, on which the source stopped,
+    keeps one row with its ``problem``; an empty list is none. Each member
+    record is parsed once."""
+    parsed = members.select(*keep, F.from_json(record, MEMBER_SCHEMA).alias("_r"),
+                            F.coalesce(is_object(record), F.lit(False)).alias("_object"))
+    problem = F.when(~F.col("_object"), F.lit("member record is not an object")) \
+        .otherwise(F.lit("activity list missing or not an object"))
+    none = F.lit(None).cast("string")
+    entries = F.coalesce(F.transform(F.map_entries(_activity_map("_r")), lambda e: F.struct(
+        e["key"].alias("k"), e["value"].alias("v"), none.alias("problem"))),
+        F.array(F.struct(none.alias("k"), none.alias("v"), problem.alias("problem"))))
+    m = parsed.select(*keep, *member_fields("_r"), F.explode(entries).alias("_e"))
+    m = m.select(*[c for c in m.columns if c != "_e"], F.col("_e.k").alias("src_key"), F.col("_e.v").alias("payload"),
+                 F.col("_e.problem").alias("problem"))
+    m = m.where(F.col("problem").isNotNull() | (F.col("payload").isNotNull() & ~F.col("src_key").isin(SKIP_KEYS)))
     # The reporter container holds up to four typed sub-containers: its
     # entries are spread into (sub key, payload) pairs in the same explode
     # that carries every other type through unchanged, so the upstream is
-    # read once (no union of two branches).
-    is_rel = F.col("src_key") == REL_KEY
-    pairs = F.when(is_rel, F.transform(F.map_entries(json_map("payload")),
-                                       lambda e: F.struct(e["key"].alias("k"), e["value"].alias("v"),
-                                                          F.lit(True).alias("rel"))))\
-             .otherwise(F.array(F.struct(F.col("src_key").alias("k"), F.col("payload").alias("v"),
-                                         F.lit(False).alias("rel"))))
+    # read once (no union of two branches). A container that is no object
+    # stays whole, for the quarantine.
+    pairs = F.coalesce(
+        F.when(F.col("src_key") == REL_KEY, F.transform(
+            F.map_entries(json_map("payload")), lambda e: F.struct(e["key"].alias("k"), e["value"].alias("v"), F.lit(True).alias("rel")))),
+        F.array(F.struct(F.col("src_key").alias("k"), F.col("payload").alias("v"), (F.col("src_key") == REL_KEY).alias("rel"))))
     keep_cols = [c for c in m.columns if c not in ("src_key", "payload")]
     x = m.select(*keep_cols, F.explode(pairs).alias("_p"))
     type_map = F.create_map(*sum(([F.lit(k), F.lit(v)] for k, v in TYPE_CODES.items()), []))
@@ -173,18 +172,20 @@ def explode_activity_groups(members: DataFrame, record: str = "record",
             .otherwise(F.coalesce(F.try_element_at(type_map, k), F.when(k.isin(KEPT_CODES), k)))
     return (x.select(*keep_cols, k.alias("src_key"), F.col("_p")["v"].alias("payload"),
                      code.alias("act_type"))
-             .where(F.col("payload").isNotNull()))
+             .where(F.col("problem").isNotNull() | F.col("payload").isNotNull()))
 
 
-def flatten_activity(members: DataFrame, record: str = "record", keep: tuple[str, ...] = (),
-                     null_text: str | None = "None",
-                     clean_html: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Member records -> (activities, quarantine).
+def _entry_hash(*cols: str) -> Column:
+    """Hash of the values in order; NULL differs from every text, and lengths keep
+    neighbouring values apart."""
+    marked = [F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), F.col(c)), F.lit("~")) for c in cols]
+    return F.sha2(F.concat(*marked), 256)
 
-    ``null_text`` is what a NULL part of ``act_dar`` is written as ('None',
-    as string formatting produced; None gives NULL ids instead). With
-    ``clean_html`` the description loses HTML tags and its character
-    references are decoded."""
+
+def tag_activity(members: DataFrame, record: str = "record", keep: tuple[str, ...] = (),
+                 null_text: str | None = "None", clean_html: bool = False) -> DataFrame:
+    """Member records -> one table of activities and quarantined entries: a row is
+    an activity where ``error_reason`` is NULL. See ``flatten_activity``."""
     groups = unwrap_records(explode_activity_groups(members, record, keep), "payload", "_recs")
     acts = groups.select(*[c for c in groups.columns if c not in ("payload", "_recs")],
                          # an empty list has no activities; a payload that is neither
@@ -232,20 +233,39 @@ def flatten_activity(members: DataFrame, record: str = "record", keep: tuple[str
         (decode_entities(strip_html(dequote(desc))) if clean_html else dequote(desc)).alias("act_desc"),
         F.array_except(required, F.coalesce(F.map_keys(m), F.array().cast("array<string>")))
          .alias("_missing"))
-    reason = (F.when(code.isNull(), F.concat(F.lit("unknown activity type: "), F.col("src_key")))
+    reason = (F.when(F.col("problem").isNotNull(), F.col("problem"))
+               .when(code.isNull() & (F.col("src_key") == REL_KEY), F.lit("reporter container is not an object"))
+               .when(code.isNull(), F.concat(F.lit("unknown activity type: "), F.col("src_key")))
                .when(m.isNull(), F.lit("empty or malformed activity payload"))
                .when(F.size("_missing") > 0,
                      F.concat(F.lit("missing keys: "), F.array_join("_missing", ","))))
-    typed = typed.withColumn("error_reason", reason)
-    good = (typed.where(F.col("error_reason").isNull())
-            .select(*keep, "mp_id", "mp_name", "mp_party", "mp_status", "act_id", "act_type",
+    # an explode that no filter crosses: the reason is worked out once per entry
+    return (typed.withColumn("error_reason", F.explode(F.array(reason)))
+            .select(*keep, "mp_id", "mp_name", "mp_party", "mp_status", "src_key", "act_id", "act_type",
                     "act_subtype", "act_dar", "act_date", "act_desc",
                     parse_date("act_date").alias("act_date_parsed"),
-                    F.sha2(F.concat_ws("\u0001", F.col("act_type"), F.col("act_id"),
-                                       F.coalesce(F.col("act_subtype"), F.lit("")),
-                                       F.coalesce(F.col("act_dar"), F.lit(""))), 256).alias("act_key")))
-    bad = (typed.where(F.col("error_reason").isNotNull())
-           .select(*keep, "mp_id", "mp_name", "src_key", "act_type", F.to_json("_m").alias("act"),
-                   "error_reason")
-           .unionByName(member_problems(members, record, keep)))
+                    _entry_hash("act_type", "act_id", "act_subtype", "act_dar", "act_date", "act_desc").alias("act_key"),
+                    F.to_json("_m").alias("act"), "error_reason"))
+
+
+def split_activity(tagged: DataFrame, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """(activities, quarantine) of a tagged table, which may have been stored."""
+    good = (tagged.where(F.col("error_reason").isNull())
+            .select(*keep, "mp_id", "mp_name", "mp_party", "mp_status", "act_id", "act_type", "act_subtype", "act_dar",
+                    "act_date", "act_desc", "act_date_parsed", "act_key"))
+    bad = (tagged.where(F.col("error_reason").isNotNull())
+           .select(*keep, "mp_id", "mp_name", "src_key", "act_type", "act", "error_reason"))
     return good, bad
+
+
+def flatten_activity(members: DataFrame, record: str = "record", keep: tuple[str, ...] = (),
+                     null_text: str | None = "None",
+                     clean_html: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Member records -> (activities, quarantine).
+
+    ``null_text`` is what a NULL part of ``act_dar`` is written as ('None',
+    as string formatting produced; None gives NULL ids instead). With
+    ``clean_html`` the description loses HTML tags and its character
+    references are decoded. To write both, store ``tag_activity`` once and
+    split that."""
+    return split_activity(tag_activity(members, record, keep, null_text, clean_html), keep)

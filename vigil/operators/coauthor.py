@@ -13,11 +13,10 @@ K(c, a) ∩ K(m, a) ≠ ∅, and by inclusion–exclusion
 
     |co-authors| = Σ_{∅≠T⊆K(m,a)} (-1)^{|T|+1} · #{c : T ⊆ K(c, a)}.
 
-Each member enumerates the subsets of its own key set once, so the work is
-linear in rows (times 2^|K|, where |K| is the number of distinct
-type/subtype pairs a member holds for one id, small in practice), and every
-shuffle is a partial (map-side combined) aggregate or an equi-join on
-(id, subset), which AQE's skew-join splits when one id is hot.
+Members with equal key sets for an id are counted as one weighted class, so
+subsets are enumerated once per distinct (id, key set) and not per member;
+every shuffle is a partial (map-side combined) aggregate or an equi-join on
+(id, subset) or (id, key), which AQE's skew-join splits when one id is hot.
 
 Null rules follow the source: keys match NULL to NULL (the key token below is
 null-safe), groups with a NULL member or id are dropped, and NULL members are
@@ -59,77 +58,51 @@ def member_act_groups(df: DataFrame, member: str = "mp_name", act_id: str = "act
               .agg(F.collect_set(F.struct(*carry, *key_cols)).alias("_combos")))
 
 
+#: Key sets up to this size enumerate their subsets; wider ones are joined key by key.
 MAX_SUBSET_KEYS = 10
 
 
-def _materialize(df: DataFrame) -> DataFrame:
-    """Checkpoint to the shared checkpoint folder: the per-(member, id)
-    aggregate is read several times (width check, subsets, weights) and its
-    lineage is cut there."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def _subsets(narrow: DataFrame, member: str, act_id: str) -> DataFrame:
-    return (narrow
-            .withColumn("_mask", F.explode(F.expr("sequence(1, shiftleft(1, size(_keys)) - 1)")))
-            .select(member, act_id,
-                    F.expr("filter(_keys, (x, i) -> shiftright(_mask, i) & 1 = 1)").alias("_subarr"),
-                    F.when(F.bit_count("_mask") % 2 == 1, F.lit(1)).otherwise(F.lit(-1)).alias("_sign"))
-            .withColumn("_sub", F.array_join("_subarr", _SEP)))
-
-
-def _counts_from_groups(groups: DataFrame, member: str, act_id: str,
-                        key_cols: tuple[str, ...], out: str,
-                        max_subset_keys: int = MAX_SUBSET_KEYS) -> DataFrame:
-    """Co-author counts from per-(member, id) key sets.
-
-    Narrow members (at most ``max_subset_keys`` keys) use inclusion–exclusion
-    over the subsets of their key set. Wide members, whose subset count would
-    explode, are handled exactly by two joins on the activity id: they add
-    their count to every subset a narrow member enumerates that their key set
-    contains, and their own count is the number of members whose key set
-    overlaps theirs, taken from the distinct key sets of the id (one row per
-    distinct set, not per member). A one-row aggregate finds the widest key
-    set first, so these joins are only planned when a wide member exists.
+def _materialize(groups: DataFrame, key_cols: tuple[str, ...]) -> DataFrame:
+    """Checkpoint of the groups with their sorted key sets (``_keys``) to the shared
+    folder: the aggregate is read several times and its lineage is cut there."""
+    ensure_checkpoint_dir(groups.sparkSession)
+    keys = F.array_sort(F.array_distinct(F.transform("_combos", lambda c: key_token(*[c[k] for k in key_cols]))))
+    return groups.withColumn("_keys", keys).checkpoint(eager=True)
+
+
+def _key_set_counts(groups: DataFrame, act_id: str, out: str, max_subset_keys: int) -> DataFrame:
+    """(act_id, _keys, out): co-authors of a member with this key set for the id.
+
+    Members with equal key sets have equal counts, so everything runs on the
+    distinct (id, key set) classes weighted by their members. Narrow sets meet
+    narrow sets by inclusion-exclusion over weighted subsets. A set with more
+    than ``max_subset_keys`` keys meets all others on (id, key), never on the id
+    alone, and each overlapping pair of distinct sets counts once.
     """
-    token = lambda c: key_token(*[c[k] for k in key_cols])
-    keys = F.array_sort(F.array_distinct(F.transform("_combos", token)))
-    g = groups.select(member, act_id, keys.alias("_keys"))
-    widest = g.agg(F.max(F.size("_keys"))).first()[0] or 0
-    if widest <= max_subset_keys:
-        subsets = _subsets(g, member, act_id)
-        cover = subsets.groupBy(act_id, "_sub").agg(F.count(F.lit(1)).alias("_cover"))
-        return (subsets.join(cover, [act_id, "_sub"])
-                .groupBy(member, act_id)
-                .agg(F.sum(F.col("_sign") * F.col("_cover")).cast("long").alias(out)))
-    narrow = g.where(F.size("_keys") <= max_subset_keys)
-    wide = g.where(F.size("_keys") > max_subset_keys)
-    subsets = _subsets(narrow, member, act_id)
-    cover_narrow = subsets.groupBy(act_id, "_sub").agg(F.count(F.lit(1)).alias("_cover"))
-    needed = subsets.select(act_id, "_sub", "_subarr").dropDuplicates([act_id, "_sub"])
-    cover_wide = (needed.join(wide.select(act_id, F.col("_keys").alias("_wkeys")), act_id)
-                  .where(F.size(F.array_except("_subarr", "_wkeys")) == 0)
-                  .groupBy(act_id, "_sub").agg(F.count(F.lit(1)).alias("_cover")))
-    cover = (cover_narrow.unionByName(cover_wide)
-             .groupBy(act_id, "_sub").agg(F.sum("_cover").alias("_cover")))
-    n_narrow = (subsets.join(cover, [act_id, "_sub"])
-                .groupBy(member, act_id)
-                .agg(F.sum(F.col("_sign") * F.col("_cover")).cast("long").alias(out)))
-    key_sets = (g.groupBy(act_id, F.array_join("_keys", _SEP).alias("_set"))
-                 .agg(F.first("_keys").alias("_skeys"), F.count(F.lit(1)).alias("_n")))
-    n_wide = (wide.join(key_sets, act_id)
-              .where(F.arrays_overlap("_keys", "_skeys"))
-              .groupBy(member, act_id).agg(F.sum("_n").cast("long").alias(out)))
-    return n_narrow.unionByName(n_wide)
+    classes = groups.groupBy(act_id, "_keys").agg(F.count(F.lit(1)).alias("_n"))
+    narrow = F.size("_keys") <= max_subset_keys
+    subsets = (classes.where(narrow)
+               .withColumn("_mask", F.explode(F.expr("sequence(1, shiftleft(1, size(_keys)) - 1)")))
+               .select(act_id, "_keys", "_n",
+                       F.array_join(F.expr("filter(_keys, (x, i) -> shiftright(_mask, i) & 1 = 1)"), _SEP).alias("_sub"),
+                       F.when(F.bit_count("_mask") % 2 == 1, F.lit(1)).otherwise(F.lit(-1)).alias("_sign")))
+    cover = subsets.groupBy(act_id, "_sub").agg(F.sum("_n").alias("_cover"))
+    parts = subsets.join(cover, [act_id, "_sub"]).select(act_id, "_keys", (F.col("_sign") * F.col("_cover")).alias("_part"))
+    by_key = classes.select(act_id, "_keys", "_n", F.explode("_keys").alias("_key"))
+    wide = by_key.where(~narrow).select(act_id, "_key", F.col("_keys").alias("_wide"), F.col("_n").alias("_wn"))
+    met = wide.join(by_key, [act_id, "_key"]).select(act_id, "_wide", "_wn", "_keys", "_n").distinct()
+    to_wide = met.select(act_id, F.col("_wide").alias("_keys"), F.col("_n").alias("_part"))
+    to_narrow = met.where(narrow).select(act_id, "_keys", F.col("_wn").alias("_part"))
+    return (parts.unionByName(to_wide).unionByName(to_narrow)
+            .groupBy(act_id, "_keys").agg(F.sum("_part").cast("long").alias(out)))
 
 
 def coauthor_counts(df: DataFrame, member: str = "mp_name", act_id: str = "act_id",
                     key_cols: tuple[str, ...] = ("act_type", "act_subtype"),
                     out: str = "n_coauthors", max_subset_keys: int = MAX_SUBSET_KEYS) -> DataFrame:
     """Distinct co-authors (member included) per (member, act_id)."""
-    groups = _materialize(member_act_groups(df, member, act_id, key_cols))
-    return _counts_from_groups(groups, member, act_id, key_cols, out, max_subset_keys)
+    groups = _materialize(member_act_groups(df, member, act_id, key_cols), key_cols).drop("_combos")
+    return groups.join(_key_set_counts(groups, act_id, out, max_subset_keys), [act_id, "_keys"]).select(member, act_id, out)
 
 
 def coauthor_weights(df: DataFrame, decimals: int = 6,
@@ -154,9 +127,9 @@ def coauthor_weights(df: DataFrame, decimals: int = 6,
             present = F.col(c).isNotNull() if present is None else present & F.col(c).isNotNull()
         df = df.withColumn("_aid", F.when(present, key_token(*[F.col(c) for c in id_cols])))
         id_col = "_aid"
-    groups = _materialize(member_act_groups(df, "mp_name", id_col, keys, carry=("mp_id", "mp_party")))
-    n = _counts_from_groups(groups, "mp_name", id_col, keys, "n_coauthors", max_subset_keys)
-    w = (groups.join(n, ["mp_name", id_col])
+    groups = _materialize(member_act_groups(df, "mp_name", id_col, keys, carry=("mp_id", "mp_party")), keys)
+    n = _key_set_counts(groups, id_col, "n_coauthors", max_subset_keys)
+    w = (groups.join(n, [id_col, "_keys"])
                .select("mp_name", "n_coauthors", F.explode("_combos").alias("_c"))
                .select(F.col("_c")["mp_party"].alias("mp_party"), "mp_name",
                        (F.lit(1.0) / F.col("n_coauthors")).alias("act_weight")))

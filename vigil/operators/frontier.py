@@ -2,9 +2,9 @@
 
 The frontier is the set of followable link targets that were not visited
 yet: a ``left_anti`` join against the visited set. The multi-round form runs
-one job per round from the driver loop (a bounded number of rounds, never a
-row loop) and checkpoints the visited set each round so lineage stays short
-and a lost executor only recomputes one round.
+one job per round from the driver loop (never a row loop) until nothing is new
+and checkpoints what each round adds, so lineage stays short and a lost
+executor only recomputes one round.
 """
 
 from __future__ import annotations
@@ -24,41 +24,48 @@ def classify_links(links: DataFrame, follow: str, download: str, href: str = "hr
                  .withColumn("to_download", F.col(href).contains(download)))
 
 
-def link_targets(pages: DataFrame) -> DataFrame:
-    """(source page url, absolute target url) for every anchor."""
-    return (page_links(pages, keep=("url",))
-            .select(F.col("url").alias("source_url"), resolve("href", "url").alias("target_url")))
+def link_targets(pages: DataFrame, follow: str | None = None) -> DataFrame:
+    """(source page url, absolute target url) for every anchor, or for those
+    whose href contains ``follow``."""
+    links = page_links(pages, keep=("url",))
+    if follow is not None:
+        links = links.where(F.col("href").contains(follow))
+    return links.select(F.col("url").alias("source_url"), resolve("href", "url").alias("target_url"))
 
 
-def frontier(pages: DataFrame, visited: DataFrame) -> DataFrame:
+def frontier(pages: DataFrame, visited: DataFrame, follow: str | None = None) -> DataFrame:
     """Distinct link targets of ``pages`` not in ``visited`` (column ``url``)."""
-    t = link_targets(pages).select(F.col("target_url").alias("url")).distinct()
+    t = link_targets(pages, follow).select(F.col("target_url").alias("url")).distinct()
     v = visited.select(without_fragment("url").alias("url")).distinct()
     return t.join(v, "url", "left_anti")
 
 
-def expand_frontier(pages: DataFrame, seeds: DataFrame, max_rounds: int = 10) -> DataFrame:
-    """Breadth-first crawl over a landed page table.
+def expand_frontier(pages: DataFrame, seeds: DataFrame, follow: str | None = None, depth: int | None = None) -> DataFrame:
+    """Breadth-first crawl over a landed page table: (url, round) of every url
+    reached from ``seeds`` (column ``url``), until a round finds nothing new.
 
-    Starts from ``seeds`` (column ``url``), follows links to pages present in
-    ``pages``, and returns every reached url with the round it was first
-    reached in. Each round: frontier pages ⋈ pages → links → anti-join with
-    everything reached so far."""
+    ``follow`` keeps the crawl to links whose href contains it. With ``depth``
+    the crawl stops after so many rounds; the rows of round ``depth`` are then
+    the frontier that was not expanded. Pages are read once, into an edge table;
+    a round joins the last round's urls to the edges and checkpoints what is new.
+    """
     ensure_checkpoint_dir(pages.sparkSession)
-    pg = pages.select(without_fragment("url").alias("url"), "html")
-    reached = seeds.select(without_fragment("url").alias("url")).distinct() \
-                   .withColumn("round", F.lit(0)).checkpoint()
-    current = reached
-    for r in range(1, max_rounds + 1):
-        cur_pages = pg.join(current.select("url"), "url", "left_semi")
-        new = (link_targets(cur_pages).select(F.col("target_url").alias("url")).distinct()
+    edges = (link_targets(pages.select(without_fragment("url").alias("url"), "html"), follow)
+             .distinct().checkpoint())
+    new = (seeds.select(without_fragment("url").alias("url")).distinct()
+           .withColumn("round", F.lit(0)).checkpoint())
+    reached, r = new, 0
+    while depth is None or r < depth:
+        r += 1
+        new = (edges.join(new.select(F.col("url").alias("source_url")), "source_url")
+               .select(F.col("target_url").alias("url")).distinct()
                .join(reached.select("url"), "url", "left_anti")
-               .withColumn("round", F.lit(r)))
-        new = new.checkpoint()
+               .withColumn("round", F.lit(r)).checkpoint())
         if new.isEmpty():
             break
-        reached = reached.unionByName(new).checkpoint()
-        current = new
+        reached = reached.unionByName(new)
+        if r % 10 == 0:  # keeps the union short in deep crawls
+            reached = reached.checkpoint()
     return reached
 
 
@@ -68,11 +75,20 @@ def manifest_rows(pages: DataFrame, crumbs: str, links: str, crawl_time, root: s
     the download links of each page: the page's breadcrumb texts give the
     directory (slugged, home entry and trailing number removed), each link's
     ``fich=`` marker gives the file name. ``crawl_time`` is a Column (inject a
-    literal for reproducible runs)."""
+    literal for reproducible runs). Links without the marker are not rows of a
+    manifest; ``unnamed_links`` lists them."""
     directory = path_join(breadcrumb_dirs(crumbs))
     rows = (pages.select(F.col(url).alias("parent_url"), directory.alias("_dir"),
                          F.explode(F.filter(links, lambda h: h.contains(download))).alias("file_url")))
     name = normalize_file_name(extract_between("file_url", "fich=", "&Inline=true"))
-    return rows.select(crawl_time.alias("crawl_time"),
+    return rows.where(name.isNotNull()).select(crawl_time.alias("crawl_time"),
                        F.concat_ws("/", F.lit(root), F.col("_dir"), name).alias("file_path"),
                        "parent_url", "file_url")
+
+
+def unnamed_links(pages: DataFrame, links: str, download: str = "json.txt", url: str = "url") -> DataFrame:
+    """Quarantine of ``manifest_rows``: download links that lack the file-name
+    markers (parent_url, file_url, error_reason)."""
+    rows = pages.select(F.col(url).alias("parent_url"), F.explode(F.filter(links, lambda h: h.contains(download))).alias("file_url"))
+    return rows.where(extract_between("file_url", "fich=", "&Inline=true").isNull()) \
+        .withColumn("error_reason", F.lit("no file name marker"))

@@ -48,16 +48,32 @@ def _pub_ref(p: Column) -> Column:
                     F.lit("/"), _fmt(_k(p, "pubLeg")), F.lit("/"), _fmt(_k(p, "pubSL")))
 
 
-def flatten_initiatives(records: DataFrame, record: str = "record",
-                        keep: tuple[str, ...] = (), clean_html: bool = False) -> DataFrame:
-    """Initiative records -> one row each. The record is parsed once into a
+# Keys every initiative record, event and publication must carry.
+REQUIRED_KEYS = ["iniNr", "iniTipo", "iniLeg", "iniSel", "iniTitulo", "iniLinkTexto", "iniEventos"]
+PUBLICATION_KEYS = ["pubdt", "pubTipo", "pubNr", "pubLeg", "pubSL"]
+
+
+def _lacking(maps: str, keys: list[str], prefix: str) -> Column:
+    """Names of the keys that some map of the array lacks (a null value is there)."""
+    wanted = F.array(*[F.lit(k) for k in keys])
+    return F.transform(F.array_distinct(F.flatten(F.transform(F.coalesce(F.col(maps), F.array().cast("array<map<string,string>>")),
+                                                              lambda m: F.array_except(wanted, F.map_keys(m))))),
+                       lambda k: F.concat(F.lit(prefix), k))
+
+
+def tag_initiatives(records: DataFrame, record: str = "record",
+                    keep: tuple[str, ...] = (), clean_html: bool = False) -> DataFrame:
+    """Initiative records -> one row each, with ``error_reason`` where a mandatory
+    key is missing (at the top, or of an event, party, author or publication
+    that is read). The record is parsed once into a
     struct; the object-or-array parts (parties, authors, events, publications)
     are parsed once each into ``array<map<string,string>>``; each stage is
     its own projection so no parse is repeated. With ``clean_html`` the title
     loses HTML tags and its character references are decoded."""
-    r = records.select(*keep, F.from_json(record, INITIATIVE_SCHEMA).alias("_r"))
+    r = records.select(*keep, F.col(record).alias("_raw"), F.from_json(record, INITIATIVE_SCHEMA).alias("_r"),
+                       F.json_object_keys(F.col(record)).alias("_keys"))
     parties_raw = F.col("_r")["iniAutorGruposParlamentares"]["pt_gov_ar_objectos_AutoresGruposParlamentaresOut"]
-    r = r.select(*keep, "_r",
+    r = r.select(*keep, "_raw", "_keys", "_r",
                  json_records(F.col("_r")["iniEventos"]["pt_gov_ar_objectos_iniciativas_EventosOut"]).alias("_ev"),
                  json_records(parties_raw).alias("_gp"), is_array(parties_raw).alias("_gp_list"),
                  json_records(F.col("_r")["iniAutorDeputados"]["pt_gov_ar_objectos_iniciativas_AutoresDeputadosOut"])
@@ -65,7 +81,7 @@ def flatten_initiatives(records: DataFrame, record: str = "record",
     entry = last_matching("_ev", lambda e: _k(e, "fase") == ENTRY_PHASE)
     pub_event = last_matching("_ev", lambda e: _k(e, "fase").isin(PUBLICATION_PHASES)
                               & _k(e, "publicacaoFase").isNotNull())
-    r = r.select(*keep, "_r", "_gp", "_gp_list", "_au", _k(entry, "dataFase").alias("entry_date"),
+    r = r.select(*keep, "_raw", "_keys", "_r", "_ev", "_gp", "_gp_list", "_au", _k(entry, "dataFase").alias("entry_date"),
                  pub_event.isNotNull().alias("_has_pub"),
                  json_records(F.get_json_object(_k(pub_event, "publicacaoFase"),
                                                 "$.pt_gov_ar_objectos_PublicacoesOut")).alias("_pubs"))
@@ -74,6 +90,16 @@ def flatten_initiatives(records: DataFrame, record: str = "record",
     party = (F.when(F.col("_gp_list"),
                     strip(F.array_join(F.transform("_gp", lambda g: _fmt(_k(g, "GP"))), " ")))
               .otherwise(_k(F.try_element_at("_gp", F.lit(1)), "GP")))
+    missing = F.array_except(F.array(*[F.lit(k) for k in REQUIRED_KEYS]), F.coalesce("_keys", F.array().cast("array<string>")))
+    inner = F.concat(_lacking("_ev", ["fase"], "iniEventos."), _lacking("_gp", ["GP"], "iniAutorGruposParlamentares."),
+                     _lacking("_au", ["nome"], "iniAutorDeputados."), _lacking("_pubs", PUBLICATION_KEYS, "publicacaoFase."))
+    lists = F.concat(missing, inner)
+    reason = (F.when(F.col("_keys").isNull(), F.lit("record is not an object"))
+               .when(F.size(missing) > 0, F.concat(F.lit("missing keys: "), F.array_join(missing, ",")))
+               .when(F.col("_ev").isNull(), F.lit("missing events list"))
+               .when(F.size(lists) > 0, F.concat(F.lit("missing keys: "), F.array_join(lists, ","))))
+    # an explode that no filter crosses: the record is parsed once for both outcomes
+    r = r.withColumn("error_reason", F.explode(F.array(reason)))
     return r.select(
         *keep,
         format_id(x["iniNr"], x["iniTipo"], x["iniLeg"], x["iniSel"]).alias("id"),
@@ -87,26 +113,25 @@ def flatten_initiatives(records: DataFrame, record: str = "record",
          .alias("publication_date"),
         F.when(F.col("_has_pub"), strip(F.array_join(F.transform("_pubs", _pub_ref), " "))).alias("dar_ref"),
         F.array_join(F.transform(authors, lambda a: _k(a, "nome")), ", ").alias("authors"),
-        F.size(authors).cast("int").alias("number_authors"))
+        F.size(authors).cast("int").alias("number_authors"),
+        F.col("_raw").alias(record), "error_reason")
 
 
-# Top-level keys every initiative record must carry.
-REQUIRED_KEYS = ["iniNr", "iniTipo", "iniLeg", "iniSel", "iniTitulo", "iniEventos"]
+def flatten_initiatives(records: DataFrame, record: str = "record",
+                        keep: tuple[str, ...] = (), clean_html: bool = False) -> DataFrame:
+    """Every record flattened as far as it goes, also those that lack mandatory
+    keys; ``split_initiatives`` keeps those apart."""
+    return tag_initiatives(records, record, keep, clean_html).drop(record, "error_reason")
 
 
 def split_initiatives(records: DataFrame, record: str = "record", keep: tuple[str, ...] = (),
                       clean_html: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(initiatives, quarantine): records lacking a mandatory key (id parts,
-    title, events, or the events wrapper) go to the quarantine with a reason
-    instead of failing the run; the rest are flattened."""
-    keys = F.json_object_keys(F.col(record))
-    missing = F.array_except(F.array(*[F.lit(k) for k in REQUIRED_KEYS]),
-                             F.coalesce(keys, F.array().cast("array<string>")))
-    events_raw = F.get_json_object(F.col(record), "$.iniEventos.pt_gov_ar_objectos_iniciativas_EventosOut")
-    reason = (F.when(keys.isNull(), F.lit("record is not an object"))
-               .when(F.size(missing) > 0, F.concat(F.lit("missing keys: "), F.array_join(missing, ",")))
-               .when(events_raw.isNull(), F.lit("missing events list")))
-    tagged = records.withColumn("_reason", reason)
-    good = flatten_initiatives(tagged.where(F.col("_reason").isNull()), record, keep, clean_html)
-    bad = tagged.where(F.col("_reason").isNotNull()).select(*keep, record, F.col("_reason").alias("error_reason"))
-    return good, bad
+    """(initiatives, quarantine): records lacking a mandatory key go to the
+    quarantine with a reason instead of failing the run. To write both, store
+    ``tag_initiatives`` once and split that with ``split_tagged``."""
+    return split_tagged(tag_initiatives(records, record, keep, clean_html), record, keep)
+
+
+def split_tagged(tagged: DataFrame, record: str = "record", keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    good = tagged.where(F.col("error_reason").isNull()).drop(record, "error_reason")
+    return good, tagged.where(F.col("error_reason").isNotNull()).select(*keep, record, "error_reason")

@@ -26,26 +26,26 @@ def pending(manifest: DataFrame, landed: DataFrame, key: str = "file_path") -> D
 
 
 def merge_results(manifest: DataFrame, results: DataFrame, key: str = "file_path") -> DataFrame:
-    """Fill download time/status/md5 from ``results`` where status == 200;
-    other rows keep their previous values."""
+    """Fill download time/status/md5 of unfinished rows from their successful
+    result; finished rows (status 200) and rows without a success keep their
+    values. Of several successes for one key the latest counts, so no manifest
+    row is repeated; rows that share a key are all filled."""
     m = widen(manifest)
-    r = results.select(F.col(key).alias("_k"), F.col("download_time").alias("_t"),
-                       F.col("download_status").alias("_s"), F.col("download_md5").alias("_m"))
+    r = (results.where(F.col("download_status") == OK).groupBy(F.col(key).alias("_k"))
+         .agg(F.max(F.struct("download_time", "download_md5")).alias("_r")))
     j = m.join(r, m[key] == r["_k"], "left")
-    ok = F.col("_s") == OK
+    fill = F.col("_r").isNotNull() & (F.coalesce(F.col("download_status"), F.lit(0)) != OK)
     return j.select(
         *[c for c in MANIFEST_COLUMNS if not c.startswith("download_")],
-        F.when(ok, F.col("_t")).otherwise(F.col("download_time")).alias("download_time"),
-        F.when(ok, F.col("_s")).otherwise(F.col("download_status")).alias("download_status"),
-        F.when(ok, F.col("_m")).otherwise(F.col("download_md5")).alias("download_md5"),
+        F.when(fill, F.col("_r.download_time")).otherwise(F.col("download_time")).alias("download_time"),
+        F.when(fill, F.lit(OK)).otherwise(F.col("download_status")).alias("download_status"),
+        F.when(fill, F.col("_r.download_md5")).otherwise(F.col("download_md5")).alias("download_md5"),
         *[c for c in m.columns if c not in MANIFEST_COLUMNS])
 
 
-def latest_rows(df: DataFrame, run_col: str = "run_file", skip_empty: bool = False) -> DataFrame:
+def latest_rows(df: DataFrame, run_col: str = "run_file") -> DataFrame:
     """Rows of the greatest run name among the given rows (a run without rows
     has no row to carry its name, so it is never chosen here; use
-    ``sources.manifest.latest_run_rows`` to keep an empty newest run). With
-    ``skip_empty`` rows without a run name are ignored as well."""
-    d = df.where(F.col(run_col).isNotNull()) if skip_empty else df
-    top = d.agg(F.max(run_col).alias("_top"))  # exactly one row
-    return d.join(F.broadcast(top), d[run_col] == F.col("_top")).drop("_top")
+    ``sources.manifest.latest_run_rows`` to keep an empty newest run)."""
+    top = df.agg(F.max(run_col).alias("_top"))  # exactly one row
+    return df.join(F.broadcast(top), df[run_col] == F.col("_top")).drop("_top")

@@ -26,8 +26,7 @@ from vigil.plans import derived
 from vigil.plans.tables import ACT_SQL, INI_SQL, activity_rows, initiative_rows, load
 from vigil.session import scratch_path
 from vigil.sources import delimited
-from vigil.sources.html_select import select_in_blocks
-from vigil.sources.pages import page_links, page_title
+from vigil.sources.pages import block_links, block_text, page_links, page_title
 
 Q = Callable[[SparkSession, str], DataFrame]
 _CRAWL_TS = "2024-01-01 00:00:00"
@@ -540,8 +539,13 @@ def q_strip_html(spark, sf):
     return load(spark, sf, "pages").select("page_id", T.strip_html("html").alias("body_text"))
 
 
+# the oracle's own references: those that the pages hold, ampersand last
+_PAGE_REFS = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&nbsp;", "\u00a0"), ("&copy;", "©"),
+              ("&middot;", "·"), ("&amp;", "&")]
+
+
 def _entities_sql(x: str) -> str:
-    for k, v in T.HTML_ENTITIES:
+    for k, v in _PAGE_REFS:
         x = f"replace({x}, '{k}', '{v.replace(chr(39), chr(39) * 2)}')"
     return x
 
@@ -549,7 +553,7 @@ def _entities_sql(x: str) -> str:
 def _numeric_refs_sql(x: str) -> str:
     """Numeric character references decoded in DuckDB SQL (split around the
     references, code point -> chr, zip back)."""
-    pat = T.NUMERIC_REF
+    pat = "&#[0-9]+;|&#[xX][0-9a-fA-F]+;"
     cp = ("(CASE WHEN lower(substr(r, 3, 1)) = 'x' "
           "THEN CAST(('0x' || regexp_extract(r, '&#[xX]([0-9a-fA-F]+);', 1)) AS HUGEINT) "
           "ELSE CAST(regexp_extract(r, '&#([0-9]+);', 1) AS HUGEINT) END)")
@@ -623,8 +627,8 @@ SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, hs[i] AS value FROM (
     SELECT page_id, regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1),
                                        '(?i)<a\\s[^>]*?href\\s*=\\s*"([^"]*)"', 1) AS hs FROM pages))""")
 def q_page_block_links(spark, sf):
-    """Hrefs inside each page's nav block (nesting-aware selector)."""
-    return select_in_blocks(load(spark, sf, "pages"), "nav", want="href")
+    """Hrefs inside each page's nav block."""
+    return load(spark, sf, "pages").select("page_id", F.posexplode(block_links("html", None, "nav")).alias("pos", "value"))
 
 
 @query("page_block_text", """
@@ -633,8 +637,8 @@ SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, ts[i] AS value FROM (
     SELECT page_id, list_filter(regexp_extract_all(html, '(?s)<div class="ad">(.*?)</div>', 1),
                                 lambda x: x <> '') AS ts FROM pages))""")
 def q_page_block_text(spark, sf):
-    """Text nodes inside div.ad blocks (nesting-aware selector)."""
-    return select_in_blocks(load(spark, sf, "pages"), "div", "ad", want="text")
+    """Text pieces inside div.ad blocks."""
+    return load(spark, sf, "pages").select("page_id", F.posexplode(block_text("html", "ad")).alias("pos", "value"))
 
 
 _RESOLVE_SQL = """CASE WHEN regexp_matches(h, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN regexp_replace(h, '#.*$', '')
@@ -654,23 +658,26 @@ def q_frontier_expand(spark, sf):
     return frontier.frontier(pages, pages.select("url"))
 
 
-@query("frontier_rounds", f"""
-WITH pg AS (SELECT regexp_replace(url, '#.*$', '') AS url, html FROM pages),
-r0 AS (SELECT DISTINCT url FROM pg),
-l0 AS (SELECT pg.url, unnest(regexp_extract_all(pg.html, '(?i)<a\\s[^>]*?href\\s*=\\s*"([^"]*)"', 1)) AS h
-       FROM pg WHERE pg.url IN (SELECT url FROM r0)),
-r1 AS (SELECT DISTINCT {_RESOLVE_SQL} AS url FROM l0
-       EXCEPT SELECT url FROM r0),
-l1 AS (SELECT pg.url, unnest(regexp_extract_all(pg.html, '(?i)<a\\s[^>]*?href\\s*=\\s*"([^"]*)"', 1)) AS h
-       FROM pg WHERE pg.url IN (SELECT url FROM r1)),
-r2 AS (SELECT DISTINCT {_RESOLVE_SQL} AS url FROM l1
-       EXCEPT SELECT url FROM r0 EXCEPT SELECT url FROM r1)
-SELECT url, 0 AS round FROM r0 UNION ALL SELECT url, 1 FROM r1 UNION ALL SELECT url, 2 FROM r2""")
+@query("frontier_rounds", """
+WITH RECURSIVE n AS (SELECT max(c_custkey) AS top FROM customer),
+r(k, round) AS (
+  SELECT CAST(1 AS BIGINT), 0
+  UNION ALL
+  SELECT c.k2, r.round + 1 FROM r, n, LATERAL (SELECT unnest([3 * r.k - 1, 3 * r.k, 3 * r.k + 1]) AS k2) c
+  WHERE r.k <= n.top AND r.k IN (SELECT c_custkey FROM customer))
+SELECT 'https://c.example.org/' || CAST(k AS VARCHAR) || '.aspx' AS url, CAST(min(round) AS INTEGER) AS round FROM r GROUP BY k""")
 def q_frontier_rounds(spark, sf):
-    """Breadth-first crawl over the landed pages, starting from all of them:
-    every reached url with the round it was first reached in."""
-    pages = load(spark, sf, "pages")
-    return frontier.expand_frontier(pages, pages.select("url"), max_rounds=5)
+    """Crawl to the end over a page per customer, from one seed: customer k's page
+    links to 3k-1, 3k and 3k+1 (some beyond the table), to itself, to a download
+    that is not followed and, commented out, to a page that does not exist."""
+    k = F.col("c_custkey").cast("bigint")
+    link = lambda x: F.concat(F.lit('<a href="/'), x.cast("string"), F.lit('.aspx#top">x</a>'))
+    pages = load(spark, sf, "customer").select(
+        F.concat(F.lit("https://c.example.org/"), k.cast("string"), F.lit(".aspx")).alias("url"),
+        F.concat(link(3 * k - 1), link(3 * k), link(3 * k + 1), link(k), F.lit("<a class='x' href='/list_json.txt'>d</a>"),
+                 F.lit('<!-- <a href="/none.aspx">n</a> -->')).alias("html"))
+    seeds = spark.range(1).select(F.lit("https://c.example.org/1.aspx").alias("url"))
+    return frontier.expand_frontier(pages, seeds, follow=".aspx")
 
 
 _FICH_SPARK = lambda: F.concat(

@@ -8,42 +8,61 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.operators import coauthor, histogram, manifest, quality
-from vigil.operators.activity import ACTIVITY_ROOT, flatten_activity
-from vigil.operators.initiative import INITIATIVE_ROOT, split_initiatives
+from vigil.operators.activity import ACTIVITY_ROOT, split_activity, tag_activity
+from vigil.operators.initiative import INITIATIVE_ROOT, split_tagged, tag_initiatives
+from vigil.session import scratch_path
 from vigil.sources.files import read_landed
 from vigil.sources.manifest import latest_run_rows, write_manifest
-from vigil.sources.nested_json import read_documents, records
+from vigil.sources.nested_json import bad_documents, read_documents, records
+
+
+def _tagged_once(tagged: DataFrame, name: str) -> DataFrame:
+    """The parsed records on shared storage, so that both outcomes are written
+    from one parse of the exports."""
+    path = scratch_path(tagged.sparkSession, name)
+    tagged.write.parquet(path)
+    return tagged.sparkSession.read.parquet(path)
+
+
+def _with_bad_documents(bad: DataFrame, docs: DataFrame, root: str) -> DataFrame:
+    """The quarantine with the documents that hold no records at all."""
+    return bad.unionByName(bad_documents(docs, root).drop("doc"), allowMissingColumns=True)
 
 
 def land_activity(spark: SparkSession, paths: str | list[str], out: str, quarantine_out: str,
                   partitions: int | None = None, partition_by: tuple[str, ...] = (),
                   clean_html: bool = False) -> None:
     """Member-activity JSON exports -> Parquet table + quarantine table.
-    Records are spread over ``partitions`` after the whole-file read, so one
-    large export file does not keep its records in one task. With
-    ``partition_by`` (e.g. ``("act_type",)``) the table is written in
-    directories per value, so reads filtered on it prune whole directories."""
-    recs = records(read_documents(spark, paths), ACTIVITY_ROOT,
-                   repartition=partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
-    good, bad = flatten_activity(recs, keep=("source_file",), clean_html=clean_html)
+    Records are spread after the whole-file read (over ``partitions``, or as
+    many as their size asks for), so one large export file does not keep its
+    records in one task. With ``partition_by`` (e.g. ``("act_type",)``) the
+    table is written in directories per value, so reads filtered on it prune
+    whole directories. Documents that do not parse or lack the root go to the
+    quarantine as well."""
+    docs = read_documents(spark, paths)
+    recs = records(docs, ACTIVITY_ROOT, spread=True, partitions=partitions)
+    tagged = _tagged_once(tag_activity(recs, keep=("source_file",), clean_html=clean_html), "activity")
+    good, bad = split_activity(tagged, keep=("source_file",))
     w = good.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(out)
-    bad.write.mode("overwrite").parquet(quarantine_out)
+    _with_bad_documents(bad, docs, ACTIVITY_ROOT).write.mode("overwrite").parquet(quarantine_out)
 
 
 def land_initiatives(spark: SparkSession, paths: str | list[str], out: str,
                      quarantine_out: str | None = None, partitions: int | None = None,
                      clean_html: bool = False) -> None:
     """Initiative JSON exports -> Parquet table (+ quarantine of records that
-    lack mandatory keys, when ``quarantine_out`` is given)."""
-    recs = records(read_documents(spark, paths), INITIATIVE_ROOT,
-                   repartition=partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
-    good, bad = split_initiatives(recs, keep=("source_file",), clean_html=clean_html)
+    lack mandatory keys and of documents without records, when
+    ``quarantine_out`` is given)."""
+    docs = read_documents(spark, paths)
+    recs = records(docs, INITIATIVE_ROOT, spread=True, partitions=partitions)
+    tagged = _tagged_once(tag_initiatives(recs, keep=("source_file",), clean_html=clean_html), "initiatives")
+    good, bad = split_tagged(tagged, keep=("source_file",))
     good.write.mode("overwrite").parquet(out)
     if quarantine_out:
-        bad.write.mode("overwrite").parquet(quarantine_out)
+        _with_bad_documents(bad, docs, INITIATIVE_ROOT).write.mode("overwrite").parquet(quarantine_out)
 
 
 def update_manifest(spark: SparkSession, runs_dir: str, landed_dir: str, out_dir: str,

@@ -55,7 +55,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is. Only when it is unset (local tests) a private folder is created.
+    as is. Only when it is unset on a ``local`` master (tests) a private folder
+    is created; on a cluster executors could not read each other's copy, so an
+    unset folder is an error there.
     """
     try:
         sc = spark.sparkContext
@@ -65,6 +67,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return sc.getCheckpointDir()
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = sc.master if sc is not None else ""
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="vigil-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc is not None:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 # The tokens pandas' CSV reader turns into missing values by
 # default (empty fields are already NULL in Spark).
@@ -27,9 +27,9 @@ def na_tokens_to_null(df: DataFrame, cols=None, tokens=PANDAS_NA_TOKENS) -> Data
 
 
 def read_pipe_csv(spark: SparkSession, path: str, schema: StructType | str,
-                  sep: str = "|", na_tokens: bool = False) -> DataFrame:
-    """Pipe CSV with a declared schema; ``na_tokens`` applies the pandas
-    missing-value tokens to string columns."""
+                  sep: str = "|", na_tokens: bool = True) -> DataFrame:
+    """Pipe CSV with a declared schema. By default the consumers' missing-value
+    tokens become NULL in string columns; ``na_tokens=False`` keeps them."""
     df = (spark.read.schema(schema).option("header", True).option("sep", sep)
           .option("quote", '"').option("escape", '"').option("multiLine", True)
           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
@@ -45,10 +45,13 @@ def write_pipe_csv(df: DataFrame, path: str, sep: str = "|", mode: str = "overwr
 
 
 def read_indexed_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """Comma CSV written with a leading unnamed index column: the index
-    (header '' -> ``_c0``) is dropped."""
+    """Comma CSV written with a leading unnamed index column, which is dropped.
+    ``schema`` describes the columns after the index."""
     r = spark.read.option("header", True)
-    r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
-    df = r.csv(path)
-    first = df.columns[0]
-    return df.drop(first) if first in ("_c0", "") else df
+    if schema is None:
+        df = r.option("inferSchema", True).csv(path)
+        first = df.columns[0]
+        return df.drop(first) if first in ("_c0", "") else df
+    named = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    whole = StructType([StructField("_index", StringType()), *named.fields])
+    return r.option("enforceSchema", True).schema(whole).csv(path).drop("_index")

@@ -19,9 +19,6 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from vigil.session import ship_by_value
 
-VOID_TAGS = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source",
-             "track", "wbr"}
-
 
 class _BlockSelector(HTMLParser):
     def __init__(self, tag: str, css_class: str | None, want: str, link_attrs: dict | None):

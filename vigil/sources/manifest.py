@@ -26,12 +26,19 @@ MANIFEST_COLUMNS = [f.name for f in MANIFEST_SCHEMA.fields]
 RUN_ID_FORMAT = "yyyy_MM_dd_HH_mm_ss"
 
 
+def _run_of(file_path) -> "F.Column":
+    """A file's run: the value of its ``run_id=`` folder, or else its name."""
+    folder = F.regexp_extract(file_path, r"run_id=([^/]+)/[^/]*$", 1)
+    return F.when(folder != "", folder).otherwise(F.regexp_extract(file_path, r"([^/]+?)(\.csv)?$", 1))
+
+
 def read_manifests(spark: SparkSession, path: str) -> DataFrame:
-    """All runs under ``path`` (``*.csv``) with the 7-column schema plus
-    ``run_file`` (file name); blank fields are NULL."""
-    return (spark.read.schema(MANIFEST_SCHEMA).option("header", True)
+    """All runs under ``path`` (flat ``<run>.csv`` files and ``run_id=<run>``
+    folders) with the 7-column schema plus ``run_file`` (the run's name); blank
+    fields are NULL."""
+    return (spark.read.schema(MANIFEST_SCHEMA).option("header", True).option("recursiveFileLookup", True)
             .option("pathGlobFilter", "*.csv").csv(path)
-            .withColumn("run_file", F.col("_metadata.file_name")))
+            .withColumn("run_file", _run_of(F.col("_metadata.file_path"))))
 
 
 def widen(df: DataFrame) -> DataFrame:
@@ -57,20 +64,20 @@ def write_manifest(df: DataFrame, path: str, run: str, mode: str = "append") ->
 
 
 def list_runs(spark: SparkSession, path: str) -> DataFrame:
-    """(run_file, length) of every run file, header-only runs included; only
-    file metadata is read (the content column is never selected)."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)
-            .select(F.regexp_extract("path", r"([^/]+)$", 1).alias("run_file"), "length"))
+    """(run_file, length) of every run, header-only runs included; only file
+    metadata is read (the content column is never selected)."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(path)
+            .groupBy(_run_of(F.col("path")).alias("run_file")).agg(F.sum("length").alias("length")))
 
 
 def latest_run_name(spark: SparkSession, path: str) -> str | None:
-    """Name of the newest run file (greatest name), or None when there is none;
+    """Name of the newest run (greatest name), or None when there is none;
     a one-row aggregate over the file listing."""
     return list_runs(spark, path).agg(F.max("run_file")).first()[0]
 
 
 def latest_run_rows(spark: SparkSession, path: str, skip_empty: bool = False) -> DataFrame:
-    """Rows of the newest run (greatest file name). By default the newest run
+    """Rows of the newest run (greatest name). By default the newest run
     is taken even when it holds no rows (then nothing is returned); with
     ``skip_empty`` the newest run that has rows is used."""
     rows = read_manifests(spark, path)
