@@ -43,7 +43,7 @@ def test_runs_match_pandas_reference(spark, rows, parts):
     data = [(g, t, i, v) for i, (g, t, v) in enumerate(rows)]
     df = spark.createDataFrame(data, "g int, t int, id int, v string")
     got = sorted((r.g if r.g is not None else -1, r.v, r.start_seq, r.end_seq, r.n_rows)
-                 for r in runs(df, ["g"], ["t", "id"], "v").collect())
+                 for r in runs(df, ["g"], ["t", "id"], "v", block=max(1, parts)).collect())
     pdf = pd.DataFrame(data, columns=["g", "t", "id", "v"]).fillna({"g": -1})
     ref = []
     for g, part in pdf.sort_values(["t", "id"]).groupby("g"):

@@ -9,10 +9,10 @@ per-(partition, group) count table carries the offsets across partition
 borders. The numbered data is checkpointed to the shared checkpoint folder so
 the local numbers are fixed before they are reused and survive executor loss.
 
-Run detection (gaps and islands) uses the difference of two such numberings:
-for consecutive rows of one value inside a group, seq(group) − seq(group,
-value) is constant, so a run is one partial/final aggregate on (group, value,
-difference).
+Run detection (gaps and islands) numbers the rows once, cuts every group into
+blocks of equally many positions, finds the changes inside each block, and
+carries the last value and the number of changes across block borders in a
+table of one row per block.
 """
 
 from __future__ import annotations
@@ -35,9 +35,10 @@ def ordered_index(df: DataFrame, group: Sequence[str], order: Sequence[str],
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     group, order = list(group), list(order)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = group + order
-    numbered = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # without a count adaptive execution sizes the ranges
+    ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    numbered = (ranged.sortWithinPartitions(*keys)
                 .withColumn("_mid", F.monotonically_increasing_id())
                 .withColumn("_pid", F.shiftright("_mid", 33))
                 .checkpoint(eager=True))
@@ -55,18 +56,34 @@ def ordered_index(df: DataFrame, group: Sequence[str], order: Sequence[str],
              .drop("_mid", "_pid", "_spid", "_first", "_off", *[f"_s_{g}" for g in group]))
 
 
+#: Positions of a group that one window of the run detection holds.
+RUN_BLOCK = 100_000
+
+
 def runs(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str,
-         extra_aggs: Sequence = ()) -> DataFrame:
-    """Maximal runs of equal consecutive ``value`` inside each group.
+         extra_aggs: Sequence = (), block: int = RUN_BLOCK) -> DataFrame:
+    """Maximal runs of equal consecutive ``value`` inside each group (NULL equals NULL).
 
     Output: group columns, ``value``, ``start_seq``, ``end_seq``, ``n_rows``
     plus ``extra_aggs``; ``start_seq``/``end_seq`` are 1-based positions in
-    the group's order, so runs tile each group exactly."""
+    the group's order, so runs tile each group exactly. One range sort numbers
+    the rows; the windows run over ``block`` positions, and over one row per block."""
     group, order = list(group), list(order)
-    a = ordered_index(df, group, order, "_g")
-    b = ordered_index(a, group + [value], order, "_v")
-    return (b.withColumn("_island", F.col("_g") - F.col("_v"))
-             .groupBy(*group, value, "_island")
+    rows = ordered_index(df, group, order, "_g").withColumn("_block", F.floor((F.col("_g") - 1) / block))
+    inside = Window.partitionBy(*group, "_block").orderBy("_g")
+    change = (F.row_number().over(inside) > 1) & ~F.col(value).eqNullSafe(F.lag(value).over(inside))
+    rows = rows.withColumn("_change", change.cast("long")).withColumn("_local", F.sum("_change").over(inside))
+    blocks = rows.groupBy(*group, "_block").agg(
+        F.min_by(value, "_g").alias("_first"), F.max_by(value, "_g").alias("_last"), F.sum("_change").alias("_changes"))
+    across = Window.partitionBy(*group).orderBy("_block")
+    border = (F.row_number().over(across) > 1) & ~F.col("_first").eqNullSafe(F.lag("_last").over(across))
+    blocks = blocks.withColumn("_border", border.cast("long"))
+    blocks = blocks.select(*[F.col(g).alias(f"_s_{g}") for g in group], F.col("_block").alias("_sblock"),
+                           (F.sum(F.col("_border") + F.col("_changes")).over(across) - F.col("_changes")).alias("_offset"))
+    cond = reduce(lambda a, b: a & b, [rows["_block"] == blocks["_sblock"]]
+                  + [rows[g].eqNullSafe(blocks[f"_s_{g}"]) for g in group])
+    return (rows.join(blocks, cond).withColumn("_run", F.col("_local") + F.col("_offset"))
+             .groupBy(*group, value, "_run")
              .agg(F.min("_g").alias("start_seq"), F.max("_g").alias("end_seq"),
                   F.count(F.lit(1)).alias("n_rows"), *extra_aggs)
-             .drop("_island"))
+             .drop("_run"))

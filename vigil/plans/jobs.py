@@ -11,7 +11,7 @@ from vigil.operators import coauthor, histogram, manifest, quality
 from vigil.operators.activity import ACTIVITY_ROOT, split_activity, tag_activity
 from vigil.operators.initiative import INITIATIVE_ROOT, split_tagged, tag_initiatives
 from vigil.session import scratch_path
-from vigil.sources.files import read_landed
+from vigil.sources.files import list_landed, read_files, read_landed
 from vigil.sources.manifest import latest_run_rows, write_manifest
 from vigil.sources.nested_json import bad_documents, read_documents, records
 
@@ -65,6 +65,10 @@ def land_initiatives(spark: SparkSession, paths: str | list[str], out: str,
         _with_bad_documents(bad, docs, INITIATIVE_ROOT).write.mode("overwrite").parquet(quarantine_out)
 
 
+#: Pending files that are named to the scan one by one; more are joined to the listing.
+MAX_PATHS = 10_000
+
+
 def update_manifest(spark: SparkSession, runs_dir: str, landed_dir: str, out_dir: str,
                     run: str) -> DataFrame:
     """Record already-landed files of the newest run as downloaded: pending rows
@@ -76,12 +80,19 @@ def update_manifest(spark: SparkSession, runs_dir: str, landed_dir: str, out_dir
     scheme = r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?"
     root = re.escape(re.sub(scheme, "", landed_dir).rstrip("/"))
     latest = latest_run_rows(spark, runs_dir).drop("run_file")
-    files = read_landed(spark, landed_dir).select(
-        F.regexp_replace("path", "(" + scheme + ")?" + root + "/", "").alias("file_path"),
-        F.lit(200).alias("download_status"), "download_md5",
-        F.to_timestamp_ntz(F.lit(run), F.lit("yyyy_MM_dd_HH_mm_ss")).alias("download_time"))
-    write_manifest(manifest.merge_results(latest, files), out_dir, run)
-    return manifest.pending(latest, files.select("file_path"))
+    relative = F.regexp_replace("path", "(" + scheme + ")?" + root + "/", "").alias("file_path")
+    listed = list_landed(spark, landed_dir).select("path", relative)
+    # only files that a pending row waits for are read and hashed
+    waiting = listed.join(manifest.pending(latest, spark.createDataFrame([], "file_path string")).select("file_path"), "file_path", "left_semi")
+    paths = [r["path"] for r in waiting.select("path").limit(MAX_PATHS + 1).collect()]
+    if len(paths) <= MAX_PATHS:  # name the files to the scan, so that no other is opened
+        files = read_files(spark, paths)
+    else:
+        files = read_landed(spark, landed_dir).join(waiting.select("path"), "path", "left_semi")
+    results = files.select(relative, F.lit(200).alias("download_status"), "download_md5",
+                           F.to_timestamp_ntz(F.lit(run), F.lit("yyyy_MM_dd_HH_mm_ss")).alias("download_time"))
+    write_manifest(manifest.merge_results(latest, results), out_dir, run)
+    return manifest.pending(latest, listed.select("file_path"))
 
 
 def activity_report(activity: DataFrame) -> dict[str, DataFrame]:
