@@ -25,6 +25,8 @@ TRAIN_ROWS = 20_000
 EPOCHS = 2
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 4.0, 0.1
 THRESHOLD = 0.3
+#: Words that a task turns into features at once.
+STEP_WORDS = 500_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -85,6 +87,14 @@ def _arrays(words: pd.Series) -> tuple[np.ndarray, np.ndarray]:
     return flat, np.cumsum([len(x) for x in lists], dtype=np.int64)
 
 
+def _portions(b: pd.DataFrame):
+    """Slices of the batch of about STEP_WORDS words."""
+    sizes = b["words"].map(len).to_numpy()
+    part = (np.cumsum(sizes) - sizes) // STEP_WORDS
+    for p in np.unique(part):
+        yield b[part == p]
+
+
 def hashed_words(text: Column) -> Column:
     return F.transform(term_words(text), lambda w: F.xxhash64(w))
 
@@ -138,10 +148,11 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
         dense = np.zeros(1 << m["bits"])
         dense[m["bucket"]] = m["weight"]
         for b in batches:
-            flat, ends = _arrays(b["words"])
-            at, row = features(flat, ends, m["bits"])
-            total = m["bias"] + np.bincount(row, weights=dense[at], minlength=len(ends))
-            yield pd.DataFrame({"doc_id": b["doc_id"], "score": 1.0 / (1.0 + np.exp(-np.clip(total, -35, 35)))})
+            for part in _portions(b):
+                flat, ends = _arrays(part["words"])
+                at, row = features(flat, ends, m["bits"])
+                total = m["bias"] + np.bincount(row, weights=dense[at], minlength=len(ends))
+                yield pd.DataFrame({"doc_id": part["doc_id"], "score": 1.0 / (1.0 + np.exp(-np.clip(total, -35, 35)))})
 
     return d.mapInPandas(run, f"doc_id {kind}, score double")
 
