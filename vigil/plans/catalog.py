@@ -26,7 +26,11 @@ from vigil.plans import derived
 from vigil.plans.tables import ACT_SQL, INI_SQL, activity_rows, initiative_rows, load
 from vigil.session import scratch_path
 from vigil.sources import delimited
+from vigil.sources import manifest as manifest_source
+from vigil.sources.files import read_landed
+from vigil.sources.nested_json import bad_documents, read_documents, records
 from vigil.sources.pages import block_links, block_text, page_links, page_title
+from vigil.streaming import incremental
 
 Q = Callable[[SparkSession, str], DataFrame]
 _CRAWL_TS = "2024-01-01 00:00:00"
@@ -916,3 +920,115 @@ def q_csv_pipe_roundtrip(spark, sf):
     out = scratch_path(spark, "pipe-csv")
     delimited.write_pipe_csv(p, out)
     return delimited.read_pipe_csv(spark, out, p.schema)
+
+
+# ------------------------------------------------- sources and sinks, there and back
+_RECORDS_PER_DOC = 100
+
+
+@query("json_document_scan", f"""
+WITH d AS (SELECT c_custkey // {_RECORDS_PER_DOC} AS doc, count(*) AS n FROM customer GROUP BY 1)
+SELECT CAST(doc AS BIGINT) AS doc, CASE WHEN doc % 5 IN (3, 4) THEN 0 ELSE n END AS n_records,
+       CASE doc % 5 WHEN 3 THEN 'not a JSON document' WHEN 4 THEN 'root missing: ArrayOfCustomer.Customer' END AS error_reason
+FROM d""")
+def q_json_document_scan(spark, sf):
+    """Customers exported as one JSON document per hundred keys (some cut off, some
+    under another root), scanned whole: records per document, and why there are none."""
+    one = F.to_json(F.struct("c_custkey", "c_name"))
+    docs = (load(spark, sf, "customer").groupBy((F.col("c_custkey").cast("bigint") / _RECORDS_PER_DOC).cast("bigint").alias("doc"))
+            .agg(derived.obj_or_array(F.collect_list(one)).alias("items")))
+    good = F.concat(F.lit('{"ArrayOfCustomer":{"Customer":'), "items", F.lit("}}"))
+    text = (F.when(F.col("doc") % 5 == 3, F.expr("substr(items, 1, length(items) - 2)"))
+            .when(F.col("doc") % 5 == 4, F.concat(F.lit('{"Other":'), "items", F.lit("}"))).otherwise(good))
+    path = scratch_path(spark, "json-exports")
+    docs.select("doc", text.alias("value")).write.partitionBy("doc").text(path)
+    read = read_documents(spark, path).withColumn("doc_key", F.regexp_extract("source_file", "doc=([0-9]+)/", 1).cast("bigint"))
+    n = records(read, "ArrayOfCustomer.Customer", keep=("doc_key",)).groupBy("doc_key").agg(F.count(F.lit(1)).alias("n_records"))
+    bad = bad_documents(read, "ArrayOfCustomer.Customer", keep=("doc_key",)).select(F.col("doc_key").alias("bad_key"), "error_reason")
+    return (read.select("doc_key").join(n, "doc_key", "left").join(bad, F.col("doc_key") == F.col("bad_key"), "left")
+            .select(F.col("doc_key").alias("doc"), F.coalesce("n_records", F.lit(0)).cast("bigint").alias("n_records"), "error_reason"))
+
+
+_RUNS = ("2024_01_01_00_00_00", "2024_01_03_00_00_00", "2024_01_04_10_20_30")
+
+
+@query("manifest_runs", f"""
+SELECT 'data/' || CAST(doc_id AS VARCHAR) || '.json' AS file_path, '{_RUNS[2]}' AS run_file,
+       CASE WHEN lang <> 'de' THEN 200 END AS download_status, CASE WHEN lang <> 'de' THEN md5(text) END AS download_md5,
+       CASE WHEN lang <> 'de' THEN TIMESTAMP '{_DOWNLOAD_TS}' END AS download_time
+FROM documents WHERE lang <> 'en'""")
+def q_manifest_runs(spark, sf):
+    """Two manifest runs written, the newer with the four columns of old crawls;
+    the latest is read, widened and merged with results (some keys repeat, some
+    fail), written as a third run, and the latest run is read back."""
+    path = scratch_path(spark, "manifest-runs")
+    m = _manifest_spark(spark, sf)
+    manifest_source.write_manifest(m.drop("doc_id", "text", "lang"), path, _RUNS[0])
+    old = m.where("lang <> 'en'").select("crawl_time", "file_path", "parent_url", "file_url")
+    old.withColumn("run_id", F.lit(_RUNS[1])).write.mode("append").partitionBy("run_id").option("header", True).csv(path)
+    results = m.where("lang <> 'en'").select(
+        "file_path", F.explode(F.array(F.lit("2024-01-01 12:00:00"), F.lit(_DOWNLOAD_TS))).alias("t"),
+        F.when(F.col("lang") != "de", F.lit(200)).otherwise(F.lit(503)).cast("int").alias("download_status"),
+        T.md5_hex("text").alias("download_md5")).withColumn("download_time", F.to_timestamp_ntz("t")).drop("t")
+    run = spark.range(1).select(manifest_source.run_id(F.to_timestamp(F.lit("2024-01-04 10:20:30")))).first()[0]
+    manifest_source.write_manifest(manifest.merge_results(manifest_source.latest_run_rows(spark, path).drop("run_file"), results), path, run)
+    return manifest_source.latest_run_rows(spark, path).select("file_path", "run_file", "download_status", "download_md5", "download_time")
+
+
+@query("indexed_csv_scan", "SELECT CAST(p_partkey AS BIGINT) AS p_partkey, p_name, CAST(p_size AS INTEGER) AS p_size FROM part")
+def q_indexed_csv_scan(spark, sf):
+    """Parts written as comma CSV behind an index column, read back without it."""
+    path = scratch_path(spark, "indexed-csv")
+    load(spark, sf, "part").select((F.col("p_partkey") * 7).alias("_c0"), "p_partkey", "p_name", "p_size") \
+        .write.option("header", True).csv(path)
+    return delimited.read_indexed_csv(spark, path, "p_partkey bigint, p_name string, p_size int")
+
+
+@query("pipe_csv_na_tokens", """
+SELECT CAST(p_partkey AS BIGINT) AS p_partkey, CASE WHEN p_size % 5 IN (0, 1, 2) THEN NULL ELSE p_name END AS p_name,
+       'x|"' || p_brand || '"' AS p_brand FROM part""")
+def q_pipe_csv_na_tokens(spark, sf):
+    """Pipe CSV whose missing names are written as tokens, read back as NULL."""
+    token = F.when(F.col("p_size") % 5 == 0, F.lit("NA")).when(F.col("p_size") % 5 == 1, F.lit("NaN")) \
+        .when(F.col("p_size") % 5 == 2, F.lit("None")).otherwise(F.col("p_name"))
+    path = scratch_path(spark, "pipe-na")
+    delimited.write_pipe_csv(load(spark, sf, "part").select(
+        F.col("p_partkey").cast("bigint").alias("p_partkey"), token.alias("p_name"),
+        F.concat(F.lit('x|"'), "p_brand", F.lit('"')).alias("p_brand")), path)
+    return delimited.read_pipe_csv(spark, path, "p_partkey bigint, p_name string, p_brand string")
+
+
+@query("landed_files", """
+SELECT CAST(s_suppkey AS BIGINT) AS s_suppkey, md5(s_name || chr(10)) AS download_md5,
+       CAST(strlen(s_name) + 1 AS BIGINT) AS length FROM supplier""")
+def q_landed_files(spark, sf):
+    """Files landed one per supplier: size and digest of their bytes."""
+    path = scratch_path(spark, "landed")
+    load(spark, sf, "supplier").select("s_suppkey", "s_name").write.partitionBy("s_suppkey").text(path)
+    files = read_landed(spark, path, glob="*.txt")
+    return files.select(F.regexp_extract("path", "s_suppkey=([0-9]+)/", 1).cast("bigint").alias("s_suppkey"), "download_md5", "length")
+
+
+@query("seat_map", f"""WITH {_TEMPLATE_SQL}
+SELECT c.c_custkey AS seat_nmr, c.c_mktsegment AS party, CASE c.c_mktsegment """ + " ".join(
+    f"WHEN '{k}' THEN '{v}'" for k, v in SEGMENT_COLORS.items()) + """ END AS color,
+       round(tpl.seat_x, 9) AS seat_x, round(tpl.seat_y, 9) AS seat_y
+FROM (SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_mktsegment FROM customer) c LEFT JOIN tpl ON tpl.seat_nmr = c.c_custkey""")
+def q_seat_map(spark, sf):
+    """Seat table rewritten with colour and coordinates; no seat, no coordinates."""
+    seats = load(spark, sf, "customer").select(F.col("c_custkey").cast("int").alias("seat_nmr"), F.col("c_mktsegment").alias("party"))
+    return layout.seat_map(seats, layout.rings_frame(spark), colors=SEGMENT_COLORS).select(
+        "seat_nmr", "party", "color", F.round("seat_x", 9).alias("seat_x"), F.round("seat_y", 9).alias("seat_y"))
+
+
+@query("incremental_ingest", "SELECT DISTINCT md5(text) AS content_md5 FROM documents")
+def q_incremental_ingest(spark, sf):
+    """Documents landed in two lots and ingested by two runs of one stream: every
+    content once, also where both lots hold it."""
+    base = scratch_path(spark, "ingest")
+    src, sink, state = (f"{base}/{x}" for x in ("landing", "sink", "state"))
+    d = load(spark, sf, "documents").select("doc_id", "text")
+    for lot in (0, 1):
+        d.where(F.col("doc_id") % 2 == lot).write.parquet(f"{src}/lot{lot}")
+        incremental.ingest_available(incremental.content_stream(spark, src + "/*", "doc_id bigint, text string", "text"), sink, state)
+    return spark.read.parquet(sink).select("content_md5")
