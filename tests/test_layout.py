@@ -55,14 +55,12 @@ def test_seat_map_joins_coordinates_by_number(spark):
     assert m[1].seat_x == 3.674170788271024 and m[230].party == "PAN"
 
 
-def test_lookup_join_with_checked_broadcast(spark):
-    from vigil.operators.lookup import checked_broadcast, lookup_join
+def test_lookup_join(spark):
+    from vigil.operators.lookup import lookup_join
     df = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
     table = spark.createDataFrame([("a", "A")], "k string, v string")
     got = {r.k: r.out for r in lookup_join(df, table, "k", "v", "out", default="?").collect()}
     assert got == {"a": "A", "b": "?", None: "?"}
-    big = spark.range(50)
-    assert "Broadcast" not in checked_broadcast(big, max_rows=10)._jdf.queryExecution().logical().toString()
 
 
 def test_single_ring_coordinates(spark):

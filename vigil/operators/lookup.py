@@ -1,9 +1,8 @@
 """Lookup mapping with a default (type renames, party colours).
 
 Small fixed mappings become a ``map`` literal evaluated inside whole-stage
-codegen (no join at all). Table-valued lookups are joined with a broadcast
-only after their row count is checked against a bound; above it the join is
-left to the planner (shuffle join / AQE).
+codegen (no join at all). Table-valued lookups are plain left joins: adaptive
+execution broadcasts the table where its size at run time allows it.
 """
 
 from __future__ import annotations
@@ -13,8 +12,6 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_MAX_ROWS = 100_000
-
 
 def map_literal(mapping: Mapping[str, str]) -> Column:
     kv = []
@@ -30,18 +27,10 @@ def map_with_default(col, mapping: Mapping[str, str], default=None) -> Column:
     return v if default is None else F.coalesce(v, F.lit(default))
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only if ``df`` has at most ``max_rows`` rows (checked
-    with a bounded ``limit`` count, which never reads past max_rows + 1)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def lookup_join(df: DataFrame, table: DataFrame, key: str, value: str, out: str,
-                default=None, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                default=None) -> DataFrame:
     """Left join a lookup table and fill unknown keys with ``default``."""
-    t = checked_broadcast(table.select(F.col(key).alias("_lk"), F.col(value).alias("_lv")),
-                          max_rows)
+    t = table.select(F.col(key).alias("_lk"), F.col(value).alias("_lv"))
     j = df.join(t, df[key] == t["_lk"], "left")
     v = F.col("_lv") if default is None else F.coalesce(F.col("_lv"), F.lit(default))
     return j.withColumn(out, v).drop("_lk", "_lv")

@@ -413,7 +413,7 @@ def q_latest_status(spark, sf):
 
 @query("json_unwrap", "SELECT p_partkey, p_name, p_brand FROM part")
 def q_json_unwrap(spark, sf):
-    """Records under one or two single-key wrappers, unwrapped."""
+    """Records under one to six single-key wrappers, unwrapped."""
     recs = derived.wrapped_part_records(spark, sf)
     inner = J.unwrap_single_key("record")
     m = J.json_map(inner)

@@ -117,12 +117,12 @@ def member_activity_records(spark: SparkSession, sf_dir: str,
 
 
 def wrapped_part_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(record) per part: the part object under one or two single-key wrappers."""
+    """(record) per part: the part object under one to six single-key wrappers."""
     p = load(spark, sf_dir, "part")
-    inner = F.to_json(F.struct("p_partkey", "p_name", "p_brand"))
-    one = _obj(("pt_wrapper", inner))
-    two = _obj(("outer", _obj(("pt_wrapper", inner))))
-    return p.select(F.when(F.col("p_type").isin("ECONOMY", "SMALL"), two).otherwise(one).alias("record"))
+    wrapped = [_obj(("pt_wrapper", F.to_json(F.struct("p_partkey", "p_name", "p_brand"))))]
+    for i in range(5):
+        wrapped.append(_obj((f"outer{i}", wrapped[-1])))
+    return p.select(F.element_at(F.array(*wrapped), F.col("p_partkey").cast("int") % 6 + 1).alias("record"))
 
 
 def optional_key_records(spark: SparkSession, sf_dir: str) -> DataFrame:
