@@ -348,6 +348,25 @@ def q_json_map_flatten(spark, sf):
                        "act_subtype", "act_dar", "act_date", "act_desc")
 
 
+@query("activity_all_codes", """
+WITH l AS (SELECT l.*, p.p_name, CAST((l_orderkey + l_linenumber) % 12 AS INTEGER) AS kind, CAST(l_linenumber AS VARCHAR) AS a,
+                  CAST(l_suppkey AS VARCHAR) AS b, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS c,
+                  CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS day
+           FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey)
+SELECT CAST(l_orderkey AS VARCHAR) AS mp_id, CAST(l_partkey AS VARCHAR) AS act_id,
+       ['par', 'adt', 'adc', 'tra', 'eve', 'int', 'ini', 'req', 'rin', 'rpe', 'rie', 'rcp'][kind + 1] AS act_type,
+       CASE kind WHEN 9 THEN 'relatores peticoes' WHEN 10 THEN 'relatores iniciativas europeias'
+                 WHEN 11 THEN 'relatores contas publicas' ELSE l_linestatus END AS act_subtype,
+       CASE WHEN kind IN (5, 6) THEN a || '/' || b || '/' || c || '/x' WHEN kind IN (7, 9) THEN a || '/' || b || '/' || c
+            WHEN kind IN (1, 10) THEN a WHEN kind = 11 THEN '' ELSE a || '/' || b END AS act_dar,
+       CASE WHEN kind IN (6, 8, 9, 11) THEN '' ELSE day END AS act_date, p_name AS act_desc
+FROM l""")
+def q_activity_all_codes(spark, sf):
+    """All twelve activity codes, four reporter sub-keys and seven skipped keys."""
+    good, _bad = flatten_activity(derived.all_code_records(spark, sf))
+    return good.select("mp_id", "act_id", "act_type", "act_subtype", "act_dar", "act_date", "act_desc")
+
+
 _INI_ORDER = "l_linenumber DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_shipdate DESC"
 
 

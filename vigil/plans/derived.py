@@ -116,6 +116,51 @@ def member_activity_records(spark: SparkSession, sf_dir: str,
     return per_order.select(amap.alias("amap"), *per_order.columns).select(rec_json.alias("record"))
 
 
+def all_code_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(record) per order: a member whose lineitems are spread over all activity
+    types by (order key + line number) mod 12, four of them inside the reporter
+    container, beside every kind of entry that is to be skipped."""
+    li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                                                "l_linestatus", "l_shipdate")
+    pa = load(spark, sf_dir, "part").select("p_partkey", "p_name")
+    value = {"id": F.col("l_partkey"), "st": F.col("l_linestatus"), "a": F.col("l_linenumber"), "b": F.col("l_suppkey"),
+             "c": F.col("l_quantity").cast("long"), "d": F.lit("x"), "day": F.to_date("l_shipdate"),
+             "time": F.concat(F.to_date("l_shipdate").cast("string"), F.lit(" 10:00:00")), "text": F.col("p_name")}
+    # type key (and reporter sub-key), then the fields of its entries
+    kinds = [
+        ("actP", dict(actId="id", actTpdesc="st", actNr="a", actSelLg="b", actDtent="day", actAs="text")),
+        ("audicoes", dict(actId="id", actTpdesc="st", actNr="a", accDtaud="day", nomeEntidadeExterna="text")),
+        ("audiencias", dict(actId="id", actTpdesc="st", actNr="a", actLg="b", accDtaud="day", actAs="text")),
+        ("deslocacoes", dict(actId="id", actTp="st", cmsAb="a", actLg="b", actDtdes1="day", actAs="text")),
+        ("eventos", dict(actId="id", tevTp="st", cmsAb="a", actLg="b", actDtent="day", actAs="text")),
+        ("intev", dict(intId="id", tinDs="st", pubTp="a", pubNr="b", pubLg="c", pubSl="d", pubDtreu="day", intSu="text")),
+        ("ini", dict(iniId="id", iniTpdesc="st", iniNr="a", iniTp="b", iniSelLg="c", iniSelNr="d", iniTi="text")),
+        ("req", dict(reqId="id", reqPerTp="st", reqNr="a", reqLg="b", reqSl="c", reqDt="time", reqAs="text")),
+        ("rel.relatoresIniciativas", dict(iniId="id", iniTp="st", iniNr="a", iniSelLg="b", iniTi="text")),
+        ("rel.relatoresPeticoes", dict(petId="id", petNr="a", petSelLgPk="b", petSelNrPk="c", petAspet="text")),
+        ("rel.relatoresIniEuropeias", dict(ineId="id", leg="a", ineDataRelatorio="day", ineTitulo="text")),
+        ("rel.relatoresContasPublicas", dict(actId="id", actAs="text")),
+    ]
+    kind = F.pmod(F.col("l_orderkey") + F.col("l_linenumber"), F.lit(12)).cast("int")
+    item = F.coalesce(*[F.when(kind == i, F.to_json(F.struct(*[value[v].cast("string").alias(k) for k, v in f.items()])))
+                        for i, (_, f) in enumerate(kinds)])
+    per_order = (li.join(pa, li.l_partkey == pa.p_partkey).groupBy("l_orderkey")
+                 .agg(F.collect_list(F.struct(kind.alias("kind"), item.alias("item"))).alias("items")))
+
+    def entry(i: int, key: str) -> Column:
+        mine = F.filter("items", lambda x: x["kind"] == i)["item"]
+        return F.when(F.size(mine) > 0, F.concat(F.lit(f'"{key}":{{"pt_wrapper":'), obj_or_array(mine), F.lit("}")))
+
+    plain = [entry(i, k) for i, (k, _) in enumerate(kinds) if not k.startswith("rel.")]
+    rel = F.array_compact(F.array(*[entry(i, k[4:]) for i, (k, _) in enumerate(kinds) if k.startswith("rel.")]))
+    skipped = [F.lit(f'"{k}":{{"pt_wrapper":{{"actId":"skip","x":"1"}}}}') for k in
+               ("dadosLegisDeputado", "cms", "dlE", "dlP", "parlamentoJovens", "scgt", "gpa")]
+    whole = F.array_compact(F.array(*plain, F.when(F.size(rel) > 0, F.concat(F.lit('"rel":{'), F.array_join(rel, ","), F.lit("}"))), *skipped))
+    amap = F.concat(F.lit("{"), F.array_join(whole, ","), F.lit("}"))
+    return per_order.select(_obj(("deputado", _obj(("depId", jstr(F.col("l_orderkey"))))),
+                                 ("AtividadeDeputadoList", _obj(("pt_gov_ar_wsar_objectos_ActividadeOut", amap)))).alias("record"))
+
+
 def wrapped_part_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(record) per part: the part object under one to six single-key wrappers."""
     p = load(spark, sf_dir, "part")
