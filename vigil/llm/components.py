@@ -26,23 +26,19 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) of every node that has an edge; the component is its
     least node. Loops and repeated edges are fine, nulls are ignored.
 
-    Runs until nothing changes; every round is written to shared storage, so
+    Runs until every node points straight at a root; every round is written to shared storage, so
     its lineage is one round long.
     """
     e = edges.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))) \
         .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
     e = store(e, "cc-edges")
 
-    def state(x):
-        r = x.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-        return r[0], r[1]
+    def unfinished(x):
+        """Nodes with two targets, or pointing at a node that points on."""
+        twice = x.groupBy("u").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("u")
+        return twice.union(x.join(x.select(F.col("v").alias("u")).distinct(), "u", "left_semi").select("u"))
 
-    before = state(e)
-    while before[0]:
+    while not unfinished(e).isEmpty():
         e = store(_star(_star(e, True), False), "cc-round")
-        now = state(e)
-        if now == before:
-            break
-        before = now
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")) \
         .union(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

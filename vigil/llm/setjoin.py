@@ -33,7 +33,9 @@ HOT = 16
 #: Members of an index block, about.
 BLOCK = 256
 #: Rows of a key list up to which it is broadcast; longer ones are shuffled.
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 300_000
+#: Sets up to this size are kept whole; of larger ones the first 0.3 of their order.
+WHOLE = 256
 _ALL = 9223372036854775807
 
 
@@ -81,6 +83,19 @@ def _links(o: Column, n1: Column, n2: Column) -> Column:
     return o * (NUM + DEN) >= NUM * (n1 + n2)
 
 
+def _room(mine: Column, other: Column) -> Column:
+    """What a member's own tokens (``mine``) and lacking ones (``other``) are worth
+    towards a link, against its leader. With overlap o of two leaders of n1 and
+    n2 tokens, members a and b share at most o + mine_a + mine_b tokens and hold
+    n1 + mine_a - other_a and n2 + mine_b - other_b, so they link only if
+    (NUM + DEN) o + room_a + room_b >= NUM (n1 + n2)."""
+    return DEN * mine + NUM * other
+
+
+def _may_link(o: Column, room: Column, n1: Column, n2: Column) -> Column:
+    return o * (NUM + DEN) + room >= NUM * (n1 + n2)
+
+
 def _by_key(big: DataFrame, keys: DataFrame, on: Column) -> DataFrame:
     """Inner join that broadcasts ``keys``, a stored table, while it is short."""
     short = keys.count() <= BROADCAST_ROWS
@@ -93,17 +108,19 @@ class _Work:
     def __init__(self, docs: DataFrame, id_col: str, text_col: str):
         self.docs, self.id_col, self.text_col = docs, id_col, text_col
         s = read_sets(docs, id_col, text_col)
-        head = F.slice("tokens", 1, F.greatest(F.lit(64), F.ceil(F.col("n") * 0.3).cast("int") + 2))
+        head = F.slice("tokens", 1, F.greatest(F.lit(WHOLE), F.ceil(F.col("n") * 0.3).cast("int") + 2))
         s = s.select("doc_id", "n", "c", head.alias("head"))
         s = s.select("*", *[_min_hash("head", j).alias(f"key{j}") for j in (1, 2, 3)])
         self.light = store(s, "sets")
-        plain = self.light.where("n > 0").groupBy("c", "n").agg(F.min("doc_id").alias("rep"))
-        #: one row per distinct set; ``full`` says that the head is the whole set
-        rows = self.light.where("n > 0").select("c", "head", "key1", "key2", "key3", "n")
-        self.classes = store(rows.groupBy("c", "n").agg(*[F.first(x).alias(x) for x in ("head", "key1", "key2", "key3")])
-                             .withColumn("full", F.size("head") == F.col("n")), "classes")
-        self.reps = store(plain.select("c", "rep"), "reps")
-        self.known = None
+        sets = self.light.where("n > 0")
+        self.reps = store(sets.groupBy("c").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("m")), "reps")
+        #: one row per distinct set: as it is where only one row has it, else that of the least doc_id
+        more = store(self.reps.where("m > 1").select(F.col("c").alias("dc"), "rep"), "copied")
+        short = more.count() <= BROADCAST_ROWS
+        flagged = sets.join(F.broadcast(more) if short else more, F.col("c") == F.col("dc"), "left")
+        cols = ["c", "n", "head", "key1", "key2", "key3"]
+        copied = flagged.where(F.col("dc").isNotNull() & F.col("doc_id").eqNullSafe(F.col("rep"))).select(*cols).dropDuplicates(["c"])
+        self.classes = flagged.where("dc is null").select(*cols).union(copied).withColumn("full", F.size("head") == F.col("n"))
 
     def full_sets(self, wanted: DataFrame) -> DataFrame:
         """c, tokens of the wanted classes, built again from the texts of one
@@ -126,11 +143,14 @@ class _Work:
         return store(pairs.join(one, "a").join(two, "b").select(
             "a", "b", F.size("ta").alias("na"), F.size("tb").alias("nb"), F.size(F.array_intersect("ta", "tb")).alias("o")), "overlaps")
 
-    def not_ruled_out(self, pairs: DataFrame, slack: Column) -> DataFrame:
-        """Pairs (a, b, ...) whose heads allow a link within ``slack`` more shared
-        tokens. In the part of the order that both heads reach, tokens of one
-        set that the other lacks bound the overlap from above."""
-        h = self.classes.select("c", "n", "head", "full")
+    def not_ruled_out(self, pairs: DataFrame, room: Column) -> DataFrame:
+        """Pairs (a, b, ...) whose heads allow a link of them, or of members of
+        their stars that deviate by ``room`` (see ``_room``) in all. In the part
+        of the order that both heads reach, tokens of one set that the other
+        lacks bound the overlap from above."""
+        pairs = store(pairs, "maybe")
+        keys = store(pairs.select(F.col("a").alias("wc")).union(pairs.select("b")).distinct(), "maybe-sets")
+        h = _by_key(self.classes.select("c", "n", "head", "full"), keys, F.col("c") == F.col("wc")).drop("wc")
         one = h.select(*[F.col(x).alias(x + "1") for x in h.columns])
         two = h.select(*[F.col(x).alias(x + "2") for x in h.columns])
         p = pairs.join(one, F.col("a") == F.col("c1")).join(two, F.col("b") == F.col("c2"))
@@ -139,7 +159,7 @@ class _Work:
         p = p.withColumn("in1", F.filter("head1", lambda t: t <= F.col("reach"))).withColumn("in2", F.filter("head2", lambda t: t <= F.col("reach")))
         p = p.withColumn("common", F.size(F.array_intersect("in1", "in2")))
         most = F.least(F.col("n1") - F.size("in1") + F.col("common"), F.col("n2") - F.size("in2") + F.col("common"))
-        return p.where(_links(most + slack, F.col("n1"), F.col("n2"))).select(*pairs.columns)
+        return p.where(_may_link(most, room, F.col("n1"), F.col("n2"))).select(*pairs.columns)
 
 
 def _attach(w: _Work) -> DataFrame:
@@ -156,31 +176,52 @@ def _attach(w: _Work) -> DataFrame:
     return w.verified(near).where(_links(F.col("o"), F.col("na"), F.col("nb")))
 
 
+def _shared(prefixes: DataFrame) -> DataFrame:
+    """token, m: tokens that prefixes of several components hold, and how many do."""
+    return (prefixes.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
+            .where("c0 < c1").select("token", "m"))
+
+
 def _prefixes(w: _Work, comp: DataFrame) -> DataFrame:
-    """c, n, comp, pos, token: every class's prefix under the order that puts
-    tokens of many components last."""
-    base = w.classes.select("c", "n", "head", "full").join(comp, "c", "left") \
+    """c, n, comp, pos, token: prefixes under the order that puts tokens of many
+    sets last, as far as other components hold the token too."""
+    short = comp.count() <= BROADCAST_ROWS
+    base = w.classes.select("c", "n", "head", "full").join(F.broadcast(comp) if short else comp, "c", "left") \
         .withColumn("comp", F.coalesce("component", "c")).drop("component")
-    first = base.select("comp", F.explode(F.slice("head", F.lit(1), _prefix_len(F.col("n")))).alias("token"))
-    hot = store(first.groupBy("token", "comp").agg(F.lit(1)).groupBy("token").agg(F.count(F.lit(1)).alias("m"))
-                .where(F.col("m") > HOT).select("token"), "hot-tokens")
-    tokens = base.select("c", "n", "comp", "full", F.posexplode("head").alias("at", "token"))
-    # only sets that hold a hot token are ordered again
-    hit = tokens.join(hot, "token").groupBy("c").agg(F.collect_set("token").alias("hots"))
-    sets = base.join(hit, "c", "left").withColumn("hots", F.coalesce("hots", F.array().cast("array<bigint>")))
-    sets = sets.withColumn("cold", F.when(F.size("hots") == 0, F.col("head")).otherwise(F.array_except("head", "hots")))
-    sets = store(sets.withColumn("enough", F.col("full") | (F.size("cold") >= _prefix_len(F.col("n"))))
-                 .select("c", "n", "comp", "hots", "enough", F.when(F.col("enough"), F.slice(
-                     F.concat("cold", F.sort_array("hots")), F.lit(1), _prefix_len(F.col("n")))).alias("prefix")), "prefixes")
-    lack = sets.where("not enough").select("c", "n", "comp")
-    out = sets.where("enough").select("c", "n", "comp", "prefix")
+    plain = base.select("c", "n", "comp", F.slice("head", F.lit(1), _prefix_len(F.col("n"))).alias("prefix"))
+    many = lambda x: _shared(x).where(F.col("m") > HOT).select(F.col("token").alias("hot"))
+
+    def holding(hot: DataFrame) -> DataFrame:
+        return store(_by_key(plain.select("c", F.explode("prefix").alias("token")), hot, F.col("token") == F.col("hot"))
+                     .select(F.col("c").alias("hc")).distinct(), "hot-sets")
+
+    hot = store(many(plain.select("comp", F.explode("prefix").alias("token"))), "hot-tokens")
+    # what sets with a hot token would move up to is counted as well
+    heads = _by_key(base, holding(hot), F.col("c") == F.col("hc")).select("comp", F.explode("head").alias("token"))
+    hot = store(hot.union(many(heads)).distinct(), "hot-tokens")
+    # only sets with a hot token in the prefix are ordered again
+    hit = holding(hot)
+    again = _by_key(base, hit, F.col("c") == F.col("hc"))
+    short = hit.count() <= BROADCAST_ROWS
+    plain = plain.join(F.broadcast(hit) if short else hit, F.col("c") == F.col("hc"), "left_anti")
+
+    def ordered(sets: DataFrame, tokens: str) -> DataFrame:
+        held = _by_key(sets.select("c", F.explode(tokens).alias("token")), hot, F.col("token") == F.col("hot")) \
+            .groupBy("c").agg(F.collect_set("token").alias("hots"))
+        return (sets.join(held, "c", "left").withColumn("hots", F.coalesce("hots", F.array().cast("array<bigint>")))
+                .withColumn("cold", F.array_except(tokens, "hots"))
+                .withColumn("prefix", F.slice(F.concat("cold", F.sort_array("hots")), F.lit(1), _prefix_len(F.col("n")))))
+
+    new = ordered(again, "head").withColumn("enough", F.col("full") | (F.size("cold") >= _prefix_len(F.col("n"))))
+    new = store(new.select("c", "n", "comp", "enough", "prefix"), "new-prefixes")
+    out = plain.union(new.where("enough").select("c", "n", "comp", "prefix"))
+    lack = new.where("not enough").select("c", "n", "comp")
     if not lack.isEmpty():  # the head holds too few cold tokens: order the whole set
-        whole = lack.join(w.full_sets(lack), "c")
-        more = whole.select("c", F.explode("tokens").alias("token")).join(hot, "token").groupBy("c").agg(F.collect_set("token").alias("hots"))
-        whole = whole.join(more, "c", "left").withColumn("hots", F.coalesce("hots", F.array().cast("array<bigint>")))
-        out = out.union(whole.select("c", "n", "comp", F.slice(F.concat(
-            F.array_except("tokens", "hots"), F.sort_array("hots")), F.lit(1), _prefix_len(F.col("n"))).alias("prefix")))
-    return out.select("c", "n", "comp", F.posexplode("prefix").alias("pos", "token"))
+        out = out.union(ordered(lack.join(w.full_sets(lack), "c"), "tokens").select("c", "n", "comp", "prefix"))
+    post = out.select("c", "n", "comp", F.posexplode("prefix").alias("pos", "token"))
+    shared = store(_shared(post).select(F.col("token").alias("shared")), "shared-tokens")
+    # a plain join at every size: the list grows with the corpus
+    return post.join(shared, F.col("token") == F.col("shared")).drop("shared")
 
 
 def _meet(lists: DataFrame) -> DataFrame:
@@ -189,7 +230,8 @@ def _meet(lists: DataFrame) -> DataFrame:
 
     ``lists``: token, e (entry), comp, lo, hi (its least and greatest set size),
     rest (most tokens that a member has from its position on). A list is cut by
-    size, position and, if long, hash; a block knows its extremes.
+    size, position and, if long, hash; a block knows its extremes, and a probe
+    reads only blocks that these allow to hold a link.
     """
     size_block = lambda n: F.floor(F.log(F.col(n).cast("double")) / F.log(F.lit(DEN / NUM))).cast("int")
     many = lists.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("c0"), F.max("comp").alias("c1")) \
@@ -197,7 +239,7 @@ def _meet(lists: DataFrame) -> DataFrame:
     # entries of several sizes stand in every size block they reach
     held = lists.join(many, "token").select("token", "e", "comp", "lo", "hi", "rest", "slots")
     index = held.withColumn("sb", F.explode(F.sequence(size_block("lo"), size_block("hi"))))
-    index = index.groupBy("token", "sb", F.floor(F.log2(F.greatest(F.col("hi") - F.col("rest") + 1, F.lit(1)))).alias("pb"),
+    index = index.groupBy("token", "sb", "lo", (F.col("hi") - F.col("rest")).alias("pb"),
                           F.pmod(F.xxhash64("e"), F.col("slots")).alias("slot")) \
         .agg(F.min("lo").alias("blo"), F.max("hi").alias("bhi"), F.max("rest").alias("brest"),
              F.collect_list(F.struct("e", "comp", "lo", "hi", "rest")).alias("members"))
@@ -218,52 +260,57 @@ def _meet(lists: DataFrame) -> DataFrame:
 
 
 def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
-    """(links, members): links (a, b, na, nb, o) between classes, enough to connect
-    every component, each verified; members (doc_id, n, c) of all rows."""
+    """(links, comp, members): links (a, b, na, nb, o) between classes, enough to
+    connect every component, each verified; comp (c, component) of the linked
+    classes; members (doc_id, n, c) of all rows."""
     w = _Work(docs, id_col, text_col)
     near = _attach(w)
-    comp = components(near).select(F.col("node").alias("c"), "component")
-    comp = store(comp, "components")
-    # each class in the star of one leader, with the differences to it
+    comp = store(components(near).select(F.col("node").alias("c"), "component"), "components")
+    # each class in the star of one leader; a leader that is itself attached keeps a star of its own
     star = near.groupBy("a").agg(F.min_by(F.struct("b", (F.col("na") - F.col("o")).alias("mine"), (F.col("nb") - F.col("o")).alias("other")),
                                           F.col("b")).alias("s"))
-    # a leader that is itself attached keeps a star of its own
     leads = near.select(F.col("b").alias("lead")).distinct()
     star = store(star.join(leads, F.col("a") == F.col("lead"), "left_anti").select(
-        F.col("a").alias("c"), F.col("s.b").alias("star"), F.col("s.mine").alias("mine"), F.col("s.other").alias("other")), "stars")
+        F.col("a").alias("c"), F.col("s.b").alias("star"), _room(F.col("s.mine"), F.col("s.other")).alias("room")), "stars")
     post = store(_prefixes(w, comp).join(star, "c", "left").withColumn("star", F.coalesce("star", "c"))
-                 .withColumn("mine", F.coalesce("mine", F.lit(0))), "postings")
+                 .withColumn("room", F.coalesce("room", F.lit(0))), "postings")
     by_star = post.groupBy("token", F.col("star").alias("e")).agg(
         F.min("comp").alias("comp"), F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(F.col("n") - F.col("pos")).alias("rest"))
     met = _meet(by_star)
-    # a star's slack: tokens its members may share beyond what the leader shares
-    slack = star.groupBy(F.col("star").alias("e")).agg(F.max(F.col("mine")).alias("mine"), F.max(F.col("mine") + F.col("other")).alias("d"))
-    slack = store(slack, "slack")
-    s = lambda k: slack.select(F.col("e").alias(k), F.col("d").alias("d" + k))
-    met = met.join(s("a"), "a", "left").join(s("b"), "b", "left").withColumn("d", F.coalesce("da", F.lit(0)) + F.coalesce("db", F.lit(0)))
-    met = store(w.not_ruled_out(met.select("a", "b", "d"), 2 * F.col("d")), "star-pairs")
-    answers = w.verified(met).join(met, ["a", "b"])
-    answers = store(answers, "answers")
-    linked = answers.where(_links(F.col("o"), F.col("na"), F.col("nb"))).drop("d")
-    links = near.unionByName(linked)
-    comp2 = store(components(links).select(F.col("node").alias("c"), "component"), "components2")
+    most = star.groupBy("star").agg(F.max("room").alias("room"))
+    of = lambda k: most.select(F.col("star").alias(k), F.col("room").alias("room_" + k))
+    met = met.join(of("a"), "a", "left").join(of("b"), "b", "left").select(
+        "a", "b", F.coalesce("room_a", F.lit(0)).alias("room_a"), F.coalesce("room_b", F.lit(0)).alias("room_b"))
+    met = store(w.not_ruled_out(met, F.col("room_a") + F.col("room_b")), "star-pairs")
+    answers = store(w.verified(met).join(met, ["a", "b"]), "answers")
+    linked = _links(F.col("o"), F.col("na"), F.col("nb"))
+    links = near.unionByName(answers.where(linked).drop("room_a", "room_b"))
+    comp = store(components(links).select(F.col("node").alias("c"), "component"), "components")
     # open: stars of different components whose members may still link
-    lab = lambda k: comp2.select(F.col("c").alias(k), F.col("component").alias("comp" + k))
-    still = answers.where((F.col("d") > 0) & ~_links(F.col("o"), F.col("na"), F.col("nb")) & _links(F.col("o") + 2 * F.col("d"), F.col("na"), F.col("nb"))) \
-        .join(lab("a"), "a", "left").join(lab("b"), "b", "left") \
-        .where(F.coalesce("compa", "a") != F.coalesce("compb", "b")).select(F.col("a").alias("sa"), F.col("b").alias("sb"), "o")
-    still = store(still, "open-stars")
-    if not still.isEmpty():
-        e = post.select("token", "c", "n", "pos", "star", "mine")
-        one = e.select("token", *[F.col(x).alias(x + "1") for x in ("c", "n", "pos", "star", "mine")])
-        two = e.select("token", *[F.col(x).alias(x + "2") for x in ("c", "n", "pos", "star", "mine")])
-        m = one.join(still, F.col("star1") == F.col("sa")).join(two.withColumnRenamed("token", "t2"), (F.col("token") == F.col("t2")) & (F.col("star2") == F.col("sb")))
-        # derived: a member shares no more with another than its leader does, plus what each has of its own
-        m = m.where(_links(F.col("o") + F.col("mine1") + F.col("mine2"), F.col("n1"), F.col("n2"))
-                    & _links(F.least(F.col("n1") - F.col("pos1"), F.col("n2") - F.col("pos2")), F.col("n1"), F.col("n2")))
-        pairs = w.not_ruled_out(m.select(F.col("c1").alias("a"), F.col("c2").alias("b")).distinct(), F.lit(0))
-        links = links.unionByName(w.verified(pairs).where(_links(F.col("o"), F.col("na"), F.col("nb"))))
-    return links, w.light.select("doc_id", "n", "c")
+    lab = lambda k: comp.select(F.col("c").alias(k), F.col("component").alias("comp_" + k))
+    still = answers.where(~linked & _may_link(F.col("o"), F.col("room_a") + F.col("room_b"), F.col("na"), F.col("nb")))
+    still = store(still.join(lab("a"), "a", "left").join(lab("b"), "b", "left")
+                  .where(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")).drop("comp_a", "comp_b"), "open-stars")
+    if still.isEmpty():
+        return links, comp, w.light.select("doc_id", "n", "c")
+    # derived: what a member deviates from its leader bounds what it can share with the other star
+    member = post.groupBy("c", "star", "room", "n").agg(F.collect_list(F.struct("token", "pos")).alias("prefix"))
+    one = member.select(*[F.col(x).alias(x + "1") for x in member.columns])
+    two = member.select(*[F.col(x).alias(x + "2") for x in member.columns])
+    side = lambda room: _may_link(F.col("o"), room, F.col("na"), F.col("nb"))
+    left = still.join(one, (F.col("a") == F.col("star1")) & side(F.col("room1") + F.col("room_b")))
+    right = still.join(two, (F.col("b") == F.col("star2")) & side(F.col("room2") + F.col("room_a")))
+    left = left.select("a", "b", "o", "na", "nb", "c1", "n1", "room1", F.explode("prefix1").alias("p1"))
+    right = right.select(F.col("a").alias("ra"), F.col("b").alias("rb"), "c2", "n2", "room2", F.explode("prefix2").alias("p2"))
+    rest = F.least(F.col("n1") - F.col("p1.pos"), F.col("n2") - F.col("p2.pos"))
+    pairs = left.join(right, (F.col("a") == F.col("ra")) & (F.col("b") == F.col("rb")) & (F.col("p1.token") == F.col("p2.token"))
+                      & side(F.col("room1") + F.col("room2")) & _links(rest, F.col("n1"), F.col("n2")))
+    pairs = w.not_ruled_out(pairs.select(F.col("c1").alias("a"), F.col("c2").alias("b")).distinct(), F.lit(0))
+    found = store(w.verified(pairs).where(linked), "member-links")
+    if not found.isEmpty():
+        links = links.unionByName(found)
+        comp = store(components(links).select(F.col("node").alias("c"), "component"), "components")
+    return links, comp, w.light.select("doc_id", "n", "c")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -274,8 +321,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     repeat a doc_id are one document; null doc_ids take part but give no
     component its name. An empty table gives an empty result.
     """
-    links, members = jaccard_links(docs, id_col, text_col)
-    comp = components(links).select(F.col("node").alias("c"), "component")
+    _, comp, members = jaccard_links(docs, id_col, text_col)
     classes = members.where("n > 0").groupBy("c").agg(F.min("doc_id").alias("least"))
     named = classes.join(comp, "c", "left").withColumn("component", F.coalesce("component", "c"))
     names = named.groupBy("component").agg(F.min("least").alias("component_id"))
