@@ -23,8 +23,11 @@ RARE = 3
 def _terms(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """k, doc_id, words. ``k`` hashes id and text; it only joins candidates to
     texts, and every candidate is confirmed, so a collision cannot matter."""
-    d = pick(docs, doc_id=id_col, text=text_col)
-    return d.select(F.xxhash64("doc_id", "text").alias("k"), "doc_id", term_words(F.col("text")).alias("words"))
+    return _keyed(docs, id_col, text_col).select("k", "doc_id", term_words(F.col("text")).alias("words"))
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return pick(docs, doc_id=id_col, text=text_col).select(F.xxhash64("doc_id", "text").alias("k"), "doc_id", "text")
 
 
 def read_items(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -95,7 +98,10 @@ def find_phrases(docs: DataFrame, items: DataFrame, window: int = WINDOW, rare:
         F.filter(c["wins"], lambda w: F.slice(F.col("words"), c["diag"] + w["start"] + 1, w["len"])
                  == F.slice(c["item_words"], w["start"] + 1, w["len"])),
         lambda w: F.struct(c["item_id"].alias("item_id"), (c["diag"] + w["start"]).alias("start"), w["len"].alias("len")))))
-    out = d.join(cands, F.col("k") == F.col("ck"), "left")
+    # the text moves, not its words; they are split after the join, behind an
+    # explode, so that no later projection splits the text once per candidate
+    out = _keyed(docs, id_col, text_col).join(cands, F.col("k") == F.col("ck"), "left")
+    out = out.select("k", "doc_id", "cands", F.explode(F.array(term_words(F.col("text")))).alias("words"))
     return out.select("k", "doc_id", "words", F.coalesce(F.array_distinct(found), F.array()).alias("spans"))
 
 
