@@ -15,6 +15,8 @@ from vigil.llm.common import store, table
 
 #: The stages are fitted models and iterations, which SQL does not express.
 ORACLE_SQL = None
+#: Near-duplicates share 0.8 of their five-word shingles (op10 has a rule of its own).
+NEAR = setjoin.Rule(shingle=5, num=80, den=100)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,7 +27,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every component of near-duplicates the least doc_id stays. Rows without
     a doc_id cannot be named and stay."""
-    found = setjoin.jaccard_components(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    found = setjoin.jaccard_components(docs, rule=NEAR).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
     gone = store(found, "near-duplicates")
     return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
 

@@ -19,14 +19,16 @@ component no pairs are listed, however many copies it has.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.llm.common import ascii_lower, pick, space_words, store
 from vigil.llm.components import components
 
 SHINGLE = 3
-#: Two sets link when NUM * union <= DEN * intersection.
+#: The contract of op10: two sets link when NUM * union <= DEN * intersection.
 NUM, DEN = 90, 100
 #: Tokens in more components than this go last in the token order.
 HOT = 16
@@ -62,9 +64,9 @@ def token_set(text: Column, n: int = SHINGLE) -> Column:
     return words, build
 
 
-def read_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def read_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """doc_id, tokens, n, c (the set's 64-bit digest); one row per input row."""
-    words, build = token_set(F.col("text"))
+    words, build = token_set(F.col("text"), shingle)
     d = pick(docs, doc_id=id_col, text=text_col).select("doc_id", words.alias("words"))
     d = d.select("doc_id", build(F.col("words")).alias("tokens"))
     return d.select("doc_id", "tokens", F.size("tokens").alias("n"), F.xxhash64("tokens").alias("c"))
@@ -74,26 +76,30 @@ def _min_hash(tokens: str, seed: int) -> Column:
     return F.array_min(F.transform(tokens, lambda t: F.xxhash64(F.lit(seed), t)))
 
 
-def _prefix_len(n: Column) -> Column:
-    """Tokens of a set of which a linked set must hold at least one."""
-    return n - F.ceil(n * NUM / DEN).cast("int") + 1
-
+class Rule(NamedTuple):
+    """Sets of ``shingle``-word shingles link when num * union <= den * intersection."""
 
-def _links(o: Column, n1: Column, n2: Column) -> Column:
-    return o * (NUM + DEN) >= NUM * (n1 + n2)
+    shingle: int = SHINGLE
+    num: int = NUM
+    den: int = DEN
 
+    def prefix_len(self, n: Column) -> Column:
+        """Tokens of a set of which a linked set must hold at least one."""
+        return n - F.ceil(n * self.num / self.den).cast("int") + 1
 
-def _room(mine: Column, other: Column) -> Column:
-    """What a member's own tokens (``mine``) and lacking ones (``other``) are worth
-    towards a link, against its leader. With overlap o of two leaders of n1 and
-    n2 tokens, members a and b share at most o + mine_a + mine_b tokens and hold
-    n1 + mine_a - other_a and n2 + mine_b - other_b, so they link only if
-    (NUM + DEN) o + room_a + room_b >= NUM (n1 + n2)."""
-    return DEN * mine + NUM * other
+    def links(self, o: Column, n1: Column, n2: Column) -> Column:
+        return o * (self.num + self.den) >= self.num * (n1 + n2)
 
+    def room(self, mine: Column, other: Column) -> Column:
+        """What a member's own tokens (``mine``) and lacking ones (``other``) are worth
+        towards a link, against its leader. With overlap o of two leaders of n1 and
+        n2 tokens, members a and b share at most o + mine_a + mine_b tokens and hold
+        n1 + mine_a - other_a and n2 + mine_b - other_b, so they link only if
+        (num + den) o + room_a + room_b >= num (n1 + n2)."""
+        return self.den * mine + self.num * other
 
-def _may_link(o: Column, room: Column, n1: Column, n2: Column) -> Column:
-    return o * (NUM + DEN) + room >= NUM * (n1 + n2)
+    def may_link(self, o: Column, room: Column, n1: Column, n2: Column) -> Column:
+        return o * (self.num + self.den) + room >= self.num * (n1 + n2)
 
 
 def _by_key(big: DataFrame, keys: DataFrame, on: Column) -> DataFrame:
@@ -105,9 +111,9 @@ def _by_key(big: DataFrame, keys: DataFrame, on: Column) -> DataFrame:
 class _Work:
     """The tables that the steps share."""
 
-    def __init__(self, docs: DataFrame, id_col: str, text_col: str):
-        self.docs, self.id_col, self.text_col = docs, id_col, text_col
-        s = read_sets(docs, id_col, text_col)
+    def __init__(self, docs: DataFrame, id_col: str, text_col: str, rule: Rule):
+        self.docs, self.id_col, self.text_col, self.rule = docs, id_col, text_col, rule
+        s = read_sets(docs, id_col, text_col, rule.shingle)
         head = F.slice("tokens", 1, F.greatest(F.lit(WHOLE), F.ceil(F.col("n") * 0.3).cast("int") + 2))
         s = s.select("doc_id", "n", "c", head.alias("head"))
         s = s.select("*", *[_min_hash("head", j).alias(f"key{j}") for j in (1, 2, 3)])
@@ -128,7 +134,7 @@ class _Work:
         keys = store(wanted.select("c").distinct().join(self.reps, "c").select(F.col("c").alias("wc"), F.col("rep")), "wanted")
         text = pick(self.docs, doc_id=self.id_col, text=self.text_col)
         mine = _by_key(text, keys, F.col("doc_id").eqNullSafe(F.col("rep"))).select("doc_id", "text", "wc")
-        words, build = token_set(F.col("text"))
+        words, build = token_set(F.col("text"), self.rule.shingle)
         s = mine.select("wc", words.alias("words")).select("wc", build(F.col("words")).alias("tokens"))
         # stored before it is filtered: a filter would be pushed below the sets and build them again per token
         s = store(s.select("tokens", "wc", F.xxhash64("tokens").alias("c")), "full-sets")
@@ -145,7 +151,7 @@ class _Work:
 
     def not_ruled_out(self, pairs: DataFrame, room: Column) -> DataFrame:
         """Pairs (a, b, ...) whose heads allow a link of them, or of members of
-        their stars that deviate by ``room`` (see ``_room``) in all. In the part
+        their stars that deviate by ``room`` (see ``Rule.room``) in all. In the part
         of the order that both heads reach, tokens of one set that the other
         lacks bound the overlap from above."""
         pairs = store(pairs, "maybe")
@@ -159,7 +165,7 @@ class _Work:
         p = p.withColumn("in1", F.filter("head1", lambda t: t <= F.col("reach"))).withColumn("in2", F.filter("head2", lambda t: t <= F.col("reach")))
         p = p.withColumn("common", F.size(F.array_intersect("in1", "in2")))
         most = F.least(F.col("n1") - F.size("in1") + F.col("common"), F.col("n2") - F.size("in2") + F.col("common"))
-        return p.where(_may_link(most, room, F.col("n1"), F.col("n2"))).select(*pairs.columns)
+        return p.where(self.rule.may_link(most, room, F.col("n1"), F.col("n2"))).select(*pairs.columns)
 
 
 def _attach(w: _Work) -> DataFrame:
@@ -169,11 +175,11 @@ def _attach(w: _Work) -> DataFrame:
     for j in (1, 2, 3):
         k = w.classes.select(F.col(f"key{j}").alias("key"), "c", "n")
         lead = k.groupBy("key").agg(F.min_by(F.struct("c", "n"), "c").alias("l"), F.count(F.lit(1)).alias("m")).where("m > 1")
-        p = k.join(lead, "key").where((F.col("c") != F.col("l.c")) & _links(F.least("n", "l.n"), F.col("n"), F.col("l.n"))) \
+        p = k.join(lead, "key").where((F.col("c") != F.col("l.c")) & w.rule.links(F.least("n", "l.n"), F.col("n"), F.col("l.n"))) \
             .select(F.col("c").alias("a"), F.col("l.c").alias("b"))
         found = p if found is None else found.union(p)
     near = w.not_ruled_out(found.distinct(), F.lit(0))
-    return w.verified(near).where(_links(F.col("o"), F.col("na"), F.col("nb")))
+    return w.verified(near).where(w.rule.links(F.col("o"), F.col("na"), F.col("nb")))
 
 
 def _shared(prefixes: DataFrame) -> DataFrame:
@@ -188,7 +194,7 @@ def _prefixes(w: _Work, comp: DataFrame) -> DataFrame:
     short = comp.count() <= BROADCAST_ROWS
     base = w.classes.select("c", "n", "head", "full").join(F.broadcast(comp) if short else comp, "c", "left") \
         .withColumn("comp", F.coalesce("component", "c")).drop("component")
-    plain = base.select("c", "n", "comp", F.slice("head", F.lit(1), _prefix_len(F.col("n"))).alias("prefix"))
+    plain = base.select("c", "n", "comp", F.slice("head", F.lit(1), w.rule.prefix_len(F.col("n"))).alias("prefix"))
     many = lambda x: _shared(x).where(F.col("m") > HOT).select(F.col("token").alias("hot"))
 
     def holding(hot: DataFrame) -> DataFrame:
@@ -210,9 +216,9 @@ def _prefixes(w: _Work, comp: DataFrame) -> DataFrame:
             .groupBy("c").agg(F.collect_set("token").alias("hots"))
         return (sets.join(held, "c", "left").withColumn("hots", F.coalesce("hots", F.array().cast("array<bigint>")))
                 .withColumn("cold", F.array_except(tokens, "hots"))
-                .withColumn("prefix", F.slice(F.concat("cold", F.sort_array("hots")), F.lit(1), _prefix_len(F.col("n")))))
+                .withColumn("prefix", F.slice(F.concat("cold", F.sort_array("hots")), F.lit(1), w.rule.prefix_len(F.col("n")))))
 
-    new = ordered(again, "head").withColumn("enough", F.col("full") | (F.size("cold") >= _prefix_len(F.col("n"))))
+    new = ordered(again, "head").withColumn("enough", F.col("full") | (F.size("cold") >= w.rule.prefix_len(F.col("n"))))
     new = store(new.select("c", "n", "comp", "enough", "prefix"), "new-prefixes")
     out = plain.union(new.where("enough").select("c", "n", "comp", "prefix"))
     lack = new.where("not enough").select("c", "n", "comp")
@@ -224,7 +230,7 @@ def _prefixes(w: _Work, comp: DataFrame) -> DataFrame:
     return post.join(shared, F.col("token") == F.col("shared")).drop("shared")
 
 
-def _meet(lists: DataFrame) -> DataFrame:
+def _meet(lists: DataFrame, rule: Rule) -> DataFrame:
     """a, b: entries of different components that meet in an index list and that
     size and position allow to link.
 
@@ -233,7 +239,7 @@ def _meet(lists: DataFrame) -> DataFrame:
     size, position and, if long, hash; a block knows its extremes, and a probe
     reads only blocks that these allow to hold a link.
     """
-    size_block = lambda n: F.floor(F.log(F.col(n).cast("double")) / F.log(F.lit(DEN / NUM))).cast("int")
+    size_block = lambda n: F.floor(F.log(F.col(n).cast("double")) / F.log(F.lit(rule.den / rule.num))).cast("int")
     many = lists.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("c0"), F.max("comp").alias("c1")) \
         .where("m > 1 and c0 < c1").select("token", F.ceil(F.col("m") / BLOCK).cast("int").alias("slots"))
     # entries of several sizes stand in every size block they reach
@@ -248,8 +254,8 @@ def _meet(lists: DataFrame) -> DataFrame:
                         F.explode(F.sequence(size_block("lo") - 1, size_block("hi") + 1)).alias("psb"))
 
     def may(lo1, hi1, rest1, lo2, hi2, rest2):
-        return _links(F.least(hi1, hi2), lo1, lo2) & _links(F.least(rest1, rest2), lo1, lo2) \
-            & _links(lo1, lo1, lo2 * 0 + F.least(lo1, hi2)) & (NUM * lo1 <= DEN * hi2) & (NUM * lo2 <= DEN * hi1)
+        return rule.links(F.least(hi1, hi2), lo1, lo2) & rule.links(F.least(rest1, rest2), lo1, lo2) \
+            & rule.links(lo1, lo1, lo2 * 0 + F.least(lo1, hi2)) & (rule.num * lo1 <= rule.den * hi2) & (rule.num * lo2 <= rule.den * hi1)
 
     j = index.join(probe, (F.col("token") == F.col("pt")) & (F.col("sb") == F.col("psb"))
                    & may(F.col("blo"), F.col("bhi"), F.col("brest"), F.col("plo"), F.col("phi"), F.col("prest")))
@@ -259,11 +265,11 @@ def _meet(lists: DataFrame) -> DataFrame:
     return m.select(F.col("m.e").alias("a"), F.col("pe").alias("b")).distinct()
 
 
-def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
+def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule = Rule()):
     """(links, comp, members): links (a, b, na, nb, o) between classes, enough to
     connect every component, each verified; comp (c, component) of the linked
     classes; members (doc_id, n, c) of all rows."""
-    w = _Work(docs, id_col, text_col)
+    w = _Work(docs, id_col, text_col, rule)
     near = _attach(w)
     comp = store(components(near).select(F.col("node").alias("c"), "component"), "components")
     # each class in the star of one leader; a leader that is itself attached keeps a star of its own
@@ -271,24 +277,24 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                                           F.col("b")).alias("s"))
     leads = near.select(F.col("b").alias("lead")).distinct()
     star = store(star.join(leads, F.col("a") == F.col("lead"), "left_anti").select(
-        F.col("a").alias("c"), F.col("s.b").alias("star"), _room(F.col("s.mine"), F.col("s.other")).alias("room")), "stars")
+        F.col("a").alias("c"), F.col("s.b").alias("star"), w.rule.room(F.col("s.mine"), F.col("s.other")).alias("room")), "stars")
     post = store(_prefixes(w, comp).join(star, "c", "left").withColumn("star", F.coalesce("star", "c"))
                  .withColumn("room", F.coalesce("room", F.lit(0))), "postings")
     by_star = post.groupBy("token", F.col("star").alias("e")).agg(
         F.min("comp").alias("comp"), F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(F.col("n") - F.col("pos")).alias("rest"))
-    met = _meet(by_star)
+    met = _meet(by_star, rule)
     most = star.groupBy("star").agg(F.max("room").alias("room"))
     of = lambda k: most.select(F.col("star").alias(k), F.col("room").alias("room_" + k))
     met = met.join(of("a"), "a", "left").join(of("b"), "b", "left").select(
         "a", "b", F.coalesce("room_a", F.lit(0)).alias("room_a"), F.coalesce("room_b", F.lit(0)).alias("room_b"))
     met = store(w.not_ruled_out(met, F.col("room_a") + F.col("room_b")), "star-pairs")
     answers = store(w.verified(met).join(met, ["a", "b"]), "answers")
-    linked = _links(F.col("o"), F.col("na"), F.col("nb"))
+    linked = w.rule.links(F.col("o"), F.col("na"), F.col("nb"))
     links = near.unionByName(answers.where(linked).drop("room_a", "room_b"))
     comp = store(components(links).select(F.col("node").alias("c"), "component"), "components")
     # open: stars of different components whose members may still link
     lab = lambda k: comp.select(F.col("c").alias(k), F.col("component").alias("comp_" + k))
-    still = answers.where(~linked & _may_link(F.col("o"), F.col("room_a") + F.col("room_b"), F.col("na"), F.col("nb")))
+    still = answers.where(~linked & w.rule.may_link(F.col("o"), F.col("room_a") + F.col("room_b"), F.col("na"), F.col("nb")))
     still = store(still.join(lab("a"), "a", "left").join(lab("b"), "b", "left")
                   .where(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")).drop("comp_a", "comp_b"), "open-stars")
     if still.isEmpty():
@@ -297,14 +303,14 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     member = post.groupBy("c", "star", "room", "n").agg(F.collect_list(F.struct("token", "pos")).alias("prefix"))
     one = member.select(*[F.col(x).alias(x + "1") for x in member.columns])
     two = member.select(*[F.col(x).alias(x + "2") for x in member.columns])
-    side = lambda room: _may_link(F.col("o"), room, F.col("na"), F.col("nb"))
+    side = lambda room: w.rule.may_link(F.col("o"), room, F.col("na"), F.col("nb"))
     left = still.join(one, (F.col("a") == F.col("star1")) & side(F.col("room1") + F.col("room_b")))
     right = still.join(two, (F.col("b") == F.col("star2")) & side(F.col("room2") + F.col("room_a")))
     left = left.select("a", "b", "o", "na", "nb", "c1", "n1", "room1", F.explode("prefix1").alias("p1"))
     right = right.select(F.col("a").alias("ra"), F.col("b").alias("rb"), "c2", "n2", "room2", F.explode("prefix2").alias("p2"))
     rest = F.least(F.col("n1") - F.col("p1.pos"), F.col("n2") - F.col("p2.pos"))
     pairs = left.join(right, (F.col("a") == F.col("ra")) & (F.col("b") == F.col("rb")) & (F.col("p1.token") == F.col("p2.token"))
-                      & side(F.col("room1") + F.col("room2")) & _links(rest, F.col("n1"), F.col("n2")))
+                      & side(F.col("room1") + F.col("room2")) & w.rule.links(rest, F.col("n1"), F.col("n2")))
     pairs = w.not_ruled_out(pairs.select(F.col("c1").alias("a"), F.col("c2").alias("b")).distinct(), F.lit(0))
     found = store(w.verified(pairs).where(linked), "member-links")
     if not found.isEmpty():
@@ -313,7 +319,7 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return links, comp, w.light.select("doc_id", "n", "c")
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule = Rule()) -> DataFrame:
     """doc_id, n_shingles, component_id: one row per input row.
 
     Links join classes of equal sets; the component is the least doc_id that
@@ -321,7 +327,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     repeat a doc_id are one document; null doc_ids take part but give no
     component its name. An empty table gives an empty result.
     """
-    _, comp, members = jaccard_links(docs, id_col, text_col)
+    _, comp, members = jaccard_links(docs, id_col, text_col, rule)
     classes = members.where("n > 0").groupBy("c").agg(F.min("doc_id").alias("least"))
     named = classes.join(comp, "c", "left").withColumn("component", F.coalesce("component", "c"))
     names = named.groupBy("component").agg(F.min("least").alias("component_id"))
