@@ -8,7 +8,6 @@ kept. All but the last return the columns of ``documents``; the last adds
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from vigil.llm import decontam, mixing, setjoin, sharding, toxicity
 from vigil.llm.common import store, table
@@ -25,11 +24,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every component of near-duplicates the least doc_id stays. Rows without
-    a doc_id cannot be named and stay."""
-    found = setjoin.jaccard_components(docs, rule=NEAR).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    gone = store(found, "near-duplicates")
-    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    """Of every component of near-duplicates one row of the least doc_id stays. Rows
+    go by doc_id and text, so that every component keeps a row. Rows without a
+    doc_id cannot be named and stay."""
+    return setjoin.drop_near_copies(docs, NEAR)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

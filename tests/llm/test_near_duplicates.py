@@ -74,3 +74,10 @@ def test_stage_equals_brute_force(spark, monkeypatch, hot):
     assert len({g for g in groups}) != len({g for g in brute(rows, 90, 100, 3)})
     kept = P.one_per_group(spark, table(spark, rows), SF_SMOKE).collect()
     assert sorted(r["doc_id"] for r in kept) == sorted(least.values())
+
+
+def test_a_doc_id_with_two_texts_leaves_a_row_of_each_group(spark):
+    a, b = " ".join("a%d" % i for i in range(30)), " ".join("b%d" % i for i in range(30))
+    rows = [(5, a), (9, a), (5, b), (3, b), (3, b), (3, "c d e"), (7, None), (7, None), (None, a)]
+    kept = P.one_per_group(spark, table(spark, rows), SF_SMOKE).select("doc_id", "text").collect()
+    assert cases.bag(kept) == cases.bag([(5, a), (3, b), (3, "c d e"), (7, None), (7, None), (None, a)])

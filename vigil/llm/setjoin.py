@@ -64,12 +64,14 @@ def token_set(text: Column, n: int = SHINGLE) -> Column:
     return words, build
 
 
-def read_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, tokens, n, c (the set's 64-bit digest); one row per input row."""
+def read_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+              **more: Column) -> DataFrame:
+    """doc_id, tokens, n, c (the set's 64-bit digest) and ``more``, columns made of
+    doc_id and text; one row per input row."""
     words, build = token_set(F.col("text"), shingle)
-    d = pick(docs, doc_id=id_col, text=text_col).select("doc_id", words.alias("words"))
-    d = d.select("doc_id", build(F.col("words")).alias("tokens"))
-    return d.select("doc_id", "tokens", F.size("tokens").alias("n"), F.xxhash64("tokens").alias("c"))
+    d = pick(docs, doc_id=id_col, text=text_col).select("doc_id", words.alias("words"), *[v.alias(k) for k, v in more.items()])
+    d = d.select("doc_id", build(F.col("words")).alias("tokens"), *more)
+    return d.select("doc_id", "tokens", F.size("tokens").alias("n"), F.xxhash64("tokens").alias("c"), *more)
 
 
 def _min_hash(tokens: str, seed: int) -> Column:
@@ -111,11 +113,11 @@ def _by_key(big: DataFrame, keys: DataFrame, on: Column) -> DataFrame:
 class _Work:
     """The tables that the steps share."""
 
-    def __init__(self, docs: DataFrame, id_col: str, text_col: str, rule: Rule):
+    def __init__(self, docs: DataFrame, id_col: str, text_col: str, rule: Rule, **more: Column):
         self.docs, self.id_col, self.text_col, self.rule = docs, id_col, text_col, rule
-        s = read_sets(docs, id_col, text_col, rule.shingle)
+        s = read_sets(docs, id_col, text_col, rule.shingle, **more)
         head = F.slice("tokens", 1, F.greatest(F.lit(WHOLE), F.ceil(F.col("n") * 0.3).cast("int") + 2))
-        s = s.select("doc_id", "n", "c", head.alias("head"))
+        s = s.select("doc_id", "n", "c", head.alias("head"), *more)
         s = s.select("*", *[_min_hash("head", j).alias(f"key{j}") for j in (1, 2, 3)])
         self.light = store(s, "sets")
         sets = self.light.where("n > 0")
@@ -265,11 +267,11 @@ def _meet(lists: DataFrame, rule: Rule) -> DataFrame:
     return m.select(F.col("m.e").alias("a"), F.col("pe").alias("b")).distinct()
 
 
-def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule = Rule()):
+def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule = Rule(), **more: Column):
     """(links, comp, members): links (a, b, na, nb, o) between classes, enough to
     connect every component, each verified; comp (c, component) of the linked
-    classes; members (doc_id, n, c) of all rows."""
-    w = _Work(docs, id_col, text_col, rule)
+    classes; members (doc_id, n, c and ``more``) of all rows."""
+    w = _Work(docs, id_col, text_col, rule, **more)
     near = _attach(w)
     comp = store(components(near).select(F.col("node").alias("c"), "component"), "components")
     # each class in the star of one leader; a leader that is itself attached keeps a star of its own
@@ -298,7 +300,7 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     still = store(still.join(lab("a"), "a", "left").join(lab("b"), "b", "left")
                   .where(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")).drop("comp_a", "comp_b"), "open-stars")
     if still.isEmpty():
-        return links, comp, w.light.select("doc_id", "n", "c")
+        return links, comp, w.light.select("doc_id", "n", "c", *more)
     # derived: what a member deviates from its leader bounds what it can share with the other star
     member = post.groupBy("c", "star", "room", "n").agg(F.collect_list(F.struct("token", "pos")).alias("prefix"))
     one = member.select(*[F.col(x).alias(x + "1") for x in member.columns])
@@ -316,7 +318,19 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     if not found.isEmpty():
         links = links.unionByName(found)
         comp = store(components(links).select(F.col("node").alias("c"), "component"), "components")
-    return links, comp, w.light.select("doc_id", "n", "c")
+    return links, comp, w.light.select("doc_id", "n", "c", *more)
+
+
+def _first(docs: DataFrame, id_col: str, text_col: str, rule: Rule, **more: Column) -> DataFrame:
+    """doc_id, n, ``more`` and first, the least doc_id of the row's component, with
+    ``more`` a struct of it and them; null for empty sets."""
+    _, comp, members = jaccard_links(docs, id_col, text_col, rule, **more)
+    name = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", *more)) if more else F.col("doc_id")
+    classes = members.where("n > 0").groupBy("c").agg(F.min(name).alias("least"))
+    named = classes.join(comp, "c", "left").withColumn("component", F.coalesce("component", "c"))
+    names = named.groupBy("component").agg(F.min("least").alias("first"))
+    named = store(named.join(names, "component").select(F.col("c").alias("cc"), "first"), "component-names")
+    return members.join(named, (F.col("c") == F.col("cc")) & (F.col("n") > 0), "left").drop("c", "cc")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule = Rule()) -> DataFrame:
@@ -324,16 +338,30 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     Links join classes of equal sets; the component is the least doc_id that
     links reach. Null or blank texts have empty sets and stay alone. Rows that
-    repeat a doc_id are one document; null doc_ids take part but give no
-    component its name. An empty table gives an empty result.
+    repeat a doc_id each have the component of their own text; null doc_ids take
+    part but give no component its name. An empty table gives an empty result.
     """
-    _, comp, members = jaccard_links(docs, id_col, text_col, rule)
-    classes = members.where("n > 0").groupBy("c").agg(F.min("doc_id").alias("least"))
-    named = classes.join(comp, "c", "left").withColumn("component", F.coalesce("component", "c"))
-    names = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = store(named.join(names, "component").select(F.col("c").alias("cc"), "component_id"), "component-names")
-    out = members.join(named, (F.col("c") == F.col("cc")) & (F.col("n") > 0), "left")
-    return out.select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    out = _first(docs, id_col, text_col, rule)
+    return out.select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), F.coalesce("first", "doc_id").alias("component_id"))
+
+
+def drop_near_copies(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of every component, with its columns: that of the least doc_id, of
+    its rows the least text digest, of equal texts the least row. Rows are told
+    apart by doc_id and text, so a doc_id repeated with another text is judged by
+    each text. Rows without a doc_id or without words stay."""
+    digest = F.xxhash64(F.col(f"`{text_col}`"))
+    rows = _first(docs, id_col, text_col, rule, digest=F.xxhash64("text")).where("doc_id is not null and first is not null")
+    rows = store(rows.select("doc_id", "digest", (F.struct("doc_id", "digest") == F.col("first")).alias("stays")), "near-duplicates")
+    key = [F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")]
+    here = (F.col(f"`{id_col}`") == F.col("_id")) & (digest == F.col("_digest"))
+    kept = docs.join(store(rows.where("not stays").select(*key).distinct(), "near-copies"), here, "left_anti")
+    twice = rows.where("stays").groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    twice = store(twice.select(*key), "repeated-rows")
+    if twice.isEmpty():
+        return kept
+    least = kept.join(twice, here, "inner").groupBy("_id", "_digest").agg(F.min(F.struct(*docs.columns)).alias("_row"))
+    return kept.join(twice, here, "left_anti").unionByName(least.select("_row.*"))
 
 
 JACCARD_SQL = r"""
