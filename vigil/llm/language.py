@@ -86,17 +86,15 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
 def _build(rows: pd.DataFrame) -> pd.DataFrame:
     """One language: its code points as learnt, and its automaton as packed edges."""
     rows = rows.sort_values(["r", "text"])
-    parts, total = [], 0
-    for text in rows["text"]:
-        codes = normalise(text)
-        if len(codes):
-            parts += [codes, np.array([32], np.uint32)]
-            total += len(codes) + 1
-        if total >= TRAIN_CHARS:
-            break
-    if not parts:
+    texts = [codes for codes in map(normalise, rows["text"]) if len(codes)]
+    if not texts:
         return pd.DataFrame({"lang": [], "n": [], "states": [], "edges": []})
-    codes = np.concatenate(parts)[:TRAIN_CHARS]
+    # equal shares; what short texts leave over goes to longer ones
+    share, left = [0] * len(texts), TRAIN_CHARS
+    for k, i in enumerate(sorted(range(len(texts)), key=lambda i: len(texts[i]))):
+        share[i] = min(len(texts[i]) + 1, left // (len(texts) - k))
+        left -= share[i]
+    codes = np.concatenate([np.append(t[:n - 1], np.uint32(32)) for t, n in zip(texts, share) if n])
     step = suffix_automaton(codes.tolist())
     edges = np.array([(s, c, t) for s, d in enumerate(step) for c, t in d.items()], dtype=np.int32)
     return pd.DataFrame({"lang": [rows["lang"].iloc[0]], "n": [len(codes)], "states": [len(step)],
@@ -105,7 +103,8 @@ def _build(rows: pd.DataFrame) -> pd.DataFrame:
 
 def learn(docs: DataFrame) -> list[tuple[str, int, int, bytes]]:
     """One automaton per language, each from at most TRAIN_CHARS characters of at
-    most TRAIN_DOCS documents that are not held out, first by a hash of doc_id.
+    most TRAIN_DOCS documents that are not held out, first by a hash of doc_id;
+    every document has an equal share, as far as it has the characters.
     Rows without lang, text or doc_id teach nothing."""
     d = pick(docs, doc_id="doc_id", lang="lang").where("lang is not null and doc_id is not null").where(~held_out(F.col("doc_id")))
     r = F.xxhash64(F.lit(2), "doc_id")
