@@ -13,7 +13,7 @@ BLOCK_TAGS = frozenset(
 #: Elements without content.
 EMPTY_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is never text of the page.
-RAW = "script|style|template|noscript|textarea|iframe|svg|math|object|canvas|select"
+RAW = "script|style|template|textarea|iframe|select"
 #: An element that a start tag of the same kind closes, as a browser would.
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}}
@@ -39,12 +39,14 @@ def blocks(page: str | None) -> list[tuple[str, tuple[tuple[str, ...], ...], flo
 
     Character references are decoded once, white space becomes one space, blank
     blocks are left out. Null and broken pages are fine: what is open at the end
-    counts as closed there.
+    counts as closed there. Drawings (svg) have no text; one that is not closed
+    ends where a block of the page begins or ends.
     """
     out: list = []
     path: list[tuple[str, ...]] = []
     parts: list[str] = []
-    linked = in_link = 0
+    linked = in_link = drawn = 0
+    inner: list[str] | None = None  # open blocks of a foreignObject
 
     def flush():
         nonlocal linked
@@ -57,6 +59,8 @@ def blocks(page: str | None) -> list[tuple[str, tuple[tuple[str, ...], ...], flo
 
     for m in _TOKEN.finditer(page or ""):
         text = m["text"]
+        if drawn and m["tag"] is None:
+            continue
         if text is not None:
             parts.append(text)
             if in_link:
@@ -65,6 +69,25 @@ def blocks(page: str | None) -> list[tuple[str, tuple[tuple[str, ...], ...], flo
         if m["tag"] is None:  # comment, raw element or declaration
             continue
         tag = m["tag"].lower()
+        alone = m["attrs"].endswith("/")
+        if tag == "svg":
+            drawn = max(0, drawn - 1) if m["end"] else drawn + (not alone)
+            inner = inner if drawn else None
+            continue
+        if drawn:
+            if tag == "foreignobject":
+                inner = None if m["end"] or alone else []
+                continue
+            if tag not in BLOCK_TAGS or tag == "title":
+                continue
+            if inner is not None and not m["end"]:
+                if tag not in EMPTY_TAGS and not alone:
+                    inner.append(tag)
+                continue
+            if inner and tag in inner:
+                del inner[len(inner) - 1 - inner[::-1].index(tag):]
+                continue
+            drawn, inner = 0, None
         if tag == "a":
             in_link = 0 if m["end"] else 1
         if tag == "br":
@@ -82,7 +105,7 @@ def blocks(page: str | None) -> list[tuple[str, tuple[tuple[str, ...], ...], flo
                 path.pop()
             elif path and path[-1][0] == "p":
                 path.pop()
-            if tag not in EMPTY_TAGS and not m["attrs"].endswith("/"):
+            if tag not in EMPTY_TAGS and not alone:
                 path.append(element(tag, m["attrs"]))
     flush()
     return out
