@@ -43,6 +43,10 @@ SIDE = {"nav": "nav menu navbar breadcrumb toc navigation".split(), "header": "h
 _SIDE_NAMES = frozenset(n for names in SIDE.values() for n in names)
 
 
+#: Pages that can have a block with a label: the tag, or the word in a class, id or role.
+SEMANTIC = r"(?i)<(?:article|main)(?![a-z0-9:-])|<[a-z][^<>]*\s(?:class|id|role)\s*=[^<>]*(?<![a-z])(?:article|main)(?![a-z])"
+
+
 def seed_label(path) -> int:
     """1 for a block inside article or main and inside nothing that is a side block by name."""
     names = {n.lstrip(".") for e in path for n in e}
@@ -256,6 +260,8 @@ def _fit_task(batches):
     pages = []
     for html in rows["html"]:
         page = blocks(html)
+        if not any(seed_label(b[1]) for b in page):
+            continue
         for k in range(DISGUISES):
             d = disguise(page, random.Random(f"{zlib.crc32(html.encode())}-{k}"))[:TRAIN_BLOCKS] if k else \
                 [(*b, seed_label(b[1])) for b in page][:TRAIN_BLOCKS]
@@ -270,9 +276,10 @@ def _fit_task(batches):
 
 
 def fit(pages: DataFrame, rows: int = TRAIN_PAGES) -> bytes:
-    """The weights, fitted in one task on at most ``rows`` pages, the first by a
-    hash of url and html; without pages the network is untrained."""
-    p = pick(pages, url="url", html="html").where("html is not null")
+    """The weights, fitted in one task on at most ``rows`` pages that name an article
+    or main element, the first by a hash of url and html; the others say nothing
+    of where their main text is. Without such pages the network is untrained."""
+    p = pick(pages, url="url", html="html").where(F.col("html").rlike(SEMANTIC))
     r = F.xxhash64("url", "html")
     cut = store(p.select(r.alias("r")).orderBy("r").limit(rows).agg(F.max("r").alias("top")), "html-train-cut").first()[0]
     if cut is None:
