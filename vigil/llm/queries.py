@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vigil.llm import decontam, html_extract, language, mixing, periodic, pieces, quality, setjoin, sharding, substrings, toxicity, url_filter
+from vigil.llm import decontam, html_extract, language, mixing, periodic, pieces, prefix_trie, quality, setjoin, sharding, substrings, toxicity, url_filter
 from vigil.llm.common import table
 
 
@@ -56,6 +56,11 @@ def op10_jaccard_join(spark, sf_dir):
     return setjoin.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark, sf_dir):
+    """Nodes of the prefix trie of all conversations."""
+    return prefix_trie.trie_report(table(spark, sf_dir, "conversations"))
+
+
 def op12_sentencepiece(spark, sf_dir):
     """All documents encoded by the public 32k model, and decoded again."""
     return pieces.encoding_report(table(spark, sf_dir, "documents"))
@@ -67,7 +72,7 @@ def op13_periodic_runs(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_decontamination, op2_language_id, op3_toxicity, op4_substring_dedup, op5_quality_rules, op6_html_extraction, op7_source_mixing, op8_url_filter, op9_sharding,
-                                    op10_jaccard_join, op12_sentencepiece, op13_periodic_runs)}
+                                    op10_jaccard_join, op11_prefix_trie, op12_sentencepiece, op13_periodic_runs)}
 
 ORACLE = {"op1_decontamination": decontam.DECONTAM_SQL, "op4_substring_dedup": substrings.SUBSTRING_SQL, "op5_quality_rules": quality.QUALITY_SQL, "op7_source_mixing": mixing.MIX_SQL,
-          "op8_url_filter": url_filter.URL_SQL, "op10_jaccard_join": setjoin.JACCARD_SQL}
+          "op8_url_filter": url_filter.URL_SQL, "op10_jaccard_join": setjoin.JACCARD_SQL, "op11_prefix_trie": prefix_trie.TRIE_SQL}
