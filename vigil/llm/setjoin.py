@@ -12,6 +12,9 @@
    share with another star follows from its leader's answer and the recorded
    differences; only members that this leaves open are compared themselves.
    Stars already known to be connected are skipped altogether.
+5. Long lists are families of near copies. They are not met in pairs: all members
+   get their differences to the list's leader, and their mutual answers follow
+   from those (``families``).
 
 Every skip is a proven bound, so no link between components is lost; inside a
 component no pairs are listed, however many copies it has.
@@ -26,6 +29,7 @@ from pyspark.sql import functions as F
 
 from vigil.llm.common import ascii_lower, pick, space_words, store
 from vigil.llm.components import components
+from vigil.llm.families import family_links, long_tokens
 
 SHINGLE = 3
 #: The contract of op10: two sets link when NUM * union <= DEN * intersection.
@@ -36,7 +40,7 @@ HOT = 16
 BLOCK = 256
 #: Rows of a key list up to which it is broadcast; longer ones are shuffled.
 BROADCAST_ROWS = 300_000
-#: Sets up to this size are kept whole; of larger ones the first 0.3 of their order.
+#: Sets up to this size are kept whole; of larger ones the first 0.3 of their order, or the prefix if it is longer.
 WHOLE = 256
 _ALL = 9223372036854775807
 
@@ -116,7 +120,7 @@ class _Work:
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, rule: Rule, **more: Column):
         self.docs, self.id_col, self.text_col, self.rule = docs, id_col, text_col, rule
         s = read_sets(docs, id_col, text_col, rule.shingle, **more)
-        head = F.slice("tokens", 1, F.greatest(F.lit(WHOLE), F.ceil(F.col("n") * 0.3).cast("int") + 2))
+        head = F.slice("tokens", 1, F.greatest(F.lit(WHOLE), F.ceil(F.col("n") * 0.3).cast("int") + 2, rule.prefix_len(F.col("n"))))
         s = s.select("doc_id", "n", "c", head.alias("head"), *more)
         s = s.select("*", *[_min_hash("head", j).alias(f"key{j}") for j in (1, 2, 3)])
         self.light = store(s, "sets")
@@ -261,10 +265,9 @@ def _meet(lists: DataFrame, rule: Rule) -> DataFrame:
 
     j = index.join(probe, (F.col("token") == F.col("pt")) & (F.col("sb") == F.col("psb"))
                    & may(F.col("blo"), F.col("bhi"), F.col("brest"), F.col("plo"), F.col("phi"), F.col("prest")))
-    m = j.select("pe", "pc", "plo", "phi", "prest", F.explode("members").alias("m"))
-    m = m.where((F.col("m.e") < F.col("pe")) & (F.col("m.comp") != F.col("pc"))
-                & may(F.col("m.lo"), F.col("m.hi"), F.col("m.rest"), F.col("plo"), F.col("phi"), F.col("prest")))
-    return m.select(F.col("m.e").alias("a"), F.col("pe").alias("b")).distinct()
+    met = F.filter("members", lambda m: (m["e"] < F.col("pe")) & (m["comp"] != F.col("pc"))
+                   & may(m["lo"], m["hi"], m["rest"], F.col("plo"), F.col("phi"), F.col("prest")))
+    return j.select("pe", F.explode(F.transform(met, lambda m: m["e"])).alias("a")).select("a", F.col("pe").alias("b")).distinct()
 
 
 def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule = Rule(), **more: Column):
@@ -284,6 +287,13 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                  .withColumn("room", F.coalesce("room", F.lit(0))), "postings")
     by_star = post.groupBy("token", F.col("star").alias("e")).agg(
         F.min("comp").alias("comp"), F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(F.col("n") - F.col("pos")).alias("rest"))
+    by_star = store(by_star, "lists")
+    long = store(long_tokens(by_star), "long-tokens")
+    is_long = F.col("token") == F.col("long")
+    if not long.isEmpty():
+        near = store(near.unionByName(family_links(w, post.join(long, is_long, "left_semi").select("token", "c", "pos"), comp, components)), "near")
+        now = store(components(near).select(F.col("node").alias("c"), F.col("component").alias("now")), "components")
+        by_star = by_star.join(long, is_long, "left_anti").join(now, F.col("e") == F.col("c"), "left").withColumn("comp", F.coalesce("now", "comp")).drop("c", "now")
     met = _meet(by_star, rule)
     most = star.groupBy("star").agg(F.max("room").alias("room"))
     of = lambda k: most.select(F.col("star").alias(k), F.col("room").alias("room_" + k))
