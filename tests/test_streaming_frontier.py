@@ -125,7 +125,7 @@ def test_landed_file_stream_skips_seen_bytes(spark, tmp_path):
 
 
 def test_resolve_link_forms(spark):
-    from vigil.sources.pages import resolve
+    from vigil.functions.urls import resolve
     rows = [("https://a.example.org/x/y.html?q=1#f", "//cdn.example.net/z#k"),
             ("https://a.example.org/x/y.html?q=1#f", "/root"),
             ("https://a.example.org/x/y.html?q=1#f", "rel/p"),

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from vigil.functions.arrays import breadcrumb_dirs, path_join
 from vigil.functions.text import extract_between, normalize_file_name
 from vigil.session import ensure_checkpoint_dir
-from vigil.sources.pages import page_links, resolve, without_fragment
+from vigil.functions.urls import normalize_url, resolve
+from vigil.sources.pages import base_ref, hrefs
 
 
 def classify_links(links: DataFrame, follow: str, download: str, href: str = "href") -> DataFrame:
@@ -26,17 +27,20 @@ def classify_links(links: DataFrame, follow: str, download: str, href: str = "hr
 
 def link_targets(pages: DataFrame, follow: str | None = None) -> DataFrame:
     """(source page url, absolute target url) for every anchor, or for those
-    whose href contains ``follow``."""
-    links = page_links(pages, keep=("url",))
+    whose href contains ``follow``; both URLs in one spelling, so that each page
+    has one name however it is linked. Pages without a url have no targets."""
+    found = hrefs("html")
     if follow is not None:
-        links = links.where(F.col("href").contains(follow))
-    return links.select(F.col("url").alias("source_url"), resolve("href", "url").alias("target_url"))
+        found = F.filter(found, lambda h: h.contains(follow))
+    links = pages.where(F.col("url").isNotNull()).select("url", base_ref("html").alias("_base"), found.alias("_hrefs")) \
+        .select(normalize_url("url").alias("source_url"), resolve("_base", "url").alias("_at"), F.explode("_hrefs").alias("href"))
+    return links.select("source_url", resolve("href", "_at").alias("target_url"))
 
 
 def frontier(pages: DataFrame, visited: DataFrame, follow: str | None = None) -> DataFrame:
     """Distinct link targets of ``pages`` not in ``visited`` (column ``url``)."""
     t = link_targets(pages, follow).select(F.col("target_url").alias("url")).distinct()
-    v = visited.select(without_fragment("url").alias("url")).distinct()
+    v = visited.select(normalize_url("url").alias("url")).distinct()
     return t.join(v, "url", "left_anti")
 
 
@@ -50,9 +54,8 @@ def expand_frontier(pages: DataFrame, seeds: DataFrame, follow: str | None = Non
     a round joins the last round's urls to the edges and checkpoints what is new.
     """
     ensure_checkpoint_dir(pages.sparkSession)
-    edges = (link_targets(pages.select(without_fragment("url").alias("url"), "html"), follow)
-             .distinct().checkpoint())
-    new = (seeds.select(without_fragment("url").alias("url")).distinct()
+    edges = link_targets(pages, follow).distinct().checkpoint()
+    new = (seeds.select(normalize_url("url").alias("url")).distinct()
            .withColumn("round", F.lit(0)).checkpoint())
     reached, r = new, 0
     while depth is None or r < depth:

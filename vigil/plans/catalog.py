@@ -7,9 +7,6 @@ files; column names and types are aligned so results compare as bags.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, StructField,
                                StructType)
@@ -23,6 +20,7 @@ from vigil.operators.initiative import flatten_initiatives, split_initiatives
 from vigil.operators.lookup import map_with_default
 from vigil.operators.sequence import runs
 from vigil.plans import derived
+from vigil.plans.registry import ORACLE, QUERIES, query
 from vigil.plans.tables import ACT_SQL, INI_SQL, activity_rows, initiative_rows, load
 from vigil.session import scratch_path
 from vigil.sources import delimited
@@ -32,20 +30,8 @@ from vigil.sources.nested_json import bad_documents, read_documents, records
 from vigil.sources.pages import block_links, block_text, page_links, page_title
 from vigil.streaming import incremental
 
-Q = Callable[[SparkSession, str], DataFrame]
 _CRAWL_TS = "2024-01-01 00:00:00"
 _DOWNLOAD_TS = "2024-01-02 00:00:00"
-QUERIES: dict[str, Q] = {}
-ORACLE: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    def deco(fn: Q) -> Q:
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = sql
-        return fn
-    return deco
 
 
 def _act_sql(body: str) -> str:
@@ -664,45 +650,6 @@ def q_page_block_text(spark, sf):
     return load(spark, sf, "pages").select("page_id", F.posexplode(block_text("html", "ad")).alias("pos", "value"))
 
 
-_RESOLVE_SQL = """CASE WHEN regexp_matches(h, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN regexp_replace(h, '#.*$', '')
-     WHEN starts_with(h, '//') THEN regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*:)', 1) || regexp_replace(h, '#.*$', '')
-     WHEN starts_with(h, '/') THEN regexp_extract(url, '^(https?://[^/?#]+)', 1) || regexp_replace(h, '#.*$', '')
-     ELSE regexp_replace(regexp_replace(regexp_replace(url, '\\?.*$', ''), '#.*$', ''), '[^/]*$', '')
-          || regexp_replace(h, '#.*$', '') END"""
-
-
-@query("frontier_expand", f"""
-WITH l AS (SELECT url, unnest(regexp_extract_all(html, '(?i)<a\\s[^>]*?href\\s*=\\s*"([^"]*)"', 1)) AS h FROM pages),
-t AS (SELECT DISTINCT {_RESOLVE_SQL} AS url FROM l)
-SELECT url FROM t WHERE url NOT IN (SELECT regexp_replace(url, '#.*$', '') FROM pages)""")
-def q_frontier_expand(spark, sf):
-    """Resolved link targets not yet visited (anti-join with the page URLs)."""
-    pages = load(spark, sf, "pages")
-    return frontier.frontier(pages, pages.select("url"))
-
-
-@query("frontier_rounds", """
-WITH RECURSIVE n AS (SELECT max(c_custkey) AS top FROM customer),
-r(k, round) AS (
-  SELECT CAST(1 AS BIGINT), 0
-  UNION ALL
-  SELECT c.k2, r.round + 1 FROM r, n, LATERAL (SELECT unnest([3 * r.k - 1, 3 * r.k, 3 * r.k + 1]) AS k2) c
-  WHERE r.k <= n.top AND r.k IN (SELECT c_custkey FROM customer))
-SELECT 'https://c.example.org/' || CAST(k AS VARCHAR) || '.aspx' AS url, CAST(min(round) AS INTEGER) AS round FROM r GROUP BY k""")
-def q_frontier_rounds(spark, sf):
-    """Crawl to the end over a page per customer, from one seed: customer k's page
-    links to 3k-1, 3k and 3k+1 (some beyond the table), to itself, to a download
-    that is not followed and, commented out, to a page that does not exist."""
-    k = F.col("c_custkey").cast("bigint")
-    link = lambda x: F.concat(F.lit('<a href="/'), x.cast("string"), F.lit('.aspx#top">x</a>'))
-    pages = load(spark, sf, "customer").select(
-        F.concat(F.lit("https://c.example.org/"), k.cast("string"), F.lit(".aspx")).alias("url"),
-        F.concat(link(3 * k - 1), link(3 * k), link(3 * k + 1), link(k), F.lit("<a class='x' href='/list_json.txt'>d</a>"),
-                 F.lit('<!-- <a href="/none.aspx">n</a> -->')).alias("html"))
-    seeds = spark.range(1).select(F.lit("https://c.example.org/1.aspx").alias("url"))
-    return frontier.expand_frontier(pages, seeds, follow=".aspx")
-
-
 _FICH_SPARK = lambda: F.concat(
     F.lit("https://files.example.org/webutils/docs/doc.txt?path=p"), F.col("page_id").cast("string"),
     F.lit("&fich="), F.regexp_replace(F.regexp_extract("url", r"^https?://([^/?#]+)", 1), r"\.", "_"),
@@ -1051,3 +998,6 @@ def q_incremental_ingest(spark, sf):
         d.where(F.col("doc_id") % 2 == lot).write.parquet(f"{src}/lot{lot}")
         incremental.ingest_available(incremental.content_stream(spark, src + "/*", "doc_id bigint, text string", "text"), sink, state)
     return spark.read.parquet(sink).select("content_md5")
+
+
+from vigil.plans import web_queries  # noqa: E402,F401 - registers its queries

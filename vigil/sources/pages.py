@@ -21,7 +21,6 @@ COMMENT_RE = r"(?s)<!--.*?(?:-->|\z)"
 ANCHOR_RE = (r"""(?i)<a(?:\s+(?!href[\s=])[^\s=>"']+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"']+))?)*\s+href\s*=\s*("""
              r""""[^"]*"|'[^']*'|[^\s>"']+)""")
 TITLE_RE = r"(?is)<title[^>]*>(.*?)</title>"
-ORIGIN_RE = r"^(https?://[^/?#]+)"
 
 
 def hrefs(html: str | Column) -> Column:
@@ -71,25 +70,9 @@ def page_title(html: str | Column = "html") -> Column:
     return F.regexp_extract(c, TITLE_RE, 1)
 
 
-def origin(url: str | Column) -> Column:
-    c = F.col(url) if isinstance(url, str) else url
-    return F.regexp_extract(c, ORIGIN_RE, 1)
-
-
-def without_fragment(url: str | Column) -> Column:
-    c = F.col(url) if isinstance(url, str) else url
-    return F.regexp_replace(c, "#.*$", "")
-
-
-def resolve(href: str | Column, base_url: str | Column) -> Column:
-    """Absolute URL of a link: absolute hrefs as is, protocol-relative
-    ('//host/x') with the page's scheme, site-relative ('/x') against the page
-    origin, others against the page URL's directory."""
-    h = F.col(href) if isinstance(href, str) else href
-    b = F.col(base_url) if isinstance(base_url, str) else base_url
-    base_dir = F.regexp_replace(without_fragment(F.regexp_replace(b, r"\?.*$", "")), r"[^/]*$", "")
-    return (F.when(h.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:"), without_fragment(h))
-             .when(h.startswith("//"), F.concat(F.regexp_extract(b, "^([a-zA-Z][a-zA-Z0-9+.-]*:)", 1),
-                                                without_fragment(h)))
-             .when(h.startswith("/"), F.concat(origin(b), without_fragment(h)))
-             .otherwise(F.concat(base_dir, without_fragment(h))))
+def base_ref(html: str | Column) -> Column:
+    """What the links of a page are relative to, itself relative to the page's
+    URL: the first ``<base href>``, or an empty reference."""
+    c = F.regexp_replace(F.col(html) if isinstance(html, str) else html, COMMENT_RE, "")
+    raw = F.regexp_extract(c, ANCHOR_RE.replace("<a(", "<base("), 1)
+    return decode_entities(F.regexp_replace(raw, r"""^(["'])(.*)\1$""", "$2"))
