@@ -66,7 +66,7 @@ def test_links_as_a_browser_reads_them(spark):
 
 
 def test_block_text_forms(spark):
-    from vigil.sources.pages import block_text
+    from vigil.sources.markup import block_text
     html = "<div class='x title'>own <b>B &amp; b</b><i>I</i></div><div class='other'><b>no</b></div><!-- <div class='title'>c</div> -->"
     df = spark.createDataFrame([(html,)], "html string")
     assert df.select(block_text("html", "title")).first()[0] == ["own ", "B & b", "I"]
@@ -84,7 +84,7 @@ def test_links_without_a_file_name_are_quarantined(spark):
 
 
 def test_block_links_selects_inside_class(spark):
-    from vigil.sources.pages import block_links
+    from vigil.sources.markup import block_links
     html = ('<div class="nav"><a href="/skip">x</a></div>'
             '<div class="archive-item big"><a title="t" href="/a.aspx">a</a><a href="/f_json.txt">f</a></div>'
             '<div class="archive-item"><a href="/b.aspx">b</a></div>')

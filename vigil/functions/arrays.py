@@ -55,3 +55,38 @@ def last_matching(arr, pred: Callable[[Column], Column]) -> Column:
 def join_field(arr, field: str, sep: str) -> Column:
     """Ordered concat of one field of an array of records."""
     return F.array_join(F.transform(_c(arr), lambda x: x[field]), sep)
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is evaluated once however often ``body`` names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def named(**fields: Column) -> Column:
+    """A struct of the fields, also where they are made of lambda variables."""
+    return F.named_struct(*[x for k, v in fields.items() for x in (F.lit(k), v)])
+
+
+#: Elements that one inner fold of ``scan`` appends to its result.
+SCAN_PART = 256
+
+
+def scan(arr, zero: Column, step: Callable[[Column, Column], Column], part: int = SCAN_PART) -> Column:
+    """All states of a fold: ``step(state, element)`` after each element, from ``zero``.
+
+    A fold that appends to its result copies it every time; folding parts of the array and
+    then appending whole parts keeps that to a small factor on arrays of any length."""
+    a = _c(arr)
+    state = lambda s, out: named(s=s, out=out)
+    empty = F.slice(F.array(zero), 1, 0)
+
+    def inner(acc: Column, x: Column) -> Column:
+        return let(step(acc["s"], x), lambda s: state(s, F.concat(acc["out"], F.array(s))))
+
+    def outer(acc: Column, k: Column) -> Column:
+        done = F.aggregate(F.slice(a, k * part + 1, F.lit(part)), state(acc["s"], empty), inner)
+        return let(done, lambda d: state(d["s"], F.concat(acc["out"], F.array(d["out"]))))
+
+    parts = F.sequence(F.lit(0), F.floor((F.size(a) - 1) / part).cast("int"))
+    whole = F.aggregate(parts, state(zero, F.slice(F.array(empty), 1, 0)), outer, lambda r: F.flatten(r["out"]))
+    return F.when(F.size(a) > 0, whole).otherwise(empty)

@@ -134,11 +134,21 @@ def normalize_file_name(col) -> Column:
     return F.lower(c)
 
 
+# attributes of a tag: quotes count after "=" only, and an open one reaches to the end
+_ATTRS = r"""(?:[^>=]++|=[ \t\n\r\f]*+(?:"[^"]*+(?:"|\z)|'[^']*+(?:'|\z))?+)*+"""
+#: What is markup in a page, read from left to right as a browser's tokenizer does: comments, scripts and styles
+#: with their contents, tags (a ">" inside quotes does not end one), declarations. Whatever is left
+#: open reaches to the end. Every alternative takes what it has read for good, so a page is read once.
+MARKUP_RE = (r"(?is)<!--(?:-?>|.*?(?:--!?>|\z))"
+             rf"|<(script|style)(?=[\s/>]){_ATTRS}(?:>|\z).*?(?:</\1(?=[\s/>])[^>]*+(?:>|\z)|\z)"
+             rf"|</?[a-z]{_ATTRS}(?:>|\z)"
+             r"|<(?:[!?]|/(?![a-z]))[^>]*+(?:>|\z)")
+
+
 def strip_html(col) -> Column:
-    """Visible text of an HTML fragment: drop script/style blocks, comments
-    and tags, collapse whitespace runs to one space, trim."""
-    c = F.regexp_replace(_c(col), r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->", " ")
-    c = F.regexp_replace(c, r"<[^>]*>", " ")
+    """Visible text of an HTML fragment: markup (see ``MARKUP_RE``) becomes a blank,
+    white space runs one space, the ends are trimmed. A lone "<" is text."""
+    c = F.regexp_replace(_c(col), MARKUP_RE, " ")
     c = F.regexp_replace(c, r"[ \t\n\r\f]+", " ")
     return F.regexp_replace(c, r"^ | \z", "")
 

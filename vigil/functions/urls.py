@@ -9,11 +9,11 @@ length; path segments are folded once, and only where a dot segment occurs.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from vigil.functions.arrays import let, named
+
 #: scheme, authority, path, query of a reference (RFC 3986, appendix B), each with its delimiter.
 REFERENCE_RE = r"(?s)\A([a-zA-Z][a-zA-Z0-9+.\-]*:)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?"
 PARTS = ("scheme", "authority", "path", "query")
@@ -27,15 +27,6 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of ``value``, which is evaluated once however often ``body`` names it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
-def _named(**fields: Column) -> Column:
-    return F.named_struct(*[x for k, v in fields.items() for x in (F.lit(k), v)])
-
-
 def clean_reference(ref: str | Column) -> Column:
     """As a browser takes a reference from markup: without outer blanks and controls, and
     without line breaks and tabs inside."""
@@ -60,7 +51,7 @@ def remove_dot_segments(path: str | Column) -> Column:
         tail = F.when(p.rlike(r"(?:\A|/)\.\.?\z"), "/").otherwise("")
         return F.when(p.rlike(_DOT_SEGMENT), F.concat(F.array_join(kept, "/"), tail)).otherwise(p)
 
-    return _let(_c(path), fold)
+    return let(_c(path), fold)
 
 
 def _host(scheme: Column, authority: Column) -> Column:
@@ -74,25 +65,25 @@ def _host(scheme: Column, authority: Column) -> Column:
         return F.concat(F.lit("//"), v["user"], bare)
 
     host = F.lower(F.substring(authority, F.length(user) + 3, F.length(authority)))
-    return F.when(authority == "", "").otherwise(_let(_named(host=host, port=port, user=user), spelt))
+    return F.when(authority == "", "").otherwise(let(named(host=host, port=port, user=user), spelt))
 
 
 def _spelt(scheme: Column, authority: Column, path: Column, query: Column) -> Column:
     """The parts as one string: no default port, no dot segments, "/" for an empty path."""
-    parts = _named(scheme=scheme, authority=authority, path=path, query=query)
+    parts = named(scheme=scheme, authority=authority, path=path, query=query)
 
     def joined(v: Column) -> Column:
         whole = F.when(v["path"].startswith("/"), remove_dot_segments(v["path"])) \
             .when(v["scheme"].isin(*_HTTP) & (v["authority"] != "") & (v["path"] == ""), "/").otherwise(v["path"])
         return F.concat(v["scheme"], _host(v["scheme"], v["authority"]), whole, v["query"])
 
-    return _let(parts, joined)
+    return let(parts, joined)
 
 
 def normalize_url(url: str | Column) -> Column:
     """``url`` in one spelling: scheme and host in lower case, no default port, no dot
     segments, "/" for an empty path, no fragment. Null for null."""
-    return _let(split_url(clean_reference(url)), lambda p: _spelt(F.lower(p["scheme"]), p["authority"], p["path"], p["query"]))
+    return let(split_url(clean_reference(url)), lambda p: _spelt(F.lower(p["scheme"]), p["authority"], p["path"], p["query"]))
 
 
 def resolve(ref: str | Column, base: str | Column) -> Column:
@@ -110,4 +101,4 @@ def resolve(ref: str | Column, base: str | Column) -> Column:
         query = F.when(own | (r["path"] != "") | (r["query"] != ""), r["query"]).otherwise(b["query"])
         return _spelt(F.when(relative, of_base).otherwise(scheme), F.when(own, r["authority"]).otherwise(b["authority"]), path, query)
 
-    return _let(_named(r=split_url(clean_reference(ref)), b=split_url(clean_reference(base))), found)
+    return let(named(r=split_url(clean_reference(ref)), b=split_url(clean_reference(base))), found)

@@ -9,14 +9,17 @@ hold a large part of all rows.
 Here the distinct co-author count is computed exactly without pairs.
 For member m and activity id a let K(m, a) be the set of (type, subtype) keys
 m holds for a. The co-authors of (m, a) are the members c with
-K(c, a) ∩ K(m, a) ≠ ∅, and by inclusion–exclusion
+K(c, a) ∩ K(m, a) ≠ ∅. Members with equal key sets for an id are one class, weighted by
+how many they are, and the classes are numbered. Then
 
-    |co-authors| = Σ_{∅≠T⊆K(m,a)} (-1)^{|T|+1} · #{c : T ⊆ K(c, a)}.
+- a key's holders are a bitmap of classes: one 64-bit word per 64 of them;
+- a class meets the classes in the union (OR) of its keys' bitmaps;
+- the members in a union are counted by weight: the binary digits of the weights are
+  bitmaps too, so digit b adds 2^b times the number of common bits.
 
-Members with equal key sets for an id are counted as one weighted class, so
-subsets are enumerated once per distinct (id, key set) and not per member;
-every shuffle is a partial (map-side combined) aggregate or an equi-join on
-(id, subset) or (id, key), which AQE's skew-join splits when one id is hot.
+The work is one row per (class, key) and word, for key sets of any size; every shuffle is a
+partial (map-side combined) aggregate or an equi-join on (id, key) or word, which AQE's
+skew-join splits when one id is hot.
 
 Null rules follow the source: keys match NULL to NULL (the key token below is
 null-safe), groups with a NULL member or id are dropped, and NULL members are
@@ -58,10 +61,6 @@ def member_act_groups(df: DataFrame, member: str = "mp_name", act_id: str = "act
               .agg(F.collect_set(F.struct(*carry, *key_cols)).alias("_combos")))
 
 
-#: Key sets up to this size enumerate their subsets; wider ones are joined key by key.
-MAX_SUBSET_KEYS = 10
-
-
 def _materialize(groups: DataFrame, key_cols: tuple[str, ...]) -> DataFrame:
     """Checkpoint of the groups with their sorted key sets (``_keys``) to the shared
     folder: the aggregate is read several times and its lineage is cut there."""
@@ -70,43 +69,41 @@ def _materialize(groups: DataFrame, key_cols: tuple[str, ...]) -> DataFrame:
     return groups.withColumn("_keys", keys).checkpoint(eager=True)
 
 
-def _key_set_counts(groups: DataFrame, act_id: str, out: str, max_subset_keys: int) -> DataFrame:
-    """(act_id, _keys, out): co-authors of a member with this key set for the id.
-
-    Members with equal key sets have equal counts, so everything runs on the
-    distinct (id, key set) classes weighted by their members. Narrow sets meet
-    narrow sets by inclusion-exclusion over weighted subsets. A set with more
-    than ``max_subset_keys`` keys meets all others on (id, key), never on the id
-    alone, and each overlapping pair of distinct sets counts once.
-    """
-    classes = groups.groupBy(act_id, "_keys").agg(F.count(F.lit(1)).alias("_n"))
-    narrow = F.size("_keys") <= max_subset_keys
-    subsets = (classes.where(narrow)
-               .withColumn("_mask", F.explode(F.expr("sequence(1, shiftleft(1, size(_keys)) - 1)")))
-               .select(act_id, "_keys", "_n",
-                       F.array_join(F.expr("filter(_keys, (x, i) -> shiftright(_mask, i) & 1 = 1)"), _SEP).alias("_sub"),
-                       F.when(F.bit_count("_mask") % 2 == 1, F.lit(1)).otherwise(F.lit(-1)).alias("_sign")))
-    cover = subsets.groupBy(act_id, "_sub").agg(F.sum("_n").alias("_cover"))
-    parts = subsets.join(cover, [act_id, "_sub"]).select(act_id, "_keys", (F.col("_sign") * F.col("_cover")).alias("_part"))
-    by_key = classes.select(act_id, "_keys", "_n", F.explode("_keys").alias("_key"))
-    wide = by_key.where(~narrow).select(act_id, "_key", F.col("_keys").alias("_wide"), F.col("_n").alias("_wn"))
-    met = wide.join(by_key, [act_id, "_key"]).select(act_id, "_wide", "_wn", "_keys", "_n").distinct()
-    to_wide = met.select(act_id, F.col("_wide").alias("_keys"), F.col("_n").alias("_part"))
-    to_narrow = met.where(narrow).select(act_id, "_keys", F.col("_wn").alias("_part"))
-    return (parts.unionByName(to_wide).unionByName(to_narrow)
-            .groupBy(act_id, "_keys").agg(F.sum("_part").cast("long").alias(out)))
+def _numbered_classes(groups: DataFrame, act_id: str) -> DataFrame:
+    """act_id, _keys, _w, _word, _bit: the distinct (id, key set) classes with their number of
+    members and a position in a bitmap. Classes of one id get consecutive numbers: they are
+    range-partitioned by id, and a task numbers its own on. The checkpoint fixes the numbers."""
+    classes = groups.groupBy(act_id, "_keys").agg(F.count(F.lit(1)).alias("_w"))
+    order = F.array_join("_keys", _SEP)
+    numbered = (classes.repartitionByRange(F.col(act_id), order).sortWithinPartitions(F.col(act_id), order)
+                .withColumn("_i", F.monotonically_increasing_id()).checkpoint(eager=True))
+    return numbered.withColumn("_word", F.shiftright("_i", 6)) \
+        .withColumn("_bit", F.expr("shiftleft(1L, cast(_i & 63 as int))"))
+
+
+def _key_set_counts(groups: DataFrame, act_id: str, out: str) -> DataFrame:
+    """(act_id, _keys, out): co-authors of a member with this key set for the id."""
+    classes = _numbered_classes(groups, act_id)
+    by_key = classes.select(act_id, "_i", "_word", "_bit", F.explode("_keys").alias("_key"))
+    holders = by_key.groupBy(act_id, "_key", F.col("_word").alias("_hw")).agg(F.bit_or("_bit").alias("_holders"))
+    union = (by_key.select(act_id, "_i", "_key").join(holders, [act_id, "_key"])
+             .groupBy("_i", "_hw").agg(F.bit_or("_holders").alias("_met")))
+    digits = (classes.select("_word", "_bit", F.posexplode(F.split(F.reverse(F.bin("_w")), "")).alias("_b", "_digit"))
+              .where("_digit = '1'").groupBy(F.col("_word").alias("_hw"), "_b").agg(F.bit_or("_bit").alias("_ones")))
+    n = (union.join(digits, "_hw").groupBy("_i")
+         .agg(F.sum(F.expr("shiftleft(cast(bit_count(_met & _ones) as bigint), _b)")).alias(out)))
+    return classes.select(act_id, "_keys", "_i").join(n, "_i").drop("_i")
 
 
 def coauthor_counts(df: DataFrame, member: str = "mp_name", act_id: str = "act_id",
                     key_cols: tuple[str, ...] = ("act_type", "act_subtype"),
-                    out: str = "n_coauthors", max_subset_keys: int = MAX_SUBSET_KEYS) -> DataFrame:
+                    out: str = "n_coauthors") -> DataFrame:
     """Distinct co-authors (member included) per (member, act_id)."""
     groups = _materialize(member_act_groups(df, member, act_id, key_cols), key_cols).drop("_combos")
-    return groups.join(_key_set_counts(groups, act_id, out, max_subset_keys), [act_id, "_keys"]).select(member, act_id, out)
+    return groups.join(_key_set_counts(groups, act_id, out), [act_id, "_keys"]).select(member, act_id, out)
 
 
 def coauthor_weights(df: DataFrame, decimals: int = 6,
-                     max_subset_keys: int = MAX_SUBSET_KEYS,
                      id_cols: tuple[str, ...] = ("act_id",)) -> DataFrame:
     """Sum of 1/co-authors per (party, member), ascending.
 
@@ -128,7 +125,7 @@ def coauthor_weights(df: DataFrame, decimals: int = 6,
         df = df.withColumn("_aid", F.when(present, key_token(*[F.col(c) for c in id_cols])))
         id_col = "_aid"
     groups = _materialize(member_act_groups(df, "mp_name", id_col, keys, carry=("mp_id", "mp_party")), keys)
-    n = _key_set_counts(groups, id_col, "n_coauthors", max_subset_keys)
+    n = _key_set_counts(groups, id_col, "n_coauthors")
     w = (groups.join(n, [id_col, "_keys"])
                .select("mp_name", "n_coauthors", F.explode("_combos").alias("_c"))
                .select(F.col("_c")["mp_party"].alias("mp_party"), "mp_name",

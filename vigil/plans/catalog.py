@@ -26,8 +26,9 @@ from vigil.session import scratch_path
 from vigil.sources import delimited
 from vigil.sources import manifest as manifest_source
 from vigil.sources.files import read_landed
+from vigil.sources.markup import block_links, block_text
 from vigil.sources.nested_json import bad_documents, read_documents, records
-from vigil.sources.pages import block_links, block_text, page_links, page_title
+from vigil.sources.pages import page_links, page_title
 from vigil.streaming import incremental
 
 _CRAWL_TS = "2024-01-01 00:00:00"
@@ -117,6 +118,21 @@ def q_coauthor_weight_events(spark, sf):
     return coauthor.coauthor_weights(act)
 
 
+_WIDE_ACT_SQL = """(SELECT l_suppkey AS mp_id, 'S' || l_suppkey AS mp_name, l_linestatus AS mp_party, l_linenumber AS act_id, l_returnflag AS act_type,
+        CASE WHEN l_partkey % 89 = 0 THEN NULL ELSE CAST(l_partkey % 89 AS VARCHAR) END AS act_subtype FROM lineitem)"""
+
+
+@query("coauthor_wide", f"""WITH act AS {_WIDE_ACT_SQL}, {_COAUTHOR_N_SQL}
+SELECT mp_name, act_id, n_coauthors FROM na""")
+def q_coauthor_wide(spark, sf):
+    """Co-authors where an id has few keys to itself: every supplier holds a key set of
+    its own, of up to 267 keys, on each of seven ids that all suppliers share."""
+    n = F.col("l_partkey") % 89
+    return coauthor.coauthor_counts(load(spark, sf, "lineitem").select(
+        F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("mp_name"), F.col("l_linenumber").alias("act_id"),
+        F.col("l_returnflag").alias("act_type"), F.when(n != 0, n.cast("string")).alias("act_subtype")))
+
+
 # ------------------------------------------------------------- data quality
 @query("subtype_distinct", _act_sql("""
 SELECT act_type, act_subtype, CAST(count(DISTINCT act_id) AS BIGINT) AS n_act_id FROM act

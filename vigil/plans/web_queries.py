@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vigil.functions import urls
+from vigil.functions.text import strip_html
 from vigil.operators import frontier
 from vigil.plans.registry import query
 from vigil.plans.tables import load
+from vigil.sources.markup import block_links, block_text
 
 #: Base URLs made of a page's url ({u}) and id ({i}), and references of every shape.
 BASES = ("{u}", "{u}/x/y/z.aspx?BID={i}#f", "HTTP://me:pw@H{i}.Example.PT:80", "https://h{i}.pt:443/a/./b/../c/", "https://h{i}.pt?q=/{i}/../x",
@@ -107,3 +109,47 @@ def q_frontier_rounds(spark, sf):
     pages = rows.select(F.concat(F.lit("https://c.example.org/m/"), t(k), F.lit("/p.aspx"), view).alias("url"), F.concat(base, body).alias("html"))
     seeds = spark.range(1).select(F.lit("HTTPS://c.example.org:443/m/./1/p.aspx#start").alias("url"))
     return frontier.expand_frontier(pages, seeds, follow=".aspx")
+
+
+#: A page whose blocks nest, with {i} its page_id and {u} its url: void, self-closed, unclosed and quoted parts.
+NESTED = ("<div class='x archive-item'><p title=\"a > <div>\">one {i}<br><a href=/a{i}>A</a><div>two<a href='/in{i}'>B</a><img alt='</div>'><div/></div>"
+          "after {i}<!-- </div> --><script>'</div>'</script><a class=k href=\"{u}\">C</a><DIV CLASS=\"archive-item\"><a href='/twice{i}?x=1&amp;y=2'>D</a></DIV ></div>"
+          "<a href=/out>no</a>out</div></div><div class=archive-items><a href=/other>no</a></div>"
+          "<div data-class=archive-item><a href=/data>no</a></div><div id=z class=archive-item>tail <b>bold {i}</b><a name=q>E</a><a data-href=/d href = '/last{i}'>F</a>end")
+
+
+@query("page_nested_links", """
+SELECT page_id, pos::INTEGER - 1 AS pos, v[pos] AS value FROM (SELECT page_id, v, generate_subscripts(v, 1) AS pos FROM (
+  SELECT page_id, ['/a' || page_id, '/in' || page_id, url, '/twice' || page_id || '?x=1&y=2', '/last' || page_id] AS v FROM pages))""")
+def q_page_nested_links(spark, sf):
+    """Hrefs inside blocks that nest, hold void and quoted look-alikes, or are never closed."""
+    p = load(spark, sf, "pages").select("page_id", _filled_spark(NESTED).alias("html"))
+    return p.select("page_id", F.posexplode(block_links("html", "archive-item")).alias("pos", "value"))
+
+
+@query("page_nested_text", """
+SELECT page_id, kind, pos::INTEGER - 1 AS pos, v[pos] AS value FROM (SELECT page_id, kind, v, generate_subscripts(v, 1) AS pos FROM (
+  SELECT page_id, 'all' AS kind, ['one ' || page_id, 'A', 'two', 'B', 'after ' || page_id, 'C', 'D', 'tail ', 'bold ' || page_id, 'E', 'F', 'end'] AS v FROM pages UNION ALL
+  SELECT page_id, 'inner', ['one ' || page_id, 'A', 'two', 'B', 'after ' || page_id, 'C', 'D', 'bold ' || page_id, 'E', 'F'] FROM pages))""")
+def q_page_nested_text(spark, sf):
+    """Text pieces of the same blocks: all of them, and those of the blocks' inner elements."""
+    p = load(spark, sf, "pages").select("page_id", _filled_spark(NESTED).alias("html"))
+    kinds = [p.select("page_id", F.lit(k).alias("kind"), F.posexplode(block_text("html", "archive-item", descendants_only=k == "inner")).alias("pos", "value"))
+             for k in ("all", "inner")]
+    return kinds[0].unionByName(kinds[1])
+
+
+#: Markup that cutting at the first ">" gets wrong, with {i} the page_id; the last part is left open.
+HARD = ('<p title="a > b" class=\'x>y\'>{i}</p><!-- <b> > -->1 < 2 &amp; 3<script>if (a > b) "</p><"</script >one<STYLE type=x>p > q {}</STYLE\n>'
+        "<a href='>'>two</a><!doctype x><?php echo 1 ?><p don't>three</p><!--><br/>four<br =\"x>\" />")
+OPEN = ("<!-- {i} > five", "<script>five</p> {i}", "<a title=\"five > {i}", "<a five {i}", "</", "")
+
+
+@query("strip_html_hard", """
+SELECT page_id, k::INTEGER AS k, page_id || ' 1 < 2 &amp; 3 one two three four' || CASE WHEN k = 6 THEN ' end' ELSE '' END AS body_text
+FROM (SELECT page_id, unnest([1, 2, 3, 4, 5, 6]) AS k FROM pages)""")
+def q_strip_html_hard(spark, sf):
+    """Visible text of markup with quoted ">", look-alikes in scripts and comments, and open ends."""
+    ends = F.array(*[F.concat(_filled_spark(HARD), _filled_spark(x), F.lit("" if x else "end")) for x in OPEN])
+    p = load(spark, sf, "pages").withColumn("url", F.lit("")).select("page_id", F.posexplode(ends).alias("k", "html"))
+    return p.select("page_id", (F.col("k") + 1).alias("k"), strip_html("html").alias("body_text"))

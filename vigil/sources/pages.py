@@ -7,8 +7,6 @@ by file/row group with no shuffle.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,34 +35,6 @@ def page_links(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("p
     return pages.select(*keep, F.posexplode(hrefs(html)).alias("link_pos", "href"))
 
 
-def _blocks(html: str | Column, css_class: str | None, tag: str) -> Column:
-    """Inner HTML of the ``tag.css_class`` blocks, each up to its first closing tag."""
-    c = F.regexp_replace(F.col(html) if isinstance(html, str) else html, COMMENT_RE, "")
-    named = "" if css_class is None else (
-        rf"""(?=[^>]*\sclass\s*=\s*(?:"(?:[^"]*\s)?{re.escape(css_class)}(?:\s[^"]*)?"|'(?:[^']*\s)?{re.escape(css_class)}(?:\s[^']*)?'"""
-        rf"""|{re.escape(css_class)}[\s>]))""")
-    return F.regexp_extract_all(c, F.lit(rf"(?is)<{tag}(?=[\s>]){named}[^>]*>(.*?)</{tag}\s*>"), 1)
-
-
-def block_links(html: str | Column, css_class: str | None, tag: str = "div") -> Column:
-    """hrefs of the anchors inside ``<tag class="... css_class ...">`` blocks
-    (the ``tag.class a::attr(href)`` selection; any ``tag`` without a class), in
-    document order. Blocks are matched up to their first closing tag, so a block
-    must not nest another block of the same tag before its links."""
-    return hrefs(F.array_join(_blocks(html, css_class, tag), "\n"))
-
-
-def block_text(html: str | Column, css_class: str | None, tag: str = "div", descendants_only: bool = False) -> Column:
-    """The text pieces inside such blocks (``tag.class ::text``), references decoded.
-    With ``descendants_only`` (``tag.class *::text``) a block's own direct text
-    is left out; that form is for blocks whose children do not nest."""
-    inner = _blocks(html, css_class, tag)
-    if descendants_only:
-        inner = F.flatten(F.transform(inner, lambda b: F.regexp_extract_all(b, F.lit(r"(?is)<([a-z][a-z0-9]*)(?=[\s>])[^>]*>(.*?)</\1\s*>"), 2)))
-    pieces = F.flatten(F.transform(inner, lambda b: F.split(b, r"<[^>]*>")))
-    return F.transform(F.filter(pieces, lambda t: t != ""), decode_entities)
-
-
 def page_title(html: str | Column = "html") -> Column:
     c = F.col(html) if isinstance(html, str) else html
     return F.regexp_extract(c, TITLE_RE, 1)
