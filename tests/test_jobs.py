@@ -46,7 +46,7 @@ def test_update_manifest(spark, tmp_path):
                            "2023_02_02_00_00_00")
     assert [r.file_path for r in pend.collect()] == ["data/b.json"]
     from vigil.sources.manifest import read_manifests
-    m = {r.file_path: r for r in read_manifests(spark, str(tmp_path / "out" / "run_id=2023_02_02_00_00_00")).collect()}
+    m = {r.file_path: r for r in read_manifests(spark, str(tmp_path / "out")).collect()}
     assert m["data/a.json"].download_status == 200 and m["data/b.json"].download_status is None
 
 

@@ -957,6 +957,31 @@ def q_manifest_runs(spark, sf):
     return manifest_source.latest_run_rows(spark, path).select("file_path", "run_file", "download_status", "download_md5", "download_time")
 
 
+@query("manifest_commits", f"""
+WITH k AS (SELECT 'data/' || CAST(doc_id AS VARCHAR) || '.json' AS file_path, doc_id, lang FROM documents)
+SELECT 'latest' AS part, '{_RUNS[1]}' AS run_file, file_path, CAST(NULL AS BIGINT) AS n_rows FROM k WHERE lang <> 'en'
+UNION ALL SELECT 'run', '{_RUNS[0]}', NULL, count(*) FROM k
+UNION ALL SELECT 'run', '{_RUNS[1]}', NULL, count(*) FROM k WHERE lang <> 'en'
+UNION ALL SELECT 'left', '{_RUNS[1]}', NULL, 1 UNION ALL SELECT 'left', '{_RUNS[2]}', NULL, 1""")
+def q_manifest_commits(spark, sf):
+    """A run committed, a second one committed and then repeated with other rows, and a newer
+    one that breaks off before its commit: the latest rows, the rows of each run, and
+    what broke off or was replaced."""
+    path = scratch_path(spark, "manifest-commits")
+    m = _manifest_spark(spark, sf)
+    cols = ["crawl_time", "file_path", "parent_url", "file_url"]
+    manifest_source.write_manifest(m.select(*cols), path, _RUNS[0])
+    manifest_source.write_manifest(m.where("lang = 'en'").select(*cols), path, _RUNS[1])
+    manifest_source.write_manifest(m.where("lang <> 'en'").select(*cols), path, _RUNS[1])
+    manifest_source.stage_run(m.select(*cols), path, _RUNS[2])
+    none = F.lit(None).cast("string").alias("file_path")
+    latest = manifest_source.latest_run_rows(spark, path).select(F.lit("latest").alias("part"), "run_file", "file_path", F.lit(None).cast("long").alias("n_rows"))
+    every = manifest_source.read_manifests(spark, path).groupBy("run_file").agg(F.count(F.lit(1)).alias("n_rows"))
+    left = manifest_source.uncommitted(spark, path).groupBy("run_file").agg(F.count(F.lit(1)).alias("n_rows"))
+    return latest.unionByName(every.select(F.lit("run").alias("part"), "run_file", none, "n_rows")) \
+        .unionByName(left.select(F.lit("left").alias("part"), "run_file", none, "n_rows"))
+
+
 @query("indexed_csv_scan", "SELECT CAST(p_partkey AS BIGINT) AS p_partkey, p_name, CAST(p_size AS INTEGER) AS p_size FROM part")
 def q_indexed_csv_scan(spark, sf):
     """Parts written as comma CSV behind an index column, read back without it."""

@@ -8,7 +8,10 @@ trailing fields become NULL) replaces the per-file widening step.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (IntegerType, StringType, StructField, StructType,
                                TimestampNTZType)
@@ -26,19 +29,57 @@ MANIFEST_COLUMNS = [f.name for f in MANIFEST_SCHEMA.fields]
 RUN_ID_FORMAT = "yyyy_MM_dd_HH_mm_ss"
 
 
+COMMIT_SCHEMA = "run_file string, attempt string, n_rows long, seq long"
+
+
+class Staged(NamedTuple):
+    """Rows of a run that are written but not committed."""
+
+    run: str
+    attempt: str
+    n_rows: int
+
+
 def _run_of(file_path) -> "F.Column":
     """A file's run: the value of its ``run_id=`` folder, or else its name."""
-    folder = F.regexp_extract(file_path, r"run_id=([^/]+)/[^/]*$", 1)
+    folder = F.regexp_extract(file_path, r"run_id=([^/]+)/", 1)
     return F.when(folder != "", folder).otherwise(F.regexp_extract(file_path, r"([^/]+?)(\.csv)?$", 1))
 
 
+def _attempt_of(file_path) -> "F.Column":
+    """The attempt that wrote a file; empty for files that no attempt wrote."""
+    return F.regexp_extract(file_path, r"attempt=([^/]+)/[^/]*$", 1)
+
+
+def _commits_path(path: str) -> str:
+    return path.rstrip("/") + "/commits"
+
+
+def commits(spark: SparkSession, path: str) -> DataFrame:
+    """(run_file, attempt, n_rows): the attempt that counts for every committed run."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        marks = spark.read.schema(COMMIT_SCHEMA).json(_commits_path(path))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        marks = spark.createDataFrame([], COMMIT_SCHEMA)
+    last = F.max(F.struct("seq", "attempt", "n_rows")).alias("last")
+    return marks.groupBy("run_file").agg(last).select("run_file", "last.attempt", "last.n_rows")
+
+
 def read_manifests(spark: SparkSession, path: str) -> DataFrame:
-    """All runs under ``path`` (flat ``<run>.csv`` files and ``run_id=<run>``
-    folders) with the 7-column schema plus ``run_file`` (the run's name); blank
-    fields are NULL."""
-    return (spark.read.schema(MANIFEST_SCHEMA).option("header", True).option("recursiveFileLookup", True)
+    """All complete runs under ``path`` (committed attempts, flat ``<run>.csv`` files and
+    ``run_id=<run>`` folders) with the 7-column schema plus ``run_file`` (the run's name);
+    blank fields are NULL."""
+    rows = (spark.read.schema(MANIFEST_SCHEMA).option("header", True).option("recursiveFileLookup", True)
             .option("pathGlobFilter", "*.csv").csv(path)
-            .withColumn("run_file", _run_of(F.col("_metadata.file_path"))))
+            .withColumns({"run_file": _run_of(F.col("_metadata.file_path")), "_attempt": _attempt_of(F.col("_metadata.file_path"))}))
+    done = commits(spark, path).select(F.col("run_file").alias("_run"), F.col("attempt").alias("_done"))
+    landed = rows.where("_attempt = ''")
+    written = rows.where("_attempt <> ''").join(done, (F.col("run_file") == F.col("_run")) & (F.col("_attempt") == F.col("_done")), "left_semi")
+    return landed.unionByName(written).drop("_attempt")
 
 
 def widen(df: DataFrame) -> DataFrame:
@@ -56,18 +97,51 @@ def run_id(ts_col) -> "F.Column":
     return F.date_format(ts_col, RUN_ID_FORMAT)
 
 
-def write_manifest(df: DataFrame, path: str, run: str, mode: str = "append") -> None:
-    """Append one run as a ``run_id=<run>`` partition (quoted CSV with header);
-    a run never overwrites the partition it was read from."""
-    (widen(df).withColumn("run_id", F.lit(run))
-     .write.mode(mode).partitionBy("run_id").option("header", True).csv(path))
+def stage_run(df: DataFrame, path: str, run: str) -> Staged:
+    """Write the rows of a run (quoted CSV with header) without committing them."""
+    attempt, seen = uuid.uuid4().hex, Observation()
+    rows = widen(df).observe(seen, F.count(F.lit(1)).alias("n"))
+    rows.write.mode("error").option("header", True).csv(f"{path.rstrip('/')}/run_id={run}/attempt={attempt}")
+    return Staged(run, attempt, seen.get["n"])
+
+
+def commit_run(spark: SparkSession, path: str, staged: Staged) -> None:
+    """Make a staged run visible: one small file, which a task writes as a whole. A run that was
+    committed before is replaced."""
+    marks = _commits_path(path)
+    before = commits(spark, path)
+    mine = F.lit(staged.run).alias("run_file"), F.lit(staged.attempt).alias("attempt"), F.lit(staged.n_rows).cast("long").alias("n_rows")
+    seq = spark.range(1).select(F.lit(0).cast("long").alias("seq"))
+    if not before.isEmpty():
+        seq = spark.read.schema(COMMIT_SCHEMA).json(marks).agg((F.max("seq") + 1).alias("seq"))
+    seq.select(*mine, "seq").coalesce(1).write.mode("append").json(marks)
+
+
+def write_manifest(df: DataFrame, path: str, run: str) -> Staged:
+    """Stage and commit one run. A retry, even after a commit, replaces its own rows; a run
+    never overwrites what it is read from."""
+    staged = stage_run(df, path, run)
+    commit_run(df.sparkSession, path, staged)
+    return staged
 
 
 def list_runs(spark: SparkSession, path: str) -> DataFrame:
-    """(run_file, length) of every run, header-only runs included; only file
-    metadata is read (the content column is never selected)."""
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(path)
-            .groupBy(_run_of(F.col("path")).alias("run_file")).agg(F.sum("length").alias("length")))
+    """(run_file, length) of every complete run, header-only and empty runs included; only
+    file metadata and commit markers are read (the content column is never selected)."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(path)
+             .select(_run_of(F.col("path")).alias("run_file"), _attempt_of(F.col("path")).alias("attempt"), "length"))
+    done = commits(spark, path).select("run_file", "attempt", F.lit(0).cast("long").alias("length"))
+    sizes = files.where("attempt <> ''").join(done.select("run_file", "attempt"), ["run_file", "attempt"], "left_semi")
+    return files.where("attempt = ''").unionByName(done).unionByName(sizes).groupBy("run_file").agg(F.sum("length").alias("length"))
+
+
+def uncommitted(spark: SparkSession, path: str) -> DataFrame:
+    """(run_file, attempt, n_files): attempts that broke off or were replaced; safe to delete
+    once no run is being written."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(path)
+             .select(_run_of(F.col("path")).alias("run_file"), _attempt_of(F.col("path")).alias("attempt")))
+    return (files.where("attempt <> ''").groupBy("run_file", "attempt").agg(F.count(F.lit(1)).alias("n_files"))
+            .join(commits(spark, path).select("run_file", "attempt"), ["run_file", "attempt"], "left_anti"))
 
 
 def latest_run_name(spark: SparkSession, path: str) -> str | None:
