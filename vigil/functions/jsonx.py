@@ -12,6 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StructType
 
+from vigil.functions.arrays import let
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -63,13 +64,6 @@ def path(j, p: str) -> Column:
     return F.get_json_object(_c(j), p if p.startswith("$") else "$." + p)
 
 
-def let(value: Column, body) -> Column:
-    """Bind ``value`` once and evaluate ``body(bound)``: keeps an expression
-    that is used several times from being copied (and re-evaluated) in the
-    expression tree."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 # an object's opening brace with its first key
 _OPENS = r'\s*+\{\s*+"(?:[^"\\]++|\\.)*+"\s*+:'
 

@@ -1041,4 +1041,4 @@ def q_incremental_ingest(spark, sf):
     return spark.read.parquet(sink).select("content_md5")
 
 
-from vigil.plans import web_queries  # noqa: E402,F401 - registers its queries
+from vigil.plans import storage_queries, web_queries  # noqa: E402,F401 - registers its queries

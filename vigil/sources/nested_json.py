@@ -5,6 +5,7 @@ Each file is one JSON document (often one line, no newline) holding one
 ``wholetext``), the root path is taken with ``get_json_object`` and the
 object-or-array root is normalised and exploded, so after this step records
 are rows and spread over the cluster (``repartition``) before heavy parsing.
+Exports too large for one task are read by ``split_text.read_json_records``.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from vigil.functions.jsonx import json_array, path
 def read_documents(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(source_file, doc) — one row per file."""
     ps = [paths] if isinstance(paths, str) else list(paths)
-    return (spark.read.option("wholetext", True).text(ps)
+    return (spark.read.text(ps, wholetext=True)
             .select(F.col("_metadata.file_path").alias("source_file"),
                     F.col("value").alias("doc")))
 
