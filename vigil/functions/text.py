@@ -30,42 +30,69 @@ MULTI_CHAR_ASCII = {
     "Ħ": "H", "ħ": "h", "ı": "i", "Ŧ": "T", "ŧ": "t", "Ŋ": "N", "ŋ": "n",
     "‐": "-", "‑": "-", "‒": "-", "–": "-", "—": "--", "‘": "'", "’": "'", "‚": ",",
     "“": '"', "”": '"', "„": ",,", "…": "...", "«": "<<", "»": ">>", "\u202f": " ", "\u2009": " ",
+    "€": "EUR", "£": "GBP", "¥": "JPY", "¢": "c", "¤": "$", "©": "(c)", "®": "(r)", "™": "(tm)", "№": "No", "°": "deg", "§": "SS", "¶": "P",
+    "•": "*", "·": "*", "†": "+", "‡": "++", "‰": "0/00", "±": "+-", "×": "x", "÷": "/", "¬": "!", "¦": "|", "¡": "!", "¿": "?", "µ": "u",
+    "←": "<-", "→": "->", "⇒": "=>", "−": "-", "≤": "<=", "≥": ">=", "≠": "!=", "≈": "~", "∞": "inf", "√": "sqrt", "‹": "<", "›": ">", "⁄": "/", "´": "'", "¨": '"', "¸": ",", "¯": "-",
 }
+# Letters of Greek and Cyrillic by their Unicode names.
+LETTER_ASCII = {
+    "ALPHA": "a", "BETA": "b", "GAMMA": "g", "DELTA": "d", "EPSILON": "e", "ZETA": "z", "ETA": "e", "THETA": "th", "IOTA": "i", "KAPPA": "k",
+    "LAMDA": "l", "MU": "m", "NU": "n", "XI": "x", "OMICRON": "o", "PI": "p", "RHO": "r", "SIGMA": "s", "FINAL SIGMA": "s", "TAU": "t", "UPSILON": "u",
+    "PHI": "ph", "CHI": "kh", "PSI": "ps", "OMEGA": "o",
+    "A": "a", "BE": "b", "VE": "v", "GHE": "g", "DE": "d", "IE": "e", "IO": "io", "ZHE": "zh", "ZE": "z", "I": "i", "SHORT I": "i", "KA": "k", "EL": "l",
+    "EM": "m", "EN": "n", "O": "o", "PE": "p", "ER": "r", "ES": "s", "TE": "t", "U": "u", "EF": "f", "HA": "kh", "TSE": "ts", "CHE": "ch", "SHA": "sh",
+    "SHCHA": "shch", "HARD SIGN": '"', "YERU": "y", "SOFT SIGN": "'", "E": "e", "YU": "iu", "YA": "ia", "DJE": "dj", "GJE": "gj", "UKRAINIAN IE": "ie",
+    "DZE": "dz", "BYELORUSSIAN-UKRAINIAN I": "i", "YI": "yi", "JE": "j", "LJE": "lj", "NJE": "nj", "TSHE": "tsh", "KJE": "kj", "SHORT U": "u", "DZHE": "dzh",
+    "GHE WITH UPTURN": "g",
+}
+#: Blocks whose characters are transliterated as far as a rule gives them: Latin, Greek, Cyrillic, punctuation, sub- and
+#: superscripts, currency, letter-like signs, number forms, arrows and operators, enclosed and full-width forms.
+_BLOCKS = ((0xA0, 0x250), (0x370, 0x530), (0x1D00, 0x1DC0), (0x1E00, 0x2000), (0x2000, 0x20D0), (0x2100, 0x2300), (0x2460, 0x2500), (0x3000, 0x3001), (0xFB00, 0xFB07), (0xFF01, 0xFF5F))
+
+
+def _ascii_of(ch: str) -> str | None:
+    """ASCII text of a character by rule: a fixed value; else its compatibility decomposition without
+    combining marks, letter by letter; a letter's value in the letter's case. None if there is none."""
+    def one(c: str) -> str | None:
+        name = unicodedata.name(c, "").split(" ")
+        letter = LETTER_ASCII.get(" ".join(name[3:])) if name[0] in ("GREEK", "CYRILLIC") and name[2:3] == ["LETTER"] else None
+        return MULTI_CHAR_ASCII.get(c) or (letter and (letter.capitalize() if name[1] == "CAPITAL" else letter)) or (c if ord(c) < 128 else None)
 
+    whole = one(ch)
+    if whole is not None:
+        return whole
+    out = [one(c) for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c)]
+    if None in out:
+        return None
+    text = "".join(out)
+    return " " if text.isspace() else text.strip() if text else None
 
-def _latin_translation() -> tuple[str, str]:
-    """Single-character ASCII folding of the Latin blocks (U+00A0..U+024F and
-    U+1E00..U+1EFF), built by rule: NFKD-decompose and drop combining marks;
-    keep the result if it is one ASCII character. Combining marks that stand
-    alone (U+0300..U+036F) map to nothing and come last."""
-    src, dst = [], []
-    for cp in [*range(0xA0, 0x250), *range(0x1E00, 0x1F00)]:
-        ch = chr(cp)
-        if ch in MULTI_CHAR_ASCII:
-            continue
-        base = "".join(c for c in unicodedata.normalize("NFKD", ch)
-                       if not unicodedata.combining(c))
-        if len(base) == 1 and ord(base) < 128 and base != ch:
-            src.append(ch)
-            dst.append(base)
-    one = {k: v for k, v in MULTI_CHAR_ASCII.items() if len(v) == 1}
-    return "".join(src) + "".join(one) + "".join(map(chr, range(0x300, 0x370))), "".join(dst) + "".join(one.values())
 
+def ascii_table() -> dict[str, str]:
+    """Every character that ``fold_to_ascii`` changes, with its ASCII text; combining marks that
+    stand alone (U+0300..U+036F) become nothing."""
+    table = {ch: v for lo, hi in _BLOCKS for ch in map(chr, range(lo, hi)) if (v := _ascii_of(ch)) is not None}
+    return {**table, **MULTI_CHAR_ASCII, **dict.fromkeys(map(chr, range(0x300, 0x370)), "")}
 
-# one translate pass for everything that becomes one character or none; only
-# the longer values need their own replace pass over the text
-_TR_SRC, _TR_DST = _latin_translation()
-_LONGER = {k: v for k, v in MULTI_CHAR_ASCII.items() if len(v) > 1}
+
+# one translate pass for everything that becomes one character or none (those come last); the rest is looked up
+_ASCII = ascii_table()
+_ONE = sorted((k for k, v in _ASCII.items() if len(v) < 2), key=lambda k: -len(_ASCII[k]))
+_TR_SRC, _TR_DST = "".join(_ONE), "".join(_ASCII[k] for k in _ONE)
+_LONGER = {k: v for k, v in _ASCII.items() if len(v) > 1}
+_LONGER_RE = "[" + "".join(_LONGER) + "]"
 
 
 def fold_to_ascii(col) -> Column:
-    """Transliterate Latin letters and common punctuation to ASCII (accents and
-    combining marks removed, ligatures expanded); characters of other scripts
-    pass through unchanged."""
-    c = _c(col)
-    for k, v in _LONGER.items():
-        c = F.replace(c, F.lit(k), F.lit(v))
-    return F.translate(c, _TR_SRC, _TR_DST)
+    """Transliterate Latin, Greek and Cyrillic letters, common punctuation, symbols and
+    fractions to ASCII; characters of other scripts pass through unchanged. Characters
+    that become one go in one pass; a text with others is split around them, each is
+    looked up by itself, and the pieces are joined again, all JVM-side."""
+    c = F.translate(_c(col), _TR_SRC, _TR_DST)
+    table = F.create_map(*[F.lit(x) for kv in _LONGER.items() for x in kv])
+    pieces, found = F.split(c, _LONGER_RE, -1), F.regexp_extract_all(c, F.lit(_LONGER_RE), 0)
+    body = F.array_join(F.zip_with(F.slice(pieces, 1, F.size(found)), F.transform(found, lambda x: F.element_at(table, x)), lambda p, x: F.concat(p, x)), "")
+    return F.when(c.rlike(_LONGER_RE), F.concat(body, F.element_at(pieces, -1))).otherwise(c)
 
 
 def clean_string(col) -> Column:

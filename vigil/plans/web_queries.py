@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vigil.functions import urls
-from vigil.functions.text import strip_html
+from vigil.functions.text import ascii_table, fold_to_ascii, strip_html
 from vigil.operators import frontier
 from vigil.plans.registry import query
 from vigil.plans.tables import load
@@ -153,3 +153,28 @@ def q_strip_html_hard(spark, sf):
     ends = F.array(*[F.concat(_filled_spark(HARD), _filled_spark(x), F.lit("" if x else "end")) for x in OPEN])
     p = load(spark, sf, "pages").withColumn("url", F.lit("")).select("page_id", F.posexplode(ends).alias("k", "html"))
     return p.select("page_id", (F.col("k") + 1).alias("k"), strip_html("html").alias("body_text"))
+
+
+_TABLE = ascii_table()
+
+
+def _table_sql() -> str:
+    lit = lambda x: "'" + x.replace("'", "''") + "'"
+    return f"map([{', '.join(map(lit, _TABLE))}], [{', '.join(map(lit, _TABLE.values()))}])"
+
+
+#: Characters of the table that go into one document.
+_PER_DOC = 12
+
+
+@query("transliterate", f"""
+WITH a AS (SELECT {_table_sql()} AS t, map_keys({_table_sql()}) AS k),
+d AS (SELECT doc_id, t, text[1:40] || array_to_string(list_transform(range(0, {_PER_DOC}), lambda j: ' x' || k[1 + (doc_id * {_PER_DOC} + j) % len(k)] || 'y'), '') AS s FROM documents, a)
+SELECT doc_id, s AS given, array_to_string(list_transform(string_split(s, ''), lambda ch: coalesce(t[ch], ch)), '') AS folded FROM d""")
+def q_transliterate(spark, sf):
+    """Documents with every character of the transliteration table put in, folded to ASCII."""
+    chars = F.array(*[F.lit(ch) for ch in _TABLE])
+    at = F.transform(F.sequence(F.lit(0), F.lit(_PER_DOC - 1)),
+                     lambda j: F.concat(F.lit(" x"), F.element_at(chars, (1 + (F.col("doc_id") * _PER_DOC + j) % len(_TABLE)).cast("int")), F.lit("y")))
+    d = load(spark, sf, "documents").select("doc_id", F.concat(F.substring("text", 1, 40), F.array_join(at, "")).alias("given"))
+    return d.withColumn("folded", fold_to_ascii("given"))
