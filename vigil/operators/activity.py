@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from vigil.functions.jsonx import is_object, json_array, json_map, unwrap_records
 from vigil.functions.text import decode_entities, dequote, first_token, strip_html
+from vigil.operators.reconcile import Counts, rows
 
 # Source key -> activity code for the renamed types.
 TYPE_CODES = {"actP": "par", "audicoes": "adt", "audiencias": "adc",
@@ -135,7 +136,7 @@ def _activity_map(parsed: str) -> Column:
 
 
 def explode_activity_groups(members: DataFrame, record: str = "record",
-                            keep: tuple[str, ...] = ()) -> DataFrame:
+                            keep: tuple[str, ...] = (), counts: Counts | None = None) -> DataFrame:
     """(member fields, problem, act_type, payload) per non-empty, non-skipped type;
     the reporter container is split into its four codes (unknown sub-keys get
     ``act_type`` NULL and ``src_key`` for the quarantine). A member whose
@@ -153,7 +154,13 @@ def explode_activity_groups(members: DataFrame, record: str = "record",
     m = parsed.select(*keep, *member_fields("_r"), F.explode(entries).alias("_e"))
     m = m.select(*[c for c in m.columns if c != "_e"], F.col("_e.k").alias("src_key"), F.col("_e.v").alias("payload"),
                  F.col("_e.problem").alias("problem"))
+    skipped = F.col("problem").isNull() & F.col("src_key").isin(SKIP_KEYS)
+    if counts:
+        m = counts.on(m, "entries", entries=rows(), unreadable=F.count_if(F.col("problem").isNotNull()), skipped=F.count_if(skipped),
+                      null=F.count_if(F.col("problem").isNull() & ~F.col("src_key").isin(SKIP_KEYS) & F.col("payload").isNull()))
     m = m.where(F.col("problem").isNotNull() | (F.col("payload").isNotNull() & ~F.col("src_key").isin(SKIP_KEYS)))
+    if counts:
+        m = counts.on(m, "kept", entries=rows())
     # The reporter container holds up to four typed sub-containers: its
     # entries are spread into (sub key, payload) pairs in the same explode
     # that carries every other type through unchanged, so the upstream is
@@ -183,10 +190,16 @@ def _entry_hash(*cols: str) -> Column:
 
 
 def tag_activity(members: DataFrame, record: str = "record", keep: tuple[str, ...] = (),
-                 null_text: str | None = "None", clean_html: bool = False) -> DataFrame:
+                 null_text: str | None = "None", clean_html: bool = False, counts: Counts | None = None) -> DataFrame:
     """Member records -> one table of activities and quarantined entries: a row is
-    an activity where ``error_reason`` is NULL. See ``flatten_activity``."""
-    groups = unwrap_records(explode_activity_groups(members, record, keep), "payload", "_recs")
+    an activity where ``error_reason`` is NULL. See ``flatten_activity``. ``counts`` gets the rows
+    of every step, and per code with alternative description keys how many records have none."""
+    if counts:
+        members = counts.on(members, "members", members=rows())
+    groups = unwrap_records(explode_activity_groups(members, record, keep, counts), "payload", "_recs")
+    if counts:
+        size = F.coalesce(F.size("_recs"), F.lit(1))
+        groups = counts.on(groups, "groups", groups=rows(), empty=F.count_if(size == 0), records=F.sum(size))
     acts = groups.select(*[c for c in groups.columns if c not in ("payload", "_recs")],
                          # an empty list has no activities; a payload that is neither
                          # object nor list keeps one NULL row for the quarantine
@@ -240,7 +253,14 @@ def tag_activity(members: DataFrame, record: str = "record", keep: tuple[str, ..
                .when(F.size("_missing") > 0,
                      F.concat(F.lit("missing keys: "), F.array_join("_missing", ","))))
     # an explode that no filter crosses: the reason is worked out once per entry
-    return (typed.withColumn("error_reason", F.explode(F.array(reason)))
+    judged = typed.withColumn("error_reason", F.explode(F.array(reason)))
+    if counts:
+        good = F.col("error_reason").isNull()
+        judged = counts.on(judged, "records", records=rows(), activities=F.count_if(good), quarantined=F.count_if(~good),
+                           **{f"no_description_{k}": F.count_if(good & (F.col("act_type") == k) & (F.col("act_desc") == "")
+                                                                & F.coalesce(*[F.element_at("_m", F.lit(x)) for x in FIELD_MAP[k]["desc"][1]]).isNull())
+                              for k in FIRST_OF_CODES})
+    return (judged
             .select(*keep, "mp_id", "mp_name", "mp_party", "mp_status", "src_key", "act_id", "act_type",
                     "act_subtype", "act_dar", "act_date", "act_desc",
                     parse_date("act_date").alias("act_date_parsed"),

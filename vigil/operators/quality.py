@@ -93,3 +93,23 @@ def basic_stats(df: DataFrame, cols: Sequence[str], decimals: int = 6) -> DataFr
     return long.select("column_name", "n", "n_null", "min", "max",
                        F.round("mean", decimals).alias("mean"),
                        F.round("stddev", decimals).alias("stddev"))
+
+
+def sketch_table(df: DataFrame, keys: list[str], col: str, lg_k: int = 12) -> DataFrame:
+    """Mergeable distinct counts: ``keys``, ``n_rows`` and ``sketch``, a HyperLogLog sketch of ``col``
+    per key. Stored, the table answers distinct counts over any subset of the keys, and new
+    rows are added by a union with their own table; NULLs are not counted."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), F.hll_sketch_agg(col, F.lit(lg_k)).alias("sketch"))
+
+
+def sketch_error(lg_k: int = 12, sigmas: float = 3.0) -> float:
+    """Relative error of a sketch's estimate: 1.04 / sqrt(2^lg_k) is one standard deviation."""
+    return sigmas * 1.04 / 2 ** (lg_k / 2)
+
+
+def merged_distinct(sketches: DataFrame, keys: list[str], out: str = "n_distinct") -> DataFrame:
+    """Estimated distinct counts per ``keys`` from stored sketches of finer keys; rows
+    with a NULL key are left out, as in the exact counts."""
+    for k in keys:
+        sketches = sketches.where(F.col(k).isNotNull())
+    return sketches.groupBy(*keys).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias(out))

@@ -11,6 +11,7 @@ from vigil.operators import coauthor, histogram, manifest, quality
 from vigil.operators.activity import ACTIVITY_ROOT, split_activity, tag_activity
 from vigil.operators.initiative import INITIATIVE_ROOT, split_tagged, tag_initiatives
 from vigil.session import scratch_path
+from vigil.operators.reconcile import Counts
 from vigil.sources.files import list_landed, read_files, read_landed
 from vigil.sources.manifest import latest_run_rows, write_manifest
 from vigil.sources.nested_json import bad_documents, read_documents, records
@@ -31,8 +32,9 @@ def _with_bad_documents(bad: DataFrame, docs: DataFrame, root: str) -> DataFrame
 
 def land_activity(spark: SparkSession, paths: str | list[str], out: str, quarantine_out: str,
                   partitions: int | None = None, partition_by: tuple[str, ...] = (),
-                  clean_html: bool = False) -> None:
-    """Member-activity JSON exports -> Parquet table + quarantine table.
+                  clean_html: bool = False) -> Counts:
+    """Member-activity JSON exports -> Parquet table + quarantine table; returns the
+    counts of every step, observed in the same pass.
     Records are spread after the whole-file read (over ``partitions``, or as
     many as their size asks for), so one large export file does not keep its
     records in one task. With ``partition_by`` (e.g. ``("act_type",)``) the
@@ -41,13 +43,15 @@ def land_activity(spark: SparkSession, paths: str | list[str], out: str, quarant
     quarantine as well."""
     docs = read_documents(spark, paths)
     recs = records(docs, ACTIVITY_ROOT, spread=True, partitions=partitions)
-    tagged = _tagged_once(tag_activity(recs, keep=("source_file",), clean_html=clean_html), "activity")
+    counts = Counts()
+    tagged = _tagged_once(tag_activity(recs, keep=("source_file",), clean_html=clean_html, counts=counts), "activity")
     good, bad = split_activity(tagged, keep=("source_file",))
     w = good.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(out)
     _with_bad_documents(bad, docs, ACTIVITY_ROOT).write.mode("overwrite").parquet(quarantine_out)
+    return counts
 
 
 def land_initiatives(spark: SparkSession, paths: str | list[str], out: str,
