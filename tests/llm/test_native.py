@@ -25,6 +25,16 @@ def _items():
             (5, None), (6, "  "), (2, texts[9]), (7, texts[11].upper())]
 
 
+def test_rows_of_one_id_are_cut_one_by_one(spark):
+    """Equal rows, rows of one id with different texts, and rows without an id meet their target to within one document."""
+    for rows in ([(7, "w " * 10, "s", 0)] * 200, [(7, "w%d " % i * 10, "s", 0) for i in range(200)], [(None, "w%d " % i * 10, "s", 0) for i in range(200)]):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+        out = mixing.mix_report(docs).collect()
+        assert len(out) == 200 and {r["target"] for r in out} == {3000.0}
+        assert abs(sum(r["taken"] for r in out) - 3000) <= 10 and max(r["taken"] for r in out) <= 20
+        assert mixing.mix(docs).count() == sum(r["taken"] for r in out) // 10
+
+
 def test_contamination_equals_brute_force(spark, docs):
     items = _items()
     got = decontam.contamination(docs, spark.createDataFrame(items, "item_id long, text string"))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil.llm.common import pick, space_words, store
+from vigil.operators.sequence import ordered_index
 
 #: Buckets per level of the search for a source's cut.
 LEVEL = 4096
@@ -24,6 +25,12 @@ def random_unit(key: Column, seed: str) -> Column:
     return (F.conv(digits, 16, 10).cast("bigint") + F.lit(0.5)) / F.lit(float(2 ** 52))
 
 
+def document_unit(doc_id: Column, text: Column, seed: str) -> Column:
+    """The random number of a document: of its id and text, so that rows that share an
+    id, or have none, are drawn one by one; equal rows have equal numbers."""
+    return random_unit(F.concat(F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit(":"), F.md5(F.coalesce(text, F.lit("")).cast("binary"))), seed)
+
+
 def pareto_rank(u: Column, p: Column) -> Column:
     """The Pareto order key odds(u) / odds(p), mapped monotonically to (0, 1)."""
     key = (u / (1 - u)) / (p / (1 - p))
@@ -77,7 +84,8 @@ def sample_cuts(rows: DataFrame, goals: DataFrame) -> DataFrame:
     ``rows``: source, size, u. ``goals``: source, source_size, target. The
     sample's size is the target less the certain copies, in words, met to
     within half the document at the cut (which is in if that comes nearer).
-    Documents of equal rank, so rows of one doc_id, are in or out together.
+    Equal rank have only rows that are equal in doc_id and text; at the cut as many
+    of them are in (``cut_rows``) as comes nearest to the target.
     """
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     goals = (goals.withColumn("copies", F.floor(rate).cast("bigint")).withColumn("chance", rate - F.floor(rate))
@@ -96,21 +104,20 @@ def sample_cuts(rows: DataFrame, goals: DataFrame) -> DataFrame:
     two = _cut(inner.groupBy("source", "b2").agg(F.sum("size").alias("part"), F.first("need").alias("need")), "b2")
     two = store(two, "mix-cut2").select(F.col("source").alias("s2"), F.col("b2").alias("c2"), F.col("need").alias("n2"))
     last = (ranked.drop("need").join(two, F.col("source").eqNullSafe(F.col("s2")) & (F.col("b2") == F.col("c2")))
-            .groupBy("source", "rank").agg(F.sum("size").alias("part"), F.first("n2").alias("need")))
+            .groupBy("source", "rank").agg(F.sum("size").alias("part"), F.max("size").alias("each"), F.first("n2").alias("need")))
     w = Window.partitionBy("source").orderBy("rank")
     cut = (last.withColumn("after", F.sum("part").over(w)).withColumn("before", F.col("after") - F.col("part"))
            .where((F.col("before") <= F.col("need")) & (F.col("after") > F.col("need")))
            .select(F.col("source").alias("s"), F.col("rank").alias("cut"),
-                   (F.col("after") - F.col("need") < F.col("need") - F.col("before")).alias("cut_in")))
+                   F.ceil((F.col("need") - F.col("before")) / F.col("each") - 0.5).cast("bigint").alias("cut_rows")))
     return (goals.join(cut, F.col("source").eqNullSafe(F.col("s")), "left")
-            .select("source", "source_size", "target", "copies", "chance", "cut",
-                    F.coalesce("cut_in", F.lit(False)).alias("cut_in")))
+            .select("source", "source_size", "target", "copies", "chance", "cut", F.coalesce("cut_rows", F.lit(0)).alias("cut_rows")))
 
 
 def _light(docs: DataFrame, seed: str, id_col: str, text_col: str, source_col: str) -> DataFrame:
     d = pick(docs, doc_id=id_col, text=text_col, source=source_col)
     return d.select("doc_id", F.col("source"), F.size(space_words(F.col("text"))).cast("bigint").alias("size"),
-                    random_unit(F.col("doc_id"), seed).alias("u"))
+                    document_unit(F.col("doc_id"), F.col("text"), seed).alias("u"))
 
 
 def mix_plan(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, cap: float = 2.0, seed: str = "mix",
@@ -118,7 +125,7 @@ def mix_plan(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, cap: float
     """(rows, cuts): the one reading of the texts, and one row per source.
 
     Null text has size 0 and is always in the sample at no cost of words; null
-    source is a source of its own; null doc_id draws one common random number.
+    source is a source of its own; rows without a doc_id are drawn by their texts.
     """
     rows = store(_light(docs, seed, id_col, text_col, source_col), "mix-rows")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -126,12 +133,16 @@ def mix_plan(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, cap: float
 
 
 def _copies(rows: DataFrame, cuts: DataFrame, source: str, u: str) -> DataFrame:
+    """``rows`` with ``_copies``. Rows at a source's cut are equal ones; they are numbered (over all
+    tasks, however many they are) and the first ``cut_rows`` have one more copy."""
     c = cuts.select(F.col("source").alias("_cs"), *[F.col(x).alias("_c_" + x) for x in cuts.columns if x != "source"])
-    rank = pareto_rank(F.col(u), F.col("_c_chance"))
-    more = F.when(F.col("_c_chance") > 0, F.when(F.col("_c_cut").isNull(), True).when(F.col("_c_cut_in"), rank <= F.col("_c_cut"))
-                  .otherwise(rank < F.col("_c_cut"))).otherwise(False)
-    return rows.join(c, F.col(source).eqNullSafe(F.col("_cs")), "left").withColumn(
-        "_copies", F.col("_c_copies") + more.cast("bigint"))
+    d = rows.join(c, F.col(source).eqNullSafe(F.col("_cs")), "left").withColumn(
+        "_rank", F.when(F.col("_c_chance") > 0, pareto_rank(F.col(u), F.col("_c_chance"))))
+    at_cut = F.coalesce(F.col("_rank") == F.col("_c_cut"), F.lit(False))
+    more = (F.col("_c_chance") > 0) & (F.col("_c_cut").isNull() | (F.col("_rank") < F.col("_c_cut")))
+    plain = d.where(~at_cut).withColumn("_copies", F.col("_c_copies") + more.cast("bigint"))
+    tied = ordered_index(d.where(at_cut), ["_cs"], [u], "_nth").withColumn("_copies", F.col("_c_copies") + (F.col("_nth") <= F.col("_c_cut_rows")).cast("bigint"))
+    return plain.unionByName(tied.drop("_nth")).drop("_rank")
 
 
 def mix_report(docs: DataFrame, **options) -> DataFrame:
@@ -148,7 +159,7 @@ def mix(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, cap: float = 2.0
     _, cuts = mix_plan(docs, weights, share, cap, seed, id_col, text_col, source_col)
     names = [F.col(f"`{c}`") for c in docs.columns]
     rows = docs.select(F.struct(*names).alias("_row"), F.col(f"`{source_col}`").alias("_source"),
-                       random_unit(F.col(f"`{id_col}`"), seed).alias("_u"))
+                       document_unit(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), seed).alias("_u"))
     taken = _copies(rows, cuts, "_source", "_u").where("_copies > 0")
     return taken.select("_row", F.explode(F.array_repeat(F.lit(1), F.col("_copies").cast("int")))).select("_row.*")
 
@@ -157,7 +168,7 @@ MIX_SQL = r"""
 WITH d AS (
   SELECT doc_id, source,
          len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> ''))::BIGINT AS size,
-         (('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13))::BIGINT + 0.5::DOUBLE)
+         (('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || md5(coalesce(text, ''))), 1, 13))::BIGINT + 0.5::DOUBLE)
            / 4503599627370496::DOUBLE AS u
   FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
@@ -178,5 +189,5 @@ o AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY u)::DOUBLE AS after
 SELECT doc_id, size, source_size, target,
   (copies + CASE WHEN chance <= 0 THEN 0 WHEN after <= need THEN 1
                  WHEN after - part > need THEN 0
-                 WHEN after - need < need - (after - part) THEN 1 ELSE 0 END)::BIGINT * size AS taken
+                 WHEN row_number() OVER (PARTITION BY source, u ORDER BY doc_id) <= ceil((need - (after - part)) / size - 0.5) THEN 1 ELSE 0 END)::BIGINT * size AS taken
 FROM o"""
