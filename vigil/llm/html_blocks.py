@@ -18,10 +18,13 @@ RAW = "script|style|template|textarea|iframe|select"
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}}
 
+# attributes of a tag: quotes count after "=" only; what is open reaches to the end. Every part
+# takes what it has read for good (possessive), so a page of any kind is read once.
+_ATTRS = r"""(?:[^>=]++|=[ \t\n\r\f]*+(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z))?+)*+"""
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + RAW + r")\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?/][^>]*(?:>|\Z)"
-    r"|(?P<text>[^<]+|<)", re.S | re.I)
+    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + RAW + r")\b" + _ATTRS + r"(?:>|\Z).*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<attrs>" + _ATTRS + r")(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)"
+    r"|(?P<text>[^<]++|<)", re.S | re.I)
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _NAME = re.compile(r"[a-z]+")
 

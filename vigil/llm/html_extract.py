@@ -26,9 +26,10 @@ from vigil.llm.html_blocks import blocks
 from vigil.llm.common import pick, store
 from vigil.session import ship_by_value
 
-#: Pages fitted on, at most (those of least hash), disguises of each, and leaf blocks of a page read in training.
-TRAIN_PAGES, DISGUISES, TRAIN_BLOCKS = 300, 4, 48
-EPOCHS, BATCH, RATE, HIDDEN = 6, 48, 0.01, 24
+#: Pages fitted on, at most (those of least hash, each whole), and disguises of each.
+TRAIN_PAGES, DISGUISES = 300, 4
+#: Pages of a training batch, and the blocks it holds if its pages were all as long as its longest (a longer page is a batch of its own).
+EPOCHS, BATCH, BATCH_BLOCKS, RATE, HIDDEN = 6, 48, 4096, 0.01, 24
 PATH_DIM, WORD_DIM, SHAPES = 96, 32, 6
 DIM = PATH_DIM + WORD_DIM + SHAPES
 #: Blocks that a task labels at once.
@@ -53,6 +54,23 @@ def seed_label(path) -> int:
     return int(bool(names & {"article", "main"}) and not names & _SIDE_NAMES and "title" not in names)
 
 
+def weak_labels(page) -> list[int]:
+    """Labels of a page that names no main element, by fixed rules: paragraphs of at least
+    ``WEAK_CHARS`` characters with few links outside side containers are main text, and so is
+    any short block, such as a heading, between or right before them in the same container."""
+    side = [bool({n.lstrip(".") for e in path for n in e} & _SIDE_NAMES) or links > 0.3 for _, path, links in page]
+    long = [not s and len(text) >= WEAK_CHARS for s, (text, _, _) in zip(side, page)]
+    out = [int(x) for x in long]
+    for i in range(len(page) - 2, -1, -1):
+        if out[i + 1] and not side[i] and page[i][1][:-1] == page[i + 1][1][:-1]:
+            out[i] = 1
+    return out
+
+
+#: Characters of a block that is main text by itself under ``weak_labels``.
+WEAK_CHARS = 80
+
+
 def disguise(page, rng: random.Random):
     """A page as another site might mark it up: [(text, path, links, label)]."""
     renamed: dict = {}
@@ -209,6 +227,19 @@ class BiLstm:
             grad["c" + d] = dz.sum(axis=(0, 1))
         return grad
 
+    @staticmethod
+    def _batches(pages):
+        """Consecutive pages as batches, each with its longest page first."""
+        batch, longest = [], 0
+        for p in pages:
+            if batch and (len(batch) == BATCH or (len(batch) + 1) * max(longest, len(p[1])) > BATCH_BLOCKS):
+                yield sorted(batch, key=lambda p: -len(p[1]))
+                batch, longest = [], 0
+            batch.append(p)
+            longest = max(longest, len(p[1]))
+        if batch:
+            yield sorted(batch, key=lambda p: -len(p[1]))
+
     def fit(self, pages, seed: int = 0):
         """pages: [(vectors, labels)]; Adam over shuffled batches."""
         rng = np.random.default_rng(seed)
@@ -217,8 +248,7 @@ class BiLstm:
         step = 0
         for _ in range(EPOCHS):
             order = rng.permutation(len(pages))
-            for a in range(0, len(order), BATCH):
-                some = sorted((pages[i] for i in order[a:a + BATCH]), key=lambda p: -len(p[1]))
+            for some in self._batches([pages[i] for i in order]):
                 lengths = np.array([len(p[1]) for p in some])
                 x = np.zeros((lengths[0], len(some), DIM), np.float32)
                 y = np.zeros(x.shape[:2], np.float32)
@@ -255,38 +285,43 @@ class BiLstm:
 
 
 def _fit_task(batches):
-    rows = pd.concat(list(batches), ignore_index=True) if batches is not None else None
-    rows = rows.sort_values(["r", "html"])
-    pages = []
+    rows = pd.concat(list(batches), ignore_index=True).sort_values(["r", "html"])
+    named, weak = [], []
     for html in rows["html"]:
         page = blocks(html)
-        if not any(seed_label(b[1]) for b in page):
-            continue
-        for k in range(DISGUISES):
-            d = disguise(page, random.Random(f"{zlib.crc32(html.encode())}-{k}"))[:TRAIN_BLOCKS] if k else \
-                [(*b, seed_label(b[1])) for b in page][:TRAIN_BLOCKS]
-            if d:
-                pages.append((vectors(d), np.array([x[3] for x in d], np.float32)))
+        if any(seed_label(b[1]) for b in page):
+            named.append((vectors(page), np.array([seed_label(b[1]) for b in page], np.float32)))
+            for k in range(1, DISGUISES):
+                d = disguise(page, random.Random(f"{zlib.crc32(html.encode())}-{k}"))
+                if d:
+                    named.append((vectors(d), np.array([x[3] for x in d], np.float32)))
+        elif page:
+            weak.append((vectors(page), np.array(weak_labels(page), np.float32)))
     net = BiLstm()
-    if pages:
-        net.fit(pages)
+    net.fit(named or weak)
     raw = io.BytesIO()
     np.savez(raw, **net.w)
     yield pd.DataFrame({"weights": [raw.getvalue()]})
 
 
-def fit(pages: DataFrame, rows: int = TRAIN_PAGES) -> bytes:
-    """The weights, fitted in one task on at most ``rows`` pages that name an article
-    or main element, the first by a hash of url and html; the others say nothing
-    of where their main text is. Without such pages the network is untrained."""
-    p = pick(pages, url="url", html="html").where(F.col("html").rlike(SEMANTIC))
+def _sample(p: DataFrame, rows: int) -> DataFrame | None:
+    """The ``rows`` pages of least hash, once each; None if there are no pages."""
     r = F.xxhash64("url", "html")
     cut = store(p.select(r.alias("r")).orderBy("r").limit(rows).agg(F.max("r").alias("top")), "html-train-cut").first()[0]
-    if cut is None:
+    return None if cut is None else p.select("html", r.alias("r")).where(F.col("r") <= cut).distinct().orderBy("r").limit(rows)
+
+
+def fit(pages: DataFrame, rows: int = TRAIN_PAGES) -> bytes:
+    """The weights, fitted in one task on at most ``rows`` whole pages that name an article
+    or main element, the first by a hash of url and html. Where no page names one,
+    pages are taken all the same and labelled by ``weak_labels``. Pages without html or
+    blocks teach nothing; a table without any leaves the network untrained."""
+    p = pick(pages, url="url", html="html")
+    train = _sample(p.where(F.col("html").rlike(SEMANTIC)), rows) or _sample(p.where(F.col("html").contains("<") | (F.length("html") > 0)), rows)
+    if train is None:
         raw = io.BytesIO()
         np.savez(raw, **BiLstm().w)
         return raw.getvalue()
-    train = p.select("html", r.alias("r")).where(F.col("r") <= cut).distinct().orderBy("r").limit(rows)
     return bytes(train.repartition(1).mapInPandas(_fit_task, "weights binary").first()[0])
 
 
@@ -308,6 +343,8 @@ def extract(pages: DataFrame, weights: bytes, id_col: str = "page_id", url_col:
 
 
 def extraction_report(pages: DataFrame) -> DataFrame:
+    """page_id, url, text, n_chars: one row per input row, repeated ids included; null or blockless
+    html gives an empty text, an empty table an empty table. Other columns change nothing."""
     return extract(pages, fit(pages)).withColumn("n_chars", F.length("text").cast("bigint"))
 
 
