@@ -22,26 +22,39 @@ from pyspark.sql import functions as F
 
 from vigil.session import ship_by_value
 
-#: Largest index that is broadcast; a longer rule list must be split by the caller.
-MAX_INDEX_BYTES = 512 * 1024 * 1024
+#: Bytes of stored rules in one array, about; a longer rule list makes several arrays.
+PART_BYTES = 256 * 1024 * 1024
 #: Separates host and path in a stored key; it cannot occur in a host.
 _SEP = "\n"
 
 
-def build_index(rules: list[tuple[str, str, str]]) -> bytes:
-    """(host, path, verdict) rules to one byte string: counts, sorted keys, offsets
-    and the stored strings. Of repeated (host, path) rules the last one holds."""
-    table = {f"{h}{_SEP}{p}": v for h, p, v in rules}
-    entries = sorted((xxhash.xxh64_intdigest(k), k, v) for k, v in table.items())
+def _array(entries: list[tuple[int, str, str]]) -> bytes:
+    """Entries (digest, key, verdict), sorted, as one byte string: counts, path lengths and label
+    counts that occur, keys, offsets and the stored strings."""
     stored = [f"{v}{_SEP}{k}".encode() for _, k, v in entries]
     ends = np.cumsum([len(s) for s in stored], dtype=np.int64) if stored else np.zeros(0, np.int64)
-    lengths = np.array(sorted({len(p) for _, p, _ in rules}), dtype=np.int64)
-    head = np.array([len(entries), len(lengths)], dtype=np.int64)
+    parts = [k.partition(_SEP) for _, k, _ in entries]
+    lengths = np.array(sorted({len(p) for _, _, p in parts}), dtype=np.int64)
+    labels = np.array(sorted({h.count(".") + 1 for h, _, _ in parts}), dtype=np.int64)
+    head = np.array([len(entries), len(lengths), len(labels)], dtype=np.int64)
     keys = np.array([e[0] for e in entries], dtype=np.uint64)
-    out = head.tobytes() + lengths.tobytes() + keys.tobytes() + ends.tobytes() + b"".join(stored)
-    if len(out) > MAX_INDEX_BYTES:
-        raise ValueError(f"the index has {len(out)} bytes, more than {MAX_INDEX_BYTES}")
-    return out
+    return head.tobytes() + lengths.tobytes() + labels.tobytes() + keys.tobytes() + ends.tobytes() + b"".join(stored)
+
+
+def build_index(rules: list[tuple[str, str, str]], part_bytes: int = PART_BYTES) -> list[bytes]:
+    """(host, path, verdict) rules to sorted digest arrays, each a byte string of about
+    ``part_bytes`` at most; however many rules there are, none is left out. Of repeated (host,
+    path) rules the last one holds."""
+    table = {f"{h}{_SEP}{p}": v for h, p, v in rules}
+    entries = sorted((xxhash.xxh64_intdigest(k), k, v) for k, v in table.items())
+    out, part, held = [], [], 0
+    for e in entries:
+        if part and held > part_bytes:
+            out.append(_array(part))
+            part, held = [], 0
+        part.append(e)
+        held += len(e[1]) + len(e[2]) + 16
+    return [*out, _array(part)]
 
 
 class DigestArray:
@@ -49,10 +62,12 @@ class DigestArray:
 
     def __init__(self, path: str):
         raw = np.memmap(path, dtype=np.uint8, mode="r")
-        n, m = (int(x) for x in raw[:16].view(np.int64))
-        at = 16
+        n, m, k = (int(x) for x in raw[:24].view(np.int64))
+        at = 24
         self.lengths = [int(x) for x in raw[at:at + 8 * m].view(np.int64)]
         at += 8 * m
+        self.labels = [int(x) for x in raw[at:at + 8 * k].view(np.int64)]
+        at += 8 * k
         self.keys = raw[at:at + 8 * n].view(np.uint64)
         at += 8 * n
         self.ends = raw[at:at + 8 * n].view(np.int64)
@@ -80,9 +95,15 @@ class DigestArray:
 
 
 def open_index(payload: bytes) -> DigestArray:
-    """Map the payload from a file of this executor; written once, by rename."""
+    """Map the payload from a file of this executor, which its tasks share; written once, by
+    rename, and taken again only if it holds the payload."""
     path = os.path.join(tempfile.gettempdir(), f"digests-{hashlib.sha256(payload).hexdigest()[:32]}.bin")
-    if not os.path.exists(path):
+    try:
+        with open(path, "rb") as f:
+            same = f.read() == payload
+    except OSError:
+        same = False
+    if not same:
         fd, part = tempfile.mkstemp(dir=tempfile.gettempdir())
         with os.fdopen(fd, "wb") as f:
             f.write(payload)
@@ -90,34 +111,35 @@ def open_index(payload: bytes) -> DigestArray:
     return DigestArray(path)
 
 
-def host_suffixes(host: str) -> list[str]:
-    """The host and its parent domains."""
-    parts = host.split(".")
-    return [".".join(parts[i:]) for i in range(len(parts))]
+def host_suffixes(host: str, labels: list[int]) -> list[str]:
+    """The host and those parent domains that have one of these numbers of labels."""
+    dots = host.count(".") + 1
+    return [host if n == dots else host.split(".", dots - n)[-1] for n in labels if n <= dots]
 
 
-def judge(index: DigestArray, hosts, paths) -> tuple[list[str | None], list[str | None]]:
+def judge(arrays: list[DigestArray], hosts, paths) -> tuple[list[str | None], list[str | None]]:
     """The longest fitting rule (host + path) of each url, and its verdict. Of
     equally long rules the one with the longer host counts."""
-    probes: list[str] = []
-    owner: list[int] = []
-    rule_text: list[tuple[str, int]] = []
-    cache: dict[str, list[str]] = {}
-    for i, (h, p) in enumerate(zip(hosts, paths)):
-        if h not in cache:
-            cache[h] = host_suffixes(h)
-        for s in cache[h]:
-            for n in index.lengths:
-                if n <= len(p):
-                    probes.append(f"{s}{_SEP}{p[:n]}")
-                    owner.append(i)
-                    rule_text.append((s + p[:n], len(s)))
     rules: list[str | None] = [None] * len(hosts)
     verdicts: list[str | None] = [None] * len(hosts)
     best = [(-1, -1)] * len(hosts)
-    for i, (rule, host_len), v in zip(owner, rule_text, index.find(probes)):
-        if v is not None and (len(rule), host_len) > best[i]:
-            best[i], rules[i], verdicts[i] = (len(rule), host_len), rule, v
+    for index in arrays:
+        probes: list[str] = []
+        owner: list[int] = []
+        rule_text: list[tuple[str, int]] = []
+        cache: dict[str, list[str]] = {}
+        for i, (h, p) in enumerate(zip(hosts, paths)):
+            if h not in cache:
+                cache[h] = host_suffixes(h, index.labels)
+            for s in cache[h]:
+                for n in index.lengths:
+                    if n <= len(p):
+                        probes.append(f"{s}{_SEP}{p[:n]}")
+                        owner.append(i)
+                        rule_text.append((s + p[:n], len(s)))
+        for i, (rule, host_len), v in zip(owner, rule_text, index.find(probes)):
+            if v is not None and (len(rule), host_len) > best[i]:
+                best[i], rules[i], verdicts[i] = (len(rule), host_len), rule, v
     return rules, verdicts
 
 
@@ -147,7 +169,7 @@ def filter_urls(df: DataFrame, rules: list[tuple[str, str, str]], default: str =
     kind = light.schema["_id"].dataType.simpleString()
 
     def run(batches):
-        table = open_index(index.value)
+        table = [open_index(part) for part in index.value]
         for b in batches:
             rule, verdict = judge(table, b["_host"].tolist(), b["_path"].tolist())
             yield pd.DataFrame({"id": b["_id"], "host": b["_host"], "path": b["_path"],
