@@ -80,6 +80,14 @@ def test_connected_components_of_a_path(spark):
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
 
 
+def test_components_joined_by_further_edges(spark):
+    comp = spark.createDataFrame([(1, 1), (2, 1), (5, 5), (6, 5), (9, 8), (8, 8)], "c long, component long")
+    edges = spark.createDataFrame([(1, 2), (6, 9), (20, 21), (21, 22), (30, 2), (6, 5)], "a long, b long")
+    got = {r["c"]: r["component"] for r in components.joined(comp, edges).collect()}
+    assert got == {1: 1, 2: 1, 30: 1, 5: 5, 6: 5, 9: 5, 8: 5, 20: 20, 21: 20, 22: 20}
+    assert components.joined(comp, edges.where("a = 1")).collect() == comp.collect()
+
+
 def test_url_rules(spark):
     rows = [(1, "http://A.Example.NET/en/x?y#z"), (2, "https://b.net/q"), (3, "http://net"), (4, "http://x.org/fr/"), (5, None),
             (6, "no scheme"), (7, "http://example.com/de/1"), (8, "http://myexample.com/de/1"), (9, "ftp://h?x/y"), (2, "https://b.net/q"),
@@ -98,5 +106,34 @@ def test_url_rules(spark):
 def test_digest_collisions_are_told_apart(tmp_path, monkeypatch):
     monkeypatch.setattr(url_filter.xxhash, "xxh64_intdigest", lambda s: 7)
     p = tmp_path / "x.bin"
-    p.write_bytes(url_filter.build_index([("a.com", "/", "block"), ("b.com", "/", "allow")]))
+    p.write_bytes(url_filter.build_index([("a.com", "/", "block"), ("b.com", "/", "allow")])[0])
     assert url_filter.DigestArray(str(p)).find(["b.com\n/", "c.com\n/", "a.com\n/"]) == ["allow", None, "block"]
+
+
+def test_long_rule_lists_make_several_arrays(tmp_path):
+    rules = [("d%d.org" % i, "/p%d" % (i % 7), ("block", "allow")[i % 2]) for i in range(300)] + [("org", "/", "block")]
+    parts = url_filter.build_index(rules, part_bytes=500)
+    assert len(parts) > 10
+    arrays = []
+    for i, payload in enumerate(parts):
+        (tmp_path / f"{i}").write_bytes(payload)
+        arrays.append(url_filter.DigestArray(str(tmp_path / f"{i}")))
+    hosts, paths = ["x.d%d.org" % i for i in range(300)] + ["org", "a.net"], ["/p%d/z" % (i % 7) for i in range(300)] + ["/", "/"]
+    got = url_filter.judge(arrays, hosts, paths)
+    assert got[0] == ["d%d.org/p%d" % (i, i % 7) for i in range(300)] + ["org/", None]
+    assert got[1] == [("block", "allow")[i % 2] for i in range(300)] + ["block", None]
+
+
+def test_a_host_of_many_labels_is_probed_for_those_of_the_rules():
+    host = ".".join("a" * 8000)
+    assert url_filter.host_suffixes(host, [1, 2, 3]) == ["a", "a.a", "a.a.a"]
+    assert url_filter.host_suffixes("b.org", [1, 2, 3]) == ["org", "b.org"] and url_filter.host_suffixes("", [1, 2]) == [""]
+
+
+def test_a_foreign_file_of_the_same_name_is_not_mapped(tmp_path, monkeypatch):
+    monkeypatch.setattr(url_filter.tempfile, "tempdir", str(tmp_path))
+    payload = url_filter.build_index([("a.com", "/", "block")])[0]
+    url_filter.open_index(payload)
+    (name,) = [p for p in tmp_path.iterdir()]
+    name.write_bytes(b"other")
+    assert url_filter.open_index(payload).find(["a.com\n/"]) == ["block"]

@@ -42,3 +42,22 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         e = store(_star(_star(e, True), False), "cc-round")
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")) \
         .union(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def joined(comp: DataFrame, edges: DataFrame) -> DataFrame:
+    """(c, component) after further ``edges`` (a, b) between nodes: ``comp`` (c, component) holds the
+    components so far, nodes that it lacks stand alone. Only the edges between different
+    components are followed, so a large component costs nothing again."""
+    mine = comp.select(F.col("c").alias("node"), F.col("component").alias("label"))
+    ends = edges.select("a", "b").distinct()
+    for k in ("a", "b"):
+        ends = ends.join(mine.select(F.col("node").alias(f"n{k}"), F.col("label").alias(f"l{k}")), F.col(k) == F.col(f"n{k}"), "left")
+    ends = store(ends.select("a", "b", F.coalesce("la", "a").alias("la"), F.coalesce("lb", "b").alias("lb")).where("la <> lb"), "cc-between")
+    if ends.isEmpty():
+        return comp
+    merged = store(components(ends.select(F.col("la").alias("a"), F.col("lb").alias("b"))), "cc-merged")
+    known = comp.join(merged.select("node", F.col("component").alias("new")), F.col("component") == F.col("node"), "left") \
+        .select("c", F.coalesce("new", "component").alias("component"))
+    alone = ends.select(F.col("a").alias("c"), F.col("la").alias("label")).union(ends.select("b", "lb")).where("c = label").distinct() \
+        .join(comp.select("c"), "c", "left_anti").join(merged.select("node", "component"), F.col("c") == F.col("node")).select("c", "component")
+    return store(known.unionByName(alone), "components")

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.llm.common import store
+from vigil.llm.components import joined
 
 #: Entries of a list from which it is read as a family.
 LONG = 32
@@ -90,16 +91,15 @@ def _candidates(e: DataFrame, rule) -> DataFrame:
     return j.select("l", "pc", F.explode(F.transform(met, lambda m: m["c"])).alias("a")).select("l", "a", F.col("pc").alias("b")).distinct()
 
 
-def family_links(w, post: DataFrame, comp: DataFrame, components) -> DataFrame:
+def family_links(w, post: DataFrame, comp: DataFrame) -> DataFrame:
     """a, b, na, nb, o: links that connect all members of the long lists ``post``
     (token, c, pos) that any links between them connect; each is exact.
 
-    ``comp`` (c, component) are components known before; ``components`` finds those of (a, b)."""
+    ``comp`` (c, component) are components known before."""
     rule = w.rule
     dif = _differences(w, post)
     star = dif.where("f <= room").select(F.col("c").alias("a"), F.col("l").alias("b"), F.col("n").alias("na"), F.col("nl").alias("nb"), (F.col("nl") - F.col("d")).alias("o"))
-    known = star.select("a", "b").union(comp.select(F.col("c"), F.col("component")))
-    now = store(components(known).select(F.col("node").alias("cc"), F.col("component").alias("comp")), "family-components")
+    now = joined(comp, star).select(F.col("c").alias("cc"), F.col("component").alias("comp"))
     dif = dif.withColumn("open", F.col("f") > F.col("room")).join(now, F.col("c") == F.col("cc"), "left").withColumn("comp", F.coalesce("comp", "c")).drop("cc")
     live = dif.groupBy("l").agg(F.max("open").alias("any"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("any and c0 < c1").select("l")
     dif = store(dif.join(live, "l", "left_semi"), "family-open")

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.llm.common import ascii_lower, pick, space_words, store
-from vigil.llm.components import components
+from vigil.llm.components import components, joined
 from vigil.llm.families import family_links, long_tokens
 
 SHINGLE = 3
@@ -291,8 +291,9 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     long = store(long_tokens(by_star), "long-tokens")
     is_long = F.col("token") == F.col("long")
     if not long.isEmpty():
-        near = store(near.unionByName(family_links(w, post.join(long, is_long, "left_semi").select("token", "c", "pos"), comp, components)), "near")
-        now = store(components(near).select(F.col("node").alias("c"), F.col("component").alias("now")), "components")
+        found = family_links(w, post.join(long, is_long, "left_semi").select("token", "c", "pos"), comp)
+        near, comp = near.unionByName(found), joined(comp, found)
+        now = comp.select("c", F.col("component").alias("now"))
         by_star = by_star.join(long, is_long, "left_anti").join(now, F.col("e") == F.col("c"), "left").withColumn("comp", F.coalesce("now", "comp")).drop("c", "now")
     met = _meet(by_star, rule)
     most = star.groupBy("star").agg(F.max("room").alias("room"))
@@ -303,7 +304,7 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     answers = store(w.verified(met).join(met, ["a", "b"]), "answers")
     linked = w.rule.links(F.col("o"), F.col("na"), F.col("nb"))
     links = near.unionByName(answers.where(linked).drop("room_a", "room_b"))
-    comp = store(components(links).select(F.col("node").alias("c"), "component"), "components")
+    comp = joined(comp, answers.where(linked))
     # open: stars of different components whose members may still link
     lab = lambda k: comp.select(F.col("c").alias(k), F.col("component").alias("comp_" + k))
     still = answers.where(~linked & w.rule.may_link(F.col("o"), F.col("room_a") + F.col("room_b"), F.col("na"), F.col("nb")))
@@ -327,7 +328,7 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     found = store(w.verified(pairs).where(linked), "member-links")
     if not found.isEmpty():
         links = links.unionByName(found)
-        comp = store(components(links).select(F.col("node").alias("c"), "component"), "components")
+        comp = joined(comp, found)
     return links, comp, w.light.select("doc_id", "n", "c", *more)
 
 
