@@ -7,14 +7,15 @@ Public API is DataFrame -> DataFrame and Column -> Column functions:
   ``jsonx.json_array``, ``jsonx.unwrap_single_key``, ...);
 * ``vigil.sources`` — scans and sinks (``nested_json.read_documents`` /
   ``records``, ``delimited.read_pipe_csv``, ``manifest.read_manifests``,
-  ``files.read_landed``, ``pages.page_links``, ``html_select.select_in_blocks``);
+  ``files.read_landed``, ``pages.page_links``, ``markup.block_links``,
+  ``split_text.read_json_records`` / ``read_quoted_csv``);
 * ``vigil.operators`` — joins, aggregates, windows and flatteners
   (``coauthor.coauthor_weights``, ``quality.*``, ``histogram.group_histogram``,
   ``sequence.ordered_index`` / ``runs``, ``layout.seat_map``,
   ``frontier.expand_frontier``, ``manifest.pending`` / ``merge_results``,
   ``activity.flatten_activity``, ``initiative.split_initiatives``);
 * ``vigil.streaming`` — incremental ingestion (``incremental.landed_file_stream``,
-  ``content_stream``, ``ingest_available``);
+  ``content_stream``, ``ingest_available``, ``ingest_lot``);
 * ``vigil.plans`` — scheduler entry points (``jobs.land_activity``,
   ``jobs.land_initiatives``, ``jobs.update_manifest``, ``jobs.activity_report``)
   and the query catalogue run by the correctness driver and the bench.
