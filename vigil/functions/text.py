@@ -80,7 +80,8 @@ _ASCII = ascii_table()
 _ONE = sorted((k for k, v in _ASCII.items() if len(v) < 2), key=lambda k: -len(_ASCII[k]))
 _TR_SRC, _TR_DST = "".join(_ONE), "".join(_ASCII[k] for k in _ONE)
 _LONGER = {k: v for k, v in _ASCII.items() if len(v) > 1}
-_LONGER_RE = "[" + "".join(_LONGER) + "]"
+# any character that is left over; a class of the longer ones alone is tried one by one for every character
+_LEFT_RE = r"[^\x00-\x7F]"
 
 
 def fold_to_ascii(col) -> Column:
@@ -90,9 +91,9 @@ def fold_to_ascii(col) -> Column:
     looked up by itself, and the pieces are joined again, all JVM-side."""
     c = F.translate(_c(col), _TR_SRC, _TR_DST)
     table = F.create_map(*[F.lit(x) for kv in _LONGER.items() for x in kv])
-    pieces, found = F.split(c, _LONGER_RE, -1), F.regexp_extract_all(c, F.lit(_LONGER_RE), 0)
-    body = F.array_join(F.zip_with(F.slice(pieces, 1, F.size(found)), F.transform(found, lambda x: F.element_at(table, x)), lambda p, x: F.concat(p, x)), "")
-    return F.when(c.rlike(_LONGER_RE), F.concat(body, F.element_at(pieces, -1))).otherwise(c)
+    pieces, found = F.split(c, _LEFT_RE, -1), F.regexp_extract_all(c, F.lit(_LEFT_RE), 0)
+    body = F.array_join(F.zip_with(F.slice(pieces, 1, F.size(found)), F.transform(found, lambda x: F.coalesce(F.try_element_at(table, x), x)), lambda p, x: F.concat(p, x)), "")
+    return F.when(c.rlike(_LEFT_RE), F.concat(body, F.element_at(pieces, -1))).otherwise(c)
 
 
 def clean_string(col) -> Column:
