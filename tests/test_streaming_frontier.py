@@ -57,6 +57,22 @@ def test_crawl_runs_to_the_end_and_follows_what_it_should(spark):
     assert sorted(r["round"] for r in some) == [0, 1, 2, 3]
 
 
+def test_rounds_leave_no_broadcast_in_the_driver(spark, monkeypatch):
+    plans, plain = [], type(spark.range(1)).checkpoint
+
+    def checkpoint(df, *args):
+        out = plain(df, *args)
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(type(spark.range(1)), "checkpoint", checkpoint)
+    pages = spark.createDataFrame([_page(f"http://s.example.org/{i}", [f"/{i + 1}"]) for i in range(4)], "url string, html string")
+    seed = spark.createDataFrame([("http://s.example.org/0",)], "url string")
+    assert expand_frontier(pages, seed).count() == 5
+    rounds = [p for p in plans if "Join" in p]
+    assert len(rounds) == 5 and not [p for p in rounds if "Broadcast" in p]
+
+
 def test_links_as_a_browser_reads_them(spark):
     from vigil.sources.pages import page_links
     html = ("<a href='/one'>1</a><a data-href=\"/no\" class=x href=\"/two?a=1&amp;b=2\">2</a><!-- <a href=\"/comment\">c</a> -->"

@@ -52,6 +52,8 @@ def expand_frontier(pages: DataFrame, seeds: DataFrame, follow: str | None = Non
     the crawl stops after so many rounds; the rows of round ``depth`` are then
     the frontier that was not expanded. Pages are read once, into an edge table;
     a round joins the last round's urls to the edges and checkpoints what is new.
+    Both joins are shuffled at every size: broadcast, the urls of every round would
+    stay in the driver's memory until the crawl ends.
     """
     ensure_checkpoint_dir(pages.sparkSession)
     edges = link_targets(pages, follow).distinct().checkpoint()
@@ -60,9 +62,9 @@ def expand_frontier(pages: DataFrame, seeds: DataFrame, follow: str | None = Non
     reached, r = new, 0
     while depth is None or r < depth:
         r += 1
-        new = (edges.join(new.select(F.col("url").alias("source_url")), "source_url")
+        new = (edges.join(new.select(F.col("url").alias("source_url")).hint("merge"), "source_url")
                .select(F.col("target_url").alias("url")).distinct()
-               .join(reached.select("url"), "url", "left_anti")
+               .join(reached.select("url").hint("merge"), "url", "left_anti")
                .withColumn("round", F.lit(r)).checkpoint())
         if new.isEmpty():
             break
