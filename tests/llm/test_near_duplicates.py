@@ -81,3 +81,12 @@ def test_a_doc_id_with_two_texts_leaves_a_row_of_each_group(spark):
     rows = [(5, a), (9, a), (5, b), (3, b), (3, b), (3, "c d e"), (7, None), (7, None), (None, a)]
     kept = P.one_per_group(spark, table(spark, rows), SF_SMOKE).select("doc_id", "text").collect()
     assert cases.bag(kept) == cases.bag([(5, a), (3, b), (3, "c d e"), (7, None), (7, None), (None, a)])
+
+
+def test_classes_are_one_scan_and_one_join(spark):
+    rows = [(1, "a b c d"), (1, "a b c d"), (2, "a b c d"), (None, "e f g h"), (None, "e f g h"), (3, "x y z"), (4, "")]
+    w = setjoin._Work(table(spark, rows), "doc_id", "text", setjoin.Rule())
+    plan = w.classes._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "Union" not in plan and plan.count("Scan parquet") == 2  # the sets and the list of copies
+    got = [r["c"] for r in w.classes.collect()]
+    assert len(got) == len(set(got)) == 3

@@ -78,8 +78,11 @@ def read_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     return d.select("doc_id", "tokens", F.size("tokens").alias("n"), F.xxhash64("tokens").alias("c"), *more)
 
 
-def _min_hash(tokens: str, seed: int) -> Column:
-    return F.array_min(F.transform(tokens, lambda t: F.xxhash64(F.lit(seed), t)))
+def _min_hashes(tokens: str) -> list[Column]:
+    """Three keys that sets share about as often as they share tokens. All but the high byte of a
+    token is a hash already: its least and greatest values, and the least of its low bits."""
+    low = F.transform(tokens, lambda t: F.shiftleft(t, 8))
+    return [F.array_min(low), F.array_max(low), F.array_min(F.transform(tokens, lambda t: F.shiftleft(t, 30)))]
 
 
 class Rule(NamedTuple):
@@ -122,17 +125,17 @@ class _Work:
         s = read_sets(docs, id_col, text_col, rule.shingle, **more)
         head = F.slice("tokens", 1, F.greatest(F.lit(WHOLE), F.ceil(F.col("n") * 0.3).cast("int") + 2, rule.prefix_len(F.col("n"))))
         s = s.select("doc_id", "n", "c", head.alias("head"), *more)
-        s = s.select("*", *[_min_hash("head", j).alias(f"key{j}") for j in (1, 2, 3)])
+        s = s.select("*", *[k.alias(f"key{j}") for j, k in enumerate(_min_hashes("head"), 1)], F.monotonically_increasing_id().alias("row"))
         self.light = store(s, "sets")
         sets = self.light.where("n > 0")
-        self.reps = store(sets.groupBy("c").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("m")), "reps")
-        #: one row per distinct set: as it is where only one row has it, else that of the least doc_id
-        more = store(self.reps.where("m > 1").select(F.col("c").alias("dc"), "rep"), "copied")
+        reps = sets.groupBy("c").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("m"), F.min("row").alias("kept"))
+        self.reps = store(reps, "reps")
+        #: one row per distinct set, its first; a scan and a join, as it is read by many steps
+        more = store(self.reps.where("m > 1").select(F.col("c").alias("dc"), "kept"), "copied")
         short = more.count() <= BROADCAST_ROWS
         flagged = sets.join(F.broadcast(more) if short else more, F.col("c") == F.col("dc"), "left")
-        cols = ["c", "n", "head", "key1", "key2", "key3"]
-        copied = flagged.where(F.col("dc").isNotNull() & F.col("doc_id").eqNullSafe(F.col("rep"))).select(*cols).dropDuplicates(["c"])
-        self.classes = flagged.where("dc is null").select(*cols).union(copied).withColumn("full", F.size("head") == F.col("n"))
+        self.classes = flagged.where("dc is null or row = kept").select("c", "n", "head", "key1", "key2", "key3") \
+            .withColumn("full", F.size("head") == F.col("n"))
 
     def full_sets(self, wanted: DataFrame) -> DataFrame:
         """c, tokens of the wanted classes, built again from the texts of one
