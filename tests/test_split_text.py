@@ -6,6 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import SF_SMOKE
+from vigil.plans import storage_queries
 from vigil.sources.delimited import read_pipe_csv, write_pipe_csv
 from vigil.sources.nested_json import read_documents, records
 from vigil.sources.split_text import pieces, read_json_records, read_quoted_csv
@@ -79,3 +81,14 @@ def test_json_records_across_splits(spark, tmp_path, small_splits):
     assert len(load(got)) == 322
     assert {r["name"]: r["error_reason"].split(":")[0] for r in bad.select(name, "error_reason").collect()} == {
         "cut": "not a JSON document", "open": "not a JSON document", "empty": "root holds no records", "wrong": "root holds no records"}
+
+
+@pytest.mark.parametrize("name,files", [("csv_split_roundtrip", "*.csv"), ("json_split_scan", "whole/*.txt")])
+def test_larger_tables_make_more_files_with_the_same_rows(spark, tmp_path, monkeypatch, name, files):
+    run = lambda: sorted(map(repr, storage_queries.__dict__["q_" + name](spark, SF_SMOKE).collect()))
+    want = run()
+    monkeypatch.setattr(storage_queries, "FILE_BYTES", 20_000)
+    monkeypatch.setattr(storage_queries, "scratch_path", lambda spark, _: str(tmp_path / "out"))
+    assert run() == want
+    written = list((tmp_path / "out").glob(files))
+    assert len(written) > 5 and max(f.stat().st_size for f in written) < 60_000

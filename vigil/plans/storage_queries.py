@@ -1,4 +1,4 @@
-"""Queries over stored files: one large file read by many tasks."""
+"""Queries over stored files: large files, each read by many tasks."""
 
 from __future__ import annotations
 
@@ -14,22 +14,29 @@ from vigil.session import scratch_path
 from vigil.sources import delimited, split_text
 from vigil.streaming import incremental
 
-#: Copies of the documents in one file, so that it has several splits.
+#: Copies of the documents, so that a file has several splits.
 COPIES = 2
+#: Text in one file, about: a task writes it, several read it.
+FILE_BYTES = 1 << 28
 
 
 def _copied(spark, sf):
     return load(spark, sf, "documents").select(F.explode(F.sequence(F.lit(1), F.lit(COPIES))).alias("k"), "doc_id", "lang", "text")
 
 
+def _files(rows, column: str) -> int:
+    """Files that ``rows`` make; the text of each is about ``FILE_BYTES``, so no task writes more as tables grow."""
+    return -(-(rows.agg(F.sum(F.octet_length(column))).first()[0] or 1) // FILE_BYTES)
+
+
 @query("csv_split_roundtrip", f"""
 SELECT k::INTEGER AS k, doc_id, lang, chr(10) || '"' || text || '|' || chr(10) || doc_id AS text FROM documents, (SELECT unnest(range(1, {COPIES + 1})) AS k)""")
 def q_csv_split_roundtrip(spark, sf):
-    """Documents, with further line breaks, quotes and separators, written as one pipe CSV file
-    and read back by several tasks."""
+    """Documents, with further line breaks, quotes and separators, written as pipe CSV files (one
+    for each 256 MB), and each read back by several tasks."""
     d = _copied(spark, sf).withColumn("text", F.concat(F.lit("\n\""), "text", F.lit("|\n"), F.col("doc_id").cast("string")))
     path = scratch_path(spark, "csv-one-file")
-    delimited.write_pipe_csv(d.coalesce(1), path)
+    delimited.write_pipe_csv(d.repartition(_files(d, "text")), path)
     return split_text.read_quoted_csv(spark, path, "k int, doc_id long, lang string, text string", na_tokens=False)
 
 
@@ -37,19 +44,28 @@ def q_csv_split_roundtrip(spark, sf):
 SELECT 'record' AS part, k::INTEGER AS k, doc_id, lang, '"}}]' || text || chr(92) AS text FROM documents, (SELECT unnest(range(1, {COPIES + 1})) AS k)
 UNION ALL SELECT 'bad', NULL, NULL, 'not a JSON document', NULL""")
 def q_json_split_scan(spark, sf):
-    """One export of all documents in a single line, and one that is cut off, read by several tasks;
-    the texts hold braces, quotes and backslashes."""
+    """Exports of all documents, each in a single line (one for each 256 MB), and as many as a third of them
+    takes that are cut off, each read by several tasks; the texts hold braces, quotes and backslashes."""
     d = _copied(spark, sf).withColumn("text", F.concat(F.lit('"}]'), "text", F.lit("\\")))
     path = scratch_path(spark, "json-one-file")
     one = F.to_json(F.struct("k", "doc_id", F.struct("lang", "text").alias("body")))
     lines = d.select(F.lit(1).alias("o"), "k", "doc_id", F.concat(F.lit(","), one).alias("value"))
-    ends = lambda o, text: spark.range(1).select(F.lit(o).alias("o"), F.lit(0).alias("k"), F.lit(0).cast("long").alias("doc_id"), F.lit(text).alias("value"))
-    head = ends(0, '{"?xml":{"@version":"1.0"},"ArrayOfText":{"Text":[{"k":0,"doc_id":-1,"body":{}}')
-    whole = head.unionByName(lines).unionByName(ends(2, "]}}")).coalesce(1).sortWithinPartitions("o", "k", "doc_id")
-    whole.select("value").write.option("lineSep", " ").text(path + "/whole")
-    head.unionByName(lines.where("doc_id % 3 = 0")).coalesce(1).sortWithinPartitions("o", "k", "doc_id").select("value").write.option("lineSep", " ").text(path + "/cut")
+
+    def write(rows, name, last=None):
+        n = _files(rows, "value")
+        ends = lambda o, text: spark.range(n).select(F.lit(o).alias("o"), F.lit(0).alias("k"), F.lit(0).cast("long").alias("doc_id"),
+                                                     F.lit(text).alias("value"), F.col("id").cast("int").alias("part"))
+        whole = rows.withColumn("part", F.pmod(F.xxhash64("k", "doc_id"), F.lit(n)).cast("int")) \
+            .unionByName(ends(0, '{"?xml":{"@version":"1.0"},"ArrayOfText":{"Text":[{"k":0,"doc_id":-1,"body":{}}'))
+        whole = (whole if last is None else whole.unionByName(ends(2, last))).repartitionById(n, F.col("part"))
+        whole.sortWithinPartitions("o", "k", "doc_id").select("value").write.option("lineSep", " ").text(path + name)
+        return n
+
+    write(lines, "/whole", "]}}")
+    cut = write(lines.where("doc_id % 3 = 0"), "/cut")
     records, bad = split_text.read_json_records(spark, [path + "/whole", path + "/cut"], "ArrayOfText.Text")
     r = records.select(F.from_json("record", "k int, doc_id long, body struct<lang: string, text: string>").alias("r")).select("r.k", "r.doc_id", "r.body.*").where("doc_id >= 0")
+    bad = bad.groupBy("error_reason").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == cut)  # what all cut exports are refused for
     none = F.lit(None)
     return r.select(F.lit("record").alias("part"), "*").unionByName(
         bad.select(F.lit("bad").alias("part"), none.cast("int").alias("k"), none.cast("long").alias("doc_id"), F.col("error_reason").alias("lang"), none.cast("string").alias("text")))
