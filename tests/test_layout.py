@@ -71,3 +71,16 @@ def test_single_ring_coordinates(spark):
     assert rows[0].seat_x == 3.674170788271024
     plain = ring_coordinates(spark, 2, 1.0, []).orderBy("position").collect()
     assert [round(r.seat_x, 12) for r in plain] == [0.5, -0.5]
+
+
+def test_landed_files_are_written_by_several_tasks(spark, monkeypatch):
+    from tests.conftest import SF_SMOKE
+    from vigil.plans import catalog
+    from vigil.plans.tables import load
+    n = load(spark, SF_SMOKE, "supplier").count()
+    cls, dealt = type(spark.range(1)), []
+    plain = cls.repartition
+    monkeypatch.setattr(catalog, "FILES_PER_TASK", 3, raising=False)
+    monkeypatch.setattr(cls, "repartition", lambda df, k, *c: (dealt.append(k), plain(df, k, *c))[1])
+    assert catalog.q_landed_files(spark, SF_SMOKE).count() == n
+    assert dealt == [1 + n // 3]

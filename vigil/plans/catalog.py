@@ -1005,13 +1005,20 @@ def q_pipe_csv_na_tokens(spark, sf):
     return delimited.read_pipe_csv(spark, path, "p_partkey bigint, p_name string, p_brand string")
 
 
+#: Small files that one task writes, about.
+FILES_PER_TASK = 500
+
+
 @query("landed_files", """
 SELECT CAST(s_suppkey AS BIGINT) AS s_suppkey, md5(s_name || chr(10)) AS download_md5,
        CAST(strlen(s_name) + 1 AS BIGINT) AS length FROM supplier""")
 def q_landed_files(spark, sf):
-    """Files landed one per supplier: size and digest of their bytes."""
+    """Files landed one per supplier: size and digest of their bytes. A file costs a task far more than
+    its bytes do, so tasks are dealt by files, and each moves its own into place."""
     path = scratch_path(spark, "landed")
-    load(spark, sf, "supplier").select("s_suppkey", "s_name").write.partitionBy("s_suppkey").text(path)
+    rows = load(spark, sf, "supplier").select("s_suppkey", "s_name")
+    rows.repartition(1 + rows.count() // FILES_PER_TASK, "s_suppkey").write.partitionBy("s_suppkey") \
+        .option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(path)
     files = read_landed(spark, path, glob="*.txt")
     return files.select(F.regexp_extract("path", "s_suppkey=([0-9]+)/", 1).cast("bigint").alias("s_suppkey"), "download_md5", "length")
 
