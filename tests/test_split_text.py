@@ -1,6 +1,7 @@
 """Files cut into many splits give the records of a whole-file scan."""
 
 import json
+import os
 import random
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMOKE
 from vigil.plans import storage_queries
+from vigil.sources import split_text
 from vigil.sources.delimited import read_pipe_csv, write_pipe_csv
 from vigil.sources.nested_json import read_documents, records
 from vigil.sources.split_text import pieces, read_json_records, read_quoted_csv
@@ -92,3 +94,45 @@ def test_larger_tables_make_more_files_with_the_same_rows(spark, tmp_path, monke
     assert run() == want
     written = list((tmp_path / "out").glob(files))
     assert len(written) > 5 and max(f.stat().st_size for f in written) < 60_000
+
+
+def on_disk(spark):
+    """Bytes under the checkpoint folder and Spark's local folders; files may go meanwhile."""
+    local = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    found = [os.path.join(d, f) for top in (spark.sparkContext.getCheckpointDir().removeprefix("file:"), *local) for d, _, fs in os.walk(top) for f in fs]
+    return sum(os.path.getsize(f) for f in found if os.path.exists(f))
+
+
+def test_json_records_are_neither_stored_nor_dealt_out(spark, tmp_path):
+    rng = random.Random(3)
+    docs = [{"id": i, "text": "".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789{}\"\\", k=2000))} for i in range(4000)]
+    (tmp_path / "x.json").write_text(json.dumps({"A": {"Rec": docs}}))
+    size = (tmp_path / "x.json").stat().st_size
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        before = on_disk(spark)
+        got, bad = read_json_records(spark, str(tmp_path), "A.Rec")
+        r = got.agg(F.count("record"), F.sum(F.length(F.get_json_object("record", "$.text"))), F.sum(F.get_json_object("record", "$.id").cast("long"))).first()
+        assert tuple(r) == (4000, 8_000_000, 4000 * 3999 // 2) and bad.count() == 0
+        assert on_disk(spark) - before < size / 4
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+@pytest.mark.parametrize("chunk", [1, 64, 1 << 22])
+def test_json_records_read_later_under_other_settings(spark, tmp_path, monkeypatch, small_splits, chunk):
+    monkeypatch.setattr(split_text, "_CHUNK", chunk)
+    rng = random.Random(4)
+    docs = [{"id": i, "f": value(rng), "bad": "\\" * rng.randrange(4) + '"' * rng.randrange(2)} for i in range(200)]
+    (tmp_path / "x.json").write_text(json.dumps({"A": {"Rec": docs}}, ensure_ascii=False, indent=1))
+    got, _ = read_json_records(spark, str(tmp_path), "A.Rec")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "977")
+    assert [json.loads(r["record"]) for r in got.orderBy("record_pos").collect()] == docs
+
+
+def test_json_records_replace_broken_characters_alike(spark, tmp_path, small_splits):
+    docs = ",".join('{"id": %d, "t": "a\udcff}b"}' % i for i in range(300))
+    (tmp_path / "x.json").write_bytes(('{"A": {"Rec": [' + docs + "]}}").encode("utf-8", "surrogateescape"))
+    got = read_json_records(spark, str(tmp_path), "A.Rec")[0].orderBy("record_pos").collect()
+    assert [r["record"] for r in got] == ['{"id": %d, "t": "a\ufffd}b"}' % i for i in range(300)]

@@ -46,23 +46,27 @@ UNION ALL SELECT 'bad', NULL, NULL, 'not a JSON document', NULL""")
 def q_json_split_scan(spark, sf):
     """Exports of all documents, each in a single line (one for each 256 MB), and as many as a third of them
     takes that are cut off, each read by several tasks; the texts hold braces, quotes and backslashes."""
-    d = _copied(spark, sf).withColumn("text", F.concat(F.lit('"}]'), "text", F.lit("\\")))
     path = scratch_path(spark, "json-one-file")
-    one = F.to_json(F.struct("k", "doc_id", F.struct("lang", "text").alias("body")))
-    lines = d.select(F.lit(1).alias("o"), "k", "doc_id", F.concat(F.lit(","), one).alias("value"))
-
-    def write(rows, name, last=None):
-        n = _files(rows, "value")
-        ends = lambda o, text: spark.range(n).select(F.lit(o).alias("o"), F.lit(0).alias("k"), F.lit(0).cast("long").alias("doc_id"),
-                                                     F.lit(text).alias("value"), F.col("id").cast("int").alias("part"))
-        whole = rows.withColumn("part", F.pmod(F.xxhash64("k", "doc_id"), F.lit(n)).cast("int")) \
+    docs = load(spark, sf, "documents").select(F.lit(1).alias("o"), "doc_id", "lang", F.concat(F.lit('"}]'), "text", F.lit("\\")).alias("text"))
+
+    def lines(d):  # as many records of a document as it has copies; the ends of an export as they are
+        one = F.to_json(F.struct("k", "doc_id", F.struct("lang", "text").alias("body")))
+        k = F.when(F.col("o") == 1, F.sequence(F.lit(1), F.lit(COPIES))).otherwise(F.array(F.lit(0)))
+        return d.select("*", F.explode(k).alias("k")).select(F.when(F.col("o") == 1, F.concat(F.lit(","), one)).otherwise(F.col("text")).alias("value"))
+
+    def write(d, name, last=None):
+        n = _files(lines(d), "value")
+        ends = lambda o, text: spark.range(n).select(F.lit(o).alias("o"), F.lit(0).cast("long").alias("doc_id"), F.lit("").alias("lang"),
+                                                     F.lit(text).alias("text"), F.col("id").cast("int").alias("part"))
+        # documents are dealt out before they are copied
+        whole = d.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int")) \
             .unionByName(ends(0, '{"?xml":{"@version":"1.0"},"ArrayOfText":{"Text":[{"k":0,"doc_id":-1,"body":{}}'))
         whole = (whole if last is None else whole.unionByName(ends(2, last))).repartitionById(n, F.col("part"))
-        whole.sortWithinPartitions("o", "k", "doc_id").select("value").write.option("lineSep", " ").text(path + name)
+        lines(whole.sortWithinPartitions("o", "doc_id")).write.option("lineSep", " ").text(path + name)
         return n
 
-    write(lines, "/whole", "]}}")
-    cut = write(lines.where("doc_id % 3 = 0"), "/cut")
+    write(docs, "/whole", "]}}")
+    cut = write(docs.where("doc_id % 3 = 0"), "/cut")
     records, bad = split_text.read_json_records(spark, [path + "/whole", path + "/cut"], "ArrayOfText.Text")
     r = records.select(F.from_json("record", "k int, doc_id long, body struct<lang: string, text: string>").alias("r")).select("r.k", "r.doc_id", "r.body.*").where("doc_id >= 0")
     bad = bad.groupBy("error_reason").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == cut)  # what all cut exports are refused for
