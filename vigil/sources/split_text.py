@@ -7,6 +7,9 @@ how many quotes it has, how far it opens or closes, both if it begins outside an
 inside a string. Sums of that over a split, and over the splits before it (one row
 each), give every piece its state; then the pieces of one record are put together. The
 largest thing any task holds is one split or one record.
+
+JSON files are read anew for each of these steps, each split in order by one task, so that records
+are neither stored nor shuffled on the way; only those that go over the end of a split leave their task.
 """
 
 from __future__ import annotations
